@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquetry.operators.diff import compare_copies, long_form
 from marquetry.operators.nested import Level, canonical_objects, flatten_tree, unwrap_json
 from marquetry.session import table
 
@@ -30,3 +31,15 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     deep = flatten_tree(progress, "progress_id", [DEEP_STUDIOS, DEEP_CAST])
     return meta.select(F.lit("film_meta").alias("tbl"), "*").union(deep.select(F.lit("meta_progress").alias("tbl"), "*"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and fields in which the local tables and their warehouse copies differ."""
+
+    def found(name: str, key: str, **how) -> DataFrame:
+        pair = table(spark, sf_dir, name), table(spark, sf_dir, f"{name}_wh")
+        out = long_form(compare_copies(*pair, key, unique_keys=True, **how), "only_local", "only_warehouse")
+        return out.select(F.lit(name).alias("tbl"), F.col("row_key").cast("string"), "field", "kind")
+
+    films = found("film_meta", "film_id")
+    return films.union(found("cast_enriched", "actor_name", ignore=("rec_id",), text_key=True))
