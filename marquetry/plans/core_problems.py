@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquetry.operators.diff import compare_copies, long_form
 from marquetry.operators.nested import Level, canonical_objects, flatten_tree, unwrap_json
+from marquetry.operators.packed import unpack_rows
 from marquetry.session import table
 
 STUDIOS = Level("studio", "studios", "name")
@@ -43,3 +44,8 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     films = found("film_meta", "film_id")
     return films.union(found("cast_enriched", "actor_name", ignore=("rec_id",), text_key=True))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every actor named in films.actor_list with the place in the list."""
+    return unpack_rows(table(spark, sf_dir, "films"), "record_id", "actor_list", "actor")
