@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marquetry.operators.diff import compare_copies, long_form
 from marquetry.operators.nested import Level, canonical_objects, flatten_tree, unwrap_json
 from marquetry.operators.packed import unpack_rows
+from marquetry.operators.units import nearest_reading, read_units
 from marquetry.session import table
 
 STUDIOS = Level("studio", "studios", "name")
@@ -49,3 +50,38 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every actor named in films.actor_list with the place in the list."""
     return unpack_rows(table(spark, sf_dir, "films"), "record_id", "actor_list", "actor")
+
+
+def p2_dollars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every known non-zero budget with the currency and multiplier it is stated in and its whole US dollars."""
+    rates = table(spark, sf_dir, "fx_rates")
+    meta = table(spark, sf_dir, "film_meta").filter("budget_usd <> 0")
+    meta = read_units(spark, meta, rates, "budget_usd", "budget_source", "budget_currency", "budget_local")
+    meta = meta.select("film_id", "budget_usd", "r_unit", "r_multiplier", "r_rate", "r_local", "l_rate")
+    tmdb = table(spark, sf_dir, "tmdb_cache").filter("budget <> 0").select("film_id", "budget")
+    both = meta.join(tmdb, "film_id", "full_outer")
+
+    told = F.col("budget_usd") * F.col("r_multiplier") / F.col("r_rate")
+    as_told = F.struct(F.lit(0.0).alias("d"), F.col("r_unit").alias("unit"), F.col("r_multiplier").alias("multiplier"))
+    local, rate = F.col("r_local"), F.col("l_rate")
+    guess = nearest_reading(F.col("budget_usd"), F.col("budget"), local, rate)
+    both = both.withColumns(
+        {
+            "film_meta": F.when(F.col("budget_usd").isNotNull(), F.when(told.isNotNull(), as_told).otherwise(guess)),
+            "tmdb_cache": nearest_reading(F.col("budget"), told, local, rate),
+        }
+    )
+    entry = lambda t, v: F.struct(F.lit(t).alias("tbl"), F.col(v).alias("stated"), F.col(t).alias("r"))
+    rows = both.select("film_id", F.explode(F.array(entry("film_meta", "budget_usd"), entry("tmdb_cache", "budget"))).alias("e"))
+    rows = rows.filter("e.r is not null").select(
+        "e.tbl", "film_id", "e.stated", F.col("e.r.unit").alias("currency"), F.col("e.r.multiplier").alias("multiplier")
+    )
+    fx = rates.select("currency", F.col("units_per_usd").cast("double").alias("units_per_usd"))
+    whole = F.round(F.col("stated") * F.col("multiplier") / F.col("units_per_usd")).cast("bigint")
+    return rows.join(F.broadcast(fx), "currency", "left").select("tbl", "film_id", "stated", "currency", "multiplier", whole.alias("usd"))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The budgets that are not stated in whole US dollars."""
+    off = (F.col("currency") != "USD") | (F.col("multiplier") != 1)
+    return p2_dollars(spark, sf_dir).filter(off).select("tbl", "film_id", "currency", "multiplier")
