@@ -85,3 +85,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The budgets that are not stated in whole US dollars."""
     off = (F.col("currency") != "USD") | (F.col("multiplier") != 1)
     return p2_dollars(spark, sf_dir).filter(off).select("tbl", "film_id", "currency", "multiplier")
+
+
+QUERIES = {"p2_found": p2_found, "p2_dollars": p2_dollars, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found}
+SQL: dict[str, str] = {}
