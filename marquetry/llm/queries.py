@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marquetry.llm.frequency import term_frequencies
+from marquetry.llm.resolve import linked_pairs, resolve_names
 from marquetry.session import table
 
 ARRAYS = ["genres", "tone", "secondary_audiences"]
@@ -32,7 +34,28 @@ m as (select field, term, occurrences, records,
   case when records <= 2 then 'rare' when records > 0.2 * every.n then 'common' end as mark from c, every)
 """
 
-QUERIES = {"p1_found": p1_found, "p1_frequencies": p1_frequencies}
+# What agreement in a column counts for two rows of people being one person.
+PEOPLE = {"primary_market": 1.0, "age_range": 1.0, "tier": 0.5}
+
+
+def p7_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the two tables of people with its entity."""
+    cast = table(spark, sf_dir, "cast_enriched").select(
+        F.lit("cast").alias("tbl"), "rec_id", F.col("actor_name").alias("name"), "primary_market", "age_range", F.col("fame_tier").alias("tier")
+    )
+    directors = table(spark, sf_dir, "director_enriched").select(
+        F.lit("director").alias("tbl"), "rec_id", F.col("director_name").alias("name"), "primary_market",
+        F.lit(None).cast("string").alias("age_range"), F.col("director_tier").alias("tier"),
+    )
+    return resolve_names(spark, cast.union(directors), "rec_id", "name", PEOPLE, within="tbl")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of rows of one table that name the same person."""
+    return linked_pairs(p7_entities(spark, sf_dir), "rec_id")
+
+
+QUERIES = {"p1_found": p1_found, "p1_frequencies": p1_frequencies, "p7_found": p7_found, "p7_entities": p7_entities}
 SQL = {
     "p1_found": _TERMS + "select field, term, mark from m where mark is not null",
     "p1_frequencies": _TERMS + "select * from m",
