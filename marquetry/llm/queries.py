@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquetry.functions.text import plain_form
 from marquetry.llm.frequency import term_frequencies
+from marquetry.llm.matching import match_entities
 from marquetry.llm.resolve import linked_pairs, resolve_names
 from marquetry.session import table
 
@@ -34,6 +36,46 @@ m as (select field, term, occurrences, records,
   case when records <= 2 then 'rare' when records > 0.2 * every.n then 'common' end as mark from c, every)
 """
 
+# How far a title picked by an earlier run is trusted, by the confidence it was given.
+TRUST = {"manual": 1.0, "exact": 0.95, "high": 0.85, "medium": 0.75, "low": 0.6}
+
+
+def p3_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each film of tmdb_cache with its catalogue entry, if there is one, and the confidence of the match."""
+    films = table(spark, sf_dir, "films").groupBy("film_id").agg(
+        F.collect_set("director").alias("directors"), F.collect_set(F.date_format("rel_at", "yyyy-MM-dd")).alias("rels")
+    )
+    meta = table(spark, sf_dir, "film_meta").select(
+        "film_id", "title", "release_date", F.col("director").alias("meta_director"), F.col("studios.name").alias("meta_studios")
+    )
+    given = plain_form("match_confidence")
+    trust = F.coalesce(*(F.when(given == k, F.lit(v)) for k, v in TRUST.items()))
+    alias = lambda t, w: F.struct(F.col(t).alias("title"), w.alias("trust"))
+    none = F.array().cast("array<string>")
+    joined = table(spark, sf_dir, "tmdb_cache").join(films, "film_id", "left").join(meta, "film_id", "left")
+    left = joined.select(
+        F.col("film_id").alias("id"),
+        F.array(alias("film", F.lit(1.0)), alias("title", F.lit(1.0)), F.when(trust.isNotNull(), alias("tmdb_title", trust))).alias("titles"),
+        F.concat(F.coalesce("rels", none), F.array("release_date")).alias("dates"),
+        F.concat(F.coalesce("directors", none), F.array("meta_director")).alias("people"),
+        F.concat(F.coalesce("studios", none), F.coalesce("meta_studios", none)).alias("companies"),
+    )
+    right = table(spark, sf_dir, "tmdb_catalog").select(
+        F.col("tmdb_id").alias("id"),
+        F.array(alias("title", F.lit(1.0)), alias("original_title", F.lit(1.0))).alias("titles"),
+        F.array("release_date").alias("dates"),
+        F.array("director").alias("people"),
+        F.col("production_companies").alias("companies"),
+    )
+    matched = match_entities(spark, left, right)
+    return matched.select(F.col("id").alias("film_id"), F.col("other").alias("tmdb_id"), "confidence")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The films and catalogue entries that are the same work."""
+    return p3_matches(spark, sf_dir).select("film_id", "tmdb_id")
+
+
 # What agreement in a column counts for two rows of people being one person.
 PEOPLE = {"primary_market": 1.0, "age_range": 1.0, "tier": 0.5}
 
@@ -55,7 +97,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_pairs(p7_entities(spark, sf_dir), "rec_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_frequencies": p1_frequencies, "p7_found": p7_found, "p7_entities": p7_entities}
+QUERIES = {"p1_found": p1_found, "p1_frequencies": p1_frequencies, "p3_found": p3_found, "p3_matches": p3_matches, "p7_found": p7_found, "p7_entities": p7_entities}
 SQL = {
     "p1_found": _TERMS + "select field, term, mark from m where mark is not null",
     "p1_frequencies": _TERMS + "select * from m",

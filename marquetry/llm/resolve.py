@@ -52,14 +52,31 @@ def _union(c: str) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c)
 
 
+def _profiles(spark: SparkSession, nodes: DataFrame, labels: DataFrame, attrs: list[str]) -> DataFrame:
+    grouped = nodes.select("node", "spelling", "middles", *attrs).join(labels, "node").groupBy("p")
+    return cut(spark, grouped.agg(F.max(F.col("spelling") != "").alias("full"), _union("middles"), *map(_union, attrs)))
+
+
+def _merge(spark: SparkSession, labels: DataFrame, edges: DataFrame) -> DataFrame | None:
+    """Labels after the profiles at the two ends of each edge are one, by the least label; None if there is no edge."""
+    edges = cut(spark, edges.distinct())
+    if edges.isEmpty():
+        return None
+    both = edges.union(edges.select("q", "p"))
+    step = both.groupBy("p").agg(F.min("q").alias("q")).select("p", F.least("p", "q").alias("q"))
+    jump = step.join(step.select(F.col("p").alias("q"), F.col("q").alias("r")), "q", "left").select("p", F.coalesce("r", "q").alias("to"))
+    moved = labels.join(jump, "p", "left")
+    return cut(spark, moved.select("node", F.coalesce("to", "p").alias("p")))
+
+
 def resolve_names(spark: SparkSession, df: DataFrame, key: str, name: str, weights: dict[str, float], within: str | None = None, rounds: int = 12) -> DataFrame:
     """(key, entity): the rows of `df` with the entity (least key of it) that their names stand for.
 
     weights: columns that mostly agree between rows of one entity, and what agreement counts. within: only rows with
     equal values of this column can be one entity.
     Written names become forms (see `names`), equal forms one node with the sets of their attributes. Nodes are
-    profiles at first. In each round profiles meet in blocks: (1) a shared full key merges at once, by the least
-    label over the key, without pairs; (2) full spellings one edit apart, found by shared deletion keys, merge unless
+    profiles at first. (1) A shared full key merges at once, by the least label over the key, without pairs. Then in each
+    round profiles meet in blocks: (2) full spellings one edit apart, found by shared deletion keys, merge unless
     their attributes speak against it; (3) an initial with the same family name merges with the only profile of the
     best agreement. A merged profile has the union of spellings, initials and attributes and enters the blocks anew,
     until a round merges nothing (`rounds` bounds only a fault).
@@ -91,45 +108,47 @@ def resolve_names(spark: SparkSession, df: DataFrame, key: str, name: str, weigh
     close = cut(spark, close.filter(_edits("s", "t", "u", "v") <= 1).select("m", "n"))
     short = nodes.filter("initial is not null").select("node", "g", "family", F.col("initial").alias("l"), F.col("middles").alias("m"))
     long = nodes.filter("spelling <> '' and family <> ''").select("node", "g", "family", F.explode("letters").alias("l"))
-    labels = nodes.select("node", F.col("node").alias("p"), F.lit(True).alias("fresh"))
+    labels = nodes.select("node", F.col("node").alias("p"))
 
+    # (1) least label over a full key, until it no longer moves
     for _ in range(rounds):
-        profile = cut(
-            spark,
-            nodes.join(labels, "node")
-            .groupBy("p")
-            .agg(F.max("fresh").alias("fresh"), F.max(F.col("spelling") != "").alias("full"), _union("letters"), _union("middles"), *map(_union, attrs)),
-        )
-        left, right = profile.select("p", F.struct("*").alias("x")), profile.select(F.col("p").alias("q"), F.struct("*").alias("y"))
-        of = labels.select("node", "p")
-        # (1) least label over a full key
-        held = keyed.join(of, "node").select("g", "k", "p").distinct()
+        held = keyed.join(labels.select("node", "p"), "node").select("g", "k", "p").distinct()
         same = held.join(held.groupBy("g", "k").agg(F.min("p").alias("q")), ["g", "k"]).filter("p <> q").select("p", "q")
+        moved = _merge(spark, labels, same)
+        if moved is None:
+            break
+        labels = moved
+
+    for _ in range(rounds):
         # (2) full spellings one edit apart
+        profile = _profiles(spark, nodes, labels, list(attrs))
+        left, right = profile.select("p", F.struct("*").alias("x")), profile.select(F.col("p").alias("q"), F.struct("*").alias("y"))
+        of = labels.select("node", "p")
         met = close.join(of.select(F.col("node").alias("m"), "p"), "m").join(of.select(F.col("node").alias("n"), F.col("p").alias("q")), "n")
-        met = met.filter("p <> q").select("p", "q").distinct().join(left, "p").join(right, "q").filter("x.fresh or y.fresh")
-        merged = met.filter(_agreement(weights, "x", "y") >= 0).select("p", "q")
+        met = met.filter("p <> q").select("p", "q").distinct().join(left, "p").join(right, "q")
+        merged = _merge(spark, labels, met.filter(_agreement(weights, "x", "y") >= 0).select("p", "q"))
+        if merged is not None:
+            labels = merged
+            profile = _profiles(spark, nodes, labels, list(attrs))
+            left, right = profile.select("p", F.struct("*").alias("x")), profile.select(F.col("p").alias("q"), F.struct("*").alias("y"))
+            of = labels.select("node", "p")
         # (3) an initial and the profiles of its family name
         lone = short.join(of, "node").drop("node").distinct().join(left, "p").filter("not x.full")
         known = long.join(of.select("node", F.col("p").alias("q")), "node").drop("node").distinct()
-        meet = lone.join(known, ["g", "family", "l"]).join(right, "q").filter("x.fresh or y.fresh").withColumn("agree", _agreement(weights, "x", "y"))
+        meet = lone.join(known, ["g", "family", "l"]).join(right, "q").withColumn("agree", _agreement(weights, "x", "y"))
         clash = (F.size("m") > 0) & (F.size("y.middles") > 0) & ~F.arrays_overlap("m", "y.middles")
         meet = meet.filter(F.col("agree") >= min(weights.values())).select("p", "q", (F.col("agree") - F.when(clash, 0.5).otherwise(0.0)).alias("agree"))
         best = meet.groupBy("p").agg(F.max(F.struct("agree", "q")).alias("b"), F.max("agree").alias("top"), F.collect_set(F.struct("agree", "q")).alias("all"))
-        only = best.filter(F.size(F.filter("all", lambda e: e["agree"] == F.col("top"))) == 1).select("p", F.col("b.q").alias("q"))
+        only = cut(spark, best.filter(F.size(F.filter("all", lambda e: e["agree"] == F.col("top"))) == 1).select("p", F.col("b.q").alias("q")))
         # initials alike in two or more known attributes
         alike = lone.select("p", "g", "family", "l", *(F.col(f"x.{c}").alias(c) for c in attrs))
         alike = alike.filter(sum(((F.size(c) > 0).cast("int") for c in attrs), F.lit(0)) >= 2)
         twin = alike.join(alike.groupBy("g", "family", "l", *attrs).agg(F.min("p").alias("q")), ["g", "family", "l", *attrs]).filter("p <> q").select("p", "q")
-
-        edges = same.union(merged).union(only).union(twin).distinct()
-        edges = cut(spark, edges.union(edges.select("q", "p")))
-        if edges.isEmpty():
+        again = _merge(spark, labels, only.union(twin))
+        if again is not None:
+            labels = again
+        elif merged is None:
             break
-        step = edges.groupBy("p").agg(F.min("q").alias("q")).select("p", F.least("p", "q").alias("q"))
-        jump = step.join(step.select(F.col("p").alias("q"), F.col("q").alias("r")), "q", "left").select("p", F.coalesce("r", "q").alias("to"))
-        moved = labels.select("node", "p").join(jump, "p", "left")
-        labels = cut(spark, moved.select("node", F.coalesce("to", "p").alias("p"), F.col("to").isNotNull().alias("fresh")))
     return rows.select("rec", "node_key").join(nodes.select("node_key", "node"), "node_key").join(labels, "node").select(F.col("rec").alias(key), F.col("p").alias("entity"))
 
 
