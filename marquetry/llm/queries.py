@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from marquetry.functions.text import plain_form
 from marquetry.llm.frequency import term_frequencies
 from marquetry.llm.matching import match_entities
+from marquetry.llm.mixing import mix_sources, shares_reached
+from marquetry.llm.packing import pack_items
+from marquetry.llm.reading import reading_levels, reading_model
 from marquetry.llm.resolve import linked_pairs, resolve_names
+from marquetry.llm.tokens import token_counts
 from marquetry.session import table
+from marquetry.sources.scratch import cut
 
 ARRAYS = ["genres", "tone", "secondary_audiences"]
 
@@ -24,6 +29,62 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_frequencies(spark, sf_dir).filter("mark is not null").select("field", "term", "mark")
 
 
+def p8_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text, or piece of a text that exceeds the capacity, in a training sequence of each capacity."""
+    sizes = token_counts(table(spark, sf_dir, "documents"), "doc_id", "text")
+    items = cut(spark, sizes.select(F.col("doc_id").alias("doc"), "tokens"))
+    out = None
+    for r in table(spark, sf_dir, "pack_sizes").orderBy("capacity_tokens").collect():  # three rows, of fixed number
+        packed = pack_items(spark, items, r["capacity_tokens"]).withColumnRenamed("doc", "doc_id")
+        packed = packed.select(F.lit(r["pack_name"]).alias("pack_name"), F.lit(r["capacity_tokens"]).alias("capacity"), "*")
+        out = packed if out is None else out.union(packed)
+    return out
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each capacity the sequences used, the fewest possible by size, and the share of room filled."""
+    bins = p8_sequences(spark, sf_dir).filter("sequence is not null").groupBy("pack_name", "capacity", "sequence").agg(F.sum("tokens").alias("fill"))
+    total = bins.groupBy("pack_name", "capacity").agg(F.count("*").alias("sequences"), F.sum("fill").alias("tokens"), F.max("fill").alias("fullest"))
+    least = F.ceil(F.col("tokens") / F.col("capacity"))
+    return total.select("pack_name", "capacity", "sequences", least.alias("least"), "tokens", "fullest", (F.col("tokens") / (F.col("sequences") * F.col("capacity"))).alias("filled"))
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[dict]]:
+    targets = table(spark, sf_dir, "mix_targets")
+    docs = table(spark, sf_dir, "documents").join(F.broadcast(targets.select("source")), "source", "left_semi")
+    sizes = token_counts(docs, "doc_id", "text", "source").withColumnRenamed("doc_id", "doc")
+    return mix_sources(spark, cut(spark, sizes), targets)
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mixture with their copies."""
+    return _mix(spark, sf_dir)[0].withColumnRenamed("doc", "doc_id")
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of all tokens that each source reaches, beside its target."""
+    return shares_reached(spark, *_mix(spark, sf_dir))
+
+
+def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its calibrated reading grade and band."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels")
+    model = reading_model(docs, labels, "doc_id", "text", "source", "band")
+    return reading_levels(docs, model, "doc_id", "text")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the easiest and the hardest band."""
+    return p10_levels(spark, sf_dir).filter("band in (1, 5)").select("doc_id", "band")
+
+
+def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus by source and band."""
+    levels = p10_levels(spark, sf_dir).filter("band is not null")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return docs.join(levels, "doc_id").groupBy("source", "band").agg(F.count("*").alias("docs"), F.avg("level").alias("level"))
+
+
 _TERMS = r"""
 with every as (select count(distinct film_id) as n from synopses_extracted),
 t as (
@@ -97,7 +158,10 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_pairs(p7_entities(spark, sf_dir), "rec_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_frequencies": p1_frequencies, "p3_found": p3_found, "p3_matches": p3_matches, "p7_found": p7_found, "p7_entities": p7_entities}
+QUERIES = {
+    f.__name__: f
+    for f in (p1_found, p1_frequencies, p3_found, p3_matches, p7_found, p7_entities, p8_sequences, p8_fill, p9_mixture, p9_shares, p10_found, p10_levels, p10_profile)
+}
 SQL = {
     "p1_found": _TERMS + "select field, term, mark from m where mark is not null",
     "p1_frequencies": _TERMS + "select * from m",
