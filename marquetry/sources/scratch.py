@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,3 +19,11 @@ def cut(spark: SparkSession, df: DataFrame) -> DataFrame:
     """`df` written to the shared folder and read from there, so a lost executor costs no recomputation."""
     ensure_checkpoint_dir(spark)
     return df.checkpoint(eager=True)
+
+
+def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """`df` as a parquet table in the shared folder: for large intermediate results, read again by column."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
