@@ -5,23 +5,24 @@ Both sources are described by one profile: titles with the trust put in each, da
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from marquetry.llm.names import edits
 from marquetry.llm.titles import company_key, date_days, people_keys, title_form
-from marquetry.sources.scratch import cut
+from marquetry.sources.scratch import cut, stored
 
-PROFILE = "side int, id bigint, titles array<struct<text:string,sequel:string,trust:double>>, days array<int>, years array<int>, people array<string>, companies array<string>, sort array<struct<k:string,d:bigint,a:bigint,b:bigint>>"
+PROFILE = (
+    "side int, id bigint, titles array<string>, sequels array<string>, trusts array<double>, days array<int>, years array<int>, people array<string>, "
+    "companies array<string>, day int, sort array<string>, person array<bigint>, low array<bigint>, high array<bigint>"
+)
+FIELDS = ["titles", "sequels", "trusts", "days", "years", "people", "companies"]
 WEIGHTS = {"title": 0.5, "people": 0.2, "day": 0.2, "companies": 0.1}
 ACCEPT = 0.6
-# Two rows of one source are one work only if they are alike beyond doubt, else chains join different works.
-TWINS = 0.85
 WINDOW = 12
 TILE = 4096
 
@@ -42,185 +43,202 @@ def _signature(text: str) -> tuple[int, int]:
     return low - (1 << 64) * (low >> 63), high - (1 << 64) * (high >> 63)
 
 
-def _describe(side: int, key: int, titles: list[tuple[str, float]], days: list[int], years: list[int], people: list[str], companies: list[str]) -> dict:
-    """One profile with its sort keys: the title forwards, backwards and from its longest word, with family name and
-    year after it; and each person with the month, and the month with each person."""
-    seen: dict[tuple[str, str], float] = {}
-    words: dict[str, str] = {}
-    for raw, trust in titles:
-        if f := title_form(raw):
-            seen[f.text, f.sequel] = max(seen.get((f.text, f.sequel), 0.0), trust)
-            words[f.text] = max(f.words, key=len)
+class _Cached:
+    """Results of a function of one text, kept for the task; names, dates and firms recur."""
+
+    def __init__(self, function: Callable, most: int = 200_000):
+        self.function, self.known, self.most = function, {}, most
+
+    def __call__(self, text: str):
+        if text not in self.known:
+            if len(self.known) >= self.most:
+                self.known.clear()
+            self.known[text] = self.function(text)
+        return self.known[text]
+
+
+def _sort_keys(titles: dict[str, str], days: list[int], years: list[int], people: list[str]) -> tuple[list[str], list[int], list[int], list[int]]:
+    """The sort keys of a profile: each title forwards, backwards and from its longest word, with family name and year
+    after it; and each person with the month, and the month with each person. With each key the person's hash, if it
+    leads the key, and the signature of the title."""
     full = [p for p in people if p.startswith("=")]
     family = max((p.partition(".")[2] for p in people if "." in p), default="")
     year = 1970 + min(days) // 365 if days else min(years, default=0)
     after = f"|{family[:6]}|{year}"
-    sort = []
-    for text in {t for t, _ in seen}:
+    keys, who, low, high = [], [], [], []
+    for text, word in titles.items():
         a, b = _signature(text)
-        for k in (f"t{text}{after}", f"r{text[::-1]}{after}", f"w{words[text]}|{text}{after}"):
-            sort.append({"k": k, "d": 0, "a": a, "b": b})
+        keys += [f"t{text}{after}", f"r{text[::-1]}{after}", f"w{word}|{text}{after}"]
+        who, low, high = who + [0] * 3, low + [a] * 3, high + [b] * 3
+    a, b = _signature(max(titles, key=len, default=""))
+    months = sorted({x // 30 for x in days}) or [-99999]
     for p in full or people:
-        a, b = _signature(max((t for t, _ in seen), key=len, default=""))
-        for d in sorted({x // 30 for x in days}) or [-99999]:
-            month = f"{d + 100000:06d}"
-            sort += [{"k": k, "d": _hash(p), "a": a, "b": b} for k in (f"p{p}|{month}", f"m{month}|{p}")]
-    listed = [{"text": t, "sequel": s, "trust": w} for (t, s), w in seen.items()]
-    return {"side": side, "id": key, "titles": listed, "days": days, "years": years, "people": people, "companies": companies, "sort": sort}
+        h = _hash(p)
+        for m in months:
+            month = f"{m + 100000:06d}"
+            keys += [f"p{p}|{month}", f"m{month}|{p}"]
+            who, low, high = who + [h] * 2, low + [a] * 2, high + [b] * 2
+    return keys, who, low, high
 
 
 def profiles(df: DataFrame, side: int) -> DataFrame:
-    """Profiles of rows (id, titles array<struct<title, trust>>, dates array<string>, people array<string>, companies array<string>).
+    """Profiles of rows (id, titles array<string>, trusts array<double>, dates, people, companies array<string>).
 
     Null arrays and elements count as absent; a row with nothing known has a profile that matches nothing.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def listed(x) -> list:
-            return [] if x is None else [e for e in x if e is not None]
-
-        for pdf in batches:
-            out = []
-            for key, titles, dates, people, companies in pdf.itertuples(index=False):
-                parsed = [date_days(d) for d in listed(dates)]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        form, dates, names, firm = _Cached(title_form), _Cached(date_days), _Cached(people_keys), _Cached(company_key)
+        types = [pa.int32(), pa.int64(), *map(pa.list_, (pa.string(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.string(), pa.string())), pa.int32(), *map(pa.list_, (pa.string(), pa.int64(), pa.int64(), pa.int64()))]
+        for batch in batches:
+            out: list[list] = [[] for _ in types]
+            for key, titles, trusts, when, people, companies in zip(*(c.to_pylist() for c in batch.columns)):
+                seen: dict[tuple[str, str], float] = {}
+                words: dict[str, str] = {}
+                for t, w in zip(titles or (), trusts or ()):
+                    if t and w is not None and (f := form(t)):
+                        seen[f.text, f.sequel] = max(seen.get((f.text, f.sequel), 0.0), w)
+                        words[f.text] = max(f.words, key=len)
+                parsed = [dates(d) for d in when or () if d]
                 days = sorted({d for d, only_year in parsed if d is not None and not only_year})
                 years = sorted({1970 + d // 365 for d, only_year in parsed if d is not None and only_year})
-                who = sorted({k for p in listed(people) for k in people_keys(p)})
-                firms = sorted({k for c in listed(companies) if (k := company_key(c))})
-                named = [(t["title"], t["trust"]) for t in listed(titles) if t["title"]]
-                out.append(_describe(side, key, named, days, years, who, firms))
-            yield pd.DataFrame(out, columns=["side", "id", "titles", "days", "years", "people", "companies", "sort"])
+                who = sorted({k for p in people or () if p for k in names(p)})
+                firms = sorted({k for c in companies or () if c and (k := firm(c))})
+                values = [t for t, _ in seen], [q for _, q in seen], list(seen.values()), days, years, who, firms
+                for column, value in zip(out, (side, key, *values, days[0] if days else None, *_sort_keys(words, days, years, who))):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=[f.split()[0] for f in PROFILE.split(", ")])
 
-    return df.select("id", "titles", "dates", "people", "companies").mapInPandas(run, PROFILE)
+    return df.select("id", "titles", "trusts", "dates", "people", "companies").mapInArrow(run, PROFILE)
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.view(np.uint64)).astype(np.int16)
 
 
+# Days beyond which two dates can't be one release, see `day_likeness`.
+FAR = 800
+
+
 def _neighbours(window: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos", kind="stable")
         side, key, own = pdf["side"].to_numpy(), pdf["id"].to_numpy(), ~pdf["halo"].to_numpy()
-        who, a, b = pdf["d"].to_numpy(), pdf["a"].to_numpy(), pdf["b"].to_numpy()
+        who, a, b = pdf["person"].to_numpy(), pdf["low"].to_numpy(), pdf["high"].to_numpy()
+        day = pdf["day"].to_numpy(float)
         size = _bits(a) + _bits(b)
         found = []
         for step in range(1, min(window, len(pdf) - 1) + 1):
             i, j = slice(None, -step), slice(step, None)
+            gap = np.abs(day[i] - day[j])  # not a number where a day is unknown
             shared = _bits(a[i] & a[j]) + _bits(b[i] & b[j])
-            alike = shared >= 0.55 * np.maximum(np.minimum(size[i], size[j]), 1)
-            person = (who[i] != 0) & (who[i] == who[j])
-            # of each pair the one that comes first must be the tile's own; catalogue entries aren't compared with each other
-            ok = own[i] & ((side[i] == 0) | (side[j] == 0)) & (alike | person) & ~((side[i] == side[j]) & (key[i] == key[j]))
+            alike = (shared >= 0.65 * np.maximum(np.minimum(size[i], size[j]), 1)) & ~(gap > FAR + 31)
+            person = (who[i] != 0) & (who[i] == who[j]) & (gap <= 62)
+            # of each pair the one that comes first must be the tile's own
+            ok = own[i] & (side[i] != side[j]) & (alike | person)
             if ok.any():
-                l, r = key[i][ok], key[j][ok]
-                ls, rs = side[i][ok], side[j][ok]
-                swap = (ls > rs) | ((ls == rs) & (l > r))
-                found.append(np.stack([np.where(swap, r, l), np.where(swap, ls, rs), np.where(swap, l, r)], 1))
-        rows = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
-        return pd.DataFrame({"id": rows[:, 0], "other_side": rows[:, 1].astype(np.int32), "other": rows[:, 2]})
+                l, r, swap = key[i][ok], key[j][ok], side[i][ok] == 1
+                found.append(np.stack([np.where(swap, r, l), np.where(swap, l, r)], 1))
+        rows = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        return pd.DataFrame({"id": rows[:, 0], "other": rows[:, 1]})
 
     return run
 
 
 def sorted_neighbourhood(spark: SparkSession, described: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(id, other_side, other): pairs of profiles of side 0 with each other and with side 1 that stand within
-    `window` places of each other under some sort key and are alike in letters or share the key's person.
+    """(id, other): pairs of a profile of side 0 and one of side 1 that stand within `window` places of each other
+    under some sort key and are alike in letters and not far apart in time, or share the key's person within two months.
 
     One range sort of all keys; the sorted rows are cut into tiles of equal size, each with the first rows of the
     next as a halo, so work is even however often a key occurs.
     """
-    rows = described.select("side", "id", F.explode("sort").alias("s")).select("side", "id", "s.*")
-    rows = rows.withColumn("u", F.xxhash64("id", "side"))
-    rows = cut(spark, rows.repartitionByRange("k", "u").sortWithinPartitions("k", "u").drop("k", "u"))
-    rows = rows.withColumns({"part": F.spark_partition_id(), "n": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)})
-    rows = cut(spark, rows)
-    sizes = rows.groupBy("part").agg(F.count("*").alias("c"))  # a row for each partition
-    before = sizes.alias("x").join(F.broadcast(sizes.alias("y")), F.col("y.part") < F.col("x.part"), "left")
-    before = before.groupBy("x.part").agg(F.coalesce(F.sum("y.c"), F.lit(0)).alias("before")).select("part", "before")
-    placed = rows.join(F.broadcast(before), "part").withColumn("pos", F.col("before") + F.col("n"))
+    rows = described.select("side", "id", "day", F.explode(F.arrays_zip("sort", "person", "low", "high")).alias("s")).select("side", "id", "day", "s.*")
+    rows = rows.withColumn("u", F.xxhash64("id", "side")).repartitionByRange("sort", "u").sortWithinPartitions("sort", "u").drop("sort", "u")
+    rows = stored(spark, rows.withColumns({"part": F.spark_partition_id(), "n": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}))
+    sizes = rows.groupBy("part").agg(F.count("*").alias("c")).collect()  # a row for each partition
+    before, total = [], 0
+    for part, c in sorted(sizes):
+        before.append((part, total))
+        total += c
+    offsets = spark.createDataFrame(before or [(0, 0)], "part int, before bigint")
+    placed = rows.join(F.broadcast(offsets), "part").withColumn("pos", F.col("before") + F.col("n"))
     tile = F.floor(F.col("pos") / TILE)
     again = (F.pmod("pos", F.lit(TILE)) < window) & (tile > 0)
     copies = F.array(F.struct(tile.alias("tile"), F.lit(False).alias("halo")), F.struct((tile - 1).alias("tile"), F.lit(True).alias("halo")))
-    tiled = placed.select("side", "id", "d", "a", "b", "pos", F.explode(F.when(again, copies).otherwise(F.slice(copies, 1, 1))).alias("t"))
-    tiled = tiled.select("side", "id", "d", "a", "b", "pos", "t.tile", "t.halo")
-    return tiled.groupBy("tile").applyInPandas(_neighbours(window), "id bigint, other_side int, other bigint").distinct()
-
-
-def _title(a: list, b: list) -> float:
-    best = 0.0
-    for x in a:
-        for y in b:
-            s, t = x["text"], y["text"]
-            short, long = (s, t) if len(s) <= len(t) else (t, s)
-            if s == t:
-                like = 1.0 if x["sequel"] == y["sequel"] else 0.0
-            else:
-                most = max(1, min(4, len(short) // 4))
-                d = edits(s, t, most)
-                like = 1.0 - 2.0 * d / len(long) if d <= most and x["sequel"] == y["sequel"] else 0.0
-                if len(short) >= 9 and (long.startswith(short) or edits(long[: len(short)], short, 1) <= 1):
-                    cut_off = y["sequel"] if len(s) < len(t) else x["sequel"]
-                    own = x["sequel"] if len(s) < len(t) else y["sequel"]
-                    if not own:  # a title cut off may have lost its sequel mark
-                        like = max(like, 0.7 if cut_off else 0.8)
-            best = max(best, like * min(x["trust"], y["trust"]))
-    return best
-
-
-def _people(a: list[str], b: list[str]) -> float | None:
-    if not len(a) or not len(b):
-        return None
-    x, y = set(a), set(b)
-    if x & y:
-        return 1.0
-    for p in x:
-        for q in y:
-            if p[0] == "=" == q[0] and edits(p, q, 2) <= 2:
-                return 0.9
-            if p[0] != "=" != q[0] and p[0] == q[0] and edits(p, q, 1) <= 1:
-                return 0.8
-    return -0.5
-
-
-def _day(days: list[int], years: list[int], days2: list[int], years2: list[int]) -> float | None:
-    if len(days) and len(days2):
-        gap = min(abs(int(x) - int(y)) for x in days for y in days2)
-        return 1.0 if gap <= 31 else 0.9 if gap <= 200 else 0.75 if gap <= 420 else 0.3 if gap <= 800 else -1.0
-    x = [1970 + int(d) // 365 for d in days] + list(years)
-    y = [1970 + int(d) // 365 for d in days2] + list(years2)
-    if not x or not y:
-        return None
-    gap = min(abs(p - q) for p in x for q in y)
-    return 0.85 if gap == 0 else 0.7 if gap == 1 else 0.2 if gap == 2 else -1.0
-
-
-def confidence(f, e) -> float:
-    """Weighted similarity of two profiles; what is unknown counts half. Other titles need the same person, about the
-    same day and shared companies to count as one work."""
-    title = _title(f["titles"], e["titles"])
-    people, day = _people(f["people"], e["people"]), _day(f["days"], f["years"], e["days"], e["years"])
-    firms = None
-    if len(f["companies"]) and len(e["companies"]):
-        x, y = set(f["companies"]), set(e["companies"])
-        firms = min(1.0, 0.6 + 0.1 * len(x & y)) if x & y else -0.5
-        if title < 0.5 and people == 1.0 and day == 1.0 and len(x & y) >= max(2, 0.5 * min(len(x), len(y))):
-            sequels = {t["sequel"] for t in f["titles"]} ^ {t["sequel"] for t in e["titles"]}
-            same = {t["text"] for t in f["titles"]} & {t["text"] for t in e["titles"]}
-            return 0.0 if sequels and same else 0.62
-    if title < 0.5:
-        return 0.0
-    parts = {"title": title, "people": people, "day": day, "companies": firms}
-    return sum(w * (0.5 if parts[k] is None else parts[k]) for k, w in WEIGHTS.items())
-
-
-@F.pandas_udf(T.DoubleType())
-def _confidence(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
-    return pd.Series([confidence(x, y) for x, y in zip(a.to_dict("records"), b.to_dict("records"))], dtype="float64")
-
-
-def _bundle(prefix: str) -> Column:
-    return F.struct("titles", "days", "years", "people", "companies").alias(prefix)
+    kept = ["side", "id", "day", "person", "low", "high", "pos"]
+    tiled = placed.select(*kept, F.explode(F.when(again, copies).otherwise(F.slice(copies, 1, 1))).alias("t")).select(*kept, "t.tile", "t.halo")
+    return tiled.groupBy("tile").applyInPandas(_neighbours(window), "id bigint, other bigint").distinct()
+
+
+def title_likeness(a: str, b: str) -> Column:
+    """The best likeness of two profiles' titles: equal ones 1, each edit less; a title cut off 0.8, or 0.7 if the whole
+    one has a sequel mark; other sequel marks 0; times the lesser trust."""
+
+    def pair(x: Column, y: Column) -> Column:
+        s, t = x["t"], y["t"]
+        ls, lt = F.length(s), F.length(t)
+        first = ls <= lt
+        short, long = F.when(first, s).otherwise(t), F.when(first, t).otherwise(s)
+        own, whole = F.when(first, x["q"]).otherwise(y["q"]), F.when(first, y["q"]).otherwise(x["q"])
+        n, m = F.least(ls, lt), F.greatest(ls, lt)
+        like = 1.0 - 2.0 * F.levenshtein(s, t) / m
+        near = F.when((x["q"] == y["q"]) & (m - n <= 4) & (like >= 0.6), like).otherwise(0.0)
+        begins = (n >= 9) & (own == "") & ((F.levenshtein(F.substring(long, F.lit(1), n), short) <= 1))
+        cut_off = F.when(begins, F.when(whole != "", 0.7).otherwise(0.8)).otherwise(0.0)
+        value = F.when(s == t, F.when(x["q"] == y["q"], 1.0).otherwise(0.0)).otherwise(F.greatest(near, cut_off))
+        return value * F.least(x["w"], y["w"])
+
+    zipped = lambda p: F.arrays_zip(F.col(f"{p}.titles").alias("t"), F.col(f"{p}.sequels").alias("q"), F.col(f"{p}.trusts").alias("w"))
+    best = F.array_max(F.flatten(F.transform(zipped(a), lambda x: F.transform(zipped(b), lambda y: pair(x, y)))))
+    return F.coalesce(best, F.lit(0.0))
+
+
+def people_likeness(a: str, b: str) -> Column:
+    """1 for a shared person, 0.9 and 0.8 for spellings near each other, -0.5 for different people, null if unknown."""
+    x, y = F.col(f"{a}.people"), F.col(f"{b}.people")
+
+    def near(p: Column, q: Column) -> Column:
+        full = p.startswith("=") & q.startswith("=")
+        short = ~p.startswith("=") & ~q.startswith("=") & (F.substring(p, 1, 1) == F.substring(q, 1, 1))
+        return F.when(full & (F.levenshtein(p, q) <= 2), 0.9).when(short & (F.levenshtein(p, q) <= 1), 0.8).otherwise(-0.5)
+
+    best = F.array_max(F.flatten(F.transform(x, lambda p: F.transform(y, lambda q: near(p, q)))))
+    return F.when((F.size(x) > 0) & (F.size(y) > 0), F.when(F.arrays_overlap(x, y), 1.0).otherwise(best))
+
+
+def day_likeness(a: str, b: str) -> Column:
+    """1 within a month down to -1 beyond FAR days; by years where a day is unknown; null if nothing is known."""
+    gap = lambda x, y: F.array_min(F.flatten(F.transform(x, lambda p: F.transform(y, lambda q: F.abs(p - q)))))
+    days = gap(F.col(f"{a}.days"), F.col(f"{b}.days"))
+    years = lambda p: F.concat(F.col(f"{p}.years"), F.transform(F.col(f"{p}.days"), lambda d: (1970 + F.floor(d / 365)).cast("int")))
+    off = gap(years(a), years(b))
+    by_day = F.when(days <= 31, 1.0).when(days <= 200, 0.9).when(days <= 420, 0.75).when(days <= FAR, 0.3).otherwise(-1.0)
+    by_year = F.when(off == 0, 0.85).when(off == 1, 0.7).when(off == 2, 0.2).when(off.isNotNull(), -1.0)
+    return F.when(days.isNotNull(), by_day).otherwise(by_year)
+
+
+def with_confidence(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """`pairs` with the weighted likeness of the profiles in the struct columns `a` and `b`; the unknown counts half.
+
+    Pairs with other titles are one work only by the same person, within a month, and with most companies shared.
+    """
+    firms_a, firms_b = F.col(f"{a}.companies"), F.col(f"{b}.companies")
+    scored = pairs.withColumns(
+        {
+            "title": title_likeness(a, b),
+            "person": people_likeness(a, b),
+            "when": day_likeness(a, b),
+            "firms": F.when((F.size(firms_a) > 0) & (F.size(firms_b) > 0), F.size(F.array_intersect(firms_a, firms_b))),
+        }
+    )
+    n = F.col("firms")
+    company = F.when(n > 0, F.least(F.lit(1.0), 0.6 + 0.1 * n)).when(n == 0, -0.5)
+    parts = {"title": F.col("title"), "people": F.col("person"), "day": F.col("when"), "companies": company}
+    total = sum((F.lit(w) * F.coalesce(parts[k], F.lit(0.5)) for k, w in WEIGHTS.items()), F.lit(0.0))
+    namesake = F.arrays_overlap(F.col(f"{a}.titles"), F.col(f"{b}.titles"))
+    alias = (F.col("person") == 1) & (F.col("when") == 1) & (n >= F.greatest(F.lit(2.0), 0.5 * F.least(F.size(firms_a), F.size(firms_b)))) & ~namesake
+    confidence = F.when(F.col("title") >= 0.5, total).when(alias, 0.62).otherwise(0.0)
+    return scored.withColumn("confidence", confidence).drop("title", "person", "when", "firms")
 
 
 def one_to_one(spark: SparkSession, edges: DataFrame, step: float = 0.005, rounds: int = 400) -> DataFrame:
@@ -256,32 +274,38 @@ def match_entities(spark: SparkSession, left: DataFrame, right: DataFrame, accep
     """(id, other, confidence): each row of `left` with the row of `right` that is the same thing, if there is one.
 
     Inputs as for `profiles`. Candidate pairs come from a sorted neighbourhood over several composite keys and are
-    scored by weighted field similarities. Rows of `left` that are one work among themselves (same score, above
-    TWINS) form groups; groups and rows of `right` are assigned one to one with the greatest total confidence.
+    scored by weighted field similarities. Rows of `left` that share a candidate and are one work among themselves (by
+    the same score) form groups; groups and rows of `right` are assigned one to one with the greatest total confidence.
     Repeated ids are one profile each; a null id is dropped.
     """
-    described = cut(spark, profiles(left.filter("id is not null"), 0).union(profiles(right.filter("id is not null"), 1)).dropDuplicates(["side", "id"]))
-    pairs = cut(spark, sorted_neighbourhood(spark, described, window))
-    a = described.filter("side = 0").select("id", _bundle("f"))
-    b = described.select(F.col("side").alias("other_side"), F.col("id").alias("other"), _bundle("e"))
-    scored = pairs.join(a, "id").join(b, ["other_side", "other"]).select("id", "other_side", "other", _confidence("f", "e").alias("confidence"))
-    scored = cut(spark, scored.filter(F.col("confidence") >= accept))
-
-    # works: groups of left rows, by the least id
-    twins = scored.filter(F.col("confidence") >= TWINS).filter("other_side = 0").select("id", "other")
+    both = profiles(left.filter("id is not null"), 0).union(profiles(right.filter("id is not null"), 1))
+    described = stored(spark, both.dropDuplicates(["side", "id"]))
+    pairs = stored(spark, sorted_neighbourhood(spark, described, window))
+    a = described.filter("side = 0").select("id", F.struct(*FIELDS).alias("f"))
+    b = described.filter("side = 1").select(F.col("id").alias("other"), F.struct(*FIELDS).alias("e"))
+    scored = with_confidence(pairs.join(a, "id").join(b, "other"), "f", "e").select("id", "other", "confidence")
+    scored = stored(spark, scored.filter(F.col("confidence") >= accept))
+
+    # works: each row with the best row of a shared candidate, if the two are one; groups by the least id
+    lead = scored.groupBy("other").agg(F.max_by("id", F.struct("confidence", -F.col("id"))).alias("lead"))
+    twins = scored.join(lead, "other").filter("id <> lead").select("id", "lead").distinct()
+    twins = with_confidence(twins.join(a, "id").join(a.select(F.col("id").alias("lead"), F.col("f").alias("e")), "lead"), "f", "e")
+    twins = twins.filter(F.col("confidence") >= accept).select("id", F.col("lead").alias("other"))
     twins = cut(spark, twins.union(twins.select("other", "id")).distinct())
-    labels = a.select("id", F.col("id").alias("work"))
+    labels = twins.select("id").distinct().select("id", F.col("id").alias("work"))
     for _ in range(rounds):
         near = twins.join(labels.select(F.col("id").alias("other"), F.col("work").alias("w")), "other").groupBy("id").agg(F.min("w").alias("w"))
-        moved = labels.join(near, "id", "left").select("id", F.least("work", F.coalesce("w", "work")).alias("new"), "work")
+        moved = labels.join(near, "id").select("id", F.least("work", "w").alias("new"), "work")
         jump = moved.join(moved.select(F.col("id").alias("new"), F.col("new").alias("newer")), "new", "left")
         moved = cut(spark, jump.select("id", F.coalesce("newer", "new").alias("new"), "work"))
-        changed = moved.filter("new <> work").isEmpty()
         labels = moved.select("id", F.col("new").alias("work"))
-        if changed:
+        if moved.filter("new <> work").isEmpty():
             break
-    edges = scored.filter("other_side = 1").join(labels, "id").groupBy("work", "other").agg(F.max("confidence").alias("confidence"))
+    own = scored.join(labels, "id", "left")
+    own = own.withColumn("work", F.coalesce("work", "id"))
+    edges = own.groupBy("work", "other").agg(F.max("confidence").alias("confidence"))
     chosen = one_to_one(spark, edges.select(F.col("work").alias("left"), F.col("other").alias("right"), "confidence"))
-    own = scored.filter("other_side = 1").select("id", "other", F.col("confidence").alias("c"))
-    out = labels.join(chosen.select(F.col("left").alias("work"), F.col("right").alias("other"), "confidence"), "work")
-    return out.join(own, ["id", "other"], "left").select("id", "other", F.coalesce("c", "confidence").alias("confidence"))
+    chosen = chosen.select(F.col("left").alias("work"), F.col("right").alias("other"), F.col("confidence").alias("of_work"))
+    # every row of a work has its entry, also those that were not compared with it themselves
+    out = own.select("id", "work").distinct().join(chosen, "work").join(own.select("id", "other", "confidence"), ["id", "other"], "left")
+    return out.select("id", "other", F.coalesce("confidence", "of_work").alias("confidence"))

@@ -111,19 +111,20 @@ def p3_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     given = plain_form("match_confidence")
     trust = F.coalesce(*(F.when(given == k, F.lit(v)) for k, v in TRUST.items()))
-    alias = lambda t, w: F.struct(F.col(t).alias("title"), w.alias("trust"))
     none = F.array().cast("array<string>")
     joined = table(spark, sf_dir, "tmdb_cache").join(films, "film_id", "left").join(meta, "film_id", "left")
     left = joined.select(
         F.col("film_id").alias("id"),
-        F.array(alias("film", F.lit(1.0)), alias("title", F.lit(1.0)), F.when(trust.isNotNull(), alias("tmdb_title", trust))).alias("titles"),
+        F.array("film", "title", "tmdb_title").alias("titles"),
+        F.array(F.lit(1.0), F.lit(1.0), trust).alias("trusts"),
         F.concat(F.coalesce("rels", none), F.array("release_date")).alias("dates"),
         F.concat(F.coalesce("directors", none), F.array("meta_director")).alias("people"),
         F.concat(F.coalesce("studios", none), F.coalesce("meta_studios", none)).alias("companies"),
     )
     right = table(spark, sf_dir, "tmdb_catalog").select(
         F.col("tmdb_id").alias("id"),
-        F.array(alias("title", F.lit(1.0)), alias("original_title", F.lit(1.0))).alias("titles"),
+        F.array("title", "original_title").alias("titles"),
+        F.array(F.lit(1.0), F.lit(1.0)).alias("trusts"),
         F.array("release_date").alias("dates"),
         F.array("director").alias("people"),
         F.col("production_companies").alias("companies"),

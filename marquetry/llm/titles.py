@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import re
 from dataclasses import dataclass
 
@@ -55,8 +56,6 @@ def date_days(text: str | None) -> tuple[int | None, bool]:
     """Days since 1970 of a date written as 2020-01-31, 31/01/2020 or 2020, and whether only the year is known."""
     if not text:
         return None, False
-    import datetime
-
     t = text.strip()
     if m := re.match(r"(\d{4})-(\d\d)-(\d\d)", t):
         y, mo, d = map(int, m.groups())
