@@ -18,7 +18,7 @@ from marquetry.sources.scratch import cut, stored
 
 PROFILE = (
     "side int, id bigint, titles array<string>, sequels array<string>, trusts array<double>, days array<int>, years array<int>, people array<string>, "
-    "companies array<string>, day int, sort array<string>, person array<bigint>, low array<bigint>, high array<bigint>"
+    "companies array<string>, day int, sort array<string>, person array<bigint>, low array<bigint>, high array<bigint>, firm_bits bigint"
 )
 FIELDS = ["titles", "sequels", "trusts", "days", "years", "people", "companies"]
 WEIGHTS = {"title": 0.5, "people": 0.2, "day": 0.2, "companies": 0.1}
@@ -57,7 +57,22 @@ class _Cached:
         return self.known[text]
 
 
-def _sort_keys(titles: dict[str, str], days: list[int], years: list[int], people: list[str]) -> tuple[list[str], list[int], list[int], list[int]]:
+def _title(text: str):
+    """A title's form, its longest word and its signature, or None."""
+    f = title_form(text)
+    return f and (f, max(f.words, key=len), _signature(f.text))
+
+
+def _people(text: str) -> list[tuple[str, int]]:
+    return [(k, _hash(k)) for k in people_keys(text)]
+
+
+def _company(text: str) -> tuple[str, int] | None:
+    key = company_key(text)
+    return key and (key, 1 << (_hash(key) % 63))
+
+
+def _sort_keys(titles: dict[str, tuple[str, tuple[int, int]]], days: list[int], years: list[int], people: dict[str, int]) -> tuple[list[str], list[int], list[int], list[int]]:
     """The sort keys of a profile: each title forwards, backwards and from its longest word, with family name and year
     after it; and each person with the month, and the month with each person. With each key the person's hash, if it
     leads the key, and the signature of the title."""
@@ -66,14 +81,13 @@ def _sort_keys(titles: dict[str, str], days: list[int], years: list[int], people
     year = 1970 + min(days) // 365 if days else min(years, default=0)
     after = f"|{family[:6]}|{year}"
     keys, who, low, high = [], [], [], []
-    for text, word in titles.items():
-        a, b = _signature(text)
+    for text, (word, (a, b)) in titles.items():
         keys += [f"t{text}{after}", f"r{text[::-1]}{after}", f"w{word}|{text}{after}"]
         who, low, high = who + [0] * 3, low + [a] * 3, high + [b] * 3
-    a, b = _signature(max(titles, key=len, default=""))
+    a, b = titles[max(titles, key=len)][1] if titles else (0, 0)
     months = sorted({x // 30 for x in days}) or [-99999]
     for p in full or people:
-        h = _hash(p)
+        h = people[p]
         for m in months:
             month = f"{m + 100000:06d}"
             keys += [f"p{p}|{month}", f"m{month}|{p}"]
@@ -88,24 +102,28 @@ def profiles(df: DataFrame, side: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        form, dates, names, firm = _Cached(title_form), _Cached(date_days), _Cached(people_keys), _Cached(company_key)
-        types = [pa.int32(), pa.int64(), *map(pa.list_, (pa.string(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.string(), pa.string())), pa.int32(), *map(pa.list_, (pa.string(), pa.int64(), pa.int64(), pa.int64()))]
+        form, dates, names, firm = _Cached(_title), _Cached(date_days), _Cached(_people), _Cached(_company)
+        types = [pa.int32(), pa.int64(), *map(pa.list_, (pa.string(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.string(), pa.string())), pa.int32(), *map(pa.list_, (pa.string(), pa.int64(), pa.int64(), pa.int64())), pa.int64()]
         for batch in batches:
             out: list[list] = [[] for _ in types]
             for key, titles, trusts, when, people, companies in zip(*(c.to_pylist() for c in batch.columns)):
                 seen: dict[tuple[str, str], float] = {}
-                words: dict[str, str] = {}
+                words: dict[str, tuple[str, tuple[int, int]]] = {}
                 for t, w in zip(titles or (), trusts or ()):
-                    if t and w is not None and (f := form(t)):
+                    if t and w is not None and (found := form(t)):
+                        f, word, signature = found
                         seen[f.text, f.sequel] = max(seen.get((f.text, f.sequel), 0.0), w)
-                        words[f.text] = max(f.words, key=len)
+                        words[f.text] = (word, signature)
                 parsed = [dates(d) for d in when or () if d]
                 days = sorted({d for d, only_year in parsed if d is not None and not only_year})
                 years = sorted({1970 + d // 365 for d, only_year in parsed if d is not None and only_year})
-                who = sorted({k for p in people or () if p for k in names(p)})
-                firms = sorted({k for c in companies or () if c and (k := firm(c))})
-                values = [t for t, _ in seen], [q for _, q in seen], list(seen.values()), days, years, who, firms
-                for column, value in zip(out, (side, key, *values, days[0] if days else None, *_sort_keys(words, days, years, who))):
+                who = dict(sorted(x for p in people or () if p for x in names(p)))
+                firms = dict(x for c in companies or () if c and (x := firm(c)))
+                bits = 0
+                for b in firms.values():
+                    bits |= b
+                values = [t for t, _ in seen], [q for _, q in seen], list(seen.values()), days, years, list(who), list(firms)
+                for column, value in zip(out, (side, key, *values, days[0] if days else None, *_sort_keys(words, days, years, who), bits)):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=[f.split()[0] for f in PROFILE.split(", ")])
 
@@ -125,7 +143,7 @@ def _neighbours(window: int):
         pdf = pdf.sort_values("pos", kind="stable")
         side, key, own = pdf["side"].to_numpy(), pdf["id"].to_numpy(), ~pdf["halo"].to_numpy()
         who, a, b = pdf["person"].to_numpy(), pdf["low"].to_numpy(), pdf["high"].to_numpy()
-        day = pdf["day"].to_numpy(float)
+        day, firms = pdf["day"].to_numpy(float), pdf["firm_bits"].to_numpy()
         size = _bits(a) + _bits(b)
         found = []
         for step in range(1, min(window, len(pdf) - 1) + 1):
@@ -133,7 +151,7 @@ def _neighbours(window: int):
             gap = np.abs(day[i] - day[j])  # not a number where a day is unknown
             shared = _bits(a[i] & a[j]) + _bits(b[i] & b[j])
             alike = (shared >= 0.65 * np.maximum(np.minimum(size[i], size[j]), 1)) & ~(gap > FAR + 31)
-            person = (who[i] != 0) & (who[i] == who[j]) & (gap <= 62)
+            person = (who[i] != 0) & (who[i] == who[j]) & (gap <= 62) & (_bits(firms[i] & firms[j]) > 1)
             # of each pair the one that comes first must be the tile's own
             ok = own[i] & (side[i] != side[j]) & (alike | person)
             if ok.any():
@@ -147,12 +165,13 @@ def _neighbours(window: int):
 
 def sorted_neighbourhood(spark: SparkSession, described: DataFrame, window: int = WINDOW) -> DataFrame:
     """(id, other): pairs of a profile of side 0 and one of side 1 that stand within `window` places of each other
-    under some sort key and are alike in letters and not far apart in time, or share the key's person within two months.
+    under some sort key and are alike in letters and not far apart in time, or share the key's person and two companies within two months.
 
     One range sort of all keys; the sorted rows are cut into tiles of equal size, each with the first rows of the
     next as a halo, so work is even however often a key occurs.
     """
-    rows = described.select("side", "id", "day", F.explode(F.arrays_zip("sort", "person", "low", "high")).alias("s")).select("side", "id", "day", "s.*")
+    rows = described.select("side", "id", "day", "firm_bits", F.explode(F.arrays_zip("sort", "person", "low", "high")).alias("s"))
+    rows = rows.select("side", "id", "day", "firm_bits", "s.*")
     rows = rows.withColumn("u", F.xxhash64("id", "side")).repartitionByRange("sort", "u").sortWithinPartitions("sort", "u").drop("sort", "u")
     rows = stored(spark, rows.withColumns({"part": F.spark_partition_id(), "n": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}))
     sizes = rows.groupBy("part").agg(F.count("*").alias("c")).collect()  # a row for each partition
@@ -165,7 +184,7 @@ def sorted_neighbourhood(spark: SparkSession, described: DataFrame, window: int
     tile = F.floor(F.col("pos") / TILE)
     again = (F.pmod("pos", F.lit(TILE)) < window) & (tile > 0)
     copies = F.array(F.struct(tile.alias("tile"), F.lit(False).alias("halo")), F.struct((tile - 1).alias("tile"), F.lit(True).alias("halo")))
-    kept = ["side", "id", "day", "person", "low", "high", "pos"]
+    kept = ["side", "id", "day", "firm_bits", "person", "low", "high", "pos"]
     tiled = placed.select(*kept, F.explode(F.when(again, copies).otherwise(F.slice(copies, 1, 1))).alias("t")).select(*kept, "t.tile", "t.halo")
     return tiled.groupBy("tile").applyInPandas(_neighbours(window), "id bigint, other bigint").distinct()
 
@@ -276,15 +295,17 @@ def match_entities(spark: SparkSession, left: DataFrame, right: DataFrame, accep
     Inputs as for `profiles`. Candidate pairs come from a sorted neighbourhood over several composite keys and are
     scored by weighted field similarities. Rows of `left` that share a candidate and are one work among themselves (by
     the same score) form groups; groups and rows of `right` are assigned one to one with the greatest total confidence.
-    Repeated ids are one profile each; a null id is dropped.
+    Rows of one id count as one, by the best of their profiles; a null id is dropped.
     """
     both = profiles(left.filter("id is not null"), 0).union(profiles(right.filter("id is not null"), 1))
-    described = stored(spark, both.dropDuplicates(["side", "id"]))
+    described = stored(spark, both)
     pairs = stored(spark, sorted_neighbourhood(spark, described, window))
     a = described.filter("side = 0").select("id", F.struct(*FIELDS).alias("f"))
     b = described.filter("side = 1").select(F.col("id").alias("other"), F.struct(*FIELDS).alias("e"))
     scored = with_confidence(pairs.join(a, "id").join(b, "other"), "f", "e").select("id", "other", "confidence")
-    scored = stored(spark, scored.filter(F.col("confidence") >= accept))
+    # one row a pair, also where an id occurs twice
+    scored = scored.filter(F.col("confidence") >= accept).groupBy("id", "other").agg(F.max("confidence").alias("confidence"))
+    scored = stored(spark, scored)
 
     # works: each row with the best row of a shared candidate, if the two are one; groups by the least id
     lead = scored.groupBy("other").agg(F.max_by("id", F.struct("confidence", -F.col("id"))).alias("lead"))

@@ -38,6 +38,7 @@ SUFFIXES = {"jr", "sr", "ii", "iii", "iv", "phd", "esq"}
 PARTICLES = {"van", "von", "der", "den", "de", "la", "le", "del", "di", "da", "al", "el", "bin", "st", "mac", "mc", "o", "ter", "ten"}
 # Letters that look or sound alike, applied in this order.
 FOLDS = [("0", "o"), ("1", "l"), ("5", "s"), ("3", "e"), ("sch", "sh"), ("ph", "f"), ("ck", "k"), ("c", "k"), ("q", "k"), ("oo", "u"), ("ou", "u"), ("y", "i"), ("w", "v"), ("th", "t"), ("z", "s"), ("ae", "a"), ("oe", "o"), ("ue", "u")]
+_NO_LETTER, _TWICE = re.compile(r"[^a-z]"), re.compile(r"(.)\1+")
 _DIGITS = str.maketrans("0153", "olse")
 _DASHES = re.compile(r"[-‐-―]")
 
@@ -55,6 +56,8 @@ def repaired(text: str) -> str:
 
 def plain_letters(text: str) -> str:
     """Lower case without accents."""
+    if text.isascii():
+        return text.lower()
     text = text.replace("ø", "o").replace("Ø", "O").replace("ł", "l").replace("ß", "ss").replace("æ", "ae").replace("đ", "d")
     return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).lower()
 
@@ -62,9 +65,9 @@ def plain_letters(text: str) -> str:
 def skeleton(word: str) -> str:
     """Letters after the folds, runs of one letter made single, and a silent final e dropped."""
     for a, b in FOLDS:
-        word = word.replace(a, b)
-    word = re.sub(r"[^a-z]", "", word)
-    word = re.sub(r"(.)\1+", r"\1", word)
+        if a in word:
+            word = word.replace(a, b)
+    word = _TWICE.sub(r"\1", _NO_LETTER.sub("", word))
     return word[:-1] if len(word) > 4 and word.endswith("e") else word
 
 

@@ -17,7 +17,8 @@ NUMERALS = {"ii": 2, "iii": 3, "iv": 4, "v": 5, "vi": 6, "2": 2, "3": 3, "4": 4,
 DIGITS = {"2": "two", "3": "three", "4": "four", "5": "five", "6": "six", "7": "seven", "8": "eight", "9": "nine", "10": "ten", "12": "twelve"}
 # Endings that name a sequel or offshoot.
 SEQUELS = re.compile(r"[\s:,-]+(?:(?:part|chapter|volume|vol\.?)\s+(two|three|four|five|ii|iii|iv|v|\d)|(origins|(?:the )?final chapter|director'?s notes|returns|the return|the beginning|reloaded|resurrection|the next generation|legacy|reborn)|(ii|iii|iv|vi|[2-9]))\s*$", re.I)
-YEAR = re.compile(r"\((?:19|20)\d\d\)")
+_MOVED = re.compile(r"^(.*),\s*(the|a|an|le|la|les|el|il|das|der|die|den)$")
+_WORD = re.compile(r"[^\W_]+")
 
 
 @dataclass(frozen=True)
@@ -41,13 +42,14 @@ def title_form(title: str | None) -> Title | None:
     if title is None or not title.strip():
         return None
     t = plain_letters(strip_noise(title)).replace("&", " and ")
-    t = re.sub(r"^(.*),\s*(the|a|an|le|la|les|el|il|das|der|die|den)$", r"\2 \1", t)
+    if "," in t:
+        t = _MOVED.sub(r"\2 \1", t)
     marks = []
     while (m := SEQUELS.search(t)) and m.start() > 0:
         number = (m.group(1) or m.group(3) or "").lower()
         marks.append(str(NUMERALS.get(number, number)) if number else skeleton(m.group(2).removeprefix("the ")))
         t = t[: m.start()]
-    words = tuple(w for w in re.findall(r"[^\W_]+", t.replace("'", "")) if w not in ARTICLES) or tuple(re.findall(r"[^\W_]+", t))
+    words = tuple(w for w in _WORD.findall(t.replace("'", "")) if w not in ARTICLES) or tuple(_WORD.findall(t))
     words = tuple(DIGITS.get(w, w) for w in words)
     return Title(skeleton("".join(words)) or "".join(words), words, "/".join(reversed(marks)))
 
