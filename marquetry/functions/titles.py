@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquetry.functions.text import col, strip
@@ -118,16 +118,18 @@ def title_tags(title: Column | str) -> Column:
     return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
 
 
-def title_flags(title: Column | str) -> dict[str, Column]:
-    """A boolean for each tag, is_ff_any and any_tag, and matched_by: the first 'tag: pattern' that is found, or ''."""
+def with_title_flags(df: DataFrame, title: str) -> DataFrame:
+    """`df` with a boolean for each tag, is_ff_any and any_tag, and matched_by: the first 'tag: pattern' that is found,
+    or ''. A null title has no tag."""
     t = col(title)
-    hit = {tag: [t.rlike(f"(?i){p}") for p in patterns] for tag, patterns in KNOWN_PATTERNS.items()}
-    any_of = lambda marks: F.coalesce(F.array_max(F.array(*marks)), F.lit(False))
-    out = {tag: any_of(marks) for tag, marks in hit.items()}
-    out["is_ff_any"] = any_of([out[t] for t in FESTIVAL_TAGS])
-    out["any_tag"] = any_of([out[t] for t in KNOWN_PATTERNS])
-    names = [F.when(m, F.lit(f"{tag}: {p}")) for tag, patterns in KNOWN_PATTERNS.items() for m, p in zip(hit[tag], patterns)]
-    return out | {"matched_by": F.coalesce(*names, F.lit(""))}
+    found = {tag: F.coalesce(t.rlike("(?i)" + "|".join(f"(?:{p})" for p in patterns)), F.lit(False)) for tag, patterns in KNOWN_PATTERNS.items()}
+    any_of = lambda tags: F.array_contains(F.array(*map(F.col, tags)), True)
+    out = df.withColumns(found).withColumns({"is_ff_any": any_of(FESTIVAL_TAGS), "any_tag": any_of(KNOWN_PATTERNS)})
+    first = F.lit("")
+    for tag, patterns in reversed(KNOWN_PATTERNS.items()):
+        which = F.coalesce(*(F.when(t.rlike(f"(?i){p}"), F.lit(f"{tag}: {p}")) for p in patterns))
+        first = F.when(F.col(tag), which).otherwise(first)
+    return out.withColumn("matched_by", first)
 
 
 def looks_like_prose(token: Column) -> Column:
