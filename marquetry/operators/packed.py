@@ -194,6 +194,7 @@ def clean_pieces(pieces: pa.Array, quoted: np.ndarray) -> pa.Array:
         out = pc.replace_with_mask(out, back, pa.array([_unescape(x) for x in out.filter(back).to_pylist()], pa.large_string()))
     out = pc.utf8_trim_whitespace(pc.replace_substring_regex(out, r"[\s\pZ\x1c-\x1f\x85]+", " "))
     out = pc.replace_substring_regex(out, r"^(?i:and) ", "")
+    out = pc.if_else(pc.match_substring_regex(out, r"[\pL\pN]"), out, pa.scalar("", pa.large_string()))
     nobody = pc.is_in(pc.utf8_lower(out), pa.array(PLACEHOLDERS, pa.large_string()))
     return pc.if_else(nobody, pa.scalar("", pa.large_string()), out)
 
