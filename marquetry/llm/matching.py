@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +19,14 @@ from marquetry.sources.scratch import cut, stored
 
 PROFILE = (
     "side int, id bigint, titles array<string>, sequels array<string>, trusts array<double>, days array<int>, years array<int>, people array<string>, "
-    "companies array<string>, day int, sort array<string>, person array<bigint>, low array<bigint>, high array<bigint>, firm_bits bigint"
+    "companies array<string>, day int, sort array<string>, person array<bigint>, low array<bigint>, high array<bigint>, firm_bits bigint, people_bits bigint"
 )
 FIELDS = ["titles", "sequels", "trusts", "days", "years", "people", "companies"]
 WEIGHTS = {"title": 0.5, "people": 0.2, "day": 0.2, "companies": 0.1}
 ACCEPT = 0.6
 WINDOW = 12
-TILE = 4096
+# Rows of a sorted partition at least, so that a window never spans more than two.
+PART = 2048
 
 
 def _hash(text: str) -> int:
@@ -74,8 +76,8 @@ def _company(text: str) -> tuple[str, int] | None:
 
 def _sort_keys(titles: dict[str, tuple[str, tuple[int, int]]], days: list[int], years: list[int], people: dict[str, int]) -> tuple[list[str], list[int], list[int], list[int]]:
     """The sort keys of a profile: each title forwards, backwards and from its longest word, with family name and year
-    after it; and each person with the month, and the month with each person. With each key the person's hash, if it
-    leads the key, and the signature of the title."""
+    after it; and each person with the first day. With each key the person's hash, if it leads the key, and the signature
+    of the title."""
     full = [p for p in people if p.startswith("=")]
     family = max((p.partition(".")[2] for p in people if "." in p), default="")
     year = 1970 + min(days) // 365 if days else min(years, default=0)
@@ -85,13 +87,12 @@ def _sort_keys(titles: dict[str, tuple[str, tuple[int, int]]], days: list[int],
         keys += [f"t{text}{after}", f"r{text[::-1]}{after}", f"w{word}|{text}{after}"]
         who, low, high = who + [0] * 3, low + [a] * 3, high + [b] * 3
     a, b = titles[max(titles, key=len)][1] if titles else (0, 0)
-    months = sorted({x // 30 for x in days}) or [-99999]
+    day = f"{(days[0] if days else -99999) + 100000:06d}"
     for p in full or people:
-        h = people[p]
-        for m in months:
-            month = f"{m + 100000:06d}"
-            keys += [f"p{p}|{month}", f"m{month}|{p}"]
-            who, low, high = who + [h] * 2, low + [a] * 2, high + [b] * 2
+        keys.append(f"p{p}|{day}")
+        who.append(people[p])
+        low.append(a)
+        high.append(b)
     return keys, who, low, high
 
 
@@ -103,7 +104,7 @@ def profiles(df: DataFrame, side: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         form, dates, names, firm = _Cached(_title), _Cached(date_days), _Cached(_people), _Cached(_company)
-        types = [pa.int32(), pa.int64(), *map(pa.list_, (pa.string(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.string(), pa.string())), pa.int32(), *map(pa.list_, (pa.string(), pa.int64(), pa.int64(), pa.int64())), pa.int64()]
+        types = [pa.int32(), pa.int64(), *map(pa.list_, (pa.string(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.string(), pa.string())), pa.int32(), *map(pa.list_, (pa.string(), pa.int64(), pa.int64(), pa.int64())), pa.int64(), pa.int64()]
         for batch in batches:
             out: list[list] = [[] for _ in types]
             for key, titles, trusts, when, people, companies in zip(*(c.to_pylist() for c in batch.columns)):
@@ -122,8 +123,11 @@ def profiles(df: DataFrame, side: int) -> DataFrame:
                 bits = 0
                 for b in firms.values():
                     bits |= b
+                faces = 0
+                for k, h in who.items():
+                    faces |= 0 if k[0] == "=" else 1 << (h % 63)
                 values = [t for t, _ in seen], [q for _, q in seen], list(seen.values()), days, years, list(who), list(firms)
-                for column, value in zip(out, (side, key, *values, days[0] if days else None, *_sort_keys(words, days, years, who), bits)):
+                for column, value in zip(out, (side, key, *values, days[0] if days else None, *_sort_keys(words, days, years, who), bits, faces)):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=[f.split()[0] for f in PROFILE.split(", ")])
 
@@ -138,55 +142,98 @@ def _bits(x: np.ndarray) -> np.ndarray:
 FAR = 800
 
 
-def _neighbours(window: int):
+ROW = ["side", "id", "day", "firm_bits", "people_bits", "person", "low", "high"]
+
+
+def _compare(rows: dict[str, np.ndarray], window: int, first: int) -> np.ndarray:
+    """(id, other) of the pairs across sides at most `window` places apart of which the later row has index `first` or more.
+
+    A pair is kept if its titles share most letter pairs, its days are not far apart and something else speaks for it or
+    is unknown; or if the key's person is the same, with two companies, within two months.
+    """
+    side, key, day, firms, people, who, a, b = (rows[c] for c in ROW)
+    size = _bits(a) + _bits(b)
+    found = []
+    for step in range(1, min(window, len(key) - 1) + 1):
+        start = max(0, first - step)
+        i, j = slice(start, -step), slice(start + step, None)
+        gap = np.abs(day[i] - day[j])  # not a number where a day is unknown
+        shared = _bits(a[i] & a[j]) + _bits(b[i] & b[j])
+        most = np.maximum(size[i], size[j])
+        alike = (shared >= 0.65 * np.maximum(np.minimum(size[i], size[j]), 1)) & ~(gap > FAR + 31)
+        backed = ((firms[i] & firms[j]) != 0) | ((people[i] & people[j]) != 0) | (firms[i] == 0) | (firms[j] == 0) | (people[i] == 0) | (people[j] == 0)
+        person = (who[i] != 0) & (who[i] == who[j]) & (gap <= 62) & (_bits(firms[i] & firms[j]) > 1)
+        ok = (side[i] != side[j]) & ((alike & (backed | (shared >= 0.9 * most))) | person)
+        if ok.any():
+            l, r, swap = key[i][ok], key[j][ok], side[i][ok] == 1
+            found.append(np.stack([np.where(swap, r, l), np.where(swap, l, r)], 1))
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+
+
+def _windows(window: int):
+    """Pairs of a sorted partition, and its first and last rows for the windows that reach into the next partition."""
+    kinds = {"day": float, "side": np.int32}
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * 6]
+    names = ["id", "other", "border", "place", "side", "day", *ROW[3:], "key"]
+
+    def edge(rows: dict[str, np.ndarray], part: slice, border: int, offset: int) -> pa.RecordBatch:
+        n = len(rows["id"][part])
+        day = rows["day"][part]
+        columns = [
+            pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(np.full(n, border, np.int32)), pa.array(np.arange(n, dtype=np.int32) + offset),
+            pa.array(rows["side"][part].astype(np.int32)), pa.array(np.nan_to_num(day, nan=-1e6).astype(np.int32), mask=np.isnan(day)),
+            *(pa.array(rows[c][part]) for c in ROW[3:]), pa.array(rows["id"][part]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = TaskContext.get().partitionId(), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(kinds.get(c, np.int64)) for c in ROW}
+            if held is None:
+                yield edge(rows, slice(0, window), part - 1, window)
+                first = 0
+            else:
+                first = len(held["id"])
+                rows = {c: np.concatenate([held[c], rows[c]]) for c in ROW}
+            pairs = _compare(rows, window, first)
+            n = len(pairs)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *(pa.nulls(n, t) for t in types[2:])], names=names)
+            held = {c: v[-window:] for c, v in rows.items()}
+        if held is not None:
+            yield edge(held, slice(None), part, 0)
+
+    schema = "id bigint, other bigint, border int, place int, side int, day int, firm_bits bigint, people_bits bigint, person bigint, low bigint, high bigint, `key` bigint"
+    return run, schema
+
+
+def _across(window: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos", kind="stable")
-        side, key, own = pdf["side"].to_numpy(), pdf["id"].to_numpy(), ~pdf["halo"].to_numpy()
-        who, a, b = pdf["person"].to_numpy(), pdf["low"].to_numpy(), pdf["high"].to_numpy()
-        day, firms = pdf["day"].to_numpy(float), pdf["firm_bits"].to_numpy()
-        size = _bits(a) + _bits(b)
-        found = []
-        for step in range(1, min(window, len(pdf) - 1) + 1):
-            i, j = slice(None, -step), slice(step, None)
-            gap = np.abs(day[i] - day[j])  # not a number where a day is unknown
-            shared = _bits(a[i] & a[j]) + _bits(b[i] & b[j])
-            alike = (shared >= 0.65 * np.maximum(np.minimum(size[i], size[j]), 1)) & ~(gap > FAR + 31)
-            person = (who[i] != 0) & (who[i] == who[j]) & (gap <= 62) & (_bits(firms[i] & firms[j]) > 1)
-            # of each pair the one that comes first must be the tile's own
-            ok = own[i] & (side[i] != side[j]) & (alike | person)
-            if ok.any():
-                l, r, swap = key[i][ok], key[j][ok], side[i][ok] == 1
-                found.append(np.stack([np.where(swap, r, l), np.where(swap, l, r)], 1))
-        rows = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"id": rows[:, 0], "other": rows[:, 1]})
+        pdf = pdf.sort_values("place", kind="stable")
+        rows = {c: pdf["key" if c == "id" else c].to_numpy(float if c == "day" else None) for c in ROW}
+        pairs = _compare(rows, window, int((pdf["place"] < window).sum()))
+        return pd.DataFrame({"id": pairs[:, 0], "other": pairs[:, 1]})
 
     return run
 
 
 def sorted_neighbourhood(spark: SparkSession, described: DataFrame, window: int = WINDOW) -> DataFrame:
     """(id, other): pairs of a profile of side 0 and one of side 1 that stand within `window` places of each other
-    under some sort key and are alike in letters and not far apart in time, or share the key's person and two companies within two months.
+    under some sort key and are likely enough to be scored (see `_compare`).
 
-    One range sort of all keys; the sorted rows are cut into tiles of equal size, each with the first rows of the
-    next as a halo, so work is even however often a key occurs.
+    One range sort of all keys; a window slides over each sorted partition as it streams by, and windows over a border
+    of partitions are made up from the last and first rows on either side. Work is even however often a key occurs.
     """
-    rows = described.select("side", "id", "day", "firm_bits", F.explode(F.arrays_zip("sort", "person", "low", "high")).alias("s"))
-    rows = rows.select("side", "id", "day", "firm_bits", "s.*")
-    rows = rows.withColumn("u", F.xxhash64("id", "side")).repartitionByRange("sort", "u").sortWithinPartitions("sort", "u").drop("sort", "u")
-    rows = stored(spark, rows.withColumns({"part": F.spark_partition_id(), "n": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}))
-    sizes = rows.groupBy("part").agg(F.count("*").alias("c")).collect()  # a row for each partition
-    before, total = [], 0
-    for part, c in sorted(sizes):
-        before.append((part, total))
-        total += c
-    offsets = spark.createDataFrame(before or [(0, 0)], "part int, before bigint")
-    placed = rows.join(F.broadcast(offsets), "part").withColumn("pos", F.col("before") + F.col("n"))
-    tile = F.floor(F.col("pos") / TILE)
-    again = (F.pmod("pos", F.lit(TILE)) < window) & (tile > 0)
-    copies = F.array(F.struct(tile.alias("tile"), F.lit(False).alias("halo")), F.struct((tile - 1).alias("tile"), F.lit(True).alias("halo")))
-    kept = ["side", "id", "day", "firm_bits", "person", "low", "high", "pos"]
-    tiled = placed.select(*kept, F.explode(F.when(again, copies).otherwise(F.slice(copies, 1, 1))).alias("t")).select(*kept, "t.tile", "t.halo")
-    return tiled.groupBy("tile").applyInPandas(_neighbours(window), "id bigint, other bigint").distinct()
+    rows = described.select("side", "id", "day", "firm_bits", "people_bits", F.explode(F.arrays_zip("sort", "person", "low", "high")).alias("s"))
+    rows = rows.select("side", "id", "day", "firm_bits", "people_bits", "s.*")
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), described.count() // PART))
+    rows = rows.withColumn("u", F.xxhash64("id", "side")).repartitionByRange(parts, "sort", "u").sortWithinPartitions("sort", "u").select(*ROW)
+    found = stored(spark, rows.mapInArrow(*_windows(window)))
+    inside = found.filter("border is null").select("id", "other")
+    borders = found.filter("border is not null").groupBy("border").applyInPandas(_across(window), "id bigint, other bigint")
+    return inside.union(borders).distinct()
 
 
 def title_likeness(a: str, b: str) -> Column:
