@@ -44,8 +44,8 @@ TOLERANCE = 0.006
 
 def alias_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     """The fixed alias tables (some dozens of rows, whatever the data's size)."""
-    units = spark.createDataFrame(list(CURRENCY_ALIASES.items()), "alias string, unit string")
-    scales = spark.createDataFrame([(k, f, u) for k, (f, u) in SCALES.items()], "scale_alias string, factor bigint, implied string")
+    units = spark.createDataFrame(list(CURRENCY_ALIASES.items()), "_ta string, _tu string")
+    scales = spark.createDataFrame([(k, f, u) for k, (f, u) in SCALES.items()], "_sa string, _sf bigint, _su string")
     return units, scales
 
 
@@ -78,11 +78,11 @@ def text_amount(spark: SparkSession, df: DataFrame, text: str) -> DataFrame:
     )
     units, scales = alias_tables(spark)
     return (
-        raw.join(F.broadcast(units), raw["_alias"] == units["alias"], "left")
-        .join(F.broadcast(scales), raw["_scale"] == scales["scale_alias"], "left")
-        .withColumn("t_unit", F.coalesce("unit", "implied"))
-        .withColumn("t_factor", F.when(F.col("t_unit").isNotNull(), F.coalesce("factor", F.lit(1))))
-        .drop("_alias", "_scale", "alias", "unit", "scale_alias", "factor", "implied")
+        raw.join(F.broadcast(units), raw["_alias"] == units["_ta"], "left")
+        .join(F.broadcast(scales), raw["_scale"] == scales["_sa"], "left")
+        .withColumn("t_unit", F.coalesce("_tu", "_su"))
+        .withColumn("t_factor", F.when(F.col("t_unit").isNotNull(), F.coalesce("_sf", F.lit(1))))
+        .drop("_alias", "_scale", "_ta", "_tu", "_sa", "_sf", "_su")
     )
 
 
