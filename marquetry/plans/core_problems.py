@@ -87,5 +87,79 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_dollars(spark, sf_dir).filter(off).select("tbl", "film_id", "currency", "multiplier")
 
 
+def _plain(e: str) -> str:
+    return rf"lower(trim(regexp_replace(coalesce({e}, ''), '\s+', ' ', 'g')))"
+
+
+def _texts(e: str) -> str:
+    return f"list_sort(list_distinct(list_transform(list_filter(coalesce({e}, []), lambda x: x is not null), lambda x: {_plain('x')})))"
+
+
+def _structs(e: str, *fields: str) -> str:
+    parts = ", ".join([_plain(f"x.{f}") for f in fields] + ["coalesce(x.\"order\"::varchar, 'null')"])
+    return f"list_sort(list_distinct(list_transform(list_filter(coalesce({e}, []), lambda x: x is not null), lambda x: concat_ws('|', {parts}))))"
+
+
+def _number_differs(c: str) -> str:
+    return f"(a.{c} is null) <> (b.{c} is null) or abs(a.{c} - b.{c}) > 0.0001 * greatest(abs(a.{c}), abs(b.{c}))"
+
+
+def _p4_sql(name: str, key: str, tests: dict[str, str]) -> str:
+    k = "{0}.film_id::varchar" if key == "film_id" else "upper(" + _plain("{0}.actor_name") + ")"
+    on = f"{k.format('a')} = {k.format('b')}"
+    parts = [
+        f"select '{name}' as tbl, {k.format('a')} as row_key, 'row' as field, 'only_local' as kind from {name} a where not exists (select 1 from {name}_wh b where {on})",
+        f"select '{name}', {k.format('b')}, 'row', 'only_warehouse' from {name}_wh b where not exists (select 1 from {name} a where {on})",
+    ]
+    parts += [f"select '{name}', {k.format('a')}, '{c}', 'differs' from {name} a join {name}_wh b on {on} where {t}" for c, t in tests.items()]
+    return " union all ".join(parts)
+
+
+def _pair(form, c: str, *more: str) -> str:
+    return f"{form(f'a.{c}', *more)} <> {form(f'b.{c}', *more)}"
+
+
+_P4 = _p4_sql(
+    "film_meta",
+    "film_id",
+    {c: _pair(_plain, c) for c in ("title", "release_date", "director", "description", "budget_currency", "budget_source", "ip_strength", "adaptation_type", "evt_dstbtr", "evt_rel_at")}
+    | {c: _pair(_texts, c) for c in ("writers", "genres")}
+    | {c: _number_differs(c) for c in ("budget_usd", "budget_local")}
+    | {"studios": _pair(_structs, "studios", "name", "role"), "cast": _pair(_structs, '"cast"', "actor", '"character"')},
+) + " union all " + _p4_sql(
+    "cast_enriched",
+    "actor_name",
+    {c: _pair(_plain, c) for c in ("fame_source", "fame_tier", "primary_market", "age_range")} | {"cross_media": _pair(_texts, "cross_media"), "film_count": _number_differs("film_count")},
+)
+
+
+def _json_list(v: str) -> str:
+    text = f"({v} ->> '$')"
+    return f"""case json_type({v}) when 'ARRAY' then {v} when 'OBJECT' then case when json_type({v}, '$.items') = 'ARRAY' then json_extract({v}, '$.items') else json_array({v}) end
+    when 'VARCHAR' then case when {text} like '[%' then {text}::json else json_array({v}) end end"""
+
+
+def _levels(table: str, key: str, source: str, child: str, column: str, name: str, below: str = "", below_child: str = "", below_name: str = "") -> str:
+    named = lambda e, n: f"case when json_type({e}) = 'OBJECT' then json_extract_string({e}, '$.{n}') else {e} ->> '$' end"
+    parted = lambda l: f"unnest(json_extract({l}, '$[*]')) as e, generate_subscripts(json_extract({l}, '$[*]'), 1) as pos"
+    top = f"(select key, {parted('l')} from (select {key} as key, {_json_list(f'json_extract(r, $${column}$$)')} as l from {source}) where l is not null)"
+    out = f"select '{table}' as tbl, key as row_key, '{child}' as child, 0 as parent_pos, pos, {named('e', name)} as name from {top} where json_type(e) <> 'NULL'"
+    if below:
+        inner = f"(select key, parent_pos, {parted('l')} from (select key, pos as parent_pos, {_json_list(f'json_extract(e, $${below}$$)')} as l from {top} where json_type(e) = 'OBJECT') where l is not null)"
+        out += f" union all select '{table}', key, '{below_child}', parent_pos, pos, {named('e', below_name)} from {inner} where json_type(e) <> 'NULL'"
+    return out
+
+
+_RECORDS = "(select progress_id, case when json_type(record::json) = 'VARCHAR' then (record::json ->> '$')::json else record::json end as r from meta_progress)"
+_META = """select 'film_meta' as tbl, film_id as row_key, '{0}' as child, 0 as parent_pos, pos, e.{2} as name from (select film_id, unnest({1}) as e, generate_subscripts({1}, 1) as pos from film_meta) where e is not null"""
+_P6 = " union all ".join(
+    [
+        _META.format("studio", "studios", "name"),
+        _META.format("cast", '"cast"', "actor"),
+        _levels("meta_progress", "progress_id", _RECORDS, "studio", "$.studios", "name", "$.deals", "deal", "territory"),
+        _levels("meta_progress", "progress_id", _RECORDS, "cast", "$.cast", "actor", "$.voices", "voice", "voice_actor"),
+    ]
+)
+
 QUERIES = {"p2_found": p2_found, "p2_dollars": p2_dollars, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"p4_found": _P4, "p6_found": _P6}
