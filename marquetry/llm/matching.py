@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,15 +37,27 @@ def _hash(text: str) -> int:
     return h - (1 << 63)
 
 
+_PAIRS = {(x, y): 1 << ((ord(x) * 31 + ord(y) * 7) % 128) for x in "abcdefghijklmnopqrstuvwxyz" for y in "abcdefghijklmnopqrstuvwxyz"}
+
+
 def _signature(text: str) -> tuple[int, int]:
     """The pairs of letters of a text as 128 bits."""
     bits = 0
-    for i in range(len(text) - 1):
-        bits |= 1 << ((ord(text[i]) * 31 + ord(text[i + 1]) * 7) % 128)
+    for pair in set(zip(text, text[1:])):
+        bits |= _PAIRS.get(pair, 1)
     low, high = bits & 0xFFFFFFFFFFFFFFFF, bits >> 64
     return low - (1 << 64) * (low >> 63), high - (1 << 64) * (high >> 63)
 
 
+def _rows(column: pa.Array) -> list:
+    """The values of a column; lists by slices of their flat values."""
+    if not pa.types.is_list(column.type):
+        return column.to_pylist()
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    flat, ends = column.flatten().to_pylist(), np.cumsum(sizes)
+    return [flat[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())]
+
+
 class _Cached:
     """Results of a function of one text, kept for the task; names, dates and firms recur."""
 
@@ -74,64 +87,103 @@ def _company(text: str) -> tuple[str, int] | None:
     return key and (key, 1 << (_hash(key) % 63))
 
 
-def _sort_keys(titles: dict[str, tuple[str, tuple[int, int]]], days: list[int], years: list[int], people: dict[str, int]) -> tuple[list[str], list[int], list[int], list[int]]:
-    """The sort keys of a profile: each title forwards, backwards and from its longest word, with family name and year
-    after it; and each person with the first day. With each key the person's hash, if it leads the key, and the signature
-    of the title."""
-    full = [p for p in people if p.startswith("=")]
-    family = max((p.partition(".")[2] for p in people if "." in p), default="")
-    year = 1970 + min(days) // 365 if days else min(years, default=0)
-    after = f"|{family[:6]}|{year}"
-    keys, who, low, high = [], [], [], []
-    for text, (word, (a, b)) in titles.items():
-        keys += [f"t{text}{after}", f"r{text[::-1]}{after}", f"w{word}|{text}{after}"]
-        who, low, high = who + [0] * 3, low + [a] * 3, high + [b] * 3
-    a, b = titles[max(titles, key=len)][1] if titles else (0, 0)
-    day = f"{(days[0] if days else -99999) + 100000:06d}"
-    for p in full or people:
-        keys.append(f"p{p}|{day}")
-        who.append(people[p])
-        low.append(a)
-        high.append(b)
-    return keys, who, low, high
+class _Lists:
+    """A list column under construction: flat values and sizes, without a Python list for each row."""
 
+    def __init__(self, kind: pa.DataType):
+        self.kind, self.flat, self.ends = kind, [], [0]
 
-def profiles(df: DataFrame, side: int) -> DataFrame:
-    """Profiles of rows (id, titles array<string>, trusts array<double>, dates, people, companies array<string>).
+    def add(self, values) -> None:
+        self.flat.extend(values)
+        self.ends.append(len(self.flat))
+
+    def array(self) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), pa.array(self.flat, self.kind))
 
-    Null arrays and elements count as absent; a row with nothing known has a profile that matches nothing.
-    """
 
+def _sort_keys(titles: dict[str, tuple[str, tuple[int, int]]], days: list[int], years: list[int], people: dict[str, int]) -> list[tuple[str, int, int, int]]:
+    """The sort keys of a profile: each title forwards, backwards and from its longest word, with family name and year
+    after it; and each person with the first day. With each key the person's hash, if it leads the key, and the signature
+    of the title."""
+    family = max((p.partition(".")[2] for p in people if "." in p), default="")
+    first = days[0] if days else None
+    after = f"|{family[:6]}|{1970 + first // 365 if days else min(years, default=0)}"
+    keys = []
+    a = b = 0
+    longest = -1
+    for text, (word, (low, high)) in titles.items():
+        if len(text) > longest:
+            longest, a, b = len(text), low, high
+        keys += [(f"t{text}{after}", 0, low, high), (f"r{text[::-1]}{after}", 0, low, high), (f"w{word}|{text}{after}", 0, low, high)]
+    day = f"|{(first if days else -99999) + 100000:06d}"
+    full = [p for p in people if p[0] == "="]
+    keys += [(f"p{p}{day}", people[p], a, b) for p in full or people]
+    return keys
+
+
+def _describer(side: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         form, dates, names, firm = _Cached(_title), _Cached(date_days), _Cached(_people), _Cached(_company)
-        types = [pa.int32(), pa.int64(), *map(pa.list_, (pa.string(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.string(), pa.string())), pa.int32(), *map(pa.list_, (pa.string(), pa.int64(), pa.int64(), pa.int64())), pa.int64(), pa.int64()]
+        text, real, whole, big = pa.string(), pa.float64(), pa.int32(), pa.int64()
         for batch in batches:
-            out: list[list] = [[] for _ in types]
-            for key, titles, trusts, when, people, companies in zip(*(c.to_pylist() for c in batch.columns)):
+            lists = [_Lists(k) for k in (text, text, real, whole, whole, text, text, text, big, big, big)]
+            t_text, t_sequel, t_trust, l_days, l_years, l_people, l_firms, s_key, s_who, s_low, s_high = lists
+            first_day, firm_bits, people_bits = [], [], []
+            for titles, trusts, when, people, companies in zip(*map(_rows, batch.columns[1:])):
                 seen: dict[tuple[str, str], float] = {}
                 words: dict[str, tuple[str, tuple[int, int]]] = {}
-                for t, w in zip(titles or (), trusts or ()):
+                for t, w in zip(titles, trusts):
                     if t and w is not None and (found := form(t)):
                         f, word, signature = found
-                        seen[f.text, f.sequel] = max(seen.get((f.text, f.sequel), 0.0), w)
+                        key = f.text, f.sequel
+                        if w > seen.get(key, 0.0):
+                            seen[key] = w
                         words[f.text] = (word, signature)
-                parsed = [dates(d) for d in when or () if d]
-                days = sorted({d for d, only_year in parsed if d is not None and not only_year})
-                years = sorted({1970 + d // 365 for d, only_year in parsed if d is not None and only_year})
-                who = dict(sorted(x for p in people or () if p for x in names(p)))
-                firms = dict(x for c in companies or () if c and (x := firm(c)))
-                bits = 0
-                for b in firms.values():
-                    bits |= b
-                faces = 0
+                days, years = set(), set()
+                for d in when:
+                    if d:
+                        day, only_year = dates(d)
+                        if day is not None:
+                            (years.add(1970 + day // 365) if only_year else days.add(day))
+                days, years = sorted(days), sorted(years)
+                who: dict[str, int] = {}
+                for p in people:
+                    if p:
+                        who.update(names(p))
+                firms: dict[str, int] = {}
+                bits = faces = 0
+                for c in companies:
+                    if c and (x := firm(c)):
+                        firms[x[0]] = x[1]
+                        bits |= x[1]
                 for k, h in who.items():
-                    faces |= 0 if k[0] == "=" else 1 << (h % 63)
-                values = [t for t, _ in seen], [q for _, q in seen], list(seen.values()), days, years, list(who), list(firms)
-                for column, value in zip(out, (side, key, *values, days[0] if days else None, *_sort_keys(words, days, years, who), bits, faces)):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=[f.split()[0] for f in PROFILE.split(", ")])
+                    if k[0] != "=":
+                        faces |= 1 << (h % 63)
+                t_text.add([t for t, _ in seen])
+                t_sequel.add([q for _, q in seen])
+                for column, value in ((t_trust, seen.values()), (l_days, days), (l_years, years), (l_people, who), (l_firms, firms)):
+                    column.add(value)
+                keys = _sort_keys(words, days, years, who)
+                for column, value in zip((s_key, s_who, s_low, s_high), zip(*keys) if keys else ((),) * 4):
+                    column.add(value)
+                first_day.append(days[0] if days else None)
+                firm_bits.append(bits)
+                people_bits.append(faces)
+            n = batch.num_rows
+            arrays = [x.array() for x in lists]
+            columns = [pa.array(np.full(n, side, np.int32)), batch.column(0), *arrays[:7], pa.array(first_day, whole), *arrays[7:], pa.array(firm_bits, big), pa.array(people_bits, big)]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in PROFILE.split(", ")])
+
+    return run
+
+
+def profiles(df: DataFrame, side: int) -> DataFrame:
+    """Profiles of rows (id, titles array<string>, trusts array<double>, dates, people, companies array<string>).
+
+    Null arrays and elements count as absent; a row with nothing known has a profile that matches nothing.
+    """
 
-    return df.select("id", "titles", "trusts", "dates", "people", "companies").mapInArrow(run, PROFILE)
+    return df.select("id", "titles", "trusts", "dates", "people", "companies").mapInArrow(_describer(side), PROFILE)
 
 
 def _bits(x: np.ndarray) -> np.ndarray:

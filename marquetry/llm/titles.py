@@ -17,6 +17,10 @@ NUMERALS = {"ii": 2, "iii": 3, "iv": 4, "v": 5, "vi": 6, "2": 2, "3": 3, "4": 4,
 DIGITS = {"2": "two", "3": "three", "4": "four", "5": "five", "6": "six", "7": "seven", "8": "eight", "9": "nine", "10": "ten", "12": "twelve"}
 # Endings that name a sequel or offshoot.
 SEQUELS = re.compile(r"[\s:,-]+(?:(?:part|chapter|volume|vol\.?)\s+(two|three|four|five|ii|iii|iv|v|\d)|(origins|(?:the )?final chapter|director'?s notes|returns|the return|the beginning|reloaded|resurrection|the next generation|legacy|reborn)|(ii|iii|iv|vi|[2-9]))\s*$", re.I)
+# Last words without which the patterns above can't match; they spare most titles the search.
+_NOISE_ENDS = {"gala", "a", "70mm", "35mm", "preview", "premiere", "imax", "3d", "sub", "dub", "4k", "restoration", "restored", "screening", "release", "rerelease"}
+_SEQUEL_ENDS = {"two", "three", "four", "five", "ii", "iii", "iv", "v", "vi", "origins", "chapter", "notes", "returns", "return", "beginning", "reloaded", "resurrection", "generation", "legacy", "reborn"}
+_LAST = re.compile(r"([^\W_]+)\W*$")
 _MOVED = re.compile(r"^(.*),\s*(the|a|an|le|la|les|el|il|das|der|die|den)$")
 _WORD = re.compile(r"[^\W_]+")
 
@@ -33,8 +37,11 @@ class Title:
 def strip_noise(title: str) -> str:
     """A title without booking marks before and after it; a title that is nothing but marks stays."""
     t = " ".join(repaired(title).split())
-    out = AFTER.sub("", BEFORE.sub("", t)).strip(" -:")
-    return out or t
+    out = BEFORE.sub("", t)
+    last = _LAST.search(out)
+    if out[-1:] in ")]" or (last and (last.group(1).lower() in _NOISE_ENDS or "&" in out[-6:])):
+        out = AFTER.sub("", out)
+    return out.strip(" -:") or t
 
 
 def title_form(title: str | None) -> Title | None:
@@ -45,7 +52,7 @@ def title_form(title: str | None) -> Title | None:
     if "," in t:
         t = _MOVED.sub(r"\2 \1", t)
     marks = []
-    while (m := SEQUELS.search(t)) and m.start() > 0:
+    while (last := _LAST.search(t)) and (last.group(1) in _SEQUEL_ENDS or last.group(1).isdigit()) and (m := SEQUELS.search(t)) and m.start() > 0:
         number = (m.group(1) or m.group(3) or "").lower()
         marks.append(str(NUMERALS.get(number, number)) if number else skeleton(m.group(2).removeprefix("the ")))
         t = t[: m.start()]
