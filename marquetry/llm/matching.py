@@ -49,15 +49,6 @@ def _signature(text: str) -> tuple[int, int]:
     return low - (1 << 64) * (low >> 63), high - (1 << 64) * (high >> 63)
 
 
-def _rows(column: pa.Array) -> list:
-    """The values of a column; lists by slices of their flat values."""
-    if not pa.types.is_list(column.type):
-        return column.to_pylist()
-    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-    flat, ends = column.flatten().to_pylist(), np.cumsum(sizes)
-    return [flat[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())]
-
-
 class _Cached:
     """Results of a function of one text, kept for the task; names, dates and firms recur."""
 
@@ -87,92 +78,150 @@ def _company(text: str) -> tuple[str, int] | None:
     return key and (key, 1 << (_hash(key) % 63))
 
 
-class _Lists:
-    """A list column under construction: flat values and sizes, without a Python list for each row."""
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, list]:
+    """Of a list column's values: the row of each, its place among the distinct values (-1 for null), the distinct values."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    coded = column.flatten().dictionary_encode()
+    index = pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.repeat(np.arange(len(column)), sizes), index, coded.dictionary.to_pylist()
+
+
+def _lists(rows: np.ndarray, n: int, values: pa.Array) -> pa.ListArray:
+    """A list column of n rows from values in order of their rows."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), values)
+
 
-    def __init__(self, kind: pa.DataType):
-        self.kind, self.flat, self.ends = kind, [], [0]
+def _unique(rows: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row, code) pairs in order of the rows."""
+    width = int(codes.max(initial=0)) + 1
+    return np.divmod(np.unique(rows * width + codes), width)
 
-    def add(self, values) -> None:
-        self.flat.extend(values)
-        self.ends.append(len(self.flat))
 
-    def array(self) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), pa.array(self.flat, self.kind))
+def _join(*parts) -> pa.Array:
+    return pc.binary_join_element_wise(*parts, "")
 
 
-def _sort_keys(titles: dict[str, tuple[str, tuple[int, int]]], days: list[int], years: list[int], people: dict[str, int]) -> list[tuple[str, int, int, int]]:
-    """The sort keys of a profile: each title forwards, backwards and from its longest word, with family name and year
-    after it; and each person with the first day. With each key the person's hash, if it leads the key, and the signature
-    of the title."""
-    family = max((p.partition(".")[2] for p in people if "." in p), default="")
-    first = days[0] if days else None
-    after = f"|{family[:6]}|{1970 + first // 365 if days else min(years, default=0)}"
-    keys = []
-    a = b = 0
-    longest = -1
-    for text, (word, (low, high)) in titles.items():
-        if len(text) > longest:
-            longest, a, b = len(text), low, high
-        keys += [(f"t{text}{after}", 0, low, high), (f"r{text[::-1]}{after}", 0, low, high), (f"w{word}|{text}{after}", 0, low, high)]
-    day = f"|{(first if days else -99999) + 100000:06d}"
-    full = [p for p in people if p[0] == "="]
-    keys += [(f"p{p}{day}", people[p], a, b) for p in full or people]
-    return keys
+class _Coded:
+    """Numbers for values, in order of first sight."""
+
+    def __init__(self):
+        self.code: dict = {}
+
+    def __call__(self, value) -> int:
+        return self.code.setdefault(value, len(self.code))
 
 
 def _describer(side: int):
+    """Profiles of batches: each distinct text of a batch is parsed once, all else runs on whole columns.
+
+    The sort keys: each title forwards, backwards and from its longest word, with family name and year after it; and
+    each person with the first day. With each key the person's hash, if it leads the key, and the title's signature.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         form, dates, names, firm = _Cached(_title), _Cached(date_days), _Cached(_people), _Cached(_company)
-        text, real, whole, big = pa.string(), pa.float64(), pa.int32(), pa.int64()
         for batch in batches:
-            lists = [_Lists(k) for k in (text, text, real, whole, whole, text, text, text, big, big, big)]
-            t_text, t_sequel, t_trust, l_days, l_years, l_people, l_firms, s_key, s_who, s_low, s_high = lists
-            first_day, firm_bits, people_bits = [], [], []
-            for titles, trusts, when, people, companies in zip(*map(_rows, batch.columns[1:])):
-                seen: dict[tuple[str, str], float] = {}
-                words: dict[str, tuple[str, tuple[int, int]]] = {}
-                for t, w in zip(titles, trusts):
-                    if t and w is not None and (found := form(t)):
-                        f, word, signature = found
-                        key = f.text, f.sequel
-                        if w > seen.get(key, 0.0):
-                            seen[key] = w
-                        words[f.text] = (word, signature)
-                days, years = set(), set()
-                for d in when:
-                    if d:
-                        day, only_year = dates(d)
-                        if day is not None:
-                            (years.add(1970 + day // 365) if only_year else days.add(day))
-                days, years = sorted(days), sorted(years)
-                who: dict[str, int] = {}
-                for p in people:
-                    if p:
-                        who.update(names(p))
-                firms: dict[str, int] = {}
-                bits = faces = 0
-                for c in companies:
-                    if c and (x := firm(c)):
-                        firms[x[0]] = x[1]
-                        bits |= x[1]
-                for k, h in who.items():
-                    if k[0] != "=":
-                        faces |= 1 << (h % 63)
-                t_text.add([t for t, _ in seen])
-                t_sequel.add([q for _, q in seen])
-                for column, value in ((t_trust, seen.values()), (l_days, days), (l_years, years), (l_people, who), (l_firms, firms)):
-                    column.add(value)
-                keys = _sort_keys(words, days, years, who)
-                for column, value in zip((s_key, s_who, s_low, s_high), zip(*keys) if keys else ((),) * 4):
-                    column.add(value)
-                first_day.append(days[0] if days else None)
-                firm_bits.append(bits)
-                people_bits.append(faces)
             n = batch.num_rows
-            arrays = [x.array() for x in lists]
-            columns = [pa.array(np.full(n, side, np.int32)), batch.column(0), *arrays[:7], pa.array(first_day, whole), *arrays[7:], pa.array(firm_bits, big), pa.array(people_bits, big)]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in PROFILE.split(", ")])
+            if not n:
+                continue
+            _, titles, trusts, when, people, companies = batch.columns
+
+            rows, at, texts = _flat(companies)
+            parsed = [firm(x) if x else None for x in texts]
+            known = np.array([x is not None for x in parsed] or [False])[at] & (at >= 0)
+            rows, at = rows[known], at[known]
+            firm_list = _lists(rows, n, pa.array([x and x[0] for x in parsed], pa.string()).take(pa.array(at)))
+            firm_bits = np.zeros(n, np.int64)
+            np.bitwise_or.at(firm_bits, rows, np.array([x[1] if x else 0 for x in parsed] or [0], np.int64)[at])
+
+            rows, at, texts = _flat(when)
+            parsed = [dates(x) if x else (None, False) for x in texts] or [(None, False)]
+            number = np.array([0 if d is None else d for d, _ in parsed])
+            by_year = np.array([y for _, y in parsed])
+            known = np.array([d is not None for d, _ in parsed])[at] & (at >= 0)
+            exact, coarse = known & ~by_year[at], known & by_year[at]
+            day_rows, days = rows[exact], number[at[exact]]
+            year_rows, years = rows[coarse], 1970 + number[at[coarse]] // 365
+            first_day, first_year = np.full(n, 1 << 30), np.full(n, 1 << 30)
+            np.minimum.at(first_day, day_rows, days)
+            np.minimum.at(first_year, year_rows, years)
+            has_day = first_day < 1 << 30
+            year = np.where(has_day, 1970 + first_day // 365, np.where(first_year < 1 << 30, first_year, 0))
+
+            rows, at, texts = _flat(people)
+            key = _Coded()
+            codes = [np.array([key(x) for x in (names(t) if t else ())], np.int64) for t in texts] or [np.zeros(0, np.int64)]
+            size = np.array([len(c) for c in codes])
+            start = np.cumsum(size) - size
+            known = at >= 0
+            rows, at = rows[known], at[known]
+            many = size[at]
+            inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            p_rows, p_key = _unique(np.repeat(rows, many), np.concatenate(codes)[np.repeat(start[at], many) + inner])
+            spelled = [k for k, _ in key.code] or [""]
+            full = np.array([k[:1] == "=" for k in spelled])
+            hashes = np.array([h for _, h in key.code] or [0], np.int64)
+            people_bits = np.zeros(n, np.int64)
+            np.bitwise_or.at(people_bits, p_rows, np.where(full, 0, np.left_shift(1, hashes % 63))[p_key])
+            families, rank = np.unique(np.array(["", *("" if f else k.partition(".")[2][:6] for k, f in zip(spelled, full))]), return_inverse=True)
+            family = np.zeros(n, np.int64)
+            np.maximum.at(family, p_rows, rank[1:][p_key])
+            has_full = np.zeros(n, bool)
+            np.logical_or.at(has_full, p_rows, full[p_key])
+            leads = full[p_key] | ~has_full[p_rows]
+
+            rows, at, texts = _flat(titles)
+            trust = trusts.flatten().to_numpy(zero_copy_only=False).astype(float)
+            code, made = _Coded(), {}
+            of = []
+            for t in texts:
+                found = form(t) if t else None
+                of.append(-1 if found is None else code((found[0].text, found[0].sequel)))
+                if found:
+                    made[of[-1]] = found
+            of = np.array(of or [-1])[at]
+            known = (at >= 0) & (of >= 0) & ~np.isnan(trust)
+            rows, of, trust = rows[known], of[known], trust[known]
+            order = np.lexsort((-trust, of, rows))
+            rows, of, trust = rows[order], of[order], trust[order]
+            new = np.append(True, (rows[1:] != rows[:-1]) | (of[1:] != of[:-1])) if len(rows) else np.zeros(0, bool)
+            rows, of, trust = rows[new], of[new], trust[new]
+            found = [made[i] for i in range(len(code.code))]
+            take = lambda values: pa.array(values, pa.string()).take(pa.array(of))
+            text, word = take([f.text for f, _, _ in found]), take([w for _, w, _ in found])
+            low, high = (np.array([s[k] for _, _, s in found] or [0], np.int64)[of] if len(of) else np.zeros(0, np.int64) for k in (0, 1))
+            length = pc.utf8_length(text).to_numpy(zero_copy_only=False)
+            row_low, row_high = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            by_length = np.lexsort((length, rows))
+            row_low[rows[by_length]], row_high[rows[by_length]] = low[by_length], high[by_length]  # the longest comes last
+
+            after = _join("|", pa.array(families).take(pa.array(family)), "|", pa.array(year).cast(pa.string()))
+            t_after = after.take(pa.array(rows))
+            opened = _join("|", pc.utf8_lpad(pa.array(np.where(has_day, first_day, -99999) + 100000).cast(pa.string()), 6, "0"))
+            l_rows, l_key = p_rows[leads], p_key[leads]
+            p_text = pa.array(spelled, pa.string()).take(pa.array(p_key))
+            keys = pa.concat_arrays(
+                [
+                    _join("t", text, t_after), _join("r", pc.utf8_reverse(text), t_after), _join("w", word, "|", text, t_after),
+                    _join("p", pa.array(spelled, pa.string()).take(pa.array(l_key)), opened.take(pa.array(l_rows))),
+                ]
+            )
+            k_rows = np.concatenate([rows, rows, rows, l_rows])
+            order = np.argsort(k_rows, kind="stable")
+            k_rows = k_rows[order]
+            ordered = lambda *parts: pa.array(np.concatenate(parts)[order])
+            none = np.zeros(3 * len(rows), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(n, side, np.int32)), batch.column(0), _lists(rows, n, text), _lists(rows, n, take([f.sequel for f, _, _ in found])),
+                    _lists(rows, n, pa.array(trust)), _lists(day_rows, n, pa.array(days.astype(np.int32))), _lists(year_rows, n, pa.array(years.astype(np.int32))),
+                    _lists(p_rows, n, p_text), firm_list, pa.array(first_day.astype(np.int32), mask=~has_day), _lists(k_rows, n, keys.take(pa.array(order))),
+                    _lists(k_rows, n, ordered(none, hashes[l_key])), _lists(k_rows, n, ordered(low, low, low, row_low[l_rows])),
+                    _lists(k_rows, n, ordered(high, high, high, row_high[l_rows])), pa.array(firm_bits), pa.array(people_bits),
+                ],
+                names=[f.split()[0] for f in PROFILE.split(", ")],
+            )
 
     return run
 

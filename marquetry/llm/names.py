@@ -38,6 +38,10 @@ SUFFIXES = {"jr", "sr", "ii", "iii", "iv", "phd", "esq"}
 PARTICLES = {"van", "von", "der", "den", "de", "la", "le", "del", "di", "da", "al", "el", "bin", "st", "mac", "mc", "o", "ter", "ten"}
 # Letters that look or sound alike, applied in this order.
 FOLDS = [("0", "o"), ("1", "l"), ("5", "s"), ("3", "e"), ("sch", "sh"), ("ph", "f"), ("ck", "k"), ("c", "k"), ("q", "k"), ("oo", "u"), ("ou", "u"), ("y", "i"), ("w", "v"), ("th", "t"), ("z", "s"), ("ae", "a"), ("oe", "o"), ("ue", "u")]
+_BRACKETS = re.compile(r"\([^)]*\)|\[[^\]]*\]")
+_NICKNAME = re.compile(r"(?<!\w)[\"“”'‘’][^\"“”'‘’]+[\"“”'‘’](?!\w)")
+_SUFFIX = re.compile(r",?\s*\b(" + "|".join(SUFFIXES) + r")\b\.?\s*$")
+_APOSTROPHE, _NO_NAME = re.compile(r"['’`]\s*"), re.compile(r"[^\w-]")
 _NO_LETTER, _TWICE = re.compile(r"[^a-z]"), re.compile(r"(.)\1+")
 _DIGITS = str.maketrans("0153", "olse")
 _DASHES = re.compile(r"[-‐-―]")
@@ -77,18 +81,28 @@ def parse_name(name: str | None) -> tuple[list[str], bool]:
     Titles, generation marks, remarks in brackets and quoted nicknames are left out.
     """
     text = repaired(name or "")
-    text = re.sub(r"\([^)]*\)|\[[^\]]*\]", " ", text)
-    text = re.sub(r"(?<!\w)[\"“”'‘’][^\"“”'‘’]+[\"“”'‘’](?!\w)", " ", text)
+    if "(" in text or "[" in text:
+        text = _BRACKETS.sub(" ", text)
+    if not text.isascii() or "'" in text or '"' in text:
+        text = _NICKNAME.sub(" ", text)
     text = plain_letters(text)
-    text = re.sub(r",?\s*\b(" + "|".join(SUFFIXES) + r")\b\.?\s*$", "", text)
+    if text.rstrip(" .").endswith(tuple(SUFFIXES)):
+        text = _SUFFIX.sub("", text)
     family, comma, given = text.partition(",")
     if comma and given.strip():
         text = f"{given} {family}"
+    if "'" in text or "’" in text or "`" in text:
+        text = _APOSTROPHE.sub("", text)
     words = []
-    for w in re.sub(r"['’`]\s*", "", text).replace(".", ". ").split():
+    for w in text.replace(".", ". ").split():
+        if w.isalpha():
+            if words or w not in TITLES:
+                words.append(w)
+            continue
         w = _DASHES.sub("-", w).strip("-")
-        if re.sub(r"\W", "", w) and not (w.rstrip(".") in TITLES and not words):
-            words.append(re.sub(r"[^\w-]", "", w))
+        bare = _NO_NAME.sub("", w)
+        if bare.strip("-") and not (w.rstrip(".") in TITLES and not words):
+            words.append(bare)
     return words, bool(comma and given.strip())
 
 
@@ -116,20 +130,38 @@ class Form:
     middles: list[str]
 
 
-def name_form(name: str | None) -> Form:
-    """The form of a written name; an empty or missing name has an empty spelling."""
+def _parts(name: str | None) -> tuple[list[str], int]:
+    """The words of a name, given names first, and where the family name begins."""
     words, _ = parse_name(name)
     if len(words) > 1 and len(words[-1]) == 1 and len(words[0]) > 1:  # family name first, then an initial
         cut = next(i for i in range(len(words)) if len(words[i]) == 1)
         words = words[cut:] + words[:cut]
+    at = len(words) - 1
+    while at > 1 and words[at - 1] in PARTICLES:
+        at -= 1
+    return words, at
+
+
+def name_keys(name: str | None) -> tuple[str, str, list[str]]:
+    """Spelling ('' for an initial), skeleton of the family name, and letters, as in `name_form` but without the rest."""
+    words, at = _parts(name)
+    if len(words) < 2:
+        return (skeleton(words[0]) if words else ""), "", []
+    given, family = words[0], "".join(words[at:])
+    if len(given) == 1:
+        return "", skeleton(family), [given]
+    root = full_given(given)
+    return skeleton(root + family), skeleton(family), [given[0]] if given[0] == root[0] else [given[0], root[0]]
+
+
+def name_form(name: str | None) -> Form:
+    """The form of a written name; an empty or missing name has an empty spelling."""
+    words, at = _parts(name)
     if not words:
         return Form("", "", [], "", None, [], [])
     if len(words) == 1:
         whole = skeleton(words[0])
         return Form(whole, words[0].replace("-", "").translate(_DIGITS), [whole], "", None, [], [])
-    at = len(words) - 1
-    while at > 1 and words[at - 1] in PARTICLES:
-        at -= 1
     given, middle, family = words[0], words[1:at], "".join(words[at:])
     middles = sorted({w[0] for w in middle})
     if len(given) == 1:

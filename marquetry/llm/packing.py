@@ -123,7 +123,7 @@ def _packer(capacity: int, turn: int, last: bool, settled: float):
         where = pack_shard(pdf["tokens"].to_numpy(np.int64), capacity)
         fill = np.bincount(where, pdf["tokens"].to_numpy())
         pos = (pdf.groupby(where).cumcount() + 1).astype("int32")
-        sequence = (turn << 56) + (int(key[0]) << 24) + where
+        sequence = (turn << 50) + (int(key[0]) << 20) + where  # below 2^53 in all
         return pdf.assign(sequence=sequence, pos=pos, full=last | (fill[where] >= settled * capacity))
 
     return run

@@ -6,7 +6,7 @@ import datetime
 import re
 from dataclasses import dataclass
 
-from marquetry.llm.names import PARTICLES, name_form, parse_name, plain_letters, repaired, skeleton
+from marquetry.llm.names import name_keys, plain_letters, repaired, skeleton
 
 # Marks that bookings put before and after a title.
 BEFORE = re.compile(r"^(?:\s*(?:[A-Z0-9]{2,5}\s*-\s+|(?:3D|2D|GC|IMAX|4DX|HFR|VIP)\b\s*-?\s*))+")
@@ -82,34 +82,40 @@ def date_days(text: str | None) -> tuple[int | None, bool]:
         return None, False
 
 
+_BETWEEN = re.compile(r"[|;\n\t/•]+|\s&\s|\sand\s")
+_MARKS = re.compile(r"[|;\n\t/•&\[]|\sand\s")
+_LISTED = re.compile(r"\"([^\"]+)\"|'([^']+)'")
+_OUTSIDE = re.compile(r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+_NOBODY = {"n/a", "tba", "unknown", "various", "-"}
+
+
 def split_people(text: str | None) -> list[str]:
     """Names packed in one text: bars, semicolons, slashes, lines, JSON lists; commas between full names."""
     if not text:
         return []
     t = text.strip()
     if t.startswith("["):
-        return [x for x in re.findall(r"\"([^\"]+)\"|'([^']+)'", t) for x in x if x]
-    parts = re.split(r"[|;\n\t/•]+|\s&\s|\sand\s", t)
-    if len(parts) == 1 and t.count(",") >= 1:
-        pieces = [p.strip(' "') for p in re.split(r',(?=(?:[^"]*"[^"]*")*[^"]*$)', t)]
+        return [x for x in _LISTED.findall(t) for x in x if x]
+    parts = _BETWEEN.split(t) if _MARKS.search(t) else [t]
+    if len(parts) == 1 and "," in t:
+        pieces = [p.strip(' "') for p in _OUTSIDE.split(t)]
         if all(" " in p for p in pieces):
             parts = pieces
-    return [p.strip(' "') for p in parts if p.strip(' "')]
+    return [q for p in parts if (q := p.strip(' "'))]
 
 
 def people_keys(text: str | None) -> list[str]:
     """For each person named: the full spelling, or initial and family name, as `initial.family` and `=full`."""
-    out = []
+    out = set()
     for p in split_people(text):
-        if plain_letters(p) in ("n/a", "tba", "unknown", "various", "-"):
+        if p.lower() in _NOBODY:
             continue
-        f = name_form(p)
-        if f.initial:
-            out.append(f"{f.initial}.{f.family}")
-        elif f.spelling:
-            out.append(f"={f.spelling}")
-            out += [f"{x}.{f.family}" for x in f.letters]
-    return sorted(set(out))
+        spelling, family, letters = name_keys(p)
+        if spelling:
+            out.add(f"={spelling}")
+        if family:
+            out.update(f"{x}.{family}" for x in letters)
+    return sorted(out)
 
 
 # Words of company names that vary in writing.
