@@ -133,7 +133,7 @@ def resolve_names(spark: SparkSession, df: DataFrame, key: str, name: str, weigh
             left, right = profile.select("p", F.struct("*").alias("x")), profile.select(F.col("p").alias("q"), F.struct("*").alias("y"))
             of = labels.select("node", "p")
         # (3) an initial and the profiles of its family name
-        lone = short.join(of, "node").drop("node").distinct().join(left, "p").filter("not x.full")
+        lone = cut(spark, short.join(of, "node").drop("node").distinct().join(left, "p").filter("not x.full"))
         known = long.join(of.select("node", F.col("p").alias("q")), "node").drop("node").distinct()
         meet = lone.join(known, ["g", "family", "l"]).join(right, "q").withColumn("agree", _agreement(weights, "x", "y"))
         clash = (F.size("m") > 0) & (F.size("y.middles") > 0) & ~F.arrays_overlap("m", "y.middles")
