@@ -103,3 +103,25 @@ def assert_unique(df: DataFrame, key: str) -> None:
     again = df.groupBy(key).count().filter("count > 1").limit(1).collect()
     if again:
         raise ValueError(f"{key} is not unique: {again[0][0]}")
+
+
+def boolean_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """`df` with text columns of which every known value is true or false, in any case, as booleans; others as they are.
+
+    One aggregation tells which they are; its single row comes to the driver."""
+    tests = [F.every(F.coalesce(F.lower(strip(c)).isin("true", "false"), F.lit(True))).alias(c) for c in columns]
+    known = [F.count(c).alias(f"n_{c}") for c in columns]
+    row = df.agg(*tests, *known).first()
+    return df.withColumns({c: (F.lower(strip(c)) == "true") for c in columns if row[c] and row[f"n_{c}"]})
+
+
+def feature_table(df: DataFrame, keep: list[str], one_hots: dict[str, list[str]], multi_hots: dict[str, list[str]], passed: list[str]) -> DataFrame:
+    """One select of `keep`, one-hot, multi-hot and passed-through blocks in this order; booleans become 0 and 1."""
+    out = df
+    for c, values in one_hots.items():
+        out = one_hot(out, c, values)
+    for c, values in multi_hots.items():
+        out = multi_hot(out, c, values=values)
+    made = [c for c in out.columns if c not in df.columns]
+    number = [(F.col(c).cast("int") if df.schema[c].dataType.simpleString() == "boolean" else F.col(c)).alias(c) for c in passed]
+    return out.select(*keep, *(F.col(f"`{c}`") for c in made), *number)

@@ -121,3 +121,39 @@ def running_total(df: DataFrame, batch: str, amount: str) -> DataFrame:
     """(batch, amount, total) with the running total over batches in order; a row for each batch."""
     sums = df.groupBy(batch).agg(F.sum(amount).alias(amount))
     return sums.withColumn("total", F.sum(amount).over(Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def unknown_values(df: DataFrame, c: str, unknown: tuple[str, ...] = ("unknown",)) -> DataFrame:
+    """Rows in which a column is null, blank or one of the words for unknown."""
+    return df.filter(~filled(c, df.schema[c].dataType, unknown))
+
+
+def drill_down(df: DataFrame, c: str, needle: str) -> DataFrame:
+    """Rows whose text holds the needle in any case."""
+    return df.filter(F.contains(F.upper(F.col(c)), F.lit(needle.upper())))
+
+
+def in_order(df: DataFrame, c: str, values: list) -> DataFrame:
+    """Rows of the listed values with `place`, their place in the list from 0, by which they are sorted."""
+    listed = F.array(*map(F.lit, values))
+    return df.filter(F.col(c).isin(values)).withColumn("place", F.array_position(listed, F.col(c)) - 1).orderBy("place")
+
+
+def row_metrics(df: DataFrame, lists: list[str], error: str, texts: list[str]) -> DataFrame:
+    """`df` with n_items (of all lists; 0 on error), failed, and n_texts (known non-blank texts)."""
+    size = lambda c: F.size(F.coalesce(F.col(c), F.array().cast("array<string>")))
+    items = sum((size(c) for c in lists), F.lit(0))
+    known = sum((F.coalesce(strip(c) != "", F.lit(False)).cast("int") for c in texts), F.lit(0))
+    return df.withColumns({"n_items": F.when(F.col(error).isNull(), items).otherwise(0), "failed": F.col(error).isNotNull(), "n_texts": known})
+
+
+def hit_rate(df: DataFrame, cohort: str, c: str) -> DataFrame:
+    """(cohort, n, hits, rate): the share of rows in which a column is known."""
+    out = df.groupBy(cohort).agg(F.count("*").alias("n"), F.count(c).alias("hits"))
+    return out.withColumn("rate", F.round(F.col("hits") / F.col("n"), 6))
+
+
+def suffixed_join(left: DataFrame, right: DataFrame, key: str, suffix: str) -> DataFrame:
+    """Left join in which columns of both sides come apart by a suffix on the right one's; `right` has one row per key."""
+    both = set(left.columns) & set(right.columns) - {key}
+    return left.join(right.select(key, *(F.col(c).alias(f"{c}{suffix}" if c in both else c) for c in right.columns if c != key)), key, "left")

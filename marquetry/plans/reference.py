@@ -873,3 +873,81 @@ def daily_loads(spark, d):
     from marquetry.streaming.incremental import windowed_counts
 
     return windowed_counts(table(spark, d, "films"), "loaded_at", "snapshot")
+
+
+# drill-downs and reports
+
+
+@query("select rec_id, actor_name from cast_enriched where contains(upper(actor_name), 'ANN')")
+def drill_down(spark, d):
+    return profile.drill_down(table(spark, d, "cast_enriched"), "actor_name", "ann").select("rec_id", "actor_name")
+
+
+@query("select rec_id, fame_tier from cast_enriched where fame_tier is null or lower(trim(fame_tier)) in ('', 'unknown')")
+def unknown_tiers(spark, d):
+    return profile.unknown_values(table(spark, d, "cast_enriched"), "fame_tier").select("rec_id", "fame_tier")
+
+
+@query("select doc_id, source, case source when 'trade_wire' then 0 when 'press_kit' then 1 else 2 end::bigint as place from documents where source in ('trade_wire', 'press_kit', 'school_pack')")
+def sources_in_order(spark, d):
+    """Documents of listed sources in the order of the list."""
+    return profile.in_order(table(spark, d, "documents").select("doc_id", "source"), "source", ["trade_wire", "press_kit", "school_pack"])
+
+
+@query("select extract_id, case when synopsis is null then 0 else coalesce(len(genres), 0) + coalesce(len(tone), 0) end as n_items, synopsis is null as failed, coalesce((trim(title) <> '')::int, 0) + coalesce((trim(synopsis) <> '')::int, 0) as n_texts from synopses_extracted")
+def row_metrics(spark, d):
+    rows = table(spark, d, "synopses_extracted").withColumn("_error", F.when(F.col("synopsis").isNull(), "none"))
+    return profile.row_metrics(rows, ["genres", "tone"], "_error", ["title", "synopsis"]).select("extract_id", "n_items", "failed", "n_texts")
+
+
+@query(
+    "select case when t.film_id is null then 'not cached' else 'cached' end as cohort, count(*) as n, count(m.budget_usd) as hits, round(count(m.budget_usd) / count(*)::double, 6) as rate from film_meta m left join tmdb_cache t using (film_id) group by 1"
+)
+def cohort_hit_rate(spark, d):
+    """Known budgets of film_meta by whether the cache has the film."""
+    cached = table(spark, d, "tmdb_cache").select("film_id", F.lit("cached").alias("cohort"))
+    rows = table(spark, d, "film_meta").join(cached, "film_id", "left").withColumn("cohort", F.coalesce("cohort", F.lit("not cached")))
+    return profile.hit_rate(rows, "cohort", "budget_usd")
+
+
+@query("select m.film_id, m.title, t.film, len(m.studios) as n_studios, len(t.studios) as n_studios_tmdb from film_meta m left join tmdb_cache t using (film_id)")
+def suffixed_join(spark, d):
+    size = F.when(F.col("studios").isNotNull(), F.size("studios")).cast("bigint").alias("n_studios")
+    meta = table(spark, d, "film_meta").select("film_id", "title", size)
+    return profile.suffixed_join(meta, table(spark, d, "tmdb_cache").select("film_id", "film", size), "film_id", "_tmdb")
+
+
+@query("select extract_id, " + ", ".join(f"coalesce((narrative_scope = '{s}')::int, 0) as narrative_scope_{s}" for s in SCOPES) + ", (coalesce(list_contains(genres, 'drama'), false))::int as genres_drama, (len(list_filter(coalesce(genres, []), lambda x: x is not null and x <> 'drama')) > 0)::int as \"genres_OTHER\", is_sequel::int as is_sequel from synopses_extracted")
+def feature_table(spark, d):
+    rows = table(spark, d, "synopses_extracted")
+    return encode.feature_table(rows, ["extract_id"], {"narrative_scope": SCOPES}, {"genres": ["drama"]}, ["is_sequel"])
+
+
+@query("select extract_id, is_franchise, is_sequel, title from synopses_extracted")
+def boolean_columns(spark, d):
+    """Text columns of true and false read back as booleans."""
+    text = [F.initcap(F.col(c).cast("string")).alias(c) for c in ("is_franchise", "is_sequel")]
+    rows = table(spark, d, "synopses_extracted").select("extract_id", *text, "title")
+    return encode.boolean_columns(rows, ["is_franchise", "is_sequel", "title"])
+
+
+@query("select d.day, f.film_id from (values (date '2010-05-07'), (date '2015-03-20'), (date '2020-10-02')) d(day) join (select distinct film_id, rel_at from films) f on f.rel_at::date between d.day and d.day + 6")
+def films_of_weeks(spark, d):
+    """One bound query for several dates: the films of the week from each."""
+    days = spark.createDataFrame([("2010-05-07",), ("2015-03-20",), ("2020-10-02",)], "day string").select(F.to_date("day").alias("day"))
+    weeks = days.select("day", F.explode(F.sequence("day", F.date_add("day", 6))).alias("on"))
+    films = table(spark, d, "films").filter("rel_at is not null").select("film_id", F.to_date("rel_at").alias("on"), "rel_at").distinct()
+    return films.join(F.broadcast(weeks), "on").select("day", "film_id")
+
+
+TIERS = [("major", ["thistledown", "juniper"]), ("mini_major", ["owlery"])]
+_TIER = "case when len(list_filter(s, lambda x: contains(lower(x), 'thistledown') or contains(lower(x), 'juniper'))) > 0 then 'major' when len(list_filter(s, lambda x: contains(lower(x), 'owlery'))) > 0 then 'mini_major' when len(s) > 0 then 'indie' else 'unknown' end"
+
+
+@query(f"select film_id, {_TIER} as tier from (select film_id, list_filter(coalesce(studios, []), lambda x: x is not null) as s from tmdb_cache)")
+def studio_tier(spark, d):
+    """The first class of which a studio's name holds a keyword; the lists are parameters."""
+    names = F.filter(E.list_or_empty("studios"), lambda x: x.isNotNull())
+    joined = F.array_join(names, "\n")
+    tier = F.coalesce(E.keyword_class(joined, TIERS), F.when(F.size(names) > 0, "indie"), F.lit("unknown"))
+    return table(spark, d, "tmdb_cache").select("film_id", tier.alias("tier"))
