@@ -97,7 +97,10 @@ def _one_pass(t: Column) -> Column:
 def clean_title(title: Column | str, passes: int = PASSES) -> Column:
     """A title without event, festival, format and language noise; rules run until nothing changes (at most `passes`
     times, each of which takes at least one mark off). Null stays null; a title that is all noise may come out empty."""
-    return F.aggregate(F.sequence(F.lit(1), F.lit(passes)), strip(title), lambda t, _: _one_pass(t))
+    noisy = "|".join(f"(?:{rule[0]})" for rule in [*PREFIX_RULES, *BRACKET_RULES, *TRAILING_RULES])
+    cleaned = F.aggregate(F.sequence(F.lit(1), F.lit(passes)), strip(title), lambda t, _: _one_pass(t))
+    # most titles show no mark at all
+    return F.when(strip(title).rlike(noisy), cleaned).otherwise(strip(title))
 
 
 def title_tags(title: Column | str) -> Column:

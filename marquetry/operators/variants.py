@@ -32,21 +32,24 @@ def fuzzy_best(df: DataFrame, key: str, title: str, synopsis: str, least: float
 
     Score: 0.4 x token-sorted Indel ratio of the titles + 0.6 x Indel ratio of the first 80 letters of the synopses, or
     the titles alone where no compared row has a synopsis too. Ties go to the least key. Pairs are made only of rows
-    that share one of the `words` rarest words of their titles or the first 24 letters of their synopses, so the
-    comparison grows with the matches and not with the square of the rows; a pair without any such word in common,
-    which can reach the threshold only by scattered letters, is not found.
+    that share one of the `words` rarest words of their titles, and of an event and the least row of the same 80 letters,
+    so the comparison grows with the matches and not with the square of the rows; a pair without any such word in
+    common, which can reach the threshold only by scattered letters, is not found.
     """
     rows = df.filter(F.col(title).isNotNull()).select(
         F.col(key).alias("k"), F.upper(F.col(title)).startswith("GC ").alias("event"), variant_title(title).alias("t"), synopsis_prefix(synopsis).alias("s")
     )
+    # standard rows alike in all that counts tie, so the least key stands for them
+    rows = rows.filter("event").union(rows.filter("not event").groupBy("event", "t", "s").agg(F.min("k").alias("k")).select("k", "event", "t", "s"))
     tokens = rows.select("k", "event", F.explode(F.array_distinct(F.split("t", r"\s+"))).alias("w")).filter("w <> ''")
     weight = tokens.groupBy("w").agg(F.count("*").alias("n"))
     rank = F.row_number().over(Window.partitionBy("k").orderBy("n", "w"))
     blocks = tokens.join(weight, "w").withColumn("r", rank).filter(F.col("r") <= words).select("k", "event", "w")
-    prefix = rows.filter(F.char_length("s") >= 24).select("k", "event", F.concat(F.lit("~"), F.substring("s", 1, 24)).alias("w"))
-    blocks = blocks.union(prefix)
     events = blocks.filter("event").select(F.col("k").alias("e"), "w")
-    pairs = events.join(blocks.filter("not event").select(F.col("k").alias("d"), "w"), "w").select("e", "d").distinct()
+    by_word = events.join(blocks.filter("not event").select(F.col("k").alias("d"), "w"), "w").select("e", "d")
+    same_text = rows.filter("not event and s <> ''").groupBy("s").agg(F.min("k").alias("d"))
+    by_text = rows.filter("event").select(F.col("k").alias("e"), "s").join(same_text, "s").select("e", "d")
+    pairs = by_word.union(by_text).distinct()
     side = lambda k: rows.select(F.col("k").alias(k), F.col("t").alias(f"t_{k}"), F.col("s").alias(f"s_{k}"))
     scored = pairs.join(side("e"), "e").join(side("d"), "d")
     scored = scored.withColumn("by_title", token_sort_indel("t_e", "t_d")).withColumn("by_text", F.when((F.col("s_e") != "") & (F.col("s_d") != ""), indel("s_e", "s_d")).otherwise(0.0))
