@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -12,7 +14,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder that the session names in spark.checkpoint.dir; only where it names none, one of our own."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="marquetry-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            named = tempfile.mkdtemp(prefix="marquetry-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
 
 
 def cut(spark: SparkSession, df: DataFrame) -> DataFrame:
