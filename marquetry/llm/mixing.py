@@ -13,6 +13,8 @@ from marquetry.sources.scratch import cut
 
 # Documents of a shard of one source; a shard's flight leaves two undecided at most.
 SHARD = 8192
+# Decided documents of a shard that go on with its undecided ones, to be exchanged at the landing if need be.
+SPARE = 64
 TINY = 1e-9
 
 
@@ -48,11 +50,38 @@ def flight(tokens: np.ndarray, chance: np.ndarray, rng: np.random.Generator) ->
         hand = [i for i in hand if 0.0 < p[i] < 1.0]
 
 
-def landing(tokens: np.ndarray, chance: np.ndarray) -> np.ndarray:
-    """The few chances left (two at most) as 0 or 1 so that the tokens come nearest to what was expected."""
+def landing(tokens: np.ndarray, chance: np.ndarray, exchanges: int = 400) -> np.ndarray:
+    """All chances as 0 or 1 with the sum of tokens nearest to what was expected.
+
+    The undecided ones (few) are rounded the best way; what this leaves to be desired, as the last undecided may be a
+    long document, is made up for by exchanging taken documents for others of a fitting difference in size, one for one,
+    so the number of documents stays.
+    """
+    x = chance.astype(float).copy()
     want = float((tokens * chance).sum())
-    best = min(itertools.product((0.0, 1.0), repeat=len(chance)), key=lambda x: (abs(float(np.dot(x, tokens)) - want), abs(sum(x) - chance.sum())))
-    return np.array(best)
+    last = np.flatnonzero((x > TINY) & (x < 1 - TINY))
+    if not len(last):
+        return np.round(x)
+    count = x[last].sum()
+    head = last[:10]
+    x[last[10:]] = np.round(x[last[10:]])
+    rest = want - float((tokens * np.where(np.isin(np.arange(len(x)), head), 0.0, x)).sum())
+    x[head] = min(itertools.product((0.0, 1.0), repeat=len(head)), key=lambda v: (abs(float(np.dot(v, tokens[head])) - rest), abs(sum(v) - count)))
+    for _ in range(exchanges):
+        error = float((tokens * x).sum()) - want
+        taken, left = np.flatnonzero(x == 1), np.flatnonzero(x == 0)
+        if abs(error) < 1 or not len(taken) or not len(left):
+            break
+        left = left[np.argsort(tokens[left], kind="stable")]
+        goal = tokens[taken] - error
+        at = np.clip(np.searchsorted(tokens[left], goal), 0, len(left) - 1)
+        at = np.where((at > 0) & (np.abs(tokens[left[np.maximum(at - 1, 0)]] - goal) < np.abs(tokens[left[at]] - goal)), at - 1, at)
+        miss = np.abs(tokens[left[at]] - goal)
+        best = int(miss.argmin())
+        if miss[best] >= abs(error):
+            break
+        x[taken[best]], x[left[at[best]]] = 0.0, 1.0
+    return x
 
 
 def mixture_plan(docs: DataFrame, targets: DataFrame, total: int | None = None) -> list[dict]:
@@ -99,11 +128,12 @@ def _flyer(seed: int, turn: int, last: bool):
         mixed = rng.permutation(len(p))
         moved = np.empty(len(p))
         moved[mixed] = flight(tokens[mixed], p[mixed], rng)
-        undecided = (moved > 0) & (moved < 1)
-        if last and undecided.any():
-            moved[undecided] = landing(tokens[undecided], moved[undecided])
-            undecided[:] = False
-        return pdf.assign(chance=moved, open=undecided)[["doc", "source", "tokens", "whole", "chance", "open"]]
+        on = (moved > 0) & (moved < 1)
+        if last:
+            moved, on = landing(tokens, moved), np.zeros(len(p), bool)
+        else:
+            on[mixed[:SPARE]] |= (p[mixed[:SPARE]] > 0) & (p[mixed[:SPARE]] < 1) | pdf["spare"].to_numpy()[mixed[:SPARE]]
+        return pdf.assign(chance=moved, open=on, spare=True)[["doc", "source", "tokens", "whole", "chance", "spare", "open"]]
 
     return run
 
@@ -114,7 +144,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, targets: DataFrame, total:
     docs: (doc, source, tokens); targets: (source, target_share, max_repeats). Every document of a source has the
     same expected copies: the whole part surely, the fraction as a chance. A cube flight in shards of a source
     decides all but two documents of each while tokens and documents stay balanced; the undecided go on to the next
-    round, still with their chances, until a source is one shard, whose last two land nearest to the wanted tokens.
+    round, still with their chances, until a source is one shard, which lands nearest to the wanted tokens (`landing`).
     No document gets more copies than max_repeats. Sources that aren't listed, null sources and documents of no
     tokens stay out. The same input and seed give the same mixture for the same partitions.
     """
@@ -124,9 +154,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, targets: DataFrame, total:
     # a rate that is a whole number but for rounding is that number
     whole = F.floor(F.col("repeats") + TINY)
     chance = F.greatest(F.col("repeats") - whole, F.lit(0.0))
-    open_docs = cut(spark, kept.select("doc", "source", "tokens", whole.cast("int").alias("whole"), chance.alias("chance")))
+    open_docs = cut(spark, kept.select("doc", "source", "tokens", whole.cast("int").alias("whole"), chance.alias("chance"), F.lit(False).alias("spare")))
     doc = docs.schema["doc"].dataType.simpleString()
-    schema = f"doc {doc}, source string, tokens bigint, whole int, chance double, open boolean"
+    schema = f"doc {doc}, source string, tokens bigint, whole int, chance double, spare boolean, open boolean"
     parts = []
     for turn in range(rounds):
         counts = open_docs.groupBy("source").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / shard)).alias("shards"))
