@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from marquetry.functions.text import plain_form
 
-# Tokens of one term are spread over so many partitions by record, so a hot term is never one task's.
+# Tokens of one term are spread over at least so many partitions by record (over all of a larger cluster's), so a hot
+# term is never one task's.
 SALTS = 32
 
 
@@ -104,10 +105,11 @@ def _counters(tokens: DataFrame) -> DataFrame:
             T.StructField("n", T.LongType()),
         ]
     )
+    salts = max(SALTS, int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (
         tokens.withColumn("n", F.lit(1).cast("bigint"))
         .mapInArrow(_combine, combined)
-        .repartition("field", "term", F.pmod(F.xxhash64("record"), F.lit(SALTS)))
+        .repartition("field", "term", F.pmod(F.xxhash64("record"), F.lit(salts)))
         .sortWithinPartitions("field", "term", "record")
         .mapInArrow(_count, "field string, term string, occurrences bigint, records bigint")
     )
