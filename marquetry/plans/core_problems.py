@@ -161,5 +161,39 @@ _P6 = " union all ".join(
     ]
 )
 
+# Independent of the operator's patterns: one test for each currency, the first number, and the word after it.
+_MONEY = [
+    ("AUD", r"A\$|\bAUD\b|Australian dollars"), ("EUR", r"€|\bEUR\b|\beuros\b"), ("GBP", r"£|\bGBP\b|pounds sterling"), ("KRW", r"₩|\bKRW\b|\bwon\b"),
+    ("JPY", r"\bJPY\b|\byen\b|万円|\(Japan\)"), ("CNY", r"\bCNY\b|\bRMB\b|\byuan\b|万元|\(China\)"), ("INR", r"₹|\bINR\b|\brupees\b|Rs\.|\bcrore\b|\blakhs\b"), ("USD", r"\$|\bUSD\b|dollars"),
+]
+_SCALED = [("lakhs", 100000), ("crore", 10000000), ("cr", 10000000), ("Cr", 10000000), ("万", 10000), ("bn", 1000000000), ("billion", 1000000000), ("Mio.", 1000000), ("million", 1000000), ("m", 1000000), ("k", 1000)]
+_NUMBER = r"[0-9][0-9,]*(?:\.[0-9]+)?(?:e\+[0-9]+)?"
+_AFTER = "(" + "|".join(w.replace(".", r"\.") for w, _ in _SCALED) + ")"
+_P2 = rf"""with t as (select film_id, budget_usd as v, budget_local as l, upper(trim(budget_currency)) as c, budget_source as t from film_meta where budget_usd <> 0),
+u as (select *, case {" ".join(f"when regexp_matches(t, '{p}') then '{c}'" for c, p in _MONEY)} end as unit,
+  case when regexp_matches(t, '000s|''000|thousands of') then 1000 when regexp_matches(t, 'USD mn|\$ millions') then 1000000 end as phrase from t),
+n as (select *, case when phrase is null then try_cast(replace(regexp_extract(t, '({_NUMBER})', 1), ',', '') as double) end as number,
+  case when phrase is null then regexp_extract(t, '{_NUMBER} ?{_AFTER}(?:[^a-z]|$)', 1) end as word from u),
+f as (select n.*, case {" ".join(f"when word = '{w}' then {m}" for w, m in _SCALED)} else coalesce(phrase, 1) end as factor, a.units_per_usd as ur, b.units_per_usd as cr
+  from n left join fx_rates a on a.currency = n.unit left join fx_rates b on b.currency = n.c),
+g as (select *, abs(v - number * factor / ur) <= 0.006 * greatest(abs(v), number * factor / ur) as conv, abs(v - number * factor) <= 0.006 * greatest(abs(v), number * factor) as whole,
+  abs(v - number) <= 0.006 * greatest(abs(v), number) as part, abs(v - l / cr) <= 0.006 * greatest(abs(v), l / cr) as lconv, abs(v - l) <= 0.006 * greatest(abs(v), l) as lwhole from f),
+r as (select film_id, v, coalesce(case when unit is not null then unit end, case when cr is not null then c end) as named,
+  case when conv then 'USD' when whole or part or (number is null and unit is not null) then unit when lconv then 'USD' when lwhole and cr is not null then c end as cur,
+  case when conv or whole then 1 when part or (number is null and unit is not null) then factor when lconv or (lwhole and cr is not null) then 1 end as mult from g),
+e as (select r.*, v * mult / x.units_per_usd as usd, y.units_per_usd as lr from r left join fx_rates x on x.currency = cur left join fx_rates y on y.currency = named and named <> 'USD'),
+m as (select coalesce(e.film_id, k.film_id) as film_id, e.v, e.cur, e.mult, e.usd, case when named <> 'USD' then named end as named, lr, k.budget as b
+  from e full join (select film_id, budget from tmdb_cache where budget <> 0) k on e.film_id = k.film_id),
+w as (select 'film_meta' as tbl, film_id, v as s, b as est, named, lr, cur, mult from m where v is not null union all
+  select 'tmdb_cache', film_id, b, usd, named, lr, null, null from m where b is not null),
+o as (select *, abs(ln(s / est)) as d1, abs(ln(s * 1000 / est)) as d2, abs(ln(s * 1000000 / est)) as d3, coalesce(abs(ln(s / lr / est)), 1e9) as d4 from w),
+p as (select tbl, film_id, s, case when cur is not null then cur when est is null or d1 <= ln(3) or least(d1, d2, d3) <= d4 then 'USD' else named end as currency,
+  (case when cur is not null then mult when est is null then case when abs(s) < 10000 then 1000000 else 1 end when d1 <= ln(3) then 1 when d4 < least(d1, d2, d3) then 1
+    when d3 <= least(d1, d2) then 1000000 when d2 <= d1 then 1000 else 1 end)::bigint as multiplier from o)"""
+
 QUERIES = {"p2_found": p2_found, "p2_dollars": p2_dollars, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found}
-SQL: dict[str, str] = {"p4_found": _P4, "p6_found": _P6}
+SQL: dict[str, str] = {
+    "p2_found": _P2 + " select tbl, film_id, currency, multiplier from p where currency <> 'USD' or multiplier <> 1",
+    "p2_dollars": _P2 + " select tbl, film_id, s as stated, currency, multiplier, round(s * multiplier / units_per_usd)::bigint as usd from p join fx_rates using (currency)",
+    "p4_found": _P4, "p6_found": _P6,
+}
