@@ -26,7 +26,7 @@ FIELDS = ["titles", "sequels", "trusts", "days", "years", "people", "companies"]
 WEIGHTS = {"title": 0.5, "people": 0.2, "day": 0.2, "companies": 0.1}
 ACCEPT = 0.6
 WINDOW = 12
-# Rows of a sorted partition at least, so that a window never spans more than two.
+# Rows of a sorted partition on average at least, so that most windows span no more than two.
 PART = 2048
 
 
@@ -243,47 +243,62 @@ def _bits(x: np.ndarray) -> np.ndarray:
 FAR = 800
 
 
-ROW = ["side", "id", "day", "firm_bits", "people_bits", "person", "low", "high"]
+ROW = ["side", "id", "day", "firm_bits", "people_bits", "person", "low", "high", "place"]
+# Pairs looked at in one go.
+CHUNK = 1 << 20
 
 
-def _compare(rows: dict[str, np.ndarray], window: int, first: int) -> np.ndarray:
-    """(id, other) of the pairs across sides at most `window` places apart of which the later row has index `first` or more.
+def _likely(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the pairs of rows i and j are worth scoring.
 
     A pair is kept if its titles share most letter pairs, its days are not far apart and something else speaks for it or
     is unknown; or if the key's person is the same, with two companies, within two months.
     """
-    side, key, day, firms, people, who, a, b = (rows[c] for c in ROW)
+    _, _, day, firms, people, who, a, b, _ = (rows[c] for c in ROW)
     size = _bits(a) + _bits(b)
-    found = []
-    for step in range(1, min(window, len(key) - 1) + 1):
-        start = max(0, first - step)
-        i, j = slice(start, -step), slice(start + step, None)
-        gap = np.abs(day[i] - day[j])  # not a number where a day is unknown
-        shared = _bits(a[i] & a[j]) + _bits(b[i] & b[j])
-        most = np.maximum(size[i], size[j])
-        alike = (shared >= 0.65 * np.maximum(np.minimum(size[i], size[j]), 1)) & ~(gap > FAR + 31)
-        backed = ((firms[i] & firms[j]) != 0) | ((people[i] & people[j]) != 0) | (firms[i] == 0) | (firms[j] == 0) | (people[i] == 0) | (people[j] == 0)
-        person = (who[i] != 0) & (who[i] == who[j]) & (gap <= 62) & (_bits(firms[i] & firms[j]) > 1)
-        ok = (side[i] != side[j]) & ((alike & (backed | (shared >= 0.9 * most))) | person)
-        if ok.any():
-            l, r, swap = key[i][ok], key[j][ok], side[i][ok] == 1
-            found.append(np.stack([np.where(swap, r, l), np.where(swap, l, r)], 1))
-    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+    gap = np.abs(day[i] - day[j])  # not a number where a day is unknown
+    shared = _bits(a[i] & a[j]) + _bits(b[i] & b[j])
+    most = np.maximum(size[i], size[j])
+    alike = (shared >= 0.65 * np.maximum(np.minimum(size[i], size[j]), 1)) & ~(gap > FAR + 31)
+    backed = ((firms[i] & firms[j]) != 0) | ((people[i] & people[j]) != 0) | (firms[i] == 0) | (firms[j] == 0) | (people[i] == 0) | (people[j] == 0)
+    person = (who[i] != 0) & (who[i] == who[j]) & (gap <= 62) & (_bits(firms[i] & firms[j]) > 1)
+    return (alike & (backed | (shared >= 0.9 * most))) | person
+
+
+def _compare(rows: dict[str, np.ndarray], window: int, first: int) -> Iterator[np.ndarray]:
+    """(id, other) of the likely pairs across sides whose keys are at most `window` distinct keys apart and of which the
+    later row has index `first` or more. `place` numbers the keys; rows of one key are all compared, however many."""
+    side, key, place = rows["side"], rows["id"], rows["place"]
+    for s in (0, 1):
+        at = np.flatnonzero(side != s)
+        later = np.flatnonzero(side == s)
+        later = later[later >= first]
+        low, high = np.searchsorted(place[at], place[later] - window), np.searchsorted(at, later)
+        ends = np.cumsum(high - low)
+        total = int(ends[-1]) if len(ends) else 0
+        for start in range(0, total, CHUNK):
+            pair = np.arange(start, min(total, start + CHUNK))
+            k = np.searchsorted(ends, pair, "right")
+            i, j = at[high[k] - (ends[k] - pair)], later[k]
+            ok = _likely(rows, i, j)
+            if ok.any():
+                l, r = (key[j], key[i]) if s == 0 else (key[i], key[j])
+                yield np.unique(np.stack([l[ok], r[ok]], 1), axis=0)
 
 
 def _windows(window: int):
-    """Pairs of a sorted partition, and its first and last rows for the windows that reach into the next partition."""
+    """Pairs of a sorted partition, and the rows of its first and last keys for the windows that reach into other partitions."""
     kinds = {"day": float, "side": np.int32}
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * 6]
-    names = ["id", "other", "border", "place", "side", "day", *ROW[3:], "key"]
+    names = ["id", "other", "part", "place", "side", "day", *ROW[3:-1], "key"]
 
-    def edge(rows: dict[str, np.ndarray], part: slice, border: int, offset: int) -> pa.RecordBatch:
-        n = len(rows["id"][part])
-        day = rows["day"][part]
+    def edge(rows: dict[str, np.ndarray], chosen: np.ndarray, part: int) -> pa.RecordBatch:
+        rows = {c: v[chosen] for c, v in rows.items()}
+        n, day = len(rows["id"]), rows["day"]
         columns = [
-            pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(np.full(n, border, np.int32)), pa.array(np.arange(n, dtype=np.int32) + offset),
-            pa.array(rows["side"][part].astype(np.int32)), pa.array(np.nan_to_num(day, nan=-1e6).astype(np.int32), mask=np.isnan(day)),
-            *(pa.array(rows[c][part]) for c in ROW[3:]), pa.array(rows["id"][part]),
+            pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(np.full(n, part, np.int32)), pa.array(rows["place"].astype(np.int32)),
+            pa.array(rows["side"].astype(np.int32)), pa.array(np.nan_to_num(day, nan=-1e6).astype(np.int32), mask=np.isnan(day)),
+            *(pa.array(rows[c]) for c in ROW[3:-1]), pa.array(rows["id"]),
         ]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -292,49 +307,73 @@ def _windows(window: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(kinds.get(c, np.int64)) for c in ROW}
-            if held is None:
-                yield edge(rows, slice(0, window), part - 1, window)
-                first = 0
-            else:
-                first = len(held["id"])
-                rows = {c: np.concatenate([held[c], rows[c]]) for c in ROW}
-            pairs = _compare(rows, window, first)
-            n = len(pairs)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *(pa.nulls(n, t) for t in types[2:])], names=names)
-            held = {c: v[-window:] for c, v in rows.items()}
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(kinds.get(c, np.int64)) for c in [*ROW[:-1], "mark"]}
+            mark = rows["mark"]
+            new = np.append(held is not None and held["mark"][-1] != mark[0], mark[1:] != mark[:-1])
+            rows["place"] = np.cumsum(new) + (0 if held is None else held["place"][-1])
+            first = 0 if held is None else len(held["id"])
+            yield edge(rows, rows["place"] < window, part)
+            if held is not None:
+                rows = {c: np.concatenate([held[c], v]) for c, v in rows.items()}
+            for pairs in _compare(rows, window, first):
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *(pa.nulls(len(pairs), t) for t in types[2:])], names=names)
+            recent = rows["place"] > rows["place"][-1] - window
+            held = {c: v[recent] for c, v in rows.items()}
         if held is not None:
-            yield edge(held, slice(None), part, 0)
+            yield edge(held, held["place"] >= window, part)  # those before are out already
 
-    schema = "id bigint, other bigint, border int, place int, side int, day int, firm_bits bigint, people_bits bigint, person bigint, low bigint, high bigint, `key` bigint"
+    schema = "id bigint, other bigint, part int, place int, side int, day int, firm_bits bigint, people_bits bigint, person bigint, low bigint, high bigint, `key` bigint"
     return run, schema
 
 
 def _across(window: int):
+    """Pairs over one border: `place` counts the keys from it, negative before."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("place", kind="stable")
         rows = {c: pdf["key" if c == "id" else c].to_numpy(float if c == "day" else None) for c in ROW}
-        pairs = _compare(rows, window, int((pdf["place"] < window).sum()))
+        pairs = np.concatenate([np.zeros((0, 2), np.int64), *_compare(rows, window, int((pdf["place"] < 0).sum()))])
         return pd.DataFrame({"id": pairs[:, 0], "other": pairs[:, 1]})
 
     return run
 
 
+def _borders(sizes: dict[int, int], window: int) -> list[tuple[int, int, int]]:
+    """(part, border, shift) from the number of keys of each partition: the borders within `window` keys of a partition,
+    with what makes its places count from there. A window may span several partitions of few keys."""
+    parts = sorted(sizes)
+    start = dict(zip(parts, np.cumsum([0, *(sizes[p] for p in parts)]).tolist()))
+    found = []
+    for k, b in enumerate(parts[1:], 1):
+        near = [p for p in parts[k:] if start[p] < start[b] + window]
+        for p in reversed(parts[:k]):
+            if start[p] + sizes[p] <= start[b] - window:
+                break
+            near.append(p)
+        found += [(p, b, start[p] - start[b]) for p in near]
+    return found
+
+
 def sorted_neighbourhood(spark: SparkSession, described: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(id, other): pairs of a profile of side 0 and one of side 1 that stand within `window` places of each other
-    under some sort key and are likely enough to be scored (see `_compare`).
+    """(id, other): pairs of a profile of side 0 and one of side 1 whose keys are within `window` distinct keys of each
+    other under some sort key and are likely enough to be scored (see `_likely`).
 
     One range sort of all keys; a window slides over each sorted partition as it streams by, and windows over a border
-    of partitions are made up from the last and first rows on either side. Work is even however often a key occurs.
+    of partitions are made up from the last and first keys on either side. All rows of a key stand at one place, so no
+    number of rows of one key pushes others out; pairs grow with the rows of either side under near keys.
     """
     rows = described.select("side", "id", "day", "firm_bits", "people_bits", F.explode(F.arrays_zip("sort", "person", "low", "high")).alias("s"))
     rows = rows.select("side", "id", "day", "firm_bits", "people_bits", "s.*")
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), described.count() // PART))
-    rows = rows.withColumn("u", F.xxhash64("id", "side")).repartitionByRange(parts, "sort", "u").sortWithinPartitions("sort", "u").select(*ROW)
+    rows = rows.repartitionByRange(parts, "sort").sortWithinPartitions("sort").select(*ROW[:-1], F.xxhash64("sort").alias("mark"))
     found = stored(spark, rows.mapInArrow(*_windows(window)))
-    inside = found.filter("border is null").select("id", "other")
-    borders = found.filter("border is not null").groupBy("border").applyInPandas(_across(window), "id bigint, other bigint")
-    return inside.union(borders).distinct()
+    inside = found.filter("part is null").select("id", "other")
+    edges = found.filter("part is not null").drop("id", "other")
+    sizes = {r["part"]: r["n"] + 1 for r in edges.groupBy("part").agg(F.max("place").alias("n")).collect()}
+    borders = spark.createDataFrame(_borders(sizes, window), "part int, border int, shift int")
+    edges = edges.join(F.broadcast(borders), "part").withColumn("place", F.col("place") + F.col("shift")).filter(F.col("place").between(-window, window - 1))
+    across = edges.drop("part", "shift").groupBy("border").applyInPandas(_across(window), "id bigint, other bigint")
+    return inside.union(across).distinct()
 
 
 def title_likeness(a: str, b: str) -> Column:

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from marquetry.llm.matching import match_entities, one_to_one
+from marquetry.llm.matching import _borders, match_entities, one_to_one, profiles, sorted_neighbourhood
 from marquetry.llm.titles import company_key, date_days, people_keys, title_form
 
 KIND = "id bigint, titles array<string>, trusts array<double>, dates array<string>, people array<string>, companies array<string>"
@@ -52,6 +52,22 @@ def test_hot_title(spark):
     assert run(spark, left, right) == {i: 1000 + i for i in range(90)}
 
 
+def test_many_bookings(spark):
+    """One work under more rows than the window has places, each of another day, among others of the same person."""
+    left = [row(i, "Quiet Harbour", f"2005-{1 + i % 9:02}-{1 + i // 9:02}", "Ann Lee", ["Juniper Studios"]) for i in range(90)]
+    right = [row(1000, "Quiet Harbour", "2005-06-20", "Ann Lee", ["Juniper Studios"])]
+    assert run(spark, left, right) == {i: 1000 for i in range(90)}
+
+
+def test_window_counts_keys(spark):
+    """Rows of one key are one place, wherever partitions end."""
+    spread = lambda i: (i, ["Quiet Harbour"], [1.0], ["2005-05-01"], ["Ann Lee"], ["Juniper Studios"])
+    described = profiles(spark.createDataFrame([spread(i) for i in range(3 * 2048)], KIND), 0).union(profiles(spark.createDataFrame([spread(9000 + i) for i in range(3)], KIND), 1))
+    assert sorted_neighbourhood(spark, described).count() == 3 * 3 * 2048
+    # places over several partitions of few keys
+    assert sorted(_borders({0: 20, 2: 3, 5: 20}, 12)) == [(0, 2, -20), (0, 5, -23), (2, 2, 0), (2, 5, -3), (5, 2, 3), (5, 5, 0)]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_assignment_is_best(spark, seed):
     random.seed(seed)
