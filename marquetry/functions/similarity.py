@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +29,63 @@ def token_sort(text: str) -> str:
     return " ".join(sorted(text.split()))
 
 
+class Texts:
+    """Many texts that one text at a time is compared with: `indel_ratio`, bit-parallel over all, and a bound of it."""
+
+    BINS, BITS = 32, 62
+
+    def __init__(self, texts: list[str]):
+        self.length = np.array([len(x) for x in texts], np.int64)
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        row = np.repeat(np.arange(len(texts)), self.length)
+        column = np.arange(len(points)) - np.repeat(np.cumsum(self.length) - self.length, self.length)
+        letters, code = np.unique(points, return_inverse=True)
+        self.code = {chr(c): i for i, c in enumerate(letters.tolist())}
+        # one row a place, the code after the last beyond the end
+        self.at = np.full((int(self.length.max(initial=0)), len(texts)), len(letters), np.int32)
+        self.at[column, row] = code
+        self.counts = np.bincount(points % self.BINS * len(texts) + row, minlength=self.BINS * len(texts)).reshape(self.BINS, len(texts)).astype(np.int32)
+
+    def _ratio(self, common: np.ndarray, n: int, length: np.ndarray) -> np.ndarray:
+        total = length + n
+        return np.where(total > 0, 100.0 * 2 * common / np.maximum(total, 1), 100.0)
+
+    def bound(self, text: str) -> np.ndarray:
+        """No less than `indel_ratio` of the text and each of the texts: by the letters they have in common in any order.
+        0 where one of the two is empty and the other not."""
+        own = np.bincount(np.array([ord(c) % self.BINS for c in text], np.int64), minlength=self.BINS)
+        common = np.zeros(len(self.length), np.int32)
+        for b in np.flatnonzero(own):
+            common += np.minimum(self.counts[b], np.int32(own[b]))
+        return self._ratio(common, len(text), self.length)
+
+    def ratio(self, text: str, which: np.ndarray) -> np.ndarray:
+        """`indel_ratio` of the text and those of the texts."""
+        length = self.length[which]
+        at = self.at[: int(length.max(initial=0)), which]
+        limbs = range(0, len(text), self.BITS)
+        masks, rows, full = [], [], []
+        for start in limbs:
+            part = text[start : start + self.BITS]
+            mask = np.zeros(len(self.code) + 1, np.int64)
+            for i, c in enumerate(part):
+                if c in self.code:
+                    mask[self.code[c]] |= 1 << i
+            masks.append(mask)
+            full.append((1 << len(part)) - 1)
+            rows.append(np.full(len(which), full[-1], np.int64))
+        for codes in at:
+            carry = 0
+            for k, mask in enumerate(masks):
+                hit = rows[k] & mask[codes]
+                total = rows[k] + hit + carry
+                if k + 1 < len(masks):
+                    carry = total >> self.BITS
+                rows[k] = (total & full[k]) | (rows[k] ^ hit)
+        common = len(text) - sum((np.bitwise_count(r).astype(np.int64) for r in rows), np.zeros(len(which), np.int64))
+        return self._ratio(common, len(text), length)
+
+
 @F.pandas_udf(T.DoubleType())
 def indel(a: pd.Series, b: pd.Series) -> pd.Series:
     """`indel_ratio` of two columns; null counts as ''."""

@@ -1,8 +1,12 @@
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from marquetry.functions import entities as E
 from marquetry.functions import jsonx as J
+from marquetry.functions import similarity
 from marquetry.functions import titles as X
 from marquetry.functions.similarity import indel_ratio
 from marquetry.operators import curate, encode, profile, upsert, variants
@@ -158,6 +162,42 @@ def test_variants(spark):
     assert merged[2] == ("A cat and a mouse fight all day long in a house", ["x", "y"]) and set(merged) == {2, 3, 4}
 
 
+def test_texts():
+    random.seed(3)
+    texts = ["", "A", *("".join(random.choice("ABCDé 😀") for _ in range(random.randrange(150))) for _ in range(60))]
+    packed = similarity.Texts(texts)
+    for x in texts:
+        exact = [similarity.indel_ratio(x, y) for y in texts]
+        assert packed.ratio(x, np.arange(len(texts))).tolist() == exact and (packed.bound(x) >= exact).all()
+    assert similarity.Texts([]).bound("A").size == 0
+
+
+def test_fuzzy_best_is_best_of_all(spark):
+    """As by comparing each event with each standard row, also where titles share no word and openings differ."""
+    random.seed(7)
+    pool = ["".join(random.choice("ABDEGIKLMNORSTU") for _ in range(random.randint(2, 8))) for _ in range(60)]
+    text = lambda n: " ".join(random.choice(pool) for _ in range(n))
+    standard = [(i, text(random.randint(1, 4)), random.choice([None, text(18), text(18)])) for i in range(120)]
+    events = []
+    for i in range(60):
+        _, t, s = random.choice(standard)
+        words = [w if random.random() < 0.75 else random.choice(pool) for w in (s or "").split()]
+        events.append((1000 + i, "GC " + random.choice([t[:-1] + "X", text(2), t]), " ".join(words) or None))
+    got = variants.fuzzy_best(spark.createDataFrame(standard + events, "k bigint, t string, s string"), "k", "t", "s").collect()
+    want = {}
+    for e, t, s in events:
+        t, s = t[3:].strip(), (s or "")[:80].strip()
+        scores = []
+        for d, u, v in standard:
+            v = (v or "")[:80].strip()
+            scores.append((similarity.indel_ratio(similarity.token_sort(t), similarity.token_sort(u)), similarity.indel_ratio(s, v) if s and v else 0.0, -d))
+        both = max(x[1] for x in scores) > 0
+        score, d = max((0.4 * x + 0.6 * y if both else x, d) for x, y, d in scores)
+        if score >= 60:
+            want[e] = (-d, pytest.approx(score))
+    assert len(want) > 30 and {r["event_key"]: (r["standard_key"], r["score"]) for r in got} == want
+
+
 def test_providers(spark, tmp_path):
     calls = []
 
