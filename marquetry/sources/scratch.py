@@ -1,4 +1,4 @@
-"""Cutting the lineage of iterative jobs with files in the cluster's shared folder."""
+"""Intermediate tables of iterative jobs in the cluster's shared folder."""
 
 from __future__ import annotations
 
@@ -7,29 +7,74 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder that the session names in spark.checkpoint.dir; only where it names none, one of our own."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir. Where it names none, a local session gets one of its
+    own, removed at the end; on a cluster that is an error, as executors don't share the driver's disk."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named:
+            if not sc.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             named = tempfile.mkdtemp(prefix="marquetry-")
             atexit.register(shutil.rmtree, named, ignore_errors=True)
         sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
 
 
-def cut(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """`df` written to the shared folder and read from there, so a lost executor costs no recomputation."""
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+class Scratch:
+    """The intermediate tables of one operator: parquet in the shared folder, so a lost executor costs no recomputation.
+
+    `result` stores the operator's outcome and removes all tables before it; the outcome itself goes with the session.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def _path(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def table(self, df: DataFrame) -> DataFrame:
+        """`df` written out and read from there."""
+        path = f"{shared_folder(self.spark)}/table-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self.paths.append(path)
+        fs, p = self._path(path)
+        fs.deleteOnExit(p)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def counted(self, df: DataFrame) -> tuple[DataFrame, int]:
+        """`table` and its number of rows, counted while it is written."""
+        seen = Observation()
+        out = self.table(df.observe(seen, F.count(F.lit(1)).alias("n")))
+        return out, seen.get["n"]
+
+    def drop(self) -> None:
+        """Remove the tables stored so far; nothing may read them any more."""
+        for path in self.paths:
+            fs, p = self._path(path)
+            fs.delete(p, True)
+        self.paths = []
+
+    def result(self, df: DataFrame) -> DataFrame:
+        before, self.paths = self.paths, []
+        out = self.table(df)
+        kept, self.paths = self.paths, before
+        self.drop()
+        self.paths = kept
+        return out
 
 
 def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """`df` as a parquet table in the shared folder: for large intermediate results, read again by column."""
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """`df` as a table of the shared folder that stays until the session ends."""
+    return Scratch(spark).table(df)
+
+
+def cut(spark: SparkSession, df: DataFrame) -> DataFrame:
+    return stored(spark, df)
