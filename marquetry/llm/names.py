@@ -6,30 +6,25 @@ import re
 import unicodedata
 from dataclasses import dataclass
 
-# Short forms of given names and the full name they stand for.
-NICKNAMES = {
-    "abby": "abigail", "gail": "abigail", "alex": "alexander", "sasha": "alexander", "xander": "alexander", "sandy": "alexander",
-    "ani": "aniruddha", "gus": "augustus", "bea": "beatrix", "trixie": "beatrix", "ben": "benjamin", "benny": "benjamin",
-    "cass": "cassandra", "cassie": "cassandra", "sandra": "cassandra", "lottie": "charlotte", "charlie": "charlotte", "chichi": "chidinma",
-    "neil": "cornelius", "cory": "cornelius", "connie": "cornelius", "des": "desmond", "dez": "desmond", "dima": "dimitri", "mitya": "dimitri",
-    "dot": "dorothea", "dottie": "dorothea", "dora": "dorothea", "thea": "dorothea", "ed": "edward", "eddie": "edward", "ned": "edward", "ted": "edward",
-    "liz": "elizabeth", "lizzie": "elizabeth", "beth": "elizabeth", "betty": "elizabeth", "eliza": "elizabeth", "bess": "elizabeth",
-    "eve": "evangeline", "evie": "evangeline", "eva": "evangeline", "fred": "frederick", "freddie": "frederick", "freddy": "frederick", "rick": "richard",
-    "ferdie": "ferdinand", "nando": "ferdinand", "gabe": "gabriel", "gwen": "gwendolyn", "hattie": "henrietta", "etta": "henrietta", "hetty": "henrietta",
-    "bert": "hubert", "immy": "imogen", "immie": "imogen", "izzy": "isabella", "bella": "isabella", "isa": "isabella", "jon": "jonathan", "jonny": "jonathan", "nathan": "jonathan",
-    "josie": "josephine", "jo": "josephine", "kate": "katherine", "kathy": "katherine", "katie": "katherine", "kit": "katherine", "kwab": "kwabena",
-    "len": "leonard", "lenny": "leonard", "leo": "leonard", "lucy": "lucinda", "cindy": "lucinda", "mila": "ludmila", "lyuda": "ludmila",
-    "maggie": "margaret", "peggy": "margaret", "meg": "margaret", "greta": "margaret", "mike": "michael", "mick": "michael", "mickey": "michael", "misha": "michael",
-    "monty": "montgomery", "nate": "nathaniel", "nat": "nathaniel", "nick": "nicholas", "nico": "nicholas", "nicky": "nicholas", "klaus": "nicholas",
-    "olu": "olumide", "tilly": "ottilie", "tillie": "ottilie", "pat": "patricia", "patty": "patricia", "tricia": "patricia", "trish": "patricia",
-    "penny": "penelope", "nell": "penelope", "percy": "percival", "pippa": "philippa", "pip": "philippa", "pri": "priyanka", "quin": "quentin", "quint": "quentin",
-    "raj": "rajendra", "rafe": "raphael", "rafa": "raphael", "raf": "raphael", "dick": "richard", "rich": "richard", "richie": "richard", "ricky": "richard",
-    "bob": "robert", "bobby": "robert", "rob": "robert", "robbie": "robert", "bert": "robert", "roz": "rosalind", "rosie": "rosalind", "ros": "rosalind",
-    "sam": "samuel", "sammy": "samuel", "seb": "sebastian", "bastian": "sebastian", "tabby": "tabitha", "theo": "theodore", "teddy": "theodore",
-    "tom": "thomas", "tommy": "thomas", "tim": "timothy", "timmy": "timothy", "val": "valentina", "tina": "valentina", "venky": "venkatesh", "venkat": "venkatesh",
-    "vicky": "victoria", "tori": "victoria", "vic": "victoria", "vlad": "vladislav", "bill": "william", "billy": "william", "will": "william", "liam": "william",
-    "mina": "wilhelmina", "willa": "wilhelmina", "billie": "wilhelmina", "xavi": "xavier", "zack": "zachary", "zach": "zachary", "zak": "zachary", "zhenya": "yevgenia",
-    "ferdy": "ferdinand", "chidi": "chidinma", "pepe": "jose", "hettie": "henrietta", "lucky": "lakshmi", "benji": "benjamin", "jonty": "jonathan", "lulu": "lucinda",
+# Full given names and the short forms they go by; one short form may stand for several names. A short
+# form with -y, -ie or -i after it (its last letter doubled or not) goes by the same entry, see `full_names`.
+SHORT_FORMS = {
+    "abigail": "abby gail", "albert": "al bert", "alexander": "alex sasha xander sandy", "alexandra": "alex sasha sandra", "alfred": "alf fred", "andrew": "andy drew",
+    "aniruddha": "ani", "anthony": "tony", "augustus": "gus", "beatrix": "bea trixie", "benedict": "ben", "benjamin": "ben benji", "cassandra": "cass sandra",
+    "charles": "charlie chuck", "charlotte": "charlie lottie", "chidinma": "chichi chidi", "christine": "chris tina", "christopher": "chris kit", "constance": "connie",
+    "cornelius": "neil cory connie", "daniel": "dan", "david": "dave", "desmond": "des dez", "dimitri": "dima mitya", "donald": "don", "dorothea": "dot dora thea",
+    "edmund": "ed ned", "edward": "ed ned ted", "eleanor": "nell", "elizabeth": "liz beth betty eliza bess", "evangeline": "eve evie eva", "ferdinand": "ferd nando",
+    "frederick": "fred rick", "gabriel": "gabe", "gerald": "jerry", "gilbert": "bert gil", "gregory": "greg", "gwendolyn": "gwen", "harold": "harry hal",
+    "henrietta": "hattie etta hetty", "henry": "harry hank hal", "herbert": "bert herb", "hubert": "bert", "imogen": "immy", "isabella": "izzy bella isa",
+    "james": "jim", "jeremy": "jerry", "joanna": "jo", "john": "jack", "jonathan": "jon nathan jonty", "jose": "pepe", "joseph": "joe", "josephine": "josie jo",
+    "katherine": "kate kath katie kit", "kenneth": "ken", "kwabena": "kwab", "lakshmi": "lucky", "lawrence": "larry", "leonard": "len leo", "lucinda": "lucy cindy lulu",
+    "ludmila": "mila lyuda", "margaret": "maggie peggy meg greta", "mary": "molly polly", "matthew": "matt", "michael": "mike mick mickey misha", "montgomery": "monty",
+    "natalie": "nat", "nathaniel": "nate nat", "nicholas": "nick nico klaus", "nicola": "nick", "olumide": "olu", "ottilie": "tilly", "patricia": "pat tricia trish",
+    "patrick": "pat", "penelope": "penny nell", "percival": "percy", "peter": "pete", "philip": "phil", "philippa": "pippa pip", "priyanka": "pri", "quentin": "quin quint",
+    "rajendra": "raj", "raphael": "rafe rafa raf", "raymond": "ray", "richard": "dick rich rick", "robert": "bob rob bert", "ronald": "ron", "rosalind": "roz ros rosie",
+    "samantha": "sam", "samuel": "sam", "sebastian": "seb bastian", "stephen": "steve", "tabitha": "tabby", "theodore": "theo ted", "thomas": "tom", "timothy": "tim",
+    "valentina": "val tina", "valerie": "val", "venkatesh": "venky venkat", "victor": "vic", "victoria": "vicky tori vic", "vladislav": "vlad", "walter": "walt",
+    "wilfred": "will fred", "wilhelmina": "mina willa billie", "william": "bill will liam", "xavier": "xavi", "yevgenia": "zhenya", "zachary": "zack zach zak",
 }
 # Titles before and generation marks after a name; they name nobody.
 TITLES = {"dr", "mr", "mrs", "ms", "miss", "sir", "dame", "prof", "lord", "lady"}
@@ -106,9 +101,38 @@ def parse_name(name: str | None) -> tuple[list[str], bool]:
     return words, bool(comma and given.strip())
 
 
-def full_given(word: str) -> str:
-    """The full form of a given name if `word` is a known short form of it."""
-    return NICKNAMES.get(word.translate(_DIGITS), word)
+_DIMINUTIVE = re.compile(r"(?:ie|y|i)$")
+
+
+def _stems(word: str) -> list[str]:
+    """A short form without its diminutive ending, and with the letter before it single; none without such an ending."""
+    stem = _DIMINUTIVE.sub("", word)
+    if stem == word or len(stem) < 2:
+        return []
+    return [stem, stem[:-1]] if stem[-1] == stem[-2] else [stem]
+
+
+def by_short_form(full: dict[str, str]) -> dict[str, list[str]]:
+    """The full names that each short form stands for, from full names with their short forms. Stems of diminutives
+    are entered with a mark before them, as only other diminutives of the stem stand for the name too."""
+    out: dict[str, list[str]] = {}
+    for name, shorts in full.items():
+        for s in shorts.split():
+            for k in dict.fromkeys([s, f"-{s}", *(f"-{x}" for x in _stems(s))]):
+                if name not in out.setdefault(k, []):
+                    out[k].append(name)
+    return out
+
+
+ALIASES = by_short_form(SHORT_FORMS)
+
+
+def full_names(word: str, aliases: dict[str, list[str]] = ALIASES) -> list[str]:
+    """The full given names that `word` may be short for; itself if it is no known short form."""
+    word = word.translate(_DIGITS)
+    if word in aliases:
+        return aliases[word]
+    return next((aliases[f"-{s}"] for s in _stems(word) if f"-{s}" in aliases), [word])
 
 
 @dataclass(frozen=True)
@@ -116,14 +140,15 @@ class Form:
     """What blocking and comparison use of one written name.
 
     spelling: skeleton of given and family name run together, letters unfolded in plain; keys: skeletons under which the same name may also be
-    written (words swapped, gaps moved, middle names counted in); family: skeleton of the family name; initial: the
-    given name's first letter if it is only an initial; letters: first letters by which the given name may be
-    abbreviated; middles: initials of the middle names.
+    written (words swapped, gaps moved, middle names counted in); soft: letters unfolded of the names it may stand for if
+    the given name is short for several; family: skeleton of the family name; initial: the given name's first letter if it is
+    only an initial; letters: first letters by which the given name may be abbreviated; middles: initials of the middle names.
     """
 
     spelling: str
     plain: str
     keys: list[str]
+    soft: list[str]
     family: str
     initial: str | None
     letters: list[str]
@@ -142,50 +167,41 @@ def _parts(name: str | None) -> tuple[list[str], int]:
     return words, at
 
 
-def name_keys(name: str | None) -> tuple[str, str, list[str]]:
-    """Spelling ('' for an initial), skeleton of the family name, and letters, as in `name_form` but without the rest."""
+def name_keys(name: str | None) -> tuple[list[str], str, list[str]]:
+    """Spellings (none for an initial; one for each name that the given one may be short for), skeleton of the family
+    name, and letters, as in `name_form` but without the rest."""
     words, at = _parts(name)
     if len(words) < 2:
-        return (skeleton(words[0]) if words else ""), "", []
+        return ([skeleton(words[0])] if words and skeleton(words[0]) else []), "", []
     given, family = words[0], "".join(words[at:])
     if len(given) == 1:
-        return "", skeleton(family), [given]
-    root = full_given(given)
-    return skeleton(root + family), skeleton(family), [given[0]] if given[0] == root[0] else [given[0], root[0]]
+        return [], skeleton(family), [given]
+    roots = full_names(given)
+    return sorted({skeleton(r + family) for r in roots}), skeleton(family), sorted({given[0], *(r[0] for r in roots)})
 
 
-def name_form(name: str | None) -> Form:
+def name_form(name: str | None, aliases: dict[str, list[str]] = ALIASES) -> Form:
     """The form of a written name; an empty or missing name has an empty spelling."""
     words, at = _parts(name)
     if not words:
-        return Form("", "", [], "", None, [], [])
+        return Form("", "", [], [], "", None, [], [])
     if len(words) == 1:
         whole = skeleton(words[0])
-        return Form(whole, words[0].replace("-", "").translate(_DIGITS), [whole], "", None, [], [])
+        return Form(whole, words[0].replace("-", "").translate(_DIGITS), [whole], [], "", None, [], [])
     given, middle, family = words[0], words[1:at], "".join(words[at:])
     middles = sorted({w[0] for w in middle})
     if len(given) == 1:
-        return Form("", "", [], skeleton(family), given, [given], middles)
-    root = full_given(given)
+        return Form("", "", [], [], skeleton(family), given, [given], middles)
+    roots = full_names(given, aliases)
+    root = roots[0] if len(roots) == 1 else given  # short for several names, it stands as it is written
+    turned = full_names(family, aliases)
     whole = skeleton(root + family)
-    keys = {whole, skeleton(full_given(family) + given), skeleton(root + "".join(words[1:]))}
+    keys = {whole, skeleton((turned[0] if len(turned) == 1 else family) + given), skeleton(root + "".join(words[1:]))}
     if middle:  # a gap within a given name of two parts
         keys.add(skeleton("".join(words)))
     plain = (root + family).replace("-", "").translate(_DIGITS)
-    return Form(whole, plain, sorted(keys), skeleton(family), None, sorted({given[0], root[0]}), middles)
-
-
-def one_edit_keys(word: str, longest: int = 64) -> list[str]:
-    """Keys of which two words share at least one if they are one edit apart.
-
-    A word of at most `longest` letters gives itself and itself with each letter left out; a longer one the halves
-    of itself and of lengths one less and one more, one of which an edit leaves as it is.
-    """
-    n = len(word)
-    if n <= longest:
-        return sorted({word, *(word[:i] + word[i + 1 :] for i in range(n))})
-    halves = {n // 2, (n - 1) // 2, (n + 1) // 2}
-    return sorted({f"^{word[:h]}" for h in halves} | {f"{word[-h:]}$" for h in halves})
+    soft = [(r + family).replace("-", "").translate(_DIGITS) for r in roots] if len(roots) > 1 else []
+    return Form(whole, plain, sorted(keys), soft, skeleton(family), None, sorted({given[0], *(r[0] for r in roots)}), middles)
 
 
 def edits(a: str, b: str, most: int = 2) -> int:

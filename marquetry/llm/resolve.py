@@ -4,38 +4,68 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marquetry.functions.text import plain_form
-from marquetry.llm.names import Form, edits, name_form, one_edit_keys
-from marquetry.sources.scratch import cut
+from marquetry.llm.edits import PAIRS, close_pairs, deletion_keys, text_hash
+from marquetry.llm.graph import components, relabel
+from marquetry.llm.names import SHORT_FORMS, Form, by_short_form, name_form, skeleton
+from marquetry.sources.scratch import Scratch
 
-FORM = "spelling string, plain string, keys array<string>, near array<string>, family string, initial string, letters array<string>, middles array<string>"
-FIELDS = ["spelling", "plain", "keys", "near", "family", "initial", "letters", "middles"]
+FORM = "spelling string, plain string, keys array<string>, middles array<string>, asks array<string>, offers array<string>, soft array<string>, certain boolean, lone boolean"
+FIELDS = [f.split()[0] for f in FORM.split(", ")]
 # Texts that say that nothing is known.
 UNKNOWN = ("", "unknown", "n/a", "none", "?")
-
-
-def _near(form: Form) -> list[str]:
-    if len(form.spelling) <= 5:
-        return []
-    return [f"s{k}" for k in one_edit_keys(form.spelling)] + [f"p{k}" for k in one_edit_keys(form.plain)]
-
-
-def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        forms = [name_form(x) for x in pdf["name"]]
-        out = pd.DataFrame([f.__dict__ | {"near": _near(f)} for f in forms], columns=FIELDS)
-        out.insert(0, "name", pdf["name"].to_numpy())
-        yield out
-
-
-@F.pandas_udf(T.IntegerType())
-def _edits(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-    return pd.Series([min(edits(*x), edits(*y)) for x, y in zip(zip(a, b), zip(c, d))], dtype="int32")
+# Names known at a time by a task that parses them.
+CACHED = 100_000
+
+
+def _blocks(f: Form) -> tuple[list[str], list[str]]:
+    """(asks, offers): the blocks in which an abbreviated name looks for a full one, and those in which it is found."""
+    offers = [f"k|{k}" for k in f.keys if not f.soft]
+    if f.spelling and f.family:
+        offers += [f"i|{f.family}|{x}" for x in f.letters]
+    asks = [f"i|{f.family}|{f.initial}"] if f.initial else sorted({f"k|{skeleton(x)}" for x in f.soft})
+    return asks, offers
+
+
+def _parser(columns: list[str], aliases: dict[str, list[str]]):
+    """Batches with the parsed form of the column `name` (last) in its place."""
+    kinds = {"string": pa.string(), "array<string>": pa.list_(pa.string()), "boolean": pa.bool_()}
+    types = [kinds[f.split()[1]] for f in FORM.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple] = {}
+        for batch in batches:
+            rows = []
+            for name in batch.column(len(columns)).to_pylist():
+                if name not in known:
+                    if len(known) >= CACHED:
+                        known.clear()
+                    f = name_form(name, aliases)
+                    asks, offers = _blocks(f)
+                    known[name] = (f.spelling, f.plain, f.keys, f.middles, asks, offers, f.soft, bool(f.spelling) and not f.soft, bool(f.initial))
+                rows.append(known[name])
+            fields = zip(*rows) if rows else [[]] * len(types)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(v, t) for v, t in zip(fields, types))], names=[*columns, *FIELDS])
+
+    return run
+
+
+def _edit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, key, mark) rows of the spellings and of the plain letters of names (g, spelling, plain, soft, node); a null
+    spelling is that of the letters."""
+    for batch in batches:
+        groups, spelling, plain = (batch.column(i).to_pylist() for i in range(3))
+        soft, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4))
+        of = {g: (text_hash(f"s{g}"), text_hash(f"p{g}")) for g in set(groups)}
+        spelling = [skeleton(p) if s is None else s for s, p in zip(spelling, plain)]
+        for k, words in enumerate((spelling, plain)):
+            index, key, mark = deletion_keys(words, np.array([of[g][k] for g in groups], np.uint64), soft.astype(bool))
+            yield pa.RecordBatch.from_arrays([pa.array(node[index]), pa.array(key), pa.array(mark)], names=["node", "key", "mark"])
 
 
 def _agreement(weights: dict[str, float], a: str, b: str) -> Column:
@@ -52,104 +82,126 @@ def _union(c: str) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c)
 
 
-def _profiles(spark: SparkSession, nodes: DataFrame, labels: DataFrame, attrs: list[str]) -> DataFrame:
-    grouped = nodes.select("node", "spelling", "middles", *attrs).join(labels, "node").groupBy("p")
-    return cut(spark, grouped.agg(F.max(F.col("spelling") != "").alias("full"), _union("middles"), *map(_union, attrs)))
+def _profiles(rows: DataFrame, key: Column, lists: list[str]) -> DataFrame:
+    """Profiles `p` with the united lists of their rows."""
+    full = [F.max("certain").alias("certain"), F.first("g").alias("g")]
+    return rows.groupBy(key.alias("p")).agg(*full, *map(_union, lists))
 
 
-def _merge(spark: SparkSession, labels: DataFrame, edges: DataFrame) -> DataFrame | None:
-    """Labels after the profiles at the two ends of each edge are one, by the least label; None if there is no edge."""
-    edges = cut(spark, edges.distinct())
-    if edges.isEmpty():
-        return None
-    both = edges.union(edges.select("q", "p"))
-    step = both.groupBy("p").agg(F.min("q").alias("q")).select("p", F.least("p", "q").alias("q"))
-    jump = step.join(step.select(F.col("p").alias("q"), F.col("q").alias("r")), "q", "left").select("p", F.coalesce("r", "q").alias("to"))
-    moved = labels.join(jump, "p", "left")
-    return cut(spark, moved.select("node", F.coalesce("to", "p").alias("p")))
+def _relabelled(pairs: DataFrame, maps: list[DataFrame]) -> DataFrame:
+    """Close pairs of nodes as pairs of profiles; those now in one profile go."""
+    out = relabel(relabel(pairs, "m", maps), "n", maps).filter("m <> n")
+    return out.groupBy(F.least("m", "n").alias("m"), F.greatest("m", "n").alias("n")).agg(F.min("strict").alias("strict"), F.min("soft").alias("soft"))
 
 
-def resolve_names(spark: SparkSession, df: DataFrame, key: str, name: str, weights: dict[str, float], within: str | None = None, rounds: int = 12) -> DataFrame:
+def _agreeing(profile: DataFrame, close: DataFrame, weights: dict[str, float], attrs: list[str]) -> DataFrame:
+    """`close` pairs with x and y, the traits of the two profiles, and how far they agree."""
+    traits = [*attrs, "middles", "certain"]
+    left, right = profile.select(F.col("p").alias("m"), F.struct(*traits).alias("x")), profile.select(F.col("p").alias("n"), F.struct(*traits).alias("y"))
+    return close.join(left, "m").join(right, "n").withColumn("agree", _agreement(weights, "x", "y"))
+
+
+def _abbreviations(profile: DataFrame, close: DataFrame, weights: dict[str, float], attrs: list[str]) -> DataFrame:
+    """(a, b): abbreviated profiles, with initials or short forms that stand for several names, and the profile each is
+    of. That is the only one in its blocks, or one edit from a name it may stand for, whose attributes agree best, as
+    long as they do agree; for a short form the only full name there is suffices. Abbreviated ones alike in two or more known
+    attributes are one as well.
+
+    Profiles of a block that are alike in all that counts here meet the others as one, so a frequent family name
+    costs no more pairs than it has combinations of attributes.
+    """
+    traits = [*attrs, "middles"]
+    lone = profile.filter("not certain and size(asks) > 0").select("p", "g", *traits, F.explode("asks").alias("block"))
+    known = profile.filter("size(offers) > 0").select("p", "g", *traits, "certain", F.explode("offers").alias("block"))
+    alike = known.groupBy("g", "block", "certain", *traits).agg(F.min("p").alias("q"), F.count("*").alias("n"))
+    x, y = F.struct(*traits).alias("x"), F.struct(*traits).alias("y")
+    meet = lone.select("p", "g", "block", x).join(alike.select("g", "block", "certain", "q", "n", y), ["g", "block"]).filter("p <> q or n > 1")
+    meet = meet.withColumns({"agree": _agreement(weights, "x", "y"), "short": F.col("block").startswith("k|"), "exact": F.lit(True)})
+    least = min(weights.values(), default=0.0)
+    columns = ["p", "q", "n", "x", "y", "agree", "certain", "short", "exact"]
+    meet = meet.filter((F.col("agree") >= least) | F.col("short")).select(*columns)
+    soft = close.filter("soft and agree >= 0")
+    for p, q, a, b in (("m", "n", "x", "y"), ("n", "m", "y", "x")):
+        near = soft.filter(~F.col(f"{a}.certain")).select(F.col(p).alias("p"), F.col(q).alias("q"), F.lit(1).cast("bigint").alias("n"), *(F.struct(*(F.col(f"{s}.{t}").alias(t) for t in traits)).alias(s) for s in (a, b)), "agree", F.col(f"{b}.certain").alias("certain"))
+        meet = meet.union(near.select("p", "q", "n", F.col(a).alias("x"), F.col(b).alias("y"), "agree", "certain", F.lit(True).alias("short"), F.lit(False).alias("exact")))
+    clash = (F.size("x.middles") > 0) & (F.size("y.middles") > 0) & ~F.arrays_overlap("x.middles", "y.middles")
+    meet = meet.withColumn("rank", F.struct((F.col("agree") - F.when(clash, 0.5).otherwise(0.0)).alias("agree"), "exact", "certain"))
+    level = meet.groupBy("p", "rank").agg(F.min("q").alias("q"), F.max("q").alias("r"), F.max("n").alias("n"), F.max("short").alias("short"))
+    top = level.groupBy("p").agg(F.max_by(F.struct("rank", "q", "r", "n", "short"), "rank").alias("t"), F.count("*").alias("levels"), F.count_if("rank.certain").alias("full"))
+    only = (F.col("t.q") == F.col("t.r")) & (F.col("t.n") == 1)
+    single = F.when(F.col("full") > 0, (F.col("full") == 1) & F.col("t.rank.certain")).otherwise(F.col("levels") == 1)
+    sure = (F.col("t.rank.agree") >= least) | (F.col("t.short") & single)
+    best = top.filter(only & sure).select(F.col("p").alias("a"), F.col("t.q").alias("b"))
+    told = lone.filter(sum(((F.size(c) > 0).cast("int") for c in attrs), F.lit(0)) >= 2).select("p", "g", "block", *attrs)
+    twin = told.join(told.groupBy("g", "block", *attrs).agg(F.min("p").alias("q")), ["g", "block", *attrs])
+    return best.union(twin.filter("p <> q").select("p", "q"))
+
+
+def resolve_names(
+    spark: SparkSession, df: DataFrame, key: str, name: str, weights: dict[str, float], within: str | None = None, short_forms: dict[str, str] = SHORT_FORMS
+) -> DataFrame:
     """(key, entity): the rows of `df` with the entity (least key of it) that their names stand for.
 
     weights: columns that mostly agree between rows of one entity, and what agreement counts. within: only rows with
-    equal values of this column can be one entity.
-    Written names become forms (see `names`), equal forms one node with the sets of their attributes. Nodes are
-    profiles at first. (1) A shared full key merges at once, by the least label over the key, without pairs. Then in each
-    round profiles meet in blocks: (2) full spellings one edit apart, found by shared deletion keys, merge unless
-    their attributes speak against it; (3) an initial with the same family name merges with the only profile of the
-    best agreement. A merged profile has the union of spellings, initials and attributes and enters the blocks anew,
-    until a round merges nothing (`rounds` bounds only a fault).
-
-    Blocks of (2) hold distinct spellings that share all but one letter, blocks of (3) the distinct given names of
-    one family with one letter, so no block grows with the number of rows: copies are one node before any pair is made.
+    equal values of this column can be one entity. short_forms: full given names with the short forms they go by.
+    Written names become forms (see `names`), equal forms one node with the sets of their attributes. (1) A shared full
+    key merges nodes into profiles at once. Then profiles meet in blocks, in turn until nothing merges: (2) full
+    spellings one edit apart, found by shared deletion keys, merge unless their attributes speak against it (names of
+    five letters or fewer, which have many neighbours, only if their attributes speak for it); (3) an initial, or a
+    short form of several names, merges with the only profile of the best agreement (`_abbreviations`). A merged
+    profile has the union of spellings, initials and attributes and enters the blocks anew. Merges only lower the
+    number of profiles, so this ends; no round is left out.
+
+    Blocks of (2) hold distinct spellings that share all but one letter, those of (3) profiles that differ in their
+    attributes, so no block grows with the number of rows: copies are one node before any pair is made.
     A null, empty or blank name is an entity of its own; rows with a null key are left out. Repeated keys keep each
     their row. Names of any length are read whole.
     """
+    s = Scratch(spark)
     attrs = {f"a{i}": F.array_except(F.array(plain_form(c)), F.array(*map(F.lit, UNKNOWN))) for i, c in enumerate(weights)}
     group = plain_form(within) if within else F.lit("")
-    rows = df.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("rec"), F.coalesce(F.col(name), F.lit("")).alias("name"), group.alias("g"), *(v.alias(k) for k, v in attrs.items())
-    )
-    forms = rows.select("name").distinct().mapInPandas(_parse, f"name string, {FORM}")
+    rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("rec"), group.alias("g"), *(v.alias(k) for k, v in attrs.items()), F.col(name).alias("name"))
+    cores = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:  # a small file is parsed by all cores
+        rows = rows.repartition(cores)
+    columns = ["rec", "g", *attrs]
+    schema = f"rec {df.schema[key].dataType.simpleString()}, g string, " + ", ".join(f"{a} array<string>" for a in attrs) + (", " if attrs else "") + FORM
+    rows = rows.mapInArrow(_parser(columns, by_short_form(short_forms)), schema)
     # an initial alone does not tell two persons apart, so its node also has the attributes
-    own = F.when(F.col("initial").isNotNull(), F.to_json(F.array(*attrs))).when(F.col("spelling") == "", F.col("rec").cast("string"))
-    rows = rows.join(forms, "name").withColumn(
-        "node_key", F.concat_ws("|", "g", "spelling", "plain", "initial", "family", F.concat_ws(",", "keys"), F.concat_ws(",", "middles"), own)
-    )
-    rows = cut(spark, rows.select("rec", "g", "node_key", *FIELDS, *attrs))
-    first = [F.first(c).alias(c) for c in ["g", *FIELDS]]
-    nodes = cut(spark, rows.groupBy("node_key").agg(F.min("rec").alias("node"), *first, *map(_union, attrs)))
-    keyed = cut(spark, nodes.select("node", F.explode("keys").alias("k"), "g"))
-    near = nodes.select("g", "node", "spelling", "plain", F.explode("near").alias("k"))
-    a = near.select("g", "k", F.col("node").alias("m"), F.col("spelling").alias("s"), F.col("plain").alias("u"))
-    b = near.select("g", "k", F.col("node").alias("n"), F.col("spelling").alias("t"), F.col("plain").alias("v"))
-    close = a.join(b, ["g", "k"]).filter("m < n and s <> t").select("m", "n", "s", "t", "u", "v").distinct()
-    close = cut(spark, close.filter(_edits("s", "t", "u", "v") <= 1).select("m", "n"))
-    short = nodes.filter("initial is not null").select("node", "g", "family", F.col("initial").alias("l"), F.col("middles").alias("m"))
-    long = nodes.filter("spelling <> '' and family <> ''").select("node", "g", "family", F.explode("letters").alias("l"))
-    labels = nodes.select("node", F.col("node").alias("p"))
-
-    # (1) least label over a full key, until it no longer moves
-    for _ in range(rounds):
-        held = keyed.join(labels.select("node", "p"), "node").select("g", "k", "p").distinct()
-        same = held.join(held.groupBy("g", "k").agg(F.min("p").alias("q")), ["g", "k"]).filter("p <> q").select("p", "q")
-        moved = _merge(spark, labels, same)
-        if moved is None:
-            break
-        labels = moved
-
-    for _ in range(rounds):
-        # (2) full spellings one edit apart
-        profile = _profiles(spark, nodes, labels, list(attrs))
-        left, right = profile.select("p", F.struct("*").alias("x")), profile.select(F.col("p").alias("q"), F.struct("*").alias("y"))
-        of = labels.select("node", "p")
-        met = close.join(of.select(F.col("node").alias("m"), "p"), "m").join(of.select(F.col("node").alias("n"), F.col("p").alias("q")), "n")
-        met = met.filter("p <> q").select("p", "q").distinct().join(left, "p").join(right, "q")
-        merged = _merge(spark, labels, met.filter(_agreement(weights, "x", "y") >= 0).select("p", "q"))
-        if merged is not None:
-            labels = merged
-            profile = _profiles(spark, nodes, labels, list(attrs))
-            left, right = profile.select("p", F.struct("*").alias("x")), profile.select(F.col("p").alias("q"), F.struct("*").alias("y"))
-            of = labels.select("node", "p")
-        # (3) an initial and the profiles of its family name
-        lone = cut(spark, short.join(of, "node").drop("node").distinct().join(left, "p").filter("not x.full"))
-        known = long.join(of.select("node", F.col("p").alias("q")), "node").drop("node").distinct()
-        meet = lone.join(known, ["g", "family", "l"]).join(right, "q").withColumn("agree", _agreement(weights, "x", "y"))
-        clash = (F.size("m") > 0) & (F.size("y.middles") > 0) & ~F.arrays_overlap("m", "y.middles")
-        meet = meet.filter(F.col("agree") >= min(weights.values())).select("p", "q", (F.col("agree") - F.when(clash, 0.5).otherwise(0.0)).alias("agree"))
-        best = meet.groupBy("p").agg(F.max(F.struct("agree", "q")).alias("b"), F.max("agree").alias("top"), F.collect_set(F.struct("agree", "q")).alias("all"))
-        only = cut(spark, best.filter(F.size(F.filter("all", lambda e: e["agree"] == F.col("top"))) == 1).select("p", F.col("b.q").alias("q")))
-        # initials alike in two or more known attributes
-        alike = lone.select("p", "g", "family", "l", *(F.col(f"x.{c}").alias(c) for c in attrs))
-        alike = alike.filter(sum(((F.size(c) > 0).cast("int") for c in attrs), F.lit(0)) >= 2)
-        twin = alike.join(alike.groupBy("g", "family", "l", *attrs).agg(F.min("p").alias("q")), ["g", "family", "l", *attrs]).filter("p <> q").select("p", "q")
-        again = _merge(spark, labels, only.union(twin))
-        if again is not None:
-            labels = again
-        elif merged is None:
+    own = F.when(F.col("lone"), F.to_json(F.struct(*attrs, F.lit("")))).when(F.col("spelling") == "", F.col("rec").cast("string"))
+    same = ["g", "spelling", "plain", "keys", "middles", "asks", "offers", "soft", own]
+    rows = s.table(rows.withColumns({"h1": F.xxhash64(*same), "h2": F.xxhash64(F.lit("2"), *same)}))
+    lists = ["middles", "asks", "offers", *attrs]
+    first = [F.first(c).alias(c) for c in ("g", "spelling", "plain", "keys", "middles", "asks", "offers", "soft", "certain")]
+    nodes = s.table(rows.groupBy("h1", "h2").agg(F.min("rec").alias("node"), *first, *map(_union, attrs)))
+
+    # (1) nodes of one full key are one profile
+    keyed = nodes.select("g", "node", F.explode("keys").alias("k"))
+    shared = keyed.groupBy("g", "k").agg(F.min("node").alias("b"), F.max("node").alias("c")).filter("b <> c").drop("c")
+    edges = s.table(keyed.join(shared, ["g", "k"]).filter("node <> b").select(F.col("node").alias("a"), "b").distinct())
+    maps = components(s, edges)
+    profile = s.table(_profiles(relabel(nodes, "node", maps), F.col("node"), lists))
+    named = nodes.filter("spelling <> ''")
+    words = named.filter("certain").groupBy("g", "spelling", "plain").agg(F.min("node").alias("node")).select("g", "spelling", "plain", F.lit(False).alias("soft"), "node")
+    read = named.select("g", "spelling", "node", F.explode("soft").alias("plain")).groupBy("g", "spelling", "plain").agg(F.min("node").alias("node"))
+    words = words.union(read.select("g", F.lit(None).cast("string"), "plain", F.lit(True), "node"))
+    near = words.mapInArrow(_edit_rows, "node bigint, key bigint, mark bigint").repartition("key").sortWithinPartitions("key").mapInArrow(close_pairs, PAIRS)
+    close = s.table(_relabelled(near, maps))
+    while True:
+        # profiles that meet under (2) and have not been told apart, and under (3)
+        met = _agreeing(profile, close, weights, list(attrs))
+        fits = met.filter((F.col("agree") > 0) | ((F.col("agree") >= 0) & ~F.col("strict"))).filter("not soft")
+        edges = fits.select(F.col("m").alias("a"), F.col("n").alias("b"), F.lit(True).alias("full"))
+        edges = s.table(edges.union(_abbreviations(profile, met, weights, list(attrs)).withColumn("full", F.lit(False))))
+        kinds = [r["full"] for r in edges.select("full").distinct().collect()]  # of two at most
+        if not kinds:
             break
-    return rows.select("rec", "node_key").join(nodes.select("node_key", "node"), "node_key").join(labels, "node").select(F.col("rec").alias(key), F.col("p").alias("entity"))
+        turn = components(s, edges.filter("full") if True in kinds else edges)
+        maps += turn
+        profile = s.table(_profiles(relabel(profile, "p", turn), F.col("p"), lists))
+        close = s.table(_relabelled(close, turn))
+    label = relabel(nodes.select("h1", "h2", F.col("node").alias("entity")), "entity", maps)
+    return s.result(rows.select("rec", "h1", "h2").join(label, ["h1", "h2"]).select(F.col("rec").alias(key), "entity"))
 
 
 def linked_pairs(resolved: DataFrame, key: str) -> DataFrame:

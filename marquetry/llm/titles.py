@@ -110,9 +110,8 @@ def people_keys(text: str | None) -> list[str]:
     for p in split_people(text):
         if p.lower() in _NOBODY:
             continue
-        spelling, family, letters = name_keys(p)
-        if spelling:
-            out.add(f"={spelling}")
+        spellings, family, letters = name_keys(p)
+        out.update(f"={x}" for x in spellings)
         if family:
             out.update(f"{x}.{family}" for x in letters)
     return sorted(out)

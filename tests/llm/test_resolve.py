@@ -1,6 +1,11 @@
+import random
+
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from marquetry.llm.names import edits, name_form, one_edit_keys
+from marquetry.llm.edits import close_pairs, deletion_keys
+from marquetry.llm.names import edits, full_names, name_form
 from marquetry.llm.resolve import linked_pairs, resolve_names
 
 KIND = "id bigint, name string, market string, age string, g string"
@@ -29,14 +34,50 @@ def test_no_name(text):
     assert name_form(text).spelling == ""
 
 
+def near(words, size=40):
+    """Pairs of words that meet, by batches of `size` rows."""
+    index, key, mark = deletion_keys(words, np.zeros(len(words), np.uint64))
+    order = np.argsort(key, kind="stable")
+    rows = pa.RecordBatch.from_arrays([pa.array(x[order]) for x in (index, key, mark)], names=["node", "key", "mark"])
+    batches = (rows.slice(i, size) for i in range(0, len(order), size))
+    return {(m, n): s for b in close_pairs(batches) for m, n, s in zip(*(b.column(c).to_pylist() for c in range(3)))}
+
+
 def test_edit_keys():
-    word = "abcdefghij"
-    for other in ("abcdefghij", "abdcefghij", "abcefghij", "abcdeefghij", "xbcdefghij", "abcdefghix"):
-        assert edits(word, other) <= 1
-        assert set(one_edit_keys(word)) & set(one_edit_keys(other))
-        long, changed = word * 20, word * 10 + other + word * 9
-        assert set(one_edit_keys(long)) & set(one_edit_keys(changed))
-    assert edits("abc", "xyz") == 3 and edits("ca", "abc", 3) == 3
+    random.seed(3)
+    words = sorted({"".join(random.choice("abc") for _ in range(random.randint(0, 6))) for _ in range(150)})
+    found = near(words)
+    assert set(found) == {(i, j) for i in range(len(words)) for j in range(i + 1, len(words)) if edits(words[i], words[j]) == 1}
+    assert all(s == (min(len(words[i]), len(words[j])) <= 5) for (i, j), s in found.items())
+    long = "abcdefghij" * 300
+    assert set(near([long, long[:1500] + "x" + long[1500:], long[:700] + "x" + long[701:], long[:-1] + "xx"])) == {(0, 1), (0, 2)}
+    assert near([]) == {} and edits("abc", "xyz") == 3
+
+
+def test_short_forms(spark):
+    assert set(full_names("alex")) == {"alexander", "alexandra"} and full_names("hettie") == ["henrietta"] and full_names("luc") == ["luc"]
+    # a short form of two names goes to the one that agrees, or to the only one there is
+    rows = [
+        (1, "Samuel Fokhosel", "US", "40s", "x"), (2, "Samantha Fokhosel", "UK", "20s", "x"), (3, "Sam Fokhosel", "UK", "20s", "x"), (4, "Sammy Fokhosel", "US", "40s", "x"),
+        (5, "Ned Basdimel", None, None, "x"), (6, "Edward Basdimel", "UK", None, "x"), (7, "Ned Basdmiel", "UK", None, "x"), (8, "Edmund Krulk", "UK", "20s", "x"), (9, "Edward Krulk", "UK", "20s", "x"), (10, "Ed Krulk", "UK", "20s", "x"),
+    ]
+    e = entities(spark, rows)
+    assert (e[3], e[4]) == (2, 1) and e[1] != e[2] and e[5] == e[6] == e[7] == 5 and len({e[8], e[9], e[10]}) == 3
+
+
+def test_short_names_need_agreement(spark):
+    rows = [(1, "Bo Lee", "US", "40s", "x"), (2, "Bo Lea", "US", "40s", "x"), (3, "Bo Lex", None, None, "x"), (4, "Ulla Kronvik", None, None, "x"), (5, "Ulla Kronvig", None, None, "x")]
+    e = entities(spark, rows)
+    assert e[1] == e[2] and e[3] == 3 and e[4] == e[5]
+
+
+def test_long_chain(spark):
+    """Each spelling is one edit from the next only."""
+    names, last = [], "Ulla Kronvikovanomedelisutra"
+    for i in range(24):
+        last = last[: 5 + i] + "x" + last[6 + i :]
+        names.append(last)
+    assert set(entities(spark, [(i, n, None, None, "x") for i, n in enumerate(names)]).values()) == {0}
 
 
 def test_linking(spark):
