@@ -88,53 +88,55 @@ def _profiles(rows: DataFrame, key: Column, lists: list[str]) -> DataFrame:
     return rows.groupBy(key.alias("p")).agg(*full, *map(_union, lists))
 
 
-def _relabelled(pairs: DataFrame, maps: list[DataFrame]) -> DataFrame:
+def _relabelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Close pairs of nodes as pairs of profiles; those now in one profile go."""
-    out = relabel(relabel(pairs, "m", maps), "n", maps).filter("m <> n")
+    out = relabel(relabel(pairs, "m", labels), "n", labels).filter("m <> n")
     return out.groupBy(F.least("m", "n").alias("m"), F.greatest("m", "n").alias("n")).agg(F.min("strict").alias("strict"), F.min("soft").alias("soft"))
 
 
-def _agreeing(profile: DataFrame, close: DataFrame, weights: dict[str, float], attrs: list[str]) -> DataFrame:
-    """`close` pairs with x and y, the traits of the two profiles, and how far they agree."""
-    traits = [*attrs, "middles", "certain"]
+def _agreeing(profile: DataFrame, close: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """Close pairs whose attributes do not speak against them, with how far they agree, whether middle names clash, and
+    which of the two are abbreviated."""
+    traits = [*(f"a{i}" for i in range(len(weights))), "middles", "certain"]
     left, right = profile.select(F.col("p").alias("m"), F.struct(*traits).alias("x")), profile.select(F.col("p").alias("n"), F.struct(*traits).alias("y"))
-    return close.join(left, "m").join(right, "n").withColumn("agree", _agreement(weights, "x", "y"))
+    met = close.join(left, "m").join(right, "n").withColumn("agree", _agreement(weights, "x", "y")).filter("agree >= 0")
+    return met.select("m", "n", "strict", "soft", "agree", _clash().alias("clash"), (~F.col("x.certain")).alias("m_short"), (~F.col("y.certain")).alias("n_short"))
 
 
-def _abbreviations(profile: DataFrame, close: DataFrame, weights: dict[str, float], attrs: list[str]) -> DataFrame:
+def _clash() -> Column:
+    return (F.size("x.middles") > 0) & (F.size("y.middles") > 0) & ~F.arrays_overlap("x.middles", "y.middles")
+
+
+def _abbreviations(profile: DataFrame, met: DataFrame, weights: dict[str, float]) -> DataFrame:
     """(a, b): abbreviated profiles, with initials or short forms that stand for several names, and the profile each is
     of. That is the only one in its blocks, or one edit from a name it may stand for, whose attributes agree best, as
-    long as they do agree; for a short form the only full name there is suffices. Abbreviated ones alike in two or more known
-    attributes are one as well.
+    long as they do agree; for a short form the only full name there is suffices.
 
     Profiles of a block that are alike in all that counts here meet the others as one, so a frequent family name
     costs no more pairs than it has combinations of attributes.
     """
-    traits = [*attrs, "middles"]
-    lone = profile.filter("not certain and size(asks) > 0").select("p", "g", *traits, F.explode("asks").alias("block"))
-    known = profile.filter("size(offers) > 0").select("p", "g", *traits, "certain", F.explode("offers").alias("block"))
-    alike = known.groupBy("g", "block", "certain", *traits).agg(F.min("p").alias("q"), F.count("*").alias("n"))
-    x, y = F.struct(*traits).alias("x"), F.struct(*traits).alias("y")
-    meet = lone.select("p", "g", "block", x).join(alike.select("g", "block", "certain", "q", "n", y), ["g", "block"]).filter("p <> q or n > 1")
-    meet = meet.withColumns({"agree": _agreement(weights, "x", "y"), "short": F.col("block").startswith("k|"), "exact": F.lit(True)})
+    traits = [*(f"a{i}" for i in range(len(weights))), "middles"]
     least = min(weights.values(), default=0.0)
-    columns = ["p", "q", "n", "x", "y", "agree", "certain", "short", "exact"]
-    meet = meet.filter((F.col("agree") >= least) | F.col("short")).select(*columns)
-    soft = close.filter("soft and agree >= 0")
-    for p, q, a, b in (("m", "n", "x", "y"), ("n", "m", "y", "x")):
-        near = soft.filter(~F.col(f"{a}.certain")).select(F.col(p).alias("p"), F.col(q).alias("q"), F.lit(1).cast("bigint").alias("n"), *(F.struct(*(F.col(f"{s}.{t}").alias(t) for t in traits)).alias(s) for s in (a, b)), "agree", F.col(f"{b}.certain").alias("certain"))
-        meet = meet.union(near.select("p", "q", "n", F.col(a).alias("x"), F.col(b).alias("y"), "agree", "certain", F.lit(True).alias("short"), F.lit(False).alias("exact")))
-    clash = (F.size("x.middles") > 0) & (F.size("y.middles") > 0) & ~F.arrays_overlap("x.middles", "y.middles")
-    meet = meet.withColumn("rank", F.struct((F.col("agree") - F.when(clash, 0.5).otherwise(0.0)).alias("agree"), "exact", "certain"))
-    level = meet.groupBy("p", "rank").agg(F.min("q").alias("q"), F.max("q").alias("r"), F.max("n").alias("n"), F.max("short").alias("short"))
-    top = level.groupBy("p").agg(F.max_by(F.struct("rank", "q", "r", "n", "short"), "rank").alias("t"), F.count("*").alias("levels"), F.count_if("rank.certain").alias("full"))
-    only = (F.col("t.q") == F.col("t.r")) & (F.col("t.n") == 1)
-    single = F.when(F.col("full") > 0, (F.col("full") == 1) & F.col("t.rank.certain")).otherwise(F.col("levels") == 1)
-    sure = (F.col("t.rank.agree") >= least) | (F.col("t.short") & single)
-    best = top.filter(only & sure).select(F.col("p").alias("a"), F.col("t.q").alias("b"))
-    told = lone.filter(sum(((F.size(c) > 0).cast("int") for c in attrs), F.lit(0)) >= 2).select("p", "g", "block", *attrs)
-    twin = told.join(told.groupBy("g", "block", *attrs).agg(F.min("p").alias("q")), ["g", "block", *attrs])
-    return best.union(twin.filter("p <> q").select("p", "q"))
+    lone = profile.filter("not certain and size(asks) > 0").select("p", F.struct(*traits).alias("x"), "g", F.explode("asks").alias("block"))
+    known = profile.filter("size(offers) > 0").select("p", *traits, "certain", "g", F.explode("offers").alias("block"))
+    alike = known.groupBy("g", "block", "certain", *traits).agg(F.min("p").alias("q"), F.count("*").alias("n"))
+    alike = alike.select("g", "block", "certain", "q", "n", F.struct(*traits).alias("y"))
+    meet = lone.join(alike, ["g", "block"]).filter("p <> q or n > 1").withColumns({"agree": _agreement(weights, "x", "y"), "short": F.col("block").startswith("k|")})
+    meet = meet.filter((F.col("agree") >= least) | F.col("short")).select("p", "q", "n", "agree", _clash().alias("clash"), "certain", "short", F.lit(True).alias("exact"))
+    ends = F.array(*(F.struct(F.col(f"{p}_short").alias("asks"), F.col(p).alias("p"), F.col(q).alias("q"), (~F.col(f"{q}_short")).alias("certain")) for p, q in ("mn", "nm")))
+    near = met.filter("soft").select(F.explode(ends).alias("e"), "agree", "clash").filter("e.asks")
+    meet = meet.union(near.select("e.p", "e.q", F.lit(1).cast("bigint"), "agree", "clash", "e.certain", F.lit(True), F.lit(False)))
+    # agreement, then a name in full before one edit off, then one that is itself no abbreviation
+    rank = F.col("agree") - F.when(F.col("clash"), 0.5).otherwise(0.0) + F.when(F.col("exact"), 0.2).otherwise(0.0) + F.when(F.col("certain"), 0.1).otherwise(0.0)
+    meet = meet.withColumn("rank", rank)
+    best = meet.groupBy("p").agg(
+        F.max(F.struct("rank", "q", "agree", "clash", "certain", "short")).alias("t"), F.max(F.struct("rank", -F.col("q"))).alias("u"), F.max(F.struct("rank", "n")).alias("v"),
+        F.count("*").alias("all"), F.count_if("certain").alias("full"),
+    )
+    only = (F.col("t.q") == -F.col("u.col2")) & (F.col("v.n") == 1)
+    single = F.when(F.col("full") > 0, (F.col("full") == 1) & F.col("t.certain")).otherwise(F.col("all") == 1)
+    sure = (F.col("t.agree") - F.when(F.col("t.clash"), 0.5).otherwise(0.0) >= least) | (F.col("t.short") & single)
+    return best.filter(only & sure).select(F.col("p").alias("a"), F.col("t.q").alias("b"))
 
 
 def resolve_names(
@@ -175,33 +177,33 @@ def resolve_names(
     first = [F.first(c).alias(c) for c in ("g", "spelling", "plain", "keys", "middles", "asks", "offers", "soft", "certain")]
     nodes = s.table(rows.groupBy("h1", "h2").agg(F.min("rec").alias("node"), *first, *map(_union, attrs)))
 
-    # (1) nodes of one full key are one profile
-    keyed = nodes.select("g", "node", F.explode("keys").alias("k"))
+    # (1) nodes of one full key are one profile, as are abbreviated ones alike in two or more known attributes
+    told = sum(((F.size(c) > 0).cast("int") for c in attrs), F.lit(0)) >= 2
+    alike = F.when(told & ~F.col("certain"), F.transform("asks", lambda b: F.concat(b, F.to_json(F.struct(*attrs, F.lit(""))))))
+    keyed = nodes.select("g", "node", F.explode(F.concat("keys", F.coalesce(alike, F.array().cast("array<string>")))).alias("k"))
     shared = keyed.groupBy("g", "k").agg(F.min("node").alias("b"), F.max("node").alias("c")).filter("b <> c").drop("c")
-    edges = s.table(keyed.join(shared, ["g", "k"]).filter("node <> b").select(F.col("node").alias("a"), "b").distinct())
-    maps = components(s, edges)
-    profile = s.table(_profiles(relabel(nodes, "node", maps), F.col("node"), lists))
+    edges = s.table(keyed.join(shared, ["g", "k"]).filter("node <> b").select(F.col("node").alias("a"), "b"))
+    labels = components(s, edges)
+    profile = s.table(_profiles(relabel(nodes, "node", labels), F.col("node"), lists))
     named = nodes.filter("spelling <> ''")
     words = named.filter("certain").groupBy("g", "spelling", "plain").agg(F.min("node").alias("node")).select("g", "spelling", "plain", F.lit(False).alias("soft"), "node")
-    read = named.select("g", "spelling", "node", F.explode("soft").alias("plain")).groupBy("g", "spelling", "plain").agg(F.min("node").alias("node"))
-    words = words.union(read.select("g", F.lit(None).cast("string"), "plain", F.lit(True), "node"))
-    near = words.mapInArrow(_edit_rows, "node bigint, key bigint, mark bigint").repartition("key").sortWithinPartitions("key").mapInArrow(close_pairs, PAIRS)
-    close = s.table(_relabelled(near, maps))
+    read = named.select("g", F.lit(None).cast("string"), F.explode("soft").alias("plain"), F.lit(True), "node")
+    near = words.union(read).mapInArrow(_edit_rows, "node bigint, key bigint, mark bigint").repartition("key").sortWithinPartitions("key").mapInArrow(close_pairs, PAIRS)
+    close = s.table(_relabelled(near, labels))
+    entity = relabel(nodes.select("h1", "h2", F.col("node").alias("entity")), "entity", labels)
     while True:
-        # profiles that meet under (2) and have not been told apart, and under (3)
-        met = _agreeing(profile, close, weights, list(attrs))
-        fits = met.filter((F.col("agree") > 0) | ((F.col("agree") >= 0) & ~F.col("strict"))).filter("not soft")
-        edges = fits.select(F.col("m").alias("a"), F.col("n").alias("b"), F.lit(True).alias("full"))
-        edges = s.table(edges.union(_abbreviations(profile, met, weights, list(attrs)).withColumn("full", F.lit(False))))
-        kinds = [r["full"] for r in edges.select("full").distinct().collect()]  # of two at most
-        if not kinds:
-            break
-        turn = components(s, edges.filter("full") if True in kinds else edges)
-        maps += turn
-        profile = s.table(_profiles(relabel(profile, "p", turn), F.col("p"), lists))
-        close = s.table(_relabelled(close, turn))
-    label = relabel(nodes.select("h1", "h2", F.col("node").alias("entity")), "entity", maps)
-    return s.result(rows.select("rec", "h1", "h2").join(label, ["h1", "h2"]).select(F.col("rec").alias(key), "entity"))
+        # (2) full spellings one edit apart, if there are none (3) initials and short forms
+        met = s.table(_agreeing(profile, close, weights))
+        fits = met.filter("not soft and (agree > 0 or not strict)").select(F.col("m").alias("a"), F.col("n").alias("b"))
+        if fits.isEmpty():
+            fits, n = s.counted(_abbreviations(profile, met, weights))
+            if not n:
+                break
+        labels = components(s, fits)
+        entity = relabel(entity, "entity", labels)
+        profile = s.table(_profiles(relabel(profile, "p", labels), F.col("p"), lists))
+        close = s.table(_relabelled(close, labels))
+    return s.result(rows.select("rec", "h1", "h2").join(entity, ["h1", "h2"]).select(F.col("rec").alias(key), "entity"))
 
 
 def linked_pairs(resolved: DataFrame, key: str) -> DataFrame:
