@@ -46,33 +46,40 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = 150, depth: int = 4, ra
     score = np.full(n, base)
     inner, leaves = 2**depth - 1, 2**depth
     out = Trees(edges, np.full((trees, inner), -1), np.zeros((trees, inner), np.int64), np.zeros((trees, leaves)), base, depth)
+    # a cell's count and sum are added up as one number, from which both can be told
+    one = 4.0 * (np.abs(y - base).max(initial=0.0) + 1.0) * max(n, 1) * 2
     for t in range(trees):
-        pick = rng.random(n) < share
+        pick = np.flatnonzero(rng.random(n) < share)
         columns = np.flatnonzero(rng.random(m) < share)
         if not len(columns):
             columns = np.arange(m)
         left = y - score
+        width = len(columns) * bins
+        cells = binned[np.ix_(pick, columns)] + np.arange(len(columns)) * bins
+        value = left[pick] + one
         node = np.zeros(n, np.int64)
+        tables = None
         for level in range(depth):
             first, count = 2**level - 1, 2**level
-            local = node - first
-            best = np.full(count, 1e-9)
-            for j in columns:
-                cells = local[pick] * bins + binned[pick, j]
-                s = np.bincount(cells, left[pick], count * bins).reshape(count, bins)
-                c = np.bincount(cells, minlength=count * bins).reshape(count, bins)
-                sl, cl = s.cumsum(1), c.cumsum(1)
-                st, ct = sl[:, -1:], cl[:, -1:]
-                gain = sl**2 / (cl + l2) + (st - sl) ** 2 / (ct - cl + l2) - st**2 / (ct + l2)
-                gain[(cl < least) | (ct - cl < least)] = 0
-                at = gain.argmax(1)
-                top = gain[np.arange(count), at]
-                better = top > best
-                best[better] = top[better]
-                out.feature[t, first : first + count][better] = j
-                out.cut[t, first : first + count][better] = at[better]
-            f, c = out.feature[t][node], out.cut[t][node]
-            node = 2 * node + 1 + ((f >= 0) & (binned[np.arange(n), np.maximum(f, 0)] > c))
+            local = node[pick] - first
+            # right children are counted, left ones are what their parents have beyond that
+            rows = np.flatnonzero(local % 2) if level else np.arange(len(pick))
+            half = max(1, count // 2)
+            at = cells[rows] + (local[rows] // 2 * width)[:, None]
+            found = np.bincount(at.ravel(), np.repeat(value[rows], len(columns)), half * width).reshape(half, len(columns), bins)
+            tables = np.stack([tables - found, found], 1).reshape(count, len(columns), bins) if level else found
+            c = np.round(tables / one)
+            sl, cl = (tables - c * one).cumsum(2), c.cumsum(2)
+            st, ct = sl[..., -1:], cl[..., -1:]
+            gain = sl**2 / (cl + l2) + (st - sl) ** 2 / (ct - cl + l2) - st**2 / (ct + l2)
+            gain[(cl < least) | (ct - cl < least)] = 0
+            flat = gain.reshape(count, width)
+            best = flat.argmax(1)
+            good = flat[np.arange(count), best] > 1e-9
+            out.feature[t, first : first + count] = np.where(good, columns[best // bins], -1)
+            out.cut[t, first : first + count] = best % bins
+            f, k = out.feature[t][node], out.cut[t][node]
+            node = 2 * node + 1 + ((f >= 0) & (binned[np.arange(n), np.maximum(f, 0)] > k))
         leaf = node - inner
         s, c = np.bincount(leaf[pick], left[pick], leaves), np.bincount(leaf[pick], minlength=leaves)
         out.value[t] = rate * s / (c + l2)

@@ -10,7 +10,7 @@ from marquetry.llm.frequency import term_frequencies
 from marquetry.llm.matching import match_entities
 from marquetry.llm.mixing import mix_sources, shares_reached
 from marquetry.llm.packing import pack_items
-from marquetry.llm.reading import reading_levels, reading_model
+from marquetry.llm.reading import reading_levels, reading_model, reading_report
 from marquetry.llm.resolve import linked_pairs, resolve_names
 from marquetry.llm.tokens import token_counts
 from marquetry.session import table
@@ -66,11 +66,18 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares_reached(spark, *_mix(spark, sf_dir))
 
 
+def _reading_model(spark: SparkSession, sf_dir: str):
+    return reading_model(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"), "doc_id", "text", "source", "band")
+
+
 def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its calibrated reading grade and band."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels")
-    model = reading_model(docs, labels, "doc_id", "text", "source", "band")
-    return reading_levels(docs, model, "doc_id", "text")
+    return reading_levels(table(spark, sf_dir, "documents"), _reading_model(spark, sf_dir), "doc_id", "text")
+
+
+def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well the model grades sources that it has not seen."""
+    return reading_report(spark, _reading_model(spark, sf_dir))
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +168,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_frequencies, p3_found, p3_matches, p7_found, p7_entities, p8_sequences, p8_fill, p9_mixture, p9_shares, p10_found, p10_levels, p10_profile)
+    for f in (p1_found, p1_frequencies, p3_found, p3_matches, p7_found, p7_entities, p8_sequences, p8_fill, p9_mixture, p9_shares, p10_found, p10_levels, p10_profile, p10_report)
 }
 SQL = {
     "p1_found": _TERMS + "select field, term, mark from m where mark is not null",

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -14,125 +11,67 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquetry.llm.boosting import Trees, fit_trees, isotonic
+from marquetry.llm.textstats import BUCKETS, FEATURES, Segments, text_features
 
 # Labelled documents used for training at most, those of least hash; every labelled document counts below that.
 SAMPLE = 20_000
 FOLDS = 5
-BUCKETS = 1 << 16
-# Frequent short words of English, French and Spanish that tie a sentence together.
-FUNCTION_WORDS = set(
-    "the a an and or but of to in on at by for with from as is are was were be been it its he she they we you i his her their our my this that these those not no so if "
-    "le la les un une des et ou mais de du au aux en dans sur par pour avec est sont il elle ils elles on nous vous je son sa ses ce cette ces ne pas que qui "
-    "el los las uno una y o pero del al es son por para con sin se su sus este esta no lo mi tu".split()
-)
-SUBORDINATORS = set(
-    "which whose whom that although though because while whereas whereby wherein insofar unless since thereby thus hence therefore nevertheless however moreover "
-    "dont lequel laquelle lorsque puisque quoique bien tandis ainsi cependant néanmoins toutefois "
-    "cuyo cuya cual cuales aunque mientras porque puesto cuando mediante asimismo obstante".split()
-)
-CONNECTIVES = set("and but then so because now next first soon mais puis alors car et pero entonces luego porque y".split())
-NOMINAL = re.compile(r"(?:tion|sion|ity|ism|ness|ance|ence|ment|ology|isation|ization|ción|sión|idad|ismo|encia|ancia|ité|isme|logie|logía)s?$")
-WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
-STOP = re.compile(r"[.!?…]+(?=\s|$)|\n+")
-DIGIT = re.compile(r"\d")
-VOWELS = re.compile(r"[aeiouyáéíóúàâäèêëîïôöùûüœæ]+")
-MARKUP = re.compile(r"<[^<>]{1,200}>|&[a-z]{2,8};")
-BASE = ["words", "sent_mean", "sent_sd", "sent_q10", "sent_q90", "sent_max", "word_mean", "word_sd", "word_q90", "syl_mean", "syl_q90", "mono", "long7", "long10", "long13", "function", "variety", "hapax", "subord", "nominal", "comma", "semicolon", "question", "exclaim", "quote", "slash", "digit", "capital", "connect", "overlap", "newword", "stops"]
 GRADES = ["grade_mean", "grade_q10", "grade_q50", "grade_q90", "grade_known"]
 
 
-_WORDS: dict[str, tuple[int, int]] = {}
-
-
-def _known(word: str) -> tuple[int, int]:
-    """Syllables and bucket of a word; kept for the task, as words recur."""
-    found = _WORDS.get(word)
-    if found is None:
-        if len(_WORDS) >= 200_000:
-            _WORDS.clear()
-        found = _WORDS[word] = max(1, len(VOWELS.findall(word))), zlib.crc32(word.encode()) % BUCKETS
-    return found
-
-
-def _syllables(word: str) -> int:
-    return _known(word)[0]
-
-
-def _hash(word: str) -> int:
-    return _known(word)[1]
-
-
-def quantiles(values: np.ndarray, *shares: float) -> list[float]:
-    """Linear quantiles of values, as numpy's, at a fraction of the cost for short arrays."""
-    ordered = np.sort(values)
-    last = len(ordered) - 1
-    out = []
-    for p in shares:
-        at = p * last
-        low = int(at)
-        a, b = ordered[low], ordered[min(low + 1, last)]
-        out.append(float(a + (b - a) * (at - low)))
-    return out
-
-
-def text_features(text: str | None) -> tuple[list[float], np.ndarray]:
-    """Features of a whole text by the names in BASE, and the buckets of its distinct words. Null counts as empty."""
-    text = MARKUP.sub(" ", text or "")
-    sentences = [w for s in STOP.split(text) if (w := WORD.findall(s))]
-    words = [w for s in sentences for w in s]
-    n = len(words)
-    if not n:
-        return [0.0] * len(BASE), np.zeros(0, np.int32)
-    counts = Counter(map(str.lower, words))
-    distinct = list(counts)
-    many = np.fromiter(counts.values(), np.int64, len(counts))
-    lengths = np.repeat(np.fromiter(map(len, distinct), np.int64, len(distinct)), many)
-    syllables = np.repeat(np.fromiter((_syllables(w) for w in distinct), np.int64, len(distinct)), many)
-    spans = np.array([len(s) for s in sentences])
-    overlap, before = [], None
-    for s in sentences:
-        now = set(map(str.lower, s)) - FUNCTION_WORDS
-        if before is not None:
-            overlap.append(len(now & before) / max(1, min(len(now), len(before))))
-        before = now
-    per = lambda c: text.count(c) / len(sentences)
-    share = lambda group: sum(counts[w] for w in group.intersection(distinct)) / n
-    s10, s90 = quantiles(spans, 0.1, 0.9)
-    values = [
-        np.log1p(n), spans.mean(), spans.std(), s10, s90, spans.max(),
-        lengths.mean(), lengths.std(), *quantiles(lengths, 0.9), syllables.mean(), *quantiles(syllables, 0.9), (syllables == 1).mean(),
-        (lengths >= 7).mean(), (lengths >= 10).mean(), (lengths >= 13).mean(),
-        share(FUNCTION_WORDS), len(distinct) / n**0.8, sum(c == 1 for c in counts.values()) / n,
-        share(SUBORDINATORS), sum(counts[w] for w in distinct if len(w) > 5 and NOMINAL.search(w)) / n,
-        per(","), per(";") + per(":") + per("—"), per("?"), per("!"), per('"') + per("“") + per("«"), (text.count("/") + text.count("|")) / n,
-        len(DIGIT.findall(text)) / len(text), sum(w[0].isupper() for w in words) / n,
-        share(CONNECTIVES), float(np.mean(overlap)) if overlap else 0.0, len(distinct) / n, len(sentences) / n,
-    ]
-    return [float(v) for v in values], np.unique(np.fromiter(map(_hash, distinct), np.int32, len(distinct)))
-
-
-def grade_features(buckets: np.ndarray, grade: np.ndarray, seen: np.ndarray) -> list[float]:
-    """How demanding the texts are in which a text's words occur in training: mean, quantiles, share of known words."""
-    known = buckets[seen[buckets] > 0]
-    if not len(known):
-        return [0.0, 0.0, 0.0, 0.0, 0.0]
-    g = grade[known]
-    return [float(g.mean()), *quantiles(g, 0.1, 0.5, 0.9), len(known) / len(buckets)]
-
-
-def _word_grades(buckets: list[np.ndarray], y: np.ndarray, least: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    flat = np.concatenate(buckets) if buckets else np.zeros(0, np.int32)
-    of = np.repeat(y, [len(b) for b in buckets]) if buckets else np.zeros(0)
-    n = np.bincount(flat, minlength=BUCKETS)
-    mean = y.mean() if len(y) else 3.0
-    grade = (np.bincount(flat, of, BUCKETS) + 2 * mean) / (n + 2)
+def grade_features(owner: np.ndarray, bucket: np.ndarray, n: int, grade: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """How demanding the texts are in which a text's words occur in training: mean, quantiles, share of known words.
+
+    owner, bucket: the text (of n, ascending) and the bucket of each word.
+    """
+    known = seen[bucket] > 0
+    found, g = Segments(owner[known], n), grade[bucket[known]].astype(float)
+    every = np.bincount(owner, minlength=n)
+    return np.stack([found.mean(g), *found.quantiles(g, 0.1, 0.5, 0.9), found.size / np.maximum(every, 1)], 1)
+
+
+def _word_grades(bucket: np.ndarray, y: np.ndarray, mean: float, least: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """The mean grade of the texts that hold a word of each bucket, drawn to `mean`, and their number if it is `least`."""
+    n = np.bincount(bucket, minlength=BUCKETS)
+    grade = (np.bincount(bucket, y, BUCKETS) + 2 * mean) / (n + 2)
     return grade.astype(np.float32), np.where(n >= least, n, 0).astype(np.int32)
 
 
+@dataclass
+class Sample:
+    """Labelled texts: features, words, grades, and a fold of five by the text's hash."""
+
+    base: np.ndarray
+    owner: np.ndarray
+    bucket: np.ndarray
+    y: np.ndarray
+    fold: np.ndarray
+
+    def some(self, rows: np.ndarray) -> Sample:
+        at = np.full(len(self.y), -1)
+        at[rows] = np.arange(len(rows))
+        words = at[self.owner] >= 0
+        return Sample(self.base[rows], at[self.owner[words]], self.bucket[words], self.y[rows], self.fold[rows])
+
+    def word_grades(self, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        words = mask[self.owner]
+        return _word_grades(self.bucket[words], self.y[self.owner[words]], float(self.y[mask].mean()) if mask.any() else 3.0)
+
+    def fit(self) -> tuple[Trees, np.ndarray, np.ndarray]:
+        """Trees whose word grades in training come from the other folds of texts, and the word grades of all."""
+        extra = np.zeros((len(self.y), len(GRADES)))
+        for k in range(FOLDS):
+            own = self.fold == k
+            if own.any():
+                words = own[self.owner]
+                extra[own] = grade_features(self.owner[words], self.bucket[words], len(self.y), *self.word_grades(~own))[own]
+        return fit_trees(np.hstack([self.base, extra]), self.y), *self.word_grades(np.ones(len(self.y), bool))
+
+
 @dataclass
 class ReadingModel:
-    """trees over BASE + GRADES; word grades; knots of the calibration; cuts between bands on the calibrated grade;
-    report: mean absolute error and share of right bands of held-out sources."""
+    """trees over FEATURES + GRADES; word grades; knots of the calibration; cuts between bands on the calibrated grade;
+    report: how the calibrated grades and bands of sources held out from both trees and calibration hit their labels."""
 
     trees: Trees
     grade: np.ndarray
@@ -141,73 +80,77 @@ class ReadingModel:
     cuts: np.ndarray
     report: list[dict] = field(default_factory=list)
 
-    def predict(self, base: np.ndarray, buckets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Calibrated grades and bands."""
-        extra = np.array([grade_features(b, self.grade, self.seen) for b in buckets]).reshape(len(buckets), len(GRADES))
-        raw = self.trees.predict(np.hstack([base, extra]))
-        level = np.interp(raw, *self.knots)
-        return level, 1 + np.searchsorted(self.cuts, raw)
-
+    def raw(self, base: np.ndarray, owner: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        return self.trees.predict(np.hstack([base, grade_features(owner, bucket, len(base), self.grade, self.seen)]))
 
-def _fit(base: np.ndarray, buckets: list[np.ndarray], y: np.ndarray, fold: np.ndarray) -> tuple[Trees, np.ndarray, np.ndarray]:
-    """Trees whose word grades in training come from the other folds of texts, and the word grades of all."""
-    extra = np.zeros((len(y), len(GRADES)))
-    for k in range(FOLDS):
-        rest, own = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-        grade, seen = _word_grades([buckets[i] for i in rest], y[rest])
-        for i in own:
-            extra[i] = grade_features(buckets[i], grade, seen)
-    return fit_trees(np.hstack([base, extra]), y), *_word_grades(buckets, y)
+    def predict(self, base: np.ndarray, owner: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Calibrated grades, and the bands they fall into."""
+        level = np.interp(self.raw(base, owner, bucket), *self.knots)
+        return level, 1 + np.searchsorted(self.cuts, level)
 
 
-def _best_cuts(raw: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """For each pair of neighbouring bands the cut on the prediction that puts most held-out labels on their side."""
+def _best_cuts(level: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For each pair of neighbouring bands the cut on the calibrated grade that puts most held-out labels on their side."""
     cuts = []
+    order = np.argsort(level, kind="stable")
+    r = level[order]
     for b in range(1, 5):
-        order = np.argsort(raw)
         below = y[order] <= b + 0.25
         right = np.concatenate([[0], np.cumsum(below)]) + np.concatenate([np.cumsum((~below)[::-1])[::-1], [0]])
+        right[1:-1][r[1:] == r[:-1]] = -1  # no cut parts equal grades
         top = np.flatnonzero(right == right.max())
         i = int(top[len(top) // 2])
-        r = raw[order]
         cuts.append(r[0] - 1 if i == 0 else r[-1] + 1 if i == len(r) else (r[i - 1] + r[i]) / 2)
     return np.maximum.accumulate(np.array(cuts))
 
 
-def train_reading(pdf: pd.DataFrame) -> ReadingModel:
-    """A model from labelled rows (base, buckets, y, text_hash, source); predictions for a source come from the others.
-
-    Sources form groups of about equal size; each is held out once. The held-out predictions give the calibration,
-    the cuts between bands and the report by source. With fewer than two sources texts are held out by hash.
-    """
-    base = np.array(pdf["base"].tolist(), float).reshape(len(pdf), len(BASE))
-    buckets = [np.asarray(b, np.int32) for b in pdf["buckets"]]
-    y, source = pdf["y"].to_numpy(float), pdf["source"].fillna("").to_numpy()
-    fold = (pdf["text_hash"].to_numpy() % FOLDS).astype(int)
+def _groups(source: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """Sources in groups of about equal size, each of which is held out once; with one source, the texts' folds."""
     sizes, load, group = pd.Series(source).value_counts(), np.zeros(FOLDS), {}
     for s, c in sizes.items():
         group[s] = int(load.argmin())
         load[group[s]] += c
-    held = np.array([group[s] for s in source]) if len(sizes) > 1 else fold
+    return np.array([group[s] for s in source]) if len(sizes) > 1 else fold
+
+
+def train_reading(sample: Sample, source: np.ndarray) -> ReadingModel:
+    """A model from labelled texts. Each group of sources is predicted by trees that saw only the others.
+
+    These held-out predictions give the calibration and the cuts between bands on the calibrated grade. For the report
+    a group's predictions are calibrated and cut by those of the other groups, so nothing in it has seen its labels.
+    """
+    y, held = sample.y, _groups(source, sample.fold)
     raw = np.zeros(len(y))
     for k in np.unique(held):
         rest, own = np.flatnonzero(held != k), np.flatnonzero(held == k)
-        if len(rest) < 20:
-            rest = np.arange(len(y))
-        trees, grade, seen = _fit(base[rest], [buckets[i] for i in rest], y[rest], fold[rest])
-        raw[own] = ReadingModel(trees, grade, seen, (np.array([0.0]), np.array([0.0])), np.zeros(4)).trees.predict(
-            np.hstack([base[own], np.array([grade_features(buckets[i], grade, seen) for i in own]).reshape(len(own), len(GRADES))])
-        )
-    knots, cuts = isotonic(raw, y), _best_cuts(raw, y)
-    level, band = np.interp(raw, *knots), 1 + np.searchsorted(cuts, raw)
-    report = [{"source": s, "labelled": int(m.sum()), "mae": float(np.abs(level - y)[m].mean()), "right": float((band == np.round(y))[m].mean())} for s in sizes.index if (m := source == s).any()]
-    return ReadingModel(*_fit(base, buckets, y, fold), knots, cuts, report)
-
-
-def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part = sample.some(rest if len(rest) >= 20 else np.arange(len(y)))
+        test = sample.some(own)
+        raw[own] = ReadingModel(*part.fit(), (np.zeros(1), np.zeros(1)), np.zeros(4)).raw(test.base, test.owner, test.bucket)
+
+    def calibrated(rows: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+        knots = isotonic(raw[rows], y[rows])
+        return knots, _best_cuts(np.interp(raw[rows], *knots), y[rows])
+
+    level, band = np.zeros(len(y)), np.zeros(len(y), int)
+    for k in np.unique(held):
+        rest, own = held != k, held == k
+        knots, cuts = calibrated(rest if rest.sum() >= 20 else np.ones(len(y), bool))
+        level[own] = np.interp(raw[own], *knots)
+        band[own] = 1 + np.searchsorted(cuts, level[own])
+    report = []
+    for s in sorted(set(source)):
+        m = source == s
+        extreme = (y[m] <= 1.25) | (y[m] >= 4.75)
+        right = band[m] == np.floor(y[m] + 0.5)
+        report.append({"source": s, "labelled": int(m.sum()), "error": float(np.abs(level - y)[m].mean()), "right": float(right.mean()), "extreme": int(extreme.sum()), "extreme_right": float(right[extreme].mean()) if extreme.any() else None})
+    return ReadingModel(*sample.fit(), *calibrated(np.ones(len(y), bool)), report)
+
+
+def _labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        pairs = [text_features(t) for t in pdf["text"]]
-        yield pdf[["key", "y", "source", "text_hash"]].assign(base=[p[0] for p in pairs], buckets=[p[1] for p in pairs])
+        base, owner, bucket = text_features(pdf["text"].tolist())
+        words = np.split(bucket, np.searchsorted(owner, np.arange(1, len(pdf)))) if len(pdf) else []
+        yield pdf[["key", "y", "source", "text_hash"]].assign(base=list(base), buckets=list(words))
 
 
 def reading_model(docs: DataFrame, labels: DataFrame, key: str, text: str, source: str, band: str, sample: int = SAMPLE) -> ReadingModel | None:
@@ -219,9 +162,22 @@ def reading_model(docs: DataFrame, labels: DataFrame, key: str, text: str, sourc
     marks = marks.orderBy(F.xxhash64("key"), "key").limit(sample)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source")).join(marks, "key")
     rows = rows.withColumn("text_hash", F.pmod(F.xxhash64("text"), F.lit(1_000_003)))
-    found = rows.mapInPandas(_features, "key bigint, y double, source string, text_hash bigint, base array<double>, buckets array<int>").toPandas()
+    found = rows.mapInPandas(_labelled, "key bigint, y double, source string, text_hash bigint, base array<double>, buckets array<int>").toPandas()
+    if not len(found):
+        return None
     found = found.sort_values(["text_hash", "key"]).reset_index(drop=True)
-    return train_reading(found) if len(found) else None
+    owner = np.repeat(np.arange(len(found)), found["buckets"].map(len))
+    words = np.concatenate([*found["buckets"], np.zeros(0, np.int32)]).astype(np.int32)
+    fold = (found["text_hash"].to_numpy() % FOLDS).astype(int)
+    return train_reading(Sample(np.stack(found["base"].to_numpy()).astype(float), owner, words, found["y"].to_numpy(float), fold), found["source"].fillna("").to_numpy())
+
+
+REPORT = "source string, labelled bigint, error double, right double, extreme bigint, extreme_right double"
+
+
+def reading_report(spark: SparkSession, model: ReadingModel | None) -> DataFrame:
+    """How well held-out sources are graded: mean absolute error, share of right bands, and that of bands 1 and 5."""
+    return spark.createDataFrame([tuple(r[f.split()[0]] for f in REPORT.split(", ")) for r in (model.report if model else [])], REPORT)
 
 
 def reading_levels(docs: DataFrame, model: ReadingModel | None, key: str, text: str) -> DataFrame:
@@ -234,15 +190,12 @@ def reading_levels(docs: DataFrame, model: ReadingModel | None, key: str, text:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            pairs = [text_features(t) for t in pdf[text]]
-            out = pd.DataFrame({key: pdf[key], "level": np.nan, "band": pd.array([None] * len(pdf), "Int32")})
-            worded = np.array([len(p[1]) > 0 for p in pairs], bool)
-            if model is not None and worded.any():
-                base = np.array([p[0] for p, w in zip(pairs, worded) if w])
-                level, band = model.predict(base, [p[1] for p, w in zip(pairs, worded) if w])
-                out.loc[worded, "level"] = level
-                out.loc[worded, "band"] = band
-            out["level"] = out["level"].astype(object).where(out["level"].notna(), None)
+            out = pd.DataFrame({key: pdf[key], "level": pd.array([None] * len(pdf), "Float64"), "band": pd.array([None] * len(pdf), "Int32")})
+            if model is not None and len(pdf):
+                base, owner, bucket = text_features(pdf[text].tolist())
+                level, band = model.predict(base, owner, bucket)
+                none = np.bincount(owner, minlength=len(pdf)) == 0
+                out["level"], out["band"] = pd.arrays.FloatingArray(level, none), pd.arrays.IntegerArray(band.astype(np.int32), none)
             yield out
 
     return docs.select(key, text).mapInPandas(run, schema)

@@ -2,7 +2,11 @@ import numpy as np
 import pytest
 
 from marquetry.llm.boosting import fit_trees, isotonic
-from marquetry.llm.reading import BASE, reading_levels, reading_model, text_features
+import re
+
+from marquetry.llm import textstats
+from marquetry.llm.reading import reading_levels, reading_model
+from marquetry.llm.textstats import FEATURES, text_features
 
 EASY = ["The cat is here.", "Mum says no.", "A dog can run.", "Look! It is a red kite.", "They go to bed."]
 HARD = [
@@ -25,11 +29,27 @@ def corpus(n=240):
 
 
 def test_features():
-    assert text_features(None)[0] == text_features("")[0] == [0.0] * len(BASE)
-    values, buckets = text_features("<p>Hello there. Hello again!</p>")
-    assert len(values) == len(BASE) and len(buckets) == 3
-    long, _ = text_features("word " * 200_000)
-    assert np.isfinite(long).all() and long[0] == pytest.approx(np.log1p(200_000))
+    texts = [None, "", "<p>Hello there. Hello again!</p>", "word " * 200_000, "12 -- 3", "L'été, c'est bien ; l'hiver: non?\nOui", "𠀀 😀 İx"] + [r[1] for r in corpus(60)]
+    base, owner, bucket = text_features(texts)
+    words = np.bincount(owner, minlength=len(texts))
+    assert base.shape == (len(texts), len(FEATURES)) and np.isfinite(base).all()
+    assert not base[[0, 1, 4]].any() and words[[0, 1, 4]].tolist() == [0, 0, 0] and words[2] == 3
+    at = {f: i for i, f in enumerate(FEATURES)}
+    assert base[3, 0] == pytest.approx(np.log1p(200_000)) and base[5, at["clause_mean"]] == pytest.approx(6 / 5)
+    # against plain counting
+    for t, row in zip(texts[7:], base[7:]):
+        w = re.findall(r"[^\W\d_]+(?:['’-][^\W\d_]+)*", t)
+        s = [len(re.findall(r"[^\W\d_]+(?:['’-][^\W\d_]+)*", x)) for x in re.split(r"[.!?…]+(?=\s|$)|\n+", t)]
+        s = [x for x in s if x]
+        assert row[at["sent_mean"]] == pytest.approx(np.mean(s)) and row[at["sent_q90"]] == pytest.approx(np.quantile(s, 0.9))
+        assert row[at["word_q90"]] == pytest.approx(np.quantile([len(x) for x in w], 0.9)) and row[at["variety"]] == pytest.approx(len({x.lower() for x in w}) / len(w) ** 0.8)
+        assert row[at["function"]] == pytest.approx(np.mean([x.lower() in textstats.FUNCTION_WORDS for x in w]))
+    # chunks make no difference
+    whole, textstats.CHUNK = textstats.CHUNK, 50
+    try:
+        assert np.allclose(text_features(texts)[0], base) and (text_features(texts)[1] == owner).all()
+    finally:
+        textstats.CHUNK = whole
 
 
 def test_trees():
@@ -54,7 +74,7 @@ def test_levels(spark):
     assert out[1000] == out[1001] == (None, None) and len(out) == len(rows) + 2
     held = [out[i][1] == b for i, _, _, b in rows[150:] if b in (1, 5)]
     assert np.mean(held) > 0.95
-    assert {r["source"] for r in model.report} == {"s0", "s1", "s2", "s3"} and all(r["mae"] < 0.5 for r in model.report)
+    assert {r["source"] for r in model.report} == {"s0", "s1", "s2", "s3"} and all(r["error"] < 0.5 for r in model.report)
 
 
 def test_without_labels(spark):
