@@ -2,31 +2,41 @@
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquetry.sources.scratch import cut
+from marquetry.llm.packing import numbered
+from marquetry.sources.scratch import Scratch
 
-# Documents of a shard of one source; a shard's flight leaves two undecided at most.
+# Documents of a shard of one source.
 SHARD = 8192
-# Decided documents of a shard that go on with its undecided ones, to be exchanged at the landing if need be.
-SPARE = 64
+# Documents of a shard, of all sizes, that stay undecided for the landing.
+RESERVE = 64
 TINY = 1e-9
 
 
-def flight(tokens: np.ndarray, chance: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Inclusion chances moved to 0 or 1 but for two at most, with the sums of chance x tokens and of chance kept.
+def _undecided(p: np.ndarray) -> np.ndarray:
+    return np.flatnonzero((p > TINY) & (p < 1 - TINY))
+
+
+def _snapped(x: float) -> float:
+    return 0.0 if x < TINY else 1.0 if x > 1 - TINY else x
+
+
+def flight(tokens: np.ndarray, chance: np.ndarray, rng: np.random.Generator, kept: np.ndarray | None = None) -> np.ndarray:
+    """Inclusion chances moved to 0 or 1 but for two at most and those `kept`, with the sums of chance x tokens and of
+    chance as they were.
 
     Three undecided documents at a time move along the null space of the two balancing equations, which is the cross
     product of their token counts and of ones, up to the wall of the cube on either side, by the probabilities that
     keep each document's expected inclusion as it was.
     """
     p = chance.astype(float).copy()
-    open_docs = [int(i) for i in np.flatnonzero((p > TINY) & (p < 1 - TINY))]
+    out = np.zeros(len(p), bool)
+    out[kept if kept is not None else []] = True
+    open_docs = [int(i) for i in _undecided(p) if not out[i]]
     hand: list[int] = []
     while True:
         while len(hand) < 3 and open_docs:
@@ -45,43 +55,44 @@ def flight(tokens: np.ndarray, chance: np.ndarray, rng: np.random.Generator) ->
         step = up if rng.random() * (up + down) < down else -down
         for i, v in zip(hand, u):
             if v:
-                p[i] = min(1.0, max(0.0, p[i] + step * v))
-                p[i] = 0.0 if p[i] < TINY else 1.0 if p[i] > 1 - TINY else p[i]
+                p[i] = _snapped(min(1.0, max(0.0, p[i] + step * v)))
         hand = [i for i in hand if 0.0 < p[i] < 1.0]
 
 
-def landing(tokens: np.ndarray, chance: np.ndarray, exchanges: int = 400) -> np.ndarray:
-    """All chances as 0 or 1 with the sum of tokens nearest to what was expected.
+def reserve(tokens: np.ndarray, chance: np.ndarray, least: int, room: bool = False) -> np.ndarray:
+    """Undecided documents for the landing, evenly over the sizes: `least`, with `room` as many as it takes that they can
+    make up for the longest, or all."""
+    order = _undecided(chance)
+    order = order[np.argsort(tokens[order], kind="stable")]
+    slack = tokens * np.minimum(chance, 1 - chance)
+    n = least
+    while n < len(order):
+        some = order[np.linspace(0, len(order) - 1, n).astype(int)]
+        if not room or slack[some].sum() >= 2 * tokens[order[-1]]:
+            return some
+        n *= 2
+    return order
+
+
+def landing(tokens: np.ndarray, chance: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """All chances as 0 or 1, each with the chance it had, and the sum of tokens off by less than the last document.
 
-    The undecided ones (few) are rounded the best way; what this leaves to be desired, as the last undecided may be a
-    long document, is made up for by exchanging taken documents for others of a fitting difference in size, one for one,
-    so the number of documents stays.
+    The number of documents is no longer kept. The longest undecided document moves against all others in proportion
+    to their room, up to a wall on either side; so long ones are decided while short ones can still make up for them.
     """
-    x = chance.astype(float).copy()
-    want = float((tokens * chance).sum())
-    last = np.flatnonzero((x > TINY) & (x < 1 - TINY))
-    if not len(last):
-        return np.round(x)
-    count = x[last].sum()
-    head = last[:10]
-    x[last[10:]] = np.round(x[last[10:]])
-    rest = want - float((tokens * np.where(np.isin(np.arange(len(x)), head), 0.0, x)).sum())
-    x[head] = min(itertools.product((0.0, 1.0), repeat=len(head)), key=lambda v: (abs(float(np.dot(v, tokens[head])) - rest), abs(sum(v) - count)))
-    for _ in range(exchanges):
-        error = float((tokens * x).sum()) - want
-        taken, left = np.flatnonzero(x == 1), np.flatnonzero(x == 0)
-        if abs(error) < 1 or not len(taken) or not len(left):
-            break
-        left = left[np.argsort(tokens[left], kind="stable")]
-        goal = tokens[taken] - error
-        at = np.clip(np.searchsorted(tokens[left], goal), 0, len(left) - 1)
-        at = np.where((at > 0) & (np.abs(tokens[left[np.maximum(at - 1, 0)]] - goal) < np.abs(tokens[left[at]] - goal)), at - 1, at)
-        miss = np.abs(tokens[left[at]] - goal)
-        best = int(miss.argmin())
-        if miss[best] >= abs(error):
-            break
-        x[taken[best]], x[left[at[best]]] = 0.0, 1.0
-    return x
+    p = chance.astype(float).copy()
+    while len(rest := _undecided(p)) > 1:
+        top = rest[tokens[rest].argmax()]
+        others = rest[rest != top]
+        weight = np.minimum(p[others], 1 - p[others])
+        share = tokens[top] * weight / (tokens[others] * weight).sum()
+        up, down = min(1 - p[top], (p[others] / share).min()), min(p[top], ((1 - p[others]) / share).min())
+        step = up if rng.random() * (up + down) < down else -down
+        p[top] += step
+        p[others] -= step * share
+        p[rest] = [_snapped(x) for x in p[rest]]
+    p[rest] = rng.random(len(rest)) < p[rest]
+    return np.round(p)
 
 
 def mixture_plan(docs: DataFrame, targets: DataFrame, total: int | None = None) -> list[dict]:
@@ -120,60 +131,57 @@ def mixture_plan(docs: DataFrame, targets: DataFrame, total: int | None = None)
     return rows
 
 
-def _flyer(seed: int, turn: int, last: bool):
+def _flyer(seed: int, turn: int, last: bool, kept: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop(columns=["shards", "shard"]).sort_values(["doc", "tokens"], kind="stable").reset_index(drop=True)
+        pdf = pdf.drop(columns=["shards", "shard"]).sort_values(["doc", "tokens", "nth"], kind="stable").reset_index(drop=True)
         rng = np.random.default_rng([seed, turn, int(key[1]), *map(ord, key[0])])
-        tokens, p = pdf["tokens"].to_numpy(np.int64), pdf["chance"].to_numpy(float)
-        mixed = rng.permutation(len(p))
-        moved = np.empty(len(p))
-        moved[mixed] = flight(tokens[mixed], p[mixed], rng)
-        on = (moved > 0) & (moved < 1)
+        mixed = rng.permutation(len(pdf))
+        tokens, p = pdf["tokens"].to_numpy(np.int64)[mixed], pdf["chance"].to_numpy(float)[mixed]
+        p = flight(tokens, p, rng, reserve(tokens, p, kept, room=last))
         if last:
-            moved, on = landing(tokens, moved), np.zeros(len(p), bool)
-        else:
-            on[mixed[:SPARE]] |= (p[mixed[:SPARE]] > 0) & (p[mixed[:SPARE]] < 1) | pdf["spare"].to_numpy()[mixed[:SPARE]]
-        return pdf.assign(chance=moved, open=on, spare=True)[["doc", "source", "tokens", "whole", "chance", "spare", "open"]]
+            p = landing(tokens, p, rng)
+        moved = np.empty(len(p))
+        moved[mixed] = p
+        return pdf.assign(chance=moved, open=(moved > 0) & (moved < 1))
 
     return run
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, targets: DataFrame, total: int | None = None, shard: int = SHARD, seed: int = 42, rounds: int = 8) -> tuple[DataFrame, list[dict]]:
+def mix_sources(spark: SparkSession, docs: DataFrame, targets: DataFrame, total: int | None = None, shard: int = SHARD, seed: int = 42) -> tuple[DataFrame, list[dict]]:
     """((doc, source, tokens, copies) of the mixture, the plan by source).
 
     docs: (doc, source, tokens); targets: (source, target_share, max_repeats). Every document of a source has the
     same expected copies: the whole part surely, the fraction as a chance. A cube flight in shards of a source
-    decides all but two documents of each while tokens and documents stay balanced; the undecided go on to the next
-    round, still with their chances, until a source is one shard, which lands nearest to the wanted tokens (`landing`).
+    decides nearly all documents of each while tokens and documents stay balanced; the undecided go on to the next
+    round, still with their chances, until a source is one shard. There the last RESERVE or more, of all sizes, land by
+    dropping the balance of documents (`landing`), so the tokens are off by less than a short document.
     No document gets more copies than max_repeats. Sources that aren't listed, null sources and documents of no
-    tokens stay out. The same input and seed give the same mixture for the same partitions.
+    tokens stay out. The same input and seed give the same mixture however the input is partitioned.
     """
+    s = Scratch(spark)
     plan = mixture_plan(docs, targets, total)
     rates = spark.createDataFrame([(r["source"], r["repeats"]) for r in plan], "source string, repeats double")
-    kept = docs.filter("tokens > 0").join(F.broadcast(rates), "source").filter("repeats > 0")
+    kept = numbered(docs.filter("tokens > 0").join(F.broadcast(rates.filter("repeats > 0").select("source")), "source", "left_semi"), ["doc", "source", "tokens"])
+    kept = kept.join(F.broadcast(rates), "source")
     # a rate that is a whole number but for rounding is that number
     whole = F.floor(F.col("repeats") + TINY)
     chance = F.greatest(F.col("repeats") - whole, F.lit(0.0))
-    open_docs = cut(spark, kept.select("doc", "source", "tokens", whole.cast("int").alias("whole"), chance.alias("chance"), F.lit(False).alias("spare")))
+    open_docs = s.table(kept.select("doc", "source", "tokens", "nth", whole.cast("int").alias("whole"), chance.alias("chance")))
     doc = docs.schema["doc"].dataType.simpleString()
-    schema = f"doc {doc}, source string, tokens bigint, whole int, chance double, spare boolean, open boolean"
-    parts = []
-    for turn in range(rounds):
+    schema = f"doc {doc}, source string, tokens bigint, nth int, whole int, chance double, open boolean"
+    out, turn, last = None, 0, False
+    while not last:
         counts = open_docs.groupBy("source").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / shard)).alias("shards"))
-        last = turn == rounds - 1 or (counts.agg(F.max("shards")).first()[0] or 1) == 1
-
-        lot = F.pmod(F.xxhash64("doc", F.monotonically_increasing_id(), F.lit(seed + turn)), F.col("shards"))
+        last = (counts.agg(F.max("shards")).first()[0] or 1) == 1
+        lot = F.pmod(F.xxhash64("doc", "nth", F.lit(seed + turn)), F.col("shards"))
         sharded = open_docs.join(F.broadcast(counts), "source").withColumn("shard", lot)
-        done = cut(spark, sharded.groupBy("source", "shard").applyInPandas(_flyer(seed, turn, last), schema))
-        parts.append(done.filter("not open"))
-        if last:
-            break
-        open_docs = done.filter("open").drop("open")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
+        flyer = _flyer(seed, turn, last, min(RESERVE, max(2, shard // 4)))
+        done = s.table(sharded.groupBy("source", "shard").applyInPandas(flyer, schema))
+        decided = done.filter("not open")
+        out = decided if out is None else out.union(decided)
+        open_docs, turn = done.filter("open").drop("open"), turn + 1
     copies = (F.col("whole") + F.round("chance").cast("int")).alias("copies")
-    return out.select("doc", "source", "tokens", copies).filter("copies > 0"), plan
+    return s.result(out.select("doc", "source", "tokens", copies).filter("copies > 0")), plan
 
 
 def shares_reached(spark: SparkSession, mixture: DataFrame, plan: list[dict]) -> DataFrame:

@@ -14,7 +14,7 @@ from marquetry.llm.reading import reading_levels, reading_model, reading_report
 from marquetry.llm.resolve import linked_pairs, resolve_names
 from marquetry.llm.tokens import token_counts
 from marquetry.session import table
-from marquetry.sources.scratch import cut
+from marquetry.sources.scratch import stored
 
 ARRAYS = ["genres", "tone", "secondary_audiences"]
 
@@ -32,7 +32,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text, or piece of a text that exceeds the capacity, in a training sequence of each capacity."""
     sizes = token_counts(table(spark, sf_dir, "documents"), "doc_id", "text")
-    items = cut(spark, sizes.select(F.col("doc_id").alias("doc"), "tokens"))
+    items = stored(spark, sizes.select(F.col("doc_id").alias("doc"), "tokens"))
     out = None
     for r in table(spark, sf_dir, "pack_sizes").orderBy("capacity_tokens").collect():  # three rows, of fixed number
         packed = pack_items(spark, items, r["capacity_tokens"]).withColumnRenamed("doc", "doc_id")
@@ -53,7 +53,7 @@ def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[dict]]:
     targets = table(spark, sf_dir, "mix_targets")
     docs = table(spark, sf_dir, "documents").join(F.broadcast(targets.select("source")), "source", "left_semi")
     sizes = token_counts(docs, "doc_id", "text", "source").withColumnRenamed("doc_id", "doc")
-    return mix_sources(spark, cut(spark, sizes), targets)
+    return mix_sources(spark, stored(spark, sizes), targets)
 
 
 def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

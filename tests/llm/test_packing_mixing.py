@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from marquetry.llm.mixing import flight, landing, mix_sources, mixture_plan, shares_reached
+from marquetry.llm.mixing import flight, landing, mix_sources, mixture_plan, reserve, shares_reached
 from marquetry.llm.packing import Bins, pack_items, pack_shard
 from marquetry.llm.tokens import load_tokenizer, token_counts
 
@@ -81,17 +81,58 @@ def test_flight_keeps_chances():
     tokens, p = np.array([10, 20, 35, 40, 55]), np.array([0.2, 0.4, 0.5, 0.6, 0.3])
     runs = np.mean([flight(tokens, p, np.random.default_rng(s)) for s in range(4000)], axis=0)
     assert np.abs(runs - p).max() < 0.04
-    assert landing(np.array([10, 30]), np.array([0.5, 0.5])).tolist() in ([0.0, 1.0], [1.0, 0.0])
 
 
-def test_landing_makes_up_for_a_long_document():
+def test_landing():
+    """Many undecided documents, one of them long: the tokens come out nearly as wanted, and every chance is kept."""
     rng = np.random.default_rng(2)
-    tokens = np.append(rng.integers(20, 400, 300), 12_000)
-    chance = np.append(rng.integers(0, 2, 300), 0.5).astype(float)
-    x = landing(tokens, chance)
-    assert set(x) == {0.0, 1.0} and abs((x * tokens).sum() - (chance * tokens).sum()) <= 2
-    assert abs(x.sum() - chance.sum()) <= 1
-    assert landing(tokens[:300], chance[:300]).tolist() == chance[:300].tolist()
+    tokens = np.append(rng.integers(5, 400, 120), 6_000)
+    chance = np.append(rng.uniform(0.1, 0.9, 120), 0.5)
+    runs = np.array([landing(tokens, chance, np.random.default_rng(s)) for s in range(1500)])
+    assert set(np.unique(runs)) == {0.0, 1.0}
+    assert np.abs(runs @ tokens - chance @ tokens).max() < 400 and np.abs(runs @ tokens - chance @ tokens).mean() < 60
+    assert np.abs(runs.mean(0) - chance).max() < 0.06
+    assert landing(tokens, np.round(chance), rng).tolist() == np.round(chance).tolist()
+    few = reserve(tokens, chance, 8)
+    assert len(few) == 8 and 120 in few and len(reserve(tokens, chance, 8, room=True)) > 30
+
+
+def test_same_however_partitioned(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(i), "a" if i % 3 else "b", int(t)) for i, t in zip(rng.integers(0, 500, 900), rng.integers(5, 60, 900))] + [(7, "a", 30)] * 40
+    df = spark.createDataFrame(rows, "doc bigint, source string, tokens bigint")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 2)], "source string, target_share double, max_repeats int")
+    got = []
+    for n in (3, 30):
+        mixture = mix_sources(spark, df.repartition(n), targets, shard=128)[0]
+        got.append((sorted(map(tuple, mixture.collect())), sorted(map(tuple, pack_items(spark, df.repartition(n), 100, shard=128).collect()))))
+    assert got[0] == got[1] and len(got[0][1]) == len(rows)
+
+
+def test_equal_expected_copies(spark):
+    """Over many seeds the documents of a source, long or short, are taken equally often."""
+    tokens = np.array([5, 9, 14, 30, 31, 33, 60, 90, 200, 400, 15, 25])
+    taken = np.zeros(len(tokens))
+    for seed in range(3000):
+        r = np.random.default_rng(seed)
+        p = np.full(len(tokens), 0.4)
+        taken += landing(tokens, flight(tokens, p, r, reserve(tokens, p, 4)), r)
+    assert np.abs(taken / 3000 - 0.4).max() < 0.04
+
+
+def test_no_exchange_is_left():
+    """Against trying every move, one-for-one and two-for-one exchange of two underfull bins."""
+    for seed in range(12):
+        rng = np.random.default_rng(seed)
+        sizes = rng.integers(5, 70, 40)
+        where = pack_shard(sizes, 100)
+        fill = np.bincount(where, sizes)
+        members = [np.flatnonzero(where == b) for b in range(len(fill))]
+        for b, o in ((b, o) for b in range(len(fill)) for o in range(len(fill)) if fill[o] < fill[b] < 100):
+            come = [(s,) for s in sizes[members[o]]] + [(x, y) for i, x in enumerate(sizes[members[o]]) for y in sizes[members[o]][i + 1 :]]
+            gone = [0, *sizes[members[b]]]
+            gains = [sum(c) - g for c in come for g in gone if len(c) == 1 or g]
+            assert not any(0 < x <= 100 - fill[b] for x in gains)
 
 
 def test_mixture(spark):
