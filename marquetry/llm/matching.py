@@ -15,8 +15,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquetry.llm.graph import components
 from marquetry.llm.titles import company_key, date_days, people_keys, title_form
-from marquetry.sources.scratch import cut, stored
+from marquetry.sources.scratch import Scratch
 
 PROFILE = (
     "side int, id bigint, titles array<string>, sequels array<string>, trusts array<double>, days array<int>, years array<int>, people array<string>, "
@@ -249,20 +250,15 @@ CHUNK = 1 << 20
 
 
 def _likely(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether the pairs of rows i and j are worth scoring.
-
-    A pair is kept if its titles share most letter pairs, its days are not far apart and something else speaks for it or
-    is unknown; or if the key's person is the same, with two companies, within two months.
-    """
-    _, _, day, firms, people, who, a, b, _ = (rows[c] for c in ROW)
+    """Whether the pairs of rows i and j are worth scoring: their titles share most letter pairs and their days are not
+    far apart, or the key's person is the same within two months. People and companies are left to the score."""
+    _, _, day, _, _, who, a, b, _ = (rows[c] for c in ROW)
     size = _bits(a) + _bits(b)
     gap = np.abs(day[i] - day[j])  # not a number where a day is unknown
     shared = _bits(a[i] & a[j]) + _bits(b[i] & b[j])
-    most = np.maximum(size[i], size[j])
     alike = (shared >= 0.65 * np.maximum(np.minimum(size[i], size[j]), 1)) & ~(gap > FAR + 31)
-    backed = ((firms[i] & firms[j]) != 0) | ((people[i] & people[j]) != 0) | (firms[i] == 0) | (firms[j] == 0) | (people[i] == 0) | (people[j] == 0)
-    person = (who[i] != 0) & (who[i] == who[j]) & (gap <= 62) & (_bits(firms[i] & firms[j]) > 1)
-    return (alike & (backed | (shared >= 0.9 * most))) | person
+    person = (who[i] != 0) & (who[i] == who[j]) & (gap <= 62)
+    return alike | person
 
 
 def _compare(rows: dict[str, np.ndarray], window: int, first: int) -> Iterator[np.ndarray]:
@@ -354,7 +350,7 @@ def _borders(sizes: dict[int, int], window: int) -> list[tuple[int, int, int]]:
     return found
 
 
-def sorted_neighbourhood(spark: SparkSession, described: DataFrame, window: int = WINDOW) -> DataFrame:
+def sorted_neighbourhood(scratch: Scratch, described: DataFrame, window: int = WINDOW) -> DataFrame:
     """(id, other): pairs of a profile of side 0 and one of side 1 whose keys are within `window` distinct keys of each
     other under some sort key and are likely enough to be scored (see `_likely`).
 
@@ -362,11 +358,12 @@ def sorted_neighbourhood(spark: SparkSession, described: DataFrame, window: int
     of partitions are made up from the last and first keys on either side. All rows of a key stand at one place, so no
     number of rows of one key pushes others out; pairs grow with the rows of either side under near keys.
     """
+    spark = scratch.spark
     rows = described.select("side", "id", "day", "firm_bits", "people_bits", F.explode(F.arrays_zip("sort", "person", "low", "high")).alias("s"))
     rows = rows.select("side", "id", "day", "firm_bits", "people_bits", "s.*")
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), described.count() // PART))
     rows = rows.repartitionByRange(parts, "sort").sortWithinPartitions("sort").select(*ROW[:-1], F.xxhash64("sort").alias("mark"))
-    found = stored(spark, rows.mapInArrow(*_windows(window)))
+    found = scratch.table(rows.mapInArrow(*_windows(window)))
     inside = found.filter("part is null").select("id", "other")
     edges = found.filter("part is not null").drop("id", "other")
     sizes = {r["part"]: r["n"] + 1 for r in edges.groupBy("part").agg(F.max("place").alias("n")).collect()}
@@ -447,36 +444,117 @@ def with_confidence(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return scored.withColumn("confidence", confidence).drop("title", "person", "when", "firms")
 
 
-def one_to_one(spark: SparkSession, edges: DataFrame, step: float = 0.005, rounds: int = 400) -> DataFrame:
-    """The assignment of `left` to `right` with the greatest total `confidence`, up to `step` for each pair, by auction.
+def assign(left: list, right: list, confidence: list[float]) -> list[int]:
+    """The edges of the assignment with the greatest total confidence, where staying alone counts 0.
 
-    edges: (left, right, confidence > 0), each pair once. In each round every unassigned left that still gains bids for
-    its best right, raising the price by its advantage over its next best choice (or over staying alone) plus `step`;
-    the highest bid takes the right and frees its former holder. Prices only rise, so rounds end; each is a few
-    aggregations over the edges of those still unassigned. An empty table gives no rows.
+    Shortest augmenting paths with potentials, exact; a row of the matrix for each left, a column for each right and one
+    for each left to stay alone.
     """
-    edges = cut(spark, edges.select("left", "right", "confidence"))
-    # a pair that is each other's only choice needs no auction
-    lone_l = edges.groupBy("left").agg(F.count("*").alias("nl"))
-    lone_r = edges.groupBy("right").agg(F.count("*").alias("nr"))
-    marked = cut(spark, edges.join(lone_l, "left").join(lone_r, "right"))
-    sure = marked.filter("nl = 1 and nr = 1").select("left", "right", "confidence")
-    contested = cut(spark, marked.filter("nl > 1 or nr > 1").select("left", "right", "confidence"))
-    held = contested.select("right", F.lit(0.0).alias("price"), F.lit(None).cast(edges.schema["left"].dataType).alias("left")).filter("false")
-    for _ in range(rounds):
-        done = held.filter("left is not null").select("left")
-        gain = contested.join(done, "left", "left_anti").join(held.select("right", "price"), "right", "left")
+    rows, columns = {x: i for i, x in enumerate(dict.fromkeys(left))}, {y: j for j, y in enumerate(dict.fromkeys(right))}
+    n, m = len(rows), len(columns)
+    cost = np.full((n, m + n), 1.0)
+    cost[:, m:] = 0.0
+    at: dict[tuple[int, int], int] = {}
+    for e, (x, y, c) in enumerate(zip(left, right, confidence)):
+        i, j = rows[x], columns[y]
+        if -c < cost[i, j]:
+            cost[i, j], at[i, j] = -c, e
+    u, v, owner = np.zeros(n + 1), np.zeros(m + n + 1), np.full(m + n + 1, n)
+    for i in range(n):
+        owner[-1], j = i, m + n
+        gap, way, used = np.full(m + n, np.inf), np.full(m + n, -1), np.zeros(m + n + 1, bool)
+        while owner[j] != n:
+            used[j] = True
+            k = owner[j]
+            free = ~used[:-1]
+            now = cost[k] - u[k] - v[:-1]
+            better = free & (now < gap)
+            gap[better], way[better] = now[better], j
+            to = int(np.where(free, gap, np.inf).argmin())
+            by = gap[to]
+            u[owner[used]] += by
+            v[used] -= by
+            gap[free] -= by
+            j = to
+        while j != m + n:
+            owner[j], j = owner[way[j]], way[j]
+        owner[-1] = n
+    return [at[int(owner[j]), j] for j in range(m) if owner[j] < n and (int(owner[j]), j) in at]
+
+
+ASSIGNED = ["label", "left", "right", "confidence"]
+
+
+def _assigned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The assignment of each component of edges sorted by label; one that a batch cuts off waits for the next."""
+    held = None
+    for pdf in batches:
+        if held is not None and len(held):
+            pdf = pd.concat([held, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        done = int(pdf["label"].searchsorted(pdf["label"].iloc[-1]))
+        held = pdf.iloc[done:]
+        yield _each_assigned(pdf.iloc[:done])
+    if held is not None:
+        yield _each_assigned(held)
+
+
+def _each_assigned(pdf: pd.DataFrame) -> pd.DataFrame:
+    label, left, right, confidence = (pdf[c].tolist() for c in ASSIGNED)
+    ends = [i for i in range(1, len(label)) if label[i] != label[i - 1]] + [len(label)] * bool(label)
+    kept, start = [], 0
+    for end in ends:
+        kept += [start + e for e in assign(left[start:end], right[start:end], confidence[start:end])]
+        start = end
+    return pdf.iloc[kept][["left", "right", "confidence"]]
+
+
+def auction(scratch: Scratch, contested: DataFrame, step: float) -> DataFrame:
+    """The assignment with the greatest total confidence, up to `step` for each pair, for components too large for a task.
+
+    In each round every unassigned left that still gains bids for its best right, raising the price by its advantage
+    over its next best choice (or over staying alone) plus `step`; the highest bid takes the right and frees its former
+    holder. Rounds go on until nobody bids, which comes as prices only rise.
+    """
+    held = contested.select("right", F.lit(0.0).alias("price"), F.lit(None).cast(contested.schema["left"].dataType).alias("left")).filter("false")
+    while True:
+        gain = contested.join(held.select("left"), "left", "left_anti").join(held.select("right", "price"), "right", "left")
         gain = gain.withColumn("net", F.col("confidence") - F.coalesce("price", F.lit(0.0))).filter("net > 0")
-        top = gain.groupBy("left").agg(F.max_by(F.struct("right", "confidence", "net"), F.struct("net", "right")).alias("t"), F.slice(F.reverse(F.array_sort(F.collect_list("net"))), 2, 1).alias("second"))
-        bids = top.select("t.right", "left", (F.col("t.confidence") - F.coalesce(F.get("second", 0), F.lit(0.0)) + step).alias("bid"))
-        won = cut(spark, bids.groupBy("right").agg(F.max("bid").alias("price"), F.max_by("left", F.struct("bid", "left")).alias("left")))
-        if won.isEmpty():
-            break
-        held = cut(spark, held.join(won, "right", "left_anti").union(won.select("right", "price", "left")))
-    return sure.union(contested.join(held.select("left", "right"), ["left", "right"]).select("left", "right", "confidence"))
+        top = gain.groupBy("left").agg(F.max_by(F.struct("right", "confidence"), F.struct("net", "right")).alias("t"), F.max("net").alias("first"), F.count("*").alias("n"))
+        second = gain.join(top.select("left", F.col("t.right").alias("_r")), "left").filter("right <> _r").groupBy("left").agg(F.max("net").alias("second"))
+        bids = top.join(second, "left", "left").select("t.right", "left", (F.col("t.confidence") - F.coalesce("second", F.lit(0.0)) + step).alias("bid"))
+        won, n = scratch.counted(bids.groupBy("right").agg(F.max("bid").alias("price"), F.max_by("left", F.struct("bid", "left")).alias("left")))
+        if not n:
+            return contested.join(held.select("left", "right"), ["left", "right"]).select("left", "right", "confidence")
+        held = scratch.table(held.join(won, "right", "left_anti").union(won.select("right", "price", "left")))
 
 
-def match_entities(spark: SparkSession, left: DataFrame, right: DataFrame, accept: float = ACCEPT, window: int = WINDOW, rounds: int = 20) -> DataFrame:
+def one_to_one(scratch: Scratch, edges: DataFrame, step: float = 0.0005, largest: int = 100_000) -> DataFrame:
+    """The assignment of `left` to `right` with the greatest total `confidence`.
+
+    edges: (left, right, confidence > 0), each pair once. Pairs that are each other's only choice are taken; the other
+    edges fall into components, each of which a task solves exactly (`assign`). Components of over `largest` lefts times
+    rights are settled by auction over all tasks, up to `step` for each pair. An empty table gives no rows.
+    """
+    lone_l, lone_r = edges.groupBy("left").agg(F.count("*").alias("nl")), edges.groupBy("right").agg(F.count("*").alias("nr"))
+    marked = scratch.table(edges.select("left", "right", "confidence").join(lone_l, "left").join(lone_r, "right"))
+    sure = marked.filter("nl = 1 and nr = 1").select("left", "right", "confidence")
+    node = lambda side, c: F.struct(F.lit(side).alias("side"), F.col(c).alias("id"))
+    contested = marked.filter("nl > 1 or nr > 1").select("left", "right", "confidence", node(0, "left").alias("a"), node(1, "right").alias("b"))
+    labels = components(scratch, contested.select("a", "b"))
+    labelled = scratch.table(contested.join(labels.select(F.col("node").alias("a"), F.col("label.id").alias("label")), "a").select(*ASSIGNED))
+    size = labelled.groupBy("label").agg(F.count_distinct("left").alias("l"), F.count_distinct("right").alias("r"))
+    giant, n = scratch.counted(size.filter(F.col("l") * F.col("r") > largest).select("label"))
+    kind = f"left {edges.schema['left'].dataType.simpleString()}, right {edges.schema['right'].dataType.simpleString()}, confidence double"
+    small = labelled.join(giant, "label", "left_anti") if n else labelled
+    solved = small.repartition("label").sortWithinPartitions("label", "left", "right").mapInPandas(_assigned, kind)
+    if n:
+        solved = solved.union(auction(scratch, scratch.table(labelled.join(giant, "label").select("left", "right", "confidence")), step))
+    return sure.union(solved)
+
+
+def match_entities(spark: SparkSession, left: DataFrame, right: DataFrame, accept: float = ACCEPT, window: int = WINDOW) -> DataFrame:
     """(id, other, confidence): each row of `left` with the row of `right` that is the same thing, if there is one.
 
     Inputs as for `profiles`. Candidate pairs come from a sorted neighbourhood over several composite keys and are
@@ -484,36 +562,26 @@ def match_entities(spark: SparkSession, left: DataFrame, right: DataFrame, accep
     the same score) form groups; groups and rows of `right` are assigned one to one with the greatest total confidence.
     Rows of one id count as one, by the best of their profiles; a null id is dropped.
     """
+    s = Scratch(spark)
     both = profiles(left.filter("id is not null"), 0).union(profiles(right.filter("id is not null"), 1))
-    described = stored(spark, both)
-    pairs = stored(spark, sorted_neighbourhood(spark, described, window))
+    described = s.table(both)
+    pairs = s.table(sorted_neighbourhood(s, described, window))
     a = described.filter("side = 0").select("id", F.struct(*FIELDS).alias("f"))
     b = described.filter("side = 1").select(F.col("id").alias("other"), F.struct(*FIELDS).alias("e"))
     scored = with_confidence(pairs.join(a, "id").join(b, "other"), "f", "e").select("id", "other", "confidence")
     # one row a pair, also where an id occurs twice
-    scored = scored.filter(F.col("confidence") >= accept).groupBy("id", "other").agg(F.max("confidence").alias("confidence"))
-    scored = stored(spark, scored)
+    scored = s.table(scored.filter(F.col("confidence") >= accept).groupBy("id", "other").agg(F.max("confidence").alias("confidence")))
 
     # works: each row with the best row of a shared candidate, if the two are one; groups by the least id
     lead = scored.groupBy("other").agg(F.max_by("id", F.struct("confidence", -F.col("id"))).alias("lead"))
     twins = scored.join(lead, "other").filter("id <> lead").select("id", "lead").distinct()
     twins = with_confidence(twins.join(a, "id").join(a.select(F.col("id").alias("lead"), F.col("f").alias("e")), "lead"), "f", "e")
-    twins = twins.filter(F.col("confidence") >= accept).select("id", F.col("lead").alias("other"))
-    twins = cut(spark, twins.union(twins.select("other", "id")).distinct())
-    labels = twins.select("id").distinct().select("id", F.col("id").alias("work"))
-    for _ in range(rounds):
-        near = twins.join(labels.select(F.col("id").alias("other"), F.col("work").alias("w")), "other").groupBy("id").agg(F.min("w").alias("w"))
-        moved = labels.join(near, "id").select("id", F.least("work", "w").alias("new"), "work")
-        jump = moved.join(moved.select(F.col("id").alias("new"), F.col("new").alias("newer")), "new", "left")
-        moved = cut(spark, jump.select("id", F.coalesce("newer", "new").alias("new"), "work"))
-        labels = moved.select("id", F.col("new").alias("work"))
-        if moved.filter("new <> work").isEmpty():
-            break
-    own = scored.join(labels, "id", "left")
-    own = own.withColumn("work", F.coalesce("work", "id"))
+    twins = s.table(twins.filter(F.col("confidence") >= accept).select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct())
+    labels = components(s, twins).select(F.col("node").alias("id"), F.col("label").alias("work"))
+    own = s.table(scored.join(labels, "id", "left").withColumn("work", F.coalesce("work", "id")))
     edges = own.groupBy("work", "other").agg(F.max("confidence").alias("confidence"))
-    chosen = one_to_one(spark, edges.select(F.col("work").alias("left"), F.col("other").alias("right"), "confidence"))
+    chosen = one_to_one(s, edges.select(F.col("work").alias("left"), F.col("other").alias("right"), "confidence"))
     chosen = chosen.select(F.col("left").alias("work"), F.col("right").alias("other"), F.col("confidence").alias("of_work"))
     # every row of a work has its entry, also those that were not compared with it themselves
     out = own.select("id", "work").distinct().join(chosen, "work").join(own.select("id", "other", "confidence"), ["id", "other"], "left")
-    return out.select("id", "other", F.coalesce("confidence", "of_work").alias("confidence"))
+    return s.result(out.select("id", "other", F.coalesce("confidence", "of_work").alias("confidence")))
