@@ -72,10 +72,12 @@ def looks_listed(c: Column | str) -> Column:
 
 def flatten_payloads(tasks: list[tuple[str, Column]], keys: list[str]) -> dict[str, Column]:
     """Columns of JSON payloads of several tasks: the first task that has a key gives its value, though it be null; a
-    later one with another value goes to task__key. Payloads that are no objects are skipped."""
-    out: dict[str, Column] = {}
+    later one with another value goes to task__key, or task__key__2 and so on where that name is taken. Payloads that
+    are no objects are skipped. Each payload is parsed once."""
+    maps = [(name, F.when(F.ltrim(p).startswith("{"), F.from_json(p, "map<string,string>"))) for name, p in tasks]
+    out: dict[str, Column] = {k: F.lit(None) for k in keys}
     for k in keys:
-        has = [(name, F.coalesce(F.array_contains(F.json_object_keys(p), k), F.lit(False)), F.get_json_object(p, f"$.{k}")) for name, p in tasks]
+        has = [(name, F.coalesce(F.map_contains_key(m, k), F.lit(False)), F.try_element_at(m, F.lit(k))) for name, m in maps]
         value, seen = F.lit(None).cast("string"), F.lit(False)
         for _, present, found in has:
             value = F.when(seen, value).when(present, found).otherwise(value)
@@ -83,7 +85,11 @@ def flatten_payloads(tasks: list[tuple[str, Column]], keys: list[str]) -> dict[s
         out[k] = value
         before = has[0][1]
         for name, present, found in has[1:]:
-            out[f"{name}__{k}"] = F.when(before & present & ~found.eqNullSafe(value), found)
+            column, n = f"{name}__{k}", 1
+            while column in out:
+                n += 1
+                column = f"{name}__{k}__{n}"
+            out[column] = F.when(before & present & ~found.eqNullSafe(value), found)
             before = before | present
     return out
 

@@ -47,7 +47,7 @@ KNOWN_PATTERNS = {
     "is_3d": [r"\b3d\b"],
     "is_format": [r"\bimax\b", r"\b4dx\b", r"\bscreenx\b", r"\bscrnx\b", r"\b70mm\b", r"\b4k\b", r"\bdolby\b", r"\batmos\b", r"\bhfr\b", r"\brestoration\b"],
     "is_ff_prefix": [
-        r"^[a-z]{2,5}\d{0,2}\s*[-–]\s(?:\S|$)",
+        r"^[a-z]{2,5}\d{0,2}\s*[-–]\s(?!\s)",
         r"^[a-z]{2,5}\s+ff\s*[-–]\s",
         r"^sci[-\s]fi\s*[-–]\s",
         r"^(exhibition\s+on\s+screen|hw\s+classic|french\s+fridays|sensory\s+screening|skycity|flickerfest|winda)\s*[-–]\s",
@@ -55,7 +55,7 @@ KNOWN_PATTERNS = {
     "is_ff_suffix": [r"[-–][a-z]{2,4}ff$", r"\s[a-z]{2,4}ff$"],
     "is_ff_named": [
         r"\bfilm\s+fest", r"\bfilm\s+tour\b", r"\bnziff\b", r"\bkoffia\b", r"\bgcff\b", r"\bstff\b", r"\bradff\b", r"\bslaff\b", r"\bssaff\b", r"\bsiffc\b",
-        r"\bsmsff\b", r"\bniaff\b", r"\bcquff\b", r"\banimeff\b", r"\bflickerfest\b", r"\bwinda\b", r"\baff:", r"(?:^|[^a-z])iff(?:[^a-z]|$)", r"\brff\b", r"\bfff\b",
+        r"\bsmsff\b", r"\bniaff\b", r"\bcquff\b", r"\banimeff\b", r"\bflickerfest\b", r"\bwinda\b", r"\baff:", r"(?<![a-z])iff(?![a-z])", r"\brff\b", r"\bfff\b",
     ],
     "is_ff_bracket": [r"[\[\(][a-z]{0,5}ff[a-z]{0,4}\d{0,2}[\]\)]", r"[\[\(][^\]\)]*\bfilm\s+fest[^\]\)]*[\]\)]"],
     "is_multi": [r"\+", r"\bplus\b", r"\bmarathon\b", r"\bdouble\s+feature\b", r"\beps?\s*\d", r"\bepisodes?\s*\d"],
@@ -77,7 +77,6 @@ FESTIVAL_TAGS = ["is_ff_prefix", "is_ff_suffix", "is_ff_named", "is_ff_bracket"]
 PROSE = "the a an of in on at to and or is it by be as do for up so if my me we he she his her our its but not with from into".split()
 PREFIX_TOKEN = r"^(.{2,25}?)\s*[-–]\s+\S"
 BRACKET_TOKEN = r"[\[\(]([^\]\)]{2,25})[\]\)]$"
-PASSES = 6
 
 
 def _one_pass(t: Column) -> Column:
@@ -94,13 +93,24 @@ def _one_pass(t: Column) -> Column:
     return out
 
 
-def clean_title(title: Column | str, passes: int = PASSES) -> Column:
-    """A title without event, festival, format and language noise; rules run until nothing changes (at most `passes`
-    times, each of which takes at least one mark off). Null stays null; a title that is all noise may come out empty."""
+def clean_title(title: Column | str) -> Column:
+    """A title without event, festival, format and language noise; rules run until nothing changes. Null stays null; a
+    title that is all noise may come out empty.
+
+    A pass that changes a title makes it shorter, so there are no more passes than letters; once one changes nothing
+    the rest are skipped.
+    """
+    t = strip(title)
     noisy = "|".join(f"(?:{rule[0]})" for rule in [*PREFIX_RULES, *BRACKET_RULES, *TRAILING_RULES])
-    cleaned = F.aggregate(F.sequence(F.lit(1), F.lit(passes)), strip(title), lambda t, _: _one_pass(t))
+    start = F.struct(t.alias("t"), F.lit(False).alias("done"))
+
+    def one_more(state: Column, _: Column) -> Column:
+        after = F.when(~state["done"], _one_pass(state["t"])).otherwise(state["t"])
+        return F.struct(after.alias("t"), (state["done"] | (after == state["t"])).alias("done"))
+
+    cleaned = F.aggregate(F.sequence(F.lit(0), F.char_length(t)), start, one_more, lambda s: s["t"])
     # most titles show no mark at all
-    return F.when(strip(title).rlike(noisy), cleaned).otherwise(strip(title))
+    return F.when(t.rlike(noisy), cleaned).otherwise(t)
 
 
 def title_tags(title: Column | str) -> Column:
@@ -122,12 +132,12 @@ def title_tags(title: Column | str) -> Column:
 
 
 def with_title_flags(df: DataFrame, title: str) -> DataFrame:
-    """`df` with a boolean for each tag, is_ff_any and any_tag, and matched_by: the first 'tag: pattern' that is found,
+    """`df` with a boolean for each tag, is_ff_any, any_tag and n_tags_matched, their number, and matched_by: the first 'tag: pattern' that is found,
     or ''. A null title has no tag."""
     t = col(title)
     found = {tag: F.coalesce(t.rlike("(?i)" + "|".join(f"(?:{p})" for p in patterns)), F.lit(False)) for tag, patterns in KNOWN_PATTERNS.items()}
     any_of = lambda tags: F.array_contains(F.array(*map(F.col, tags)), True)
-    out = df.withColumns(found).withColumns({"is_ff_any": any_of(FESTIVAL_TAGS), "any_tag": any_of(KNOWN_PATTERNS)})
+    out = df.withColumns(found).withColumns({"is_ff_any": any_of(FESTIVAL_TAGS), "any_tag": any_of(KNOWN_PATTERNS), "n_tags_matched": sum((F.col(tag).cast("int") for tag in KNOWN_PATTERNS), F.lit(0)).cast("bigint")})
     first = F.lit("")
     for tag, patterns in reversed(KNOWN_PATTERNS.items()):
         which = F.coalesce(*(F.when(t.rlike(f"(?i){p}"), F.lit(f"{tag}: {p}")) for p in patterns))
@@ -153,3 +163,9 @@ def bracket_token(title: Column | str) -> Column:
     """The text in brackets at the end, in lower case, or null."""
     token = F.lower(strip(F.regexp_extract(col(title), BRACKET_TOKEN, 1)))
     return F.when(token != "", token)
+
+
+def already_known(title: Column) -> Column:
+    """Whether some known pattern catches a title."""
+    known = "|".join(f"(?:{p})" for patterns in KNOWN_PATTERNS.values() for p in patterns)
+    return title.rlike(f"(?i){known}")

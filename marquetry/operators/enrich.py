@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquetry.functions.jsonx import failure_class, flatten_payloads, salvaged_json, strict_json
+from marquetry.operators.curate import keep_first
 from marquetry.operators.upsert import merge_ledger, upsert
 from marquetry.sources.files import Task
 from marquetry.sources.scratch import stored
@@ -128,7 +129,7 @@ def enrich(
     recovered ones leave it. No further batch begins once the cost has reached `most_cost`.
     """
     todo = work.select(F.col(key).cast("string").alias("key"), F.col(content).alias("content"))
-    todo = stored(spark, todo.join(checkpoint.select("key"), "key", "left_anti").dropDuplicates(["key"]))
+    todo = stored(spark, keep_first(todo.join(checkpoint.select("key"), "key", "left_anti"), ["key"], [F.col("content")]))
     total = 0.0
     for b in range(batches):
         if most_cost is not None and total >= most_cost:
@@ -155,6 +156,19 @@ def best_hit(hits: DataFrame, key: str, year: str, hit_year: str, place: str) ->
     return hits.groupBy(key).agg(F.min_by(F.struct(*[c for c in hits.columns if c != key]), F.struct(off, place)).alias("h")).select(key, "h.*")
 
 
-def flag_rereleases(df: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
-    """Hook for a re-release filter: without one, every film is a first release."""
-    return df.withColumn("rerelease_flag", F.lit(0))
+def flag_rereleases(df: DataFrame, lookup: DataFrame, key: str, flag: str = "rerelease_flag") -> DataFrame:
+    """`df` with the lookup's flag (0 or 1, the greatest where a key has several); 0 where the lookup lacks the key."""
+    known = lookup.groupBy(F.col(key).alias("_k")).agg(F.max(F.col(flag).cast("int")).alias("_f"))
+    return df.join(known, df[key] == known["_k"], "left").withColumn(flag, F.coalesce("_f", F.lit(0))).drop("_k", "_f")
+
+
+def rescored(cache: DataFrame, hits: DataFrame, key: str, hit: str, score: str, days_off: str, manual: str) -> DataFrame:
+    """Cached picks after a re-score: each key with its best hit by score, then by the least days between release dates,
+    then by the hit; keys marked `manual` keep what they have, as do keys without hits. `changed` tells where the pick
+    is another one, so its details must be fetched again."""
+    order = F.struct(-F.col(score), F.coalesce(F.col(days_off), F.lit(1 << 30)), F.col(hit))
+    best = hits.filter(F.col(score).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.min_by(F.struct(F.col(hit).alias("h"), F.col(score).alias("s")), order).alias("_b"))
+    out = cache.join(best, cache[key] == best["_k"], "left")
+    free = F.col("_b").isNotNull() & ~F.coalesce(F.col(manual), F.lit(False))
+    columns = {"changed": free & ~F.col("_b.h").eqNullSafe(F.col(hit)), hit: F.when(free, F.col("_b.h")).otherwise(F.col(hit)), score: F.when(free, F.col("_b.s")).otherwise(F.col(score))}
+    return out.withColumns(columns).drop("_k", "_b")

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from marquetry.functions.entities import agrees, jaccard
 from marquetry.functions.text import strip
+from marquetry.operators.curate import keep_first
 
 
 def filled(c: str, kind: T.DataType, unknown: tuple[str, ...] = ()) -> Column:
@@ -41,29 +42,34 @@ def list_frequency(df: DataFrame, c: str, k: int | None = None) -> DataFrame:
 
 def upper_median(df: DataFrame, group: list[str], c: str) -> DataFrame:
     """(group, n, upper_median): the element of place n div 2, counted from 0, of the sorted values, which differs from
-    the median for even n. By ranks within the group, so no list of a group is held."""
-    known = df.filter(F.col(c).isNotNull()).select(*group, c)
+    the median for even n. Equal values are counted before the shuffle; running sums over the distinct ones find it."""
+    counts = df.filter(F.col(c).isNotNull()).groupBy(*group, c).agg(F.count("*").alias("_c"))
     by = Window.partitionBy(*group)
-    ranked = known.withColumns({"_r": F.row_number().over(by.orderBy(c)), "n": F.count("*").over(by)})
-    return ranked.filter(F.col("_r") == F.floor(F.col("n") / 2) + 1).select(*group, "n", F.col(c).alias("upper_median"))
+    upto = F.sum("_c").over(by.orderBy(c).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumns({"_to": upto, "n": F.sum("_c").over(by)})
+    half = F.floor(F.col("n") / 2)
+    return ranked.filter((F.col("_to") > half) & (F.col("_to") - F.col("_c") <= half)).select(*group, "n", F.col(c).alias("upper_median"))
+
+
+def top_by(df: DataFrame, derived: Column, k: int, *ties: str) -> DataFrame:
+    """The k rows with the greatest derived value, ties by columns; rows for which it is unknown do not count."""
+    return df.withColumn("_d", derived).filter("_d is not null").orderBy(F.desc("_d"), *ties).limit(k).drop("_d")
 
 
 def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, n_unique, avg_len, max_len, pct_empty, is_multivalued): nested values count singly, lengths are those of
-    lists or of texts, empty are null, '' and []."""
-    out = None
-    for c in columns:
-        many = isinstance(df.schema[c].dataType, T.ArrayType)
-        value = F.explode_outer(c) if many else F.col(c)
-        length = F.when(F.col(c).isNotNull(), F.size(c)) if many else F.char_length(F.col(c).cast("string"))
-        uniques = df.select(value.alias("v")).agg(F.countDistinct("v").alias("n_unique"))
-        sizes = df.agg(
-            F.round(F.avg(length), 4).alias("avg_len"), F.max(length).cast("bigint").alias("max_len"),
-            F.round(100.0 * F.count_if(F.coalesce(length, F.lit(0)) == 0) / F.count("*"), 4).alias("pct_empty"),
-        )
-        one = uniques.join(F.broadcast(sizes)).select(F.lit(c).alias("column"), "*", F.lit(many).alias("is_multivalued"))
-        out = one if out is None else out.union(one)
-    return out
+    lists or of texts, empty are null, '' and []. One pass for the lengths of all columns, one for their values."""
+    many = {c: isinstance(df.schema[c].dataType, T.ArrayType) for c in columns}
+    items = {c: F.col(c).cast("array<string>") if m else F.array(F.col(c).cast("string")) for c, m in many.items()}
+    length = {c: F.when(F.col(c).isNotNull(), F.size(c)) if m else F.char_length(F.col(c).cast("string")) for c, m in many.items()}
+    one = lambda c: F.struct(F.lit(c).alias("column"), items[c].alias("items"))
+    values = df.select(F.explode(F.array(*map(one, columns))).alias("e")).select("e.column", F.explode_outer("e.items").alias("v"))
+    uniques = values.groupBy("column").agg(F.countDistinct("v").alias("n_unique"))
+    sizes = df.agg(*(F.struct(
+        F.lit(c).alias("column"), F.round(F.avg(n), 4).alias("avg_len"), F.max(n).cast("bigint").alias("max_len"),
+        F.round(100.0 * F.count_if(F.coalesce(n, F.lit(0)) == 0) / F.count("*"), 4).alias("pct_empty"), F.lit(many[c]).alias("is_multivalued"),
+    ).alias(c) for c, n in length.items()))
+    return uniques.join(F.broadcast(sizes.select(F.explode(F.array(*columns)).alias("e")).select("e.*")), "column")
 
 
 def error_histogram(df: DataFrame, error: str, cut: int = 40) -> DataFrame:
@@ -81,8 +87,10 @@ def first_examples(df: DataFrame, group: list[str], value: str, order: list[Colu
 
 
 def side_by_side(new: DataFrame, old: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """Each new row with field__new, field__old and field__agree; keys match in upper case. `old` has one row per key."""
-    o = old.select(F.upper(strip(F.col(key).cast("string"))).alias("_k"), *(F.col(f).alias(f"{f}__old") for f in fields)).dropDuplicates(["_k"])
+    """Each new row with field__new, field__old and field__agree; keys match in upper case. Of several old rows of a key
+    the least by the fields counts."""
+    o = old.select(F.upper(strip(F.col(key).cast("string"))).alias("_k"), *(F.col(f).alias(f"{f}__old") for f in fields))
+    o = keep_first(o, ["_k"], [F.col(f"{f}__old") for f in fields])
     joined = new.join(o, F.upper(strip(F.col(key).cast("string"))) == o["_k"], "left")
     columns = [x for f in fields for x in (F.col(f).alias(f"{f}__new"), F.col(f"{f}__old"), F.when(F.col("_k").isNotNull(), agrees(F.col(f), F.col(f"{f}__old"))).alias(f"{f}__agree"))]
     return joined.select(key, *columns)
@@ -111,7 +119,8 @@ def pairwise_jaccard(df: DataFrame, model: str, key: str, fields: list[str]) ->
 
 
 def run_summary(df: DataFrame, group: list[str], lists: list[str], error: str) -> DataFrame:
-    """(group, n, errors, avg_items): rows, failed rows and list items of a row on average; failed rows have none."""
+    """(group, n, errors, avg_items): rows, failed rows and list items of a row on average; failed rows have none.
+    Sums of seconds, tokens or cost come from `enrich.usage`."""
     items = sum((F.coalesce(F.size(F.coalesce(c, F.array().cast("array<string>"))), F.lit(0)) for c in lists), F.lit(0))
     items = F.when(F.col(error).isNull(), items).otherwise(0)
     return df.groupBy(*group).agg(F.count("*").alias("n"), F.count(error).alias("errors"), F.round(F.sum(items) / F.greatest(F.count("*"), F.lit(1)), 4).alias("avg_items"))

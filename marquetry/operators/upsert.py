@@ -9,15 +9,15 @@ from marquetry.operators.curate import keep_first
 
 
 def _first_by_key(df: DataFrame, keys: list[str], order: list[Column] | None) -> DataFrame:
-    return keep_first(df, keys, order) if order else df.dropDuplicates(keys)
+    return keep_first(df, keys, order or [F.to_json(F.struct(*df.columns))])
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], policy: str, order: list[Column] | None = None) -> DataFrame:
     """One row per key of both generations; columns of either side are kept, missing ones are null.
 
     policy: 'new_wins' (new before old, first copy of each), 'existing_wins' (old before new, first copy), or
-    'last_wins' (old then new, last copy). `order` is the total order of rows in a generation; without it which of
-    several copies in one generation stays is not defined. Null keys are one key.
+    'last_wins' (old then new, last copy). `order` is the total order of rows in a generation; without it the
+    least by content stays of several copies in one generation. Null keys are one key.
     """
     if policy not in ("new_wins", "existing_wins", "last_wins"):
         raise ValueError(f"unknown policy {policy}")
@@ -37,10 +37,10 @@ def _reversed(c: Column) -> Column:
 def merge_by_name(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Matched rows get all columns of the source by name, unmatched source rows are added, in the target's columns.
 
-    Columns that the source lacks keep the target's value. The source's key is unique (it is reduced to one row of
-    each key by dropDuplicates); rows with a null key never match.
+    Columns that the source lacks keep the target's value. Of several source rows of a key the least by content
+    counts; rows with a null key never match.
     """
-    s = source.dropDuplicates([key]).select(*(F.col(c).alias(f"_s_{c}") for c in source.columns))
+    s = _first_by_key(source, [key], None).select(*(F.col(c).alias(f"_s_{c}") for c in source.columns))
     joined = target.join(s, target[key] == s[f"_s_{key}"], "full_outer")
     hit = F.col(f"_s_{key}").isNotNull()
     columns = [F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in source.columns else F.col(c) for c in target.columns]

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquetry.functions.entities import base_title, list_or_empty, synopsis_prefix, variant_title
-from marquetry.functions.similarity import Texts, indel, token_sort, token_sort_indel
+from marquetry.functions.similarity import Texts, token_sort
 from marquetry.sources.scratch import stored
 
 
@@ -35,7 +35,7 @@ def _scores(titles: np.ndarray, texts: np.ndarray, both: bool) -> np.ndarray:
 
 
 def _best_of_cell(least: float):
-    """The best standard row of a cell for each of its events that reaches `least` and what is already known of the event.
+    """The best standard row of a cell for each of its events that reaches `least`.
 
     Counts of letters bound the scores from above; pairs are scored from the highest bound down, as long as it reaches
     the best score so far.
@@ -45,8 +45,8 @@ def _best_of_cell(least: float):
         found = []
         if len(events) and len(standard):
             titles, texts, keys = Texts([token_sort(t) for t in standard["t"]]), Texts(standard["s"].tolist()), standard["d"].to_numpy()
-            for e, t, s, both, known in zip(events["e"], events["t"], events["s"], events["both"], events["known"]):
-                t, best, least_key = token_sort(t), max(known - 1e-9, least), None
+            for e, t, s, both in zip(events["e"], events["t"], events["s"], events["both"]):
+                t, best, least_key = token_sort(t), least, None
                 by_text = texts.bound(s) if both else None
                 bound = _scores(titles.bound(t), by_text, both)
                 order = np.flatnonzero(bound >= best - 1e-9)
@@ -72,14 +72,14 @@ def _best_of_cell(least: float):
     return run
 
 
-def fuzzy_best(df: DataFrame, key: str, title: str, synopsis: str, least: float = 60.0, words: int = 3) -> DataFrame:
+def fuzzy_best(df: DataFrame, key: str, title: str, synopsis: str, least: float = 60.0, cell: int = 2048) -> DataFrame:
     """(event_key, standard_key, score): for each event booking ('GC ...') its best standard row of all, if it scores `least`.
 
     Score: 0.4 x token-sorted Indel ratio of the titles + 0.6 x Indel ratio of the first 80 letters of the synopses, or
-    the titles alone where no standard synopsis shares a letter with the event's. Ties go to the least key. Rows that
-    share one of the `words` rarest words of their titles, and the least row of the same 80 letters, are scored first;
-    then blocks of events meet blocks of all standard rows, where only pairs are scored whose upper bound by letter
-    counts reaches the best so far. The work grows with distinct events x distinct standard rows.
+    the titles alone where no standard synopsis shares a letter with the event's. Ties go to the least key. Rows alike
+    in both count once. The events are a stated query set against all rows, in blocks of `cell` distinct rows; in a
+    block only pairs are scored whose upper bound by letter counts reaches the best so far. The work grows with
+    distinct events x distinct standard rows, which the score asks for: any standard row may be the best.
     """
     spark = df.sparkSession
     rows = df.filter(F.col(title).isNotNull()).select(
@@ -87,32 +87,18 @@ def fuzzy_best(df: DataFrame, key: str, title: str, synopsis: str, least: float
     )
     bookings = stored(spark, rows)
     # rows alike in all that counts score alike, so the least key stands for them
-    rows = stored(spark, bookings.groupBy("event", "t", "s").agg(F.min("k").alias("k")).select("k", "event", "t", "s"))
+    rows = bookings.groupBy("event", "t", "s").agg(F.min("k").alias("k"))
     letters = lambda c: F.array_remove(F.array_distinct(F.split(c, "")), "")
-    known = rows.filter("not event").select(F.explode(letters("s")).alias("c")).agg(F.collect_set("c").alias("all"))
+    standard = stored(spark, rows.filter("not event").select(F.col("k").alias("d"), "t", "s"))
+    known = standard.select(F.explode(letters("s")).alias("c")).agg(F.collect_set("c").alias("all"))
     events = rows.filter("event").crossJoin(F.broadcast(known)).select(F.col("k").alias("e"), "t", "s", F.arrays_overlap(letters("s"), "all").alias("both"))
     events = stored(spark, events)
-    standard = rows.filter("not event").select(F.col("k").alias("d"), "t", "s")
-
-    tokens = rows.select("k", "event", F.explode(F.array_distinct(F.split("t", r"\s+"))).alias("w")).filter("w <> ''")
-    weight = tokens.groupBy("w").agg(F.count("*").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("k").orderBy("n", "w"))
-    blocks = tokens.join(weight, "w").withColumn("r", rank).filter(F.col("r") <= words).select("k", "event", "w")
-    by_word = blocks.filter("event").select(F.col("k").alias("e"), "w").join(blocks.filter("not event").select(F.col("k").alias("d"), "w"), "w").select("e", "d")
-    same_text = standard.filter("s <> ''").groupBy("s").agg(F.min("d").alias("d"))
-    pairs = by_word.union(events.join(same_text, "s").select("e", "d")).distinct()
-    scored = pairs.join(events.withColumnsRenamed({"t": "t_e", "s": "s_e"}), "e").join(standard.withColumnsRenamed({"t": "t_d", "s": "s_d"}), "d")
-    by_text = F.when((F.col("s_e") != "") & (F.col("s_d") != ""), indel("s_e", "s_d")).otherwise(0.0)
-    scored = scored.withColumn("by_title", token_sort_indel("t_e", "t_d")).withColumn("by_text", by_text)
-    scored = scored.withColumn("score", F.when(F.col("both"), 0.4 * F.col("by_title") + 0.6 * F.col("by_text")).otherwise(F.col("by_title")))
-    first = events.join(scored.groupBy("e").agg(F.max("score").alias("known")), "e", "left").fillna(0.0, ["known"])
-
-    p, q = (max(1, -(-x.count() // n)) for x, n in ((standard, 8192), (events, 4096)))
+    p, q = (max(1, -(-x.count() // cell)) for x in (standard, events))
     place = lambda n: F.pmod(F.xxhash64("t", "s"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = first.withColumn("q", place(q)).withColumn("p", every(p)).groupBy("p", "q")
+    left = events.withColumn("q", place(q)).withColumn("p", every(p)).groupBy("p", "q")
     right = standard.withColumn("p", place(p)).withColumn("q", every(q)).groupBy("p", "q")
-    kind = rows.schema["k"].dataType.simpleString()
+    kind = df.schema[key].dataType.simpleString()
     met = left.cogroup(right).applyInPandas(_best_of_cell(least), f"e {kind}, d {kind}, score double")
     best = met.groupBy("e").agg(F.max_by(F.struct("d", "score"), F.struct("score", -F.col("d"))).alias("b"))
     best = best.join(events, "e").select("t", "s", F.col("b.d").alias("standard_key"), F.col("b.score").alias("score"))

@@ -117,13 +117,13 @@ def actor_diff(spark, d):
 
 
 @query(
-    """with x as (select distinct trim(unnest(string_split_regex(director, '[|,]'))) as director from films where director not like '[%')
+    """with x as (select distinct trim(unnest(case when trim(director) like '[%' and try_cast(director as json) is not null then json_extract_string(try_cast(director as json), '$[*]')
+      else string_split_regex(director, '[|,]') end)) as director from films where director is not null)
     select director from x where director <> '' and director not in (select trim(director_name) from director_enriched where director_name is not null)"""
 )
 def director_diff(spark, d):
-    """Directors of films that the table of directors lacks, in their case. Lists in brackets aren't split here."""
-    films = table(spark, d, "films").filter(~F.col("director").startswith("["))
-    names = films.select(F.explode(E.director_names("director")).alias("director")).distinct()
+    """Directors of films that the table of directors lacks, in their case."""
+    names = table(spark, d, "films").select(F.explode(E.director_names("director")).alias("director")).distinct()
     return curate.pending(names, [table(spark, d, "director_enriched").select(strip("director_name").alias("director"))], "director")
 
 
@@ -276,16 +276,24 @@ def two_hop_titles(spark, d):
     return _run(spark, d, _braced(TWO_HOP, *names), names)
 
 
-WINDOWS = [("2026-04-22", "2026-04-29"), ("2026-05-07", "2026-05-13"), ("2026-05-21", "2026-05-27")]
-RELEASES = """select dense_rank() over (order by release_date) as release_id, release_date,
-  row_number() over (partition by release_date order by film, film_id) as film_no, film_id, film from (
-  {0}) f where not film ilike 'GC %'""".format(" union ".join(f"select '{a}' as release_date, film_id, film from films where rel_at between timestamp '{a}' and timestamp '{b}'" for a, b in WINDOWS))
+WEEKS = [("2026-04-22", "2026-04-29"), ("2026-05-07", "2026-05-13"), ("2026-05-21", "2026-05-27")]
 
 
-@query(RELEASES)
+@query(
+    f"""with w(first, last) as (values {", ".join(f"('{a}', '{b}')" for a, b in WEEKS)}),
+    f as (select distinct w.first as release_date, film_id, film from films join w on rel_at >= w.first::timestamp and rel_at <= w.last::timestamp where not upper(film) like 'GC %')
+    select (select count(distinct release_date) from f g where g.release_date <= f.release_date)::int as release_id, release_date,
+    (row_number() over (partition by release_date order by film, film_id))::int as film_no, film_id, film from f"""
+)
 def release_windows(spark, d):
-    """Films of three release windows, numbered within each."""
-    return _run(spark, d, _braced(RELEASES, "films"), ("films",))
+    """Films of several release windows, a table of parameters, numbered within each; windows without films have no number."""
+    weeks = spark.createDataFrame(WEEKS, "release_date string, last string")
+    films = table(spark, d, "films").select("film_id", "film", "rel_at").join(F.broadcast(weeks), F.col("rel_at").between(F.col("release_date").cast("timestamp"), F.col("last").cast("timestamp")))
+    films = films.filter(~F.upper("film").startswith("GC ")).select("release_date", "film_id", "film").distinct()
+    # the windows that have films are no more than the parameters
+    ids = films.select("release_date").distinct().withColumn("release_id", F.dense_rank().over(Window.orderBy("release_date")))
+    number = F.row_number().over(Window.partitionBy("release_date").orderBy("film", "film_id"))
+    return films.withColumn("film_no", number).join(F.broadcast(ids), "release_date").select("release_id", "release_date", "film_no", "film_id", "film")
 
 
 @query("select distinct film_id, film from films where rel_at between timestamp '2025-05-01' and timestamp '2025-05-07' and not film ilike 'GC %'")
@@ -331,15 +339,14 @@ def _quoted(p: str) -> str:
 
 def _clean_sql() -> str:
     prefix = " ".join(f"when regexp_matches(t, {_quoted(p)}) then {_strip_sql(f'regexp_replace(t, {_quoted(p)}, {_quoted(str())})')}" for p, _ in X.PREFIX_RULES)
-    steps, inner = [], f"select film, n, case {prefix} else t end as t from p"
+    inner = f"select film, n, t as was, case {prefix} else t end as t from p"
     for rule in [*X.BRACKET_RULES, *X.TRAILING_RULES]:
         cut = _strip_sql(f"regexp_replace(t, {_quoted(rule[0])}, '')")
         least = rule[2] if len(rule) == 3 else 0
         cut = f"case when length({cut}) >= {least} then {cut} else t end" if least else cut
-        inner = f"select film, n, {cut} as t from ({inner})"
-    del steps
+        inner = f"select film, n, was, {cut} as t from ({inner})"
     return f"""with recursive p as (select distinct film, {_strip_sql("film")} as t, 0 as n from films where film is not null
-    union all select film, t, n + 1 as n from ({inner}) where n < {X.PASSES}) select film, t as clean from p where n = {X.PASSES}"""
+    union all select film, t, n + 1 as n from ({inner}) where t <> was) select film, arg_max(t, n) as clean from p group by film"""
 
 
 def _titles(spark, d):
@@ -371,13 +378,21 @@ def title_tags(spark, d):
     return _titles(spark, d).select("film", F.explode(X.title_tags("film")).alias("label", "text"))
 
 
+# The same for the SQL engine's expressions, which know no look-around.
+_NO_LOOKING = {r"^[a-z]{2,5}\d{0,2}\s*[-–]\s(?!\s)": r"^[a-z]{2,5}\d{0,2}\s*[-–]\s(?:\S|$)", r"(?<![a-z])iff(?![a-z])": r"(?:^|[^a-z])iff(?:[^a-z]|$)"}
+
+
+def _hit_sql(pattern: str, value: str = "film") -> str:
+    return f"regexp_matches({value}, {_quoted('(?i)' + _NO_LOOKING.get(pattern, pattern))})"
+
+
 def _flag_sql(tag: str) -> str:
-    return "(" + " or ".join(f"regexp_matches(film, {_quoted('(?i)' + p)})" for p in X.KNOWN_PATTERNS[tag]) + ")"
+    return "(" + " or ".join(map(_hit_sql, X.KNOWN_PATTERNS[tag])) + ")"
 
 
 _FLAGS = "select distinct film, " + ", ".join(f"{_flag_sql(t)} as {t}" for t in X.KNOWN_PATTERNS) + " from films where film is not null"
-_MATCHED = "case " + " ".join(f"when regexp_matches(film, {_quoted('(?i)' + p)}) then {_quoted(f'{t}: {p}')}" for t, ps in X.KNOWN_PATTERNS.items() for p in ps) + " else '' end"
-_FLAGGED = f"select *, ({' or '.join(X.FESTIVAL_TAGS)}) as is_ff_any, ({' or '.join(X.KNOWN_PATTERNS)}) as any_tag, {_MATCHED} as matched_by from ({_FLAGS})"
+_MATCHED = "case " + " ".join(f"when {_hit_sql(p)} then {_quoted(f'{t}: {p}')}" for t, ps in X.KNOWN_PATTERNS.items() for p in ps) + " else '' end"
+_FLAGGED = f"select *, ({' or '.join(X.FESTIVAL_TAGS)}) as is_ff_any, ({' or '.join(X.KNOWN_PATTERNS)}) as any_tag, {' + '.join(f'{t}::bigint' for t in X.KNOWN_PATTERNS)} as n_tags_matched, {_MATCHED} as matched_by from ({_FLAGS})"
 
 
 def _flagged(spark, d):
@@ -399,14 +414,26 @@ TAGS = [*X.KNOWN_PATTERNS, "is_ff_any", "any_tag"]
     coalesce(array_to_string((list(film order by film) filter (hit))[1:5], ' | '), '') as examples from u, n group by tag"""
 )
 def title_summary(spark, d):
-    """How many titles show each pattern, with the first five."""
+    """How many titles show each pattern, with the first five. Only hits are numbered, and but five of each shuffled."""
     flags = _flagged(spark, d)
-    entries = F.array(*(F.struct(F.lit(t).alias("tag"), F.col(t).alias("hit")) for t in TAGS))
-    rows = flags.select("film", F.explode(entries).alias("e")).select("film", "e.tag", "e.hit")
-    nth = F.row_number().over(Window.partitionBy("tag", "hit").orderBy("film"))
-    first = rows.withColumn("nth", nth).filter("hit and nth <= 5").groupBy("tag").agg(F.array_join(F.array_sort(F.collect_list("film")), " | ").alias("examples"))
-    counts = rows.groupBy("tag").agg(F.count_if("hit").alias("n_matched"), F.round(100.0 * F.count_if("hit") / F.count("*"), 2).alias("pct"))
-    return counts.join(first, "tag", "left").withColumn("examples", F.coalesce("examples", F.lit("")))
+    counts = flags.agg(F.count("*").alias("n"), *(F.count_if(t).alias(t) for t in TAGS))
+    entries = F.array(*(F.struct(F.lit(t).alias("tag"), F.col(t).alias("n_matched")) for t in TAGS))
+    counts = counts.select("n", F.explode(entries).alias("e")).select("e.tag", "e.n_matched", F.round(100.0 * F.col("e.n_matched") / F.col("n"), 2).alias("pct"))
+    shown = F.filter(F.array(*(F.when(F.col(t), t) for t in TAGS)), lambda t: t.isNotNull())
+    hits = flags.select("film", F.explode(shown).alias("tag"))
+    first = _first_of(hits, "tag", "film", 5).groupBy("tag").agg(F.array_join(F.array_sort(F.collect_list("film")), " | ").alias("examples"))
+    return counts.join(F.broadcast(first), "tag", "left").withColumn("examples", F.coalesce("examples", F.lit("")))
+
+
+def _first_of(df: DataFrame, group: str, value: str, k: int) -> DataFrame:
+    nth = F.row_number().over(Window.partitionBy(group).orderBy(value))
+    return df.withColumn("_nth", nth).filter(F.col("_nth") <= k).drop("_nth")
+
+
+@query(f"select film, matched_by from ({_FLAGGED}) where n_tags_matched = 1")
+def false_positive_candidates(spark, d):
+    """Titles that show one pattern only, which are the most doubtful."""
+    return _flagged(spark, d).filter("n_tags_matched = 1").select("film", "matched_by")
 
 
 def _discovered_sql(token: str) -> str:
@@ -441,6 +468,21 @@ def discover_brackets(spark, d):
     return profile.first_examples(rows, ["token"], "film", [F.col("film")]).filter("count >= 2")
 
 
+_ANY_PATTERN = " or ".join(_hit_sql(p, "x") for patterns in X.KNOWN_PATTERNS.values() for p in patterns)
+
+
+@query(
+    f"""with d as (select 'sep_prefix' as type, * from ({SQL["discover_prefixes"]}) union all select 'bracket_suffix', * from ({SQL["discover_brackets"]})),
+    e as (select type, token, bool_or({_ANY_PATTERN}) as already_known from (select type, token, unnest(string_split(examples, ' | ')) as x from d) group by 1, 2)
+    select type, token, count, examples, already_known from d join e using (type, token)"""
+)
+def discovered_known(spark, d):
+    """Discovered tokens, and whether a known pattern already catches one of their examples."""
+    kinds = {"sep_prefix": discover_prefixes, "bracket_suffix": discover_brackets}
+    found = [q(spark, d).withColumn("type", F.lit(k)) for k, q in kinds.items()]
+    return found[0].unionByName(found[1]).withColumn("already_known", F.exists(F.split("examples", r" \| "), X.already_known))
+
+
 # texts
 
 
@@ -702,6 +744,17 @@ def budget_ratios(spark, d):
     )
 
 
+@query(
+    """select film_id, title, budget_usd / budget as ratio from film_meta join tmdb_cache using (film_id)
+    where budget_usd > 0 and budget > 0 and (budget_usd / budget > 2 or budget_usd / budget < 0.5) order by abs(budget_usd / budget - 1) desc, film_id limit 20"""
+)
+def budget_blowups(spark, d):
+    """The twenty films whose stored budgets of the two tables are furthest apart, a report of the first k."""
+    both = table(spark, d, "film_meta").filter("budget_usd > 0").join(table(spark, d, "tmdb_cache").filter("budget > 0").select("film_id", "budget"), "film_id")
+    both = both.select("film_id", "title", (F.col("budget_usd") / F.col("budget")).alias("ratio"))
+    return profile.top_by(both.filter("ratio > 2 or ratio < 0.5"), F.abs(F.col("ratio") - 1), 20, "film_id")
+
+
 @query(
     """with s as (select film_id, list_distinct(list_filter(list_transform(list_transform(coalesce(studios, []), lambda s: s.name), lambda x: lower(trim(x))), lambda x: x is not null and x <> '')) as a from film_meta),
     t as (select film_id, """ + _set_sql("studios") + """ as b from tmdb_cache)

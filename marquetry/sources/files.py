@@ -83,6 +83,18 @@ def latest_run(spark: SparkSession, path: str, pinned: str | None = None) -> str
     return f"{path}/{names[-1]}"
 
 
+def with_fallback(spark: SparkSession, primary: Callable[[], DataFrame], path: str, last: int = 3) -> DataFrame:
+    """The primary source's table; if it can't be had, the rows of the last `last` dated sub-directories of `path`."""
+    try:
+        return primary()
+    except Exception:  # noqa: BLE001 - any failure of the primary source sends us to the files
+        fs, p, _ = _fs(spark, path)
+        days = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())[-last:]
+        if not days:
+            raise
+        return spark.read.parquet(*(f"{path}/{d}" for d in days))
+
+
 def write_keyed_json(df: DataFrame, path: str, key: str) -> None:
     """Records as JSON lines with their key, dates as text; the scalable form of a {key: record} file."""
     rest = [c for c in df.columns if c != key]

@@ -34,7 +34,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.paths: list[str] = []
+        self.paths: dict[int, str] = {}
 
     def _path(self, path: str):
         p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -44,10 +44,11 @@ class Scratch:
         """`df` written out and read from there."""
         path = f"{shared_folder(self.spark)}/table-{uuid.uuid4().hex}"
         df.write.parquet(path)
-        self.paths.append(path)
         fs, p = self._path(path)
         fs.deleteOnExit(p)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = path
+        return out
 
     def counted(self, df: DataFrame) -> tuple[DataFrame, int]:
         """`table` and its number of rows, counted while it is written."""
@@ -55,15 +56,14 @@ class Scratch:
         out = self.table(df.observe(seen, F.count(F.lit(1)).alias("n")))
         return out, seen.get["n"]
 
-    def drop(self) -> None:
-        """Remove the tables stored so far; nothing may read them any more."""
-        for path in self.paths:
-            fs, p = self._path(path)
+    def drop(self, *tables: DataFrame) -> None:
+        """Remove these tables, or all stored so far; nothing may read them any more."""
+        for key in [id(t) for t in tables] or list(self.paths):
+            fs, p = self._path(self.paths.pop(key))
             fs.delete(p, True)
-        self.paths = []
 
     def result(self, df: DataFrame) -> DataFrame:
-        before, self.paths = self.paths, []
+        before, self.paths = self.paths, {}
         out = self.table(df)
         kept, self.paths = self.paths, before
         self.drop()
@@ -74,7 +74,3 @@ class Scratch:
 def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
     """`df` as a table of the shared folder that stays until the session ends."""
     return Scratch(spark).table(df)
-
-
-def cut(spark: SparkSession, df: DataFrame) -> DataFrame:
-    return stored(spark, df)

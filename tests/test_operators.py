@@ -272,3 +272,61 @@ def test_incremental_stream(spark, tmp_path):
     go()
     go()
     assert {r["k"]: r["v"] for r in spark.read.parquet(target).collect()} == {1: "c", 2: "d"}
+
+
+def test_clean_runs_to_the_end(spark):
+    marks = "FFS - AFI - GC - NRL - JFF - ABC - XYZ - Film"
+    titles = [marks, "Film (Hindi) (IMAX) (3D) (2004) [JFF] - Preview", None, "", "  ", "A - " * 200 + "Film"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(titles)], "k int, t string")
+    got = [r["c"] for r in df.select("k", X.clean_title("t").alias("c")).orderBy("k").collect()]
+    assert got[0] == "Film" and got[2:5] == [None, "", ""]
+    again = spark.createDataFrame([(c,) for c in got], "t string").filter("t is not null").select("t", X.clean_title("t").alias("c")).collect()
+    assert all(r["t"] == r["c"] for r in again)
+
+
+def test_rereleases_and_rescores(spark):
+    from marquetry.operators.enrich import flag_rereleases, rescored
+
+    films = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, x string")
+    seen = spark.createDataFrame([(1, 0), (1, 1), (3, 1)], "k int, rerelease_flag int")
+    assert {r["x"]: r["rerelease_flag"] for r in flag_rereleases(films, seen, "k").collect()} == {"a": 1, "b": 0, "c": 0}
+    cache = spark.createDataFrame([(1, 10, 0.5, False), (2, 20, 0.9, True), (3, 30, 0.4, None), (4, None, None, False)], "k int, hit int, score double, manual boolean")
+    hits = spark.createDataFrame([(1, 10, 0.8, 40), (1, 11, 0.8, 3), (2, 21, 1.0, 0), (3, 30, 0.7, None), (4, 41, None, 1)], "k int, hit int, score double, off int")
+    got = {r["k"]: (r["hit"], r["score"], r["changed"]) for r in rescored(cache, hits, "k", "hit", "score", "off", "manual").collect()}
+    assert got == {1: (11, 0.8, True), 2: (20, 0.9, False), 3: (30, 0.7, False), 4: (None, None, False)}
+
+
+def test_fallback(spark, tmp_path):
+    from marquetry.sources.files import with_fallback
+
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"):
+        spark.createDataFrame([(day,)], "day string").write.parquet(str(tmp_path / day))
+
+    def fails():
+        raise OSError("away")
+
+    assert {r["day"] for r in with_fallback(spark, fails, str(tmp_path)).collect()} == {"2024-01-02", "2024-01-03", "2024-01-04"}
+    assert with_fallback(spark, lambda: spark.range(2), str(tmp_path)).count() == 2
+
+
+def test_payload_numbering(spark):
+    from marquetry.functions.jsonx import flatten_payloads
+
+    df = spark.createDataFrame([('{"a": "1", "t__a": "x"}', '{"a": 2, "n": {"z": 1}}'), ("[1]", '{"a": null}')], "p string, q string")
+    columns = flatten_payloads([("s", F.col("p")), ("t", F.col("q"))], ["a", "t__a", "n"])
+    rows = df.select(*(v.alias(k) for k, v in columns.items())).collect()
+    assert (rows[0]["a"], rows[0]["t__a"], rows[0]["t__a__2"], rows[0]["n"]) == ("1", "x", "2", '{"z":1}')
+    assert rows[1]["a"] is None and rows[1]["t__a__2"] is None
+
+
+def test_scratch(spark):
+    from marquetry.sources.files import exists
+    from marquetry.sources.scratch import Scratch
+
+    s = Scratch(spark)
+    one, n = s.counted(spark.range(5))
+    path = next(iter(s.paths.values()))
+    out = s.result(one.filter("id > 1"))
+    assert n == 5 and out.count() == 3 and not exists(spark, path)
+    s.drop()
+    assert not s.paths
