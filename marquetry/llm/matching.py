@@ -251,13 +251,14 @@ CHUNK = 1 << 20
 
 def _likely(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether the pairs of rows i and j are worth scoring: their titles share most letter pairs and their days are not
-    far apart, or the key's person is the same within two months. People and companies are left to the score."""
-    _, _, day, _, _, who, a, b, _ = (rows[c] for c in ROW)
+    far apart; or the key's person is the same within two months and they may share a company, as the score asks of
+    pairs with other titles. Else people and companies are left to the score."""
+    _, _, day, firms, _, who, a, b, _ = (rows[c] for c in ROW)
     size = _bits(a) + _bits(b)
     gap = np.abs(day[i] - day[j])  # not a number where a day is unknown
     shared = _bits(a[i] & a[j]) + _bits(b[i] & b[j])
     alike = (shared >= 0.65 * np.maximum(np.minimum(size[i], size[j]), 1)) & ~(gap > FAR + 31)
-    person = (who[i] != 0) & (who[i] == who[j]) & (gap <= 62)
+    person = (who[i] != 0) & (who[i] == who[j]) & (gap <= 62) & ((firms[i] & firms[j]) != 0)
     return alike | person
 
 
@@ -350,20 +351,27 @@ def _borders(sizes: dict[int, int], window: int) -> list[tuple[int, int, int]]:
     return found
 
 
-def sorted_neighbourhood(scratch: Scratch, described: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(id, other): pairs of a profile of side 0 and one of side 1 whose keys are within `window` distinct keys of each
-    other under some sort key and are likely enough to be scored (see `_likely`).
+def candidate_rows(described: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The likely pairs within each partition of all keys in order, and the rows of its first and last keys.
 
-    One range sort of all keys; a window slides over each sorted partition as it streams by, and windows over a border
-    of partitions are made up from the last and first keys on either side. All rows of a key stand at one place, so no
-    number of rows of one key pushes others out; pairs grow with the rows of either side under near keys.
+    One range sort of all keys; a window slides over each sorted partition as it streams by.
     """
-    spark = scratch.spark
+    spark = described.sparkSession
     rows = described.select("side", "id", "day", "firm_bits", "people_bits", F.explode(F.arrays_zip("sort", "person", "low", "high")).alias("s"))
     rows = rows.select("side", "id", "day", "firm_bits", "people_bits", "s.*")
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), described.count() // PART))
     rows = rows.repartitionByRange(parts, "sort").sortWithinPartitions("sort").select(*ROW[:-1], F.xxhash64("sort").alias("mark"))
-    found = scratch.table(rows.mapInArrow(*_windows(window)))
+    return rows.mapInArrow(*_windows(window))
+
+
+def sorted_neighbourhood(spark: SparkSession, found: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(id, other): pairs of a profile of side 0 and one of side 1 whose keys are within `window` distinct keys of each
+    other under some sort key and are likely enough to be scored (see `_likely`).
+
+    found: stored `candidate_rows`. Windows over a border of partitions are made up from the last and first keys on
+    either side. All rows of a key stand at one place, so no number of rows of one key pushes others out; pairs grow
+    with the rows of either side under near keys.
+    """
     inside = found.filter("part is null").select("id", "other")
     edges = found.filter("part is not null").drop("id", "other")
     sizes = {r["part"]: r["n"] + 1 for r in edges.groupBy("part").agg(F.max("place").alias("n")).collect()}
@@ -565,18 +573,22 @@ def match_entities(spark: SparkSession, left: DataFrame, right: DataFrame, accep
     s = Scratch(spark)
     both = profiles(left.filter("id is not null"), 0).union(profiles(right.filter("id is not null"), 1))
     described = s.table(both)
-    pairs = s.table(sorted_neighbourhood(s, described, window))
+    found = s.table(candidate_rows(described, window))
+    pairs = s.table(sorted_neighbourhood(s.spark, found, window))
+    s.drop(found)
     a = described.filter("side = 0").select("id", F.struct(*FIELDS).alias("f"))
     b = described.filter("side = 1").select(F.col("id").alias("other"), F.struct(*FIELDS).alias("e"))
     scored = with_confidence(pairs.join(a, "id").join(b, "other"), "f", "e").select("id", "other", "confidence")
     # one row a pair, also where an id occurs twice
     scored = s.table(scored.filter(F.col("confidence") >= accept).groupBy("id", "other").agg(F.max("confidence").alias("confidence")))
+    s.drop(pairs)
 
     # works: each row with the best row of a shared candidate, if the two are one; groups by the least id
     lead = scored.groupBy("other").agg(F.max_by("id", F.struct("confidence", -F.col("id"))).alias("lead"))
     twins = scored.join(lead, "other").filter("id <> lead").select("id", "lead").distinct()
     twins = with_confidence(twins.join(a, "id").join(a.select(F.col("id").alias("lead"), F.col("f").alias("e")), "lead"), "f", "e")
     twins = s.table(twins.filter(F.col("confidence") >= accept).select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct())
+    s.drop(described)
     labels = components(s, twins).select(F.col("node").alias("id"), F.col("label").alias("work"))
     own = s.table(scored.join(labels, "id", "left").withColumn("work", F.coalesce("work", "id")))
     edges = own.groupBy("work", "other").agg(F.max("confidence").alias("confidence"))

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from marquetry.llm.matching import _borders, assign, auction, match_entities, one_to_one, profiles, sorted_neighbourhood
+from marquetry.llm.matching import _borders, assign, auction, candidate_rows, match_entities, one_to_one, profiles, sorted_neighbourhood
 from marquetry.llm.graph import components
 from marquetry.llm.titles import company_key, date_days, people_keys, title_form
 from marquetry.sources.scratch import Scratch
@@ -63,7 +63,7 @@ def test_window_counts_keys(spark):
     """Rows of one key are one place, wherever partitions end."""
     spread = lambda i: (i, ["Quiet Harbour"], [1.0], ["2005-05-01"], ["Ann Lee"], ["Juniper Studios"])
     described = profiles(spark.createDataFrame([spread(i) for i in range(3 * 2048)], KIND), 0).union(profiles(spark.createDataFrame([spread(9000 + i) for i in range(3)], KIND), 1))
-    assert sorted_neighbourhood(Scratch(spark), described).count() == 3 * 3 * 2048
+    assert sorted_neighbourhood(spark, candidate_rows(described)).count() == 3 * 3 * 2048
     # places over several partitions of few keys
     assert sorted(_borders({0: 20, 2: 3, 5: 20}, 12)) == [(0, 2, -20), (0, 5, -23), (2, 2, 0), (2, 5, -3), (5, 2, 3), (5, 5, 0)]
 
