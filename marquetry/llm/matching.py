@@ -21,7 +21,7 @@ from marquetry.sources.scratch import Scratch
 
 PROFILE = (
     "side int, id bigint, titles array<string>, sequels array<string>, trusts array<double>, days array<int>, years array<int>, people array<string>, "
-    "companies array<string>, day int, sort array<string>, person array<bigint>, low array<bigint>, high array<bigint>, firm_bits bigint, people_bits bigint"
+    "companies array<string>, day int, sort array<string>, person array<bigint>, low array<bigint>, high array<bigint>, firm_bits bigint, people_bits bigint, names bigint, need bigint"
 )
 FIELDS = ["titles", "sequels", "trusts", "days", "years", "people", "companies"]
 WEIGHTS = {"title": 0.5, "people": 0.2, "day": 0.2, "companies": 0.1}
@@ -70,8 +70,17 @@ def _title(text: str):
     return f and (f, max(f.words, key=len), _signature(f.text))
 
 
-def _people(text: str) -> list[tuple[str, int]]:
-    return [(k, _hash(k)) for k in people_keys(text)]
+def _people(text: str) -> list[tuple[str, int, int, int]]:
+    """The keys of the people named, their hashes, the pairs of letters of each as bits, and how many of them a name near
+    it by `people_likeness` has at least: an edit changes two pairs, full names may have two edits, family names one."""
+    out = []
+    for k in people_keys(text):
+        name, edits = (k[1:], 2) if k[:1] == "=" else (k.partition(".")[2], 1)
+        bits = 0
+        for a, b in set(zip(name, name[1:])):
+            bits |= 1 << ((ord(a) * 31 + ord(b) * 7) % 63)
+        out.append((k, _hash(k), bits, max(0, bits.bit_count() - 2 * edits)))
+    return out
 
 
 def _company(text: str) -> tuple[str, int] | None:
@@ -160,9 +169,12 @@ def _describer(side: int):
             many = size[at]
             inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             p_rows, p_key = _unique(np.repeat(rows, many), np.concatenate(codes)[np.repeat(start[at], many) + inner])
-            spelled = [k for k, _ in key.code] or [""]
+            spelled = [x[0] for x in key.code] or [""]
             full = np.array([k[:1] == "=" for k in spelled])
-            hashes = np.array([h for _, h in key.code] or [0], np.int64)
+            hashes, pairs, least = (np.array([x[i] for x in key.code] or [0], np.int64) for i in (1, 2, 3))
+            names_bits, need = np.zeros(n, np.int64), np.full(n, 64)
+            np.bitwise_or.at(names_bits, p_rows, pairs[p_key])
+            np.minimum.at(need, p_rows, least[p_key])
             people_bits = np.zeros(n, np.int64)
             np.bitwise_or.at(people_bits, p_rows, np.where(full, 0, np.left_shift(1, hashes % 63))[p_key])
             families, rank = np.unique(np.array(["", *("" if f else k.partition(".")[2][:6] for k, f in zip(spelled, full))]), return_inverse=True)
@@ -219,7 +231,7 @@ def _describer(side: int):
                     _lists(rows, n, pa.array(trust)), _lists(day_rows, n, pa.array(days.astype(np.int32))), _lists(year_rows, n, pa.array(years.astype(np.int32))),
                     _lists(p_rows, n, p_text), firm_list, pa.array(first_day.astype(np.int32), mask=~has_day), _lists(k_rows, n, keys.take(pa.array(order))),
                     _lists(k_rows, n, ordered(none, hashes[l_key])), _lists(k_rows, n, ordered(low, low, low, row_low[l_rows])),
-                    _lists(k_rows, n, ordered(high, high, high, row_high[l_rows])), pa.array(firm_bits), pa.array(people_bits),
+                    _lists(k_rows, n, ordered(high, high, high, row_high[l_rows])), pa.array(firm_bits), pa.array(people_bits), pa.array(names_bits), pa.array(need),
                 ],
                 names=[f.split()[0] for f in PROFILE.split(", ")],
             )
@@ -244,22 +256,25 @@ def _bits(x: np.ndarray) -> np.ndarray:
 FAR = 800
 
 
-ROW = ["side", "id", "day", "firm_bits", "people_bits", "person", "low", "high", "place"]
+ROW = ["side", "id", "day", "firm_bits", "people_bits", "names", "need", "person", "low", "high", "place"]
 # Pairs looked at in one go.
 CHUNK = 1 << 20
 
 
 def _likely(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether the pairs of rows i and j are worth scoring: their titles share most letter pairs and their days are not
-    far apart; or the key's person is the same within two months and they may share a company, as the score asks of
-    pairs with other titles. Else people and companies are left to the score."""
-    _, _, day, firms, _, who, a, b, _ = (rows[c] for c in ROW)
+    far apart, and they may share a company or a person, be it near in spelling, or one of the two is unknown, without
+    which no pair is accepted; or the key's person is the same within two months and they may share a company, as the
+    score asks of pairs with other titles."""
+    _, _, day, firms, people, names, need, who, a, b, _ = (rows[c] for c in ROW)
     size = _bits(a) + _bits(b)
     gap = np.abs(day[i] - day[j])  # not a number where a day is unknown
     shared = _bits(a[i] & a[j]) + _bits(b[i] & b[j])
     alike = (shared >= 0.65 * np.maximum(np.minimum(size[i], size[j]), 1)) & ~(gap > FAR + 31)
+    backed = ((firms[i] & firms[j]) != 0) | ((people[i] & people[j]) != 0) | (firms[i] == 0) | (firms[j] == 0) | (people[i] == 0) | (people[j] == 0)
+    backed |= _bits(names[i] & names[j]) >= np.maximum(need[i], need[j])
     person = (who[i] != 0) & (who[i] == who[j]) & (gap <= 62) & ((firms[i] & firms[j]) != 0)
-    return alike | person
+    return (alike & backed) | person
 
 
 def _compare(rows: dict[str, np.ndarray], window: int, first: int) -> Iterator[np.ndarray]:
@@ -286,7 +301,7 @@ def _compare(rows: dict[str, np.ndarray], window: int, first: int) -> Iterator[n
 def _windows(window: int):
     """Pairs of a sorted partition, and the rows of its first and last keys for the windows that reach into other partitions."""
     kinds = {"day": float, "side": np.int32}
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * 6]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * 8]
     names = ["id", "other", "part", "place", "side", "day", *ROW[3:-1], "key"]
 
     def edge(rows: dict[str, np.ndarray], chosen: np.ndarray, part: int) -> pa.RecordBatch:
@@ -319,7 +334,7 @@ def _windows(window: int):
         if held is not None:
             yield edge(held, held["place"] >= window, part)  # those before are out already
 
-    schema = "id bigint, other bigint, part int, place int, side int, day int, firm_bits bigint, people_bits bigint, person bigint, low bigint, high bigint, `key` bigint"
+    schema = "id bigint, other bigint, part int, place int, side int, day int, firm_bits bigint, people_bits bigint, names bigint, need bigint, person bigint, low bigint, high bigint, `key` bigint"
     return run, schema
 
 
@@ -357,8 +372,8 @@ def candidate_rows(described: DataFrame, window: int = WINDOW) -> DataFrame:
     One range sort of all keys; a window slides over each sorted partition as it streams by.
     """
     spark = described.sparkSession
-    rows = described.select("side", "id", "day", "firm_bits", "people_bits", F.explode(F.arrays_zip("sort", "person", "low", "high")).alias("s"))
-    rows = rows.select("side", "id", "day", "firm_bits", "people_bits", "s.*")
+    own = ["side", "id", "day", "firm_bits", "people_bits", "names", "need"]
+    rows = described.select(*own, F.explode(F.arrays_zip("sort", "person", "low", "high")).alias("s")).select(*own, "s.*")
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), described.count() // PART))
     rows = rows.repartitionByRange(parts, "sort").sortWithinPartitions("sort").select(*ROW[:-1], F.xxhash64("sort").alias("mark"))
     return rows.mapInArrow(*_windows(window))
