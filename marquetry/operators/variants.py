@@ -30,12 +30,17 @@ def merge_editions(df: DataFrame, key: str, title: str, special: Column, lists:
     return out.withColumns(columns).drop("_base", "_special", "_b", "_any", "_all", *(f"_m_{c}" for c in lists))
 
 
+# Rows of a block that are scored first for each event.
+FIRST = 64
+
+
 def _scores(titles: np.ndarray, texts: np.ndarray, both: bool) -> np.ndarray:
     return 0.4 * titles + 0.6 * texts if both else titles
 
 
-def _best_of_cell(least: float):
-    """The best standard row of a cell for each of its events that reaches `least`.
+def _best_of_cell(least: float, first: bool):
+    """The best standard row of a cell for each of its events that reaches `least` and what is already known of the
+    event; with `first` only of the rows that look best.
 
     Counts of letters bound the scores from above; pairs are scored from the highest bound down, as long as it reaches
     the best score so far.
@@ -45,14 +50,16 @@ def _best_of_cell(least: float):
         found = []
         if len(events) and len(standard):
             titles, texts, keys = Texts([token_sort(t) for t in standard["t"]]), Texts(standard["s"].tolist()), standard["d"].to_numpy()
-            for e, t, s, both in zip(events["e"], events["t"], events["s"], events["both"]):
-                t, best, least_key = token_sort(t), least, None
+            for e, t, s, both, known in zip(events["e"], events["t"], events["s"], events["both"], events["known"]):
+                t, best, least_key = token_sort(t), max(known - 1e-9, least), None
                 by_text = texts.bound(s) if both else None
                 bound = _scores(titles.bound(t), by_text, both)
                 order = np.flatnonzero(bound >= best - 1e-9)
                 order = order[np.argsort(-bound[order], kind="stable")]
-                for start in range(0, len(order), 2048):
-                    at = order[start : start + 2048]
+                for start in range(0, FIRST if first else len(order), FIRST if first else 2048):
+                    at = order[start : start + (FIRST if first else 2048)]
+                    if not len(at):
+                        break
                     if bound[at[0]] < best - 1e-9:
                         break
                     score = titles.ratio(t, at)
@@ -77,8 +84,9 @@ def fuzzy_best(df: DataFrame, key: str, title: str, synopsis: str, least: float
 
     Score: 0.4 x token-sorted Indel ratio of the titles + 0.6 x Indel ratio of the first 80 letters of the synopses, or
     the titles alone where no standard synopsis shares a letter with the event's. Ties go to the least key. Rows alike
-    in both count once. The events are a stated query set against all rows, in blocks of `cell` distinct rows; in a
-    block only pairs are scored whose upper bound by letter counts reaches the best so far. The work grows with
+    in both count once. The events are a stated query set against all rows, in blocks of `cell` distinct rows, twice: first
+    the rows of each block that look best by letter counts are scored, which gives each event a score to beat; then
+    only pairs are scored whose upper bound by letter counts reaches it. The work grows with
     distinct events x distinct standard rows, which the score asks for: any standard row may be the best.
     """
     spark = df.sparkSession
@@ -95,11 +103,18 @@ def fuzzy_best(df: DataFrame, key: str, title: str, synopsis: str, least: float
     events = stored(spark, events)
     p, q = (max(1, -(-x.count() // cell)) for x in (standard, events))
     place = lambda n: F.pmod(F.xxhash64("t", "s"), F.lit(n)).cast("int")
+    # by a fixed number, as blocks are small in size but not in work
+    tasks = min(2 * p * q, int(spark.conf.get("spark.sql.shuffle.partitions")))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = events.withColumn("q", place(q)).withColumn("p", every(p)).groupBy("p", "q")
-    right = standard.withColumn("p", place(p)).withColumn("q", every(q)).groupBy("p", "q")
+    right = standard.withColumn("p", place(p)).withColumn("q", every(q)).repartition(tasks, "p", "q").groupBy("p", "q")
     kind = df.schema[key].dataType.simpleString()
-    met = left.cogroup(right).applyInPandas(_best_of_cell(least), f"e {kind}, d {kind}, score double")
+    events = events.withColumn("known", F.lit(0.0))
+    for first in (True, False):
+        left = events.withColumn("q", place(q)).withColumn("p", every(p)).repartition(tasks, "p", "q").groupBy("p", "q")
+        met = left.cogroup(right).applyInPandas(_best_of_cell(least, first), f"e {kind}, d {kind}, score double")
+        if first:
+            seen = stored(spark, met.groupBy("e").agg(F.max("score").alias("seen")))
+            events = events.join(seen, "e", "left").withColumn("known", F.coalesce("seen", F.lit(0.0))).drop("seen")
     best = met.groupBy("e").agg(F.max_by(F.struct("d", "score"), F.struct("score", -F.col("d"))).alias("b"))
     best = best.join(events, "e").select("t", "s", F.col("b.d").alias("standard_key"), F.col("b.score").alias("score"))
     return bookings.filter("event").join(best, ["t", "s"]).select(F.col("k").alias("event_key"), "standard_key", "score")
