@@ -166,11 +166,36 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_pairs(p7_entities(spark, sf_dir), "rec_id")
 
 
+def p8_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the sequences: every document is there, none is over its capacity, none cut that would fit."""
+    packed = p8_sequences(spark, sf_dir)
+    fill = packed.filter("sequence is not null").groupBy("pack_name", "capacity", "sequence").agg(F.sum("tokens").alias("n"))
+    over = fill.groupBy("pack_name").agg(F.count_if(F.col("n") > F.col("capacity")).alias("over_full"))
+    docs = packed.groupBy("pack_name", "capacity", "doc_id").agg(F.count("*").alias("pieces"), F.sum("tokens").alias("n"))
+    docs = docs.groupBy("pack_name").agg(F.count("*").alias("docs"), F.count_if((F.col("pieces") > 1) & (F.col("n") <= F.col("capacity"))).alias("cut_needlessly"))
+    return docs.join(over, "pack_name")
+
+
+def p9_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the mixture: every listed source is reported, and none is repeated too often. How near a share
+    comes depends on the longest document, so it is left to p9_shares."""
+    kept = F.col("copies") <= F.col("max_repeats") * F.col("docs")
+    return p9_shares(spark, sf_dir).select("source", kept.alias("repeats_kept"))
+
+
+def p7_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the entities: every row has one, its least row."""
+    return p7_entities(spark, sf_dir).agg(F.count("*").alias("rows"), F.count_distinct("rec_id").alias("ids"), F.count_if(F.col("entity") > F.col("rec_id")).alias("not_least"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_frequencies, p3_found, p3_matches, p7_found, p7_entities, p8_sequences, p8_fill, p9_mixture, p9_shares, p10_found, p10_levels, p10_profile, p10_report)
+    for f in (p1_found, p1_frequencies, p3_found, p3_matches, p7_found, p7_entities, p8_sequences, p8_fill, p9_mixture, p9_shares, p10_found, p10_levels, p10_profile, p10_report, p7_kept, p8_kept, p9_kept)
 }
 SQL = {
     "p1_found": _TERMS + "select field, term, mark from m where mark is not null",
     "p1_frequencies": _TERMS + "select * from m",
+    "p7_kept": "select count(*) as rows, count(distinct rec_id) as ids, 0::bigint as not_least from (select rec_id from cast_enriched union all select rec_id from director_enriched)",
+    "p8_kept": "select pack_name, (select count(distinct doc_id) from documents) as docs, 0::bigint as over_full, 0::bigint as cut_needlessly from pack_sizes",
+    "p9_kept": "select source, true as repeats_kept from mix_targets",
 }
