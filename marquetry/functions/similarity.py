@@ -86,6 +86,105 @@ class Texts:
         return self._ratio(common, len(text), length)
 
 
+class Masks:
+    """Many texts, the queries, as bit masks by letter: how many letters in order (`indel_ratio`'s longest common
+    subsequence) other texts have in common with them, for all pairs of two sets or pair by pair.
+    """
+
+    BITS, PAIRS = 62, 8192
+
+    def __init__(self, texts: list[str]):
+        self.length = np.array([len(x) for x in texts], np.int64)
+        self.letters = np.array(sorted(map(ord, set().union(*texts))), np.uint32)
+        codes = self.codes(texts)
+        # by limb, letter and text; the last letter is any that no query has
+        self.masks = np.zeros((max(1, -(-codes.shape[1] // self.BITS)), len(self.letters) + 1, len(texts)), np.int64)
+        for i, letters in enumerate(codes.T):
+            self.masks[i // self.BITS, letters, np.arange(len(texts))] |= 1 << i % self.BITS
+        self.masks[:, -1] = 0
+
+    def codes(self, texts: list[str]) -> np.ndarray:
+        """A row of letters of the queries for each text, filled up with the letter that no query has."""
+        length = np.array([len(x) for x in texts], np.int64)
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        code = np.searchsorted(self.letters, points)
+        known = self.letters[np.minimum(code, len(self.letters) - 1)] == points if len(self.letters) else np.zeros(len(points), bool)
+        out = np.full((len(texts), int(length.max(initial=0))), len(self.letters), np.int32)
+        out[np.arange(out.shape[1]) < length[:, None]] = np.where(known, code, len(self.letters))
+        return out
+
+    def _step(self, rows: list[np.ndarray], masks: list[np.ndarray]) -> None:
+        """One more letter for all; rows and masks by limb."""
+        carry = None
+        for k, (row, mask) in enumerate(zip(rows, masks)):
+            np.bitwise_and(row, mask, out=mask)
+            total = row + mask
+            np.bitwise_xor(row, mask, out=row)
+            if carry is not None:
+                total += carry
+            if k + 1 < len(rows):
+                carry = total >> self.BITS
+                total &= (1 << self.BITS) - 1
+            row |= total
+
+    def _common(self, rows: list[np.ndarray]) -> np.ndarray:
+        return sum(self.BITS - np.bitwise_count(r & ((1 << self.BITS) - 1)).astype(np.int32) for r in rows)
+
+    def all_common(self, codes: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Letters in common of each text (rows of `codes`) and each of the queries `which`."""
+        out = np.empty((len(codes), len(which)), np.int32)
+        for a in range(0, len(which), self.PAIRS // 4):
+            masks = [m[:, which[a : a + self.PAIRS // 4]] for m in self.masks]
+            n = masks[0].shape[1]
+            take = max(1, self.PAIRS // max(n, 1))
+            for b in range(0, len(codes), take):
+                part = codes[b : b + take]
+                rows = [np.full((len(part), n), (1 << self.BITS) - 1, np.int64) for _ in masks]
+                for letters in part.T:
+                    self._step(rows, [np.take(m, letters, axis=0) for m in masks])
+                out[b : b + take, a : a + n] = self._common(rows)
+        return out
+
+    def pair_common(self, codes: np.ndarray, row: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Letters in common of the texts `row` of `codes` and the queries `query`, pair by pair."""
+        out, places = np.empty(len(row), np.int32), codes.astype(np.int64) * len(self.length)
+        long = self.length[query] > self.BITS
+        for which, limbs in ((np.flatnonzero(~long), 1), (np.flatnonzero(long), len(self.masks))):
+            flat = [m.ravel() for m in self.masks[:limbs]]
+            for a in range(0, len(which), self.PAIRS):
+                at = which[a : a + self.PAIRS]
+                rows = [np.full(len(at), (1 << self.BITS) - 1, np.int64) for _ in flat]
+                own = query[at]
+                for letters in np.ascontiguousarray(places[row[at]].T):
+                    letters += own
+                    self._step(rows, [np.take(m, letters) for m in flat])
+                out[at] = self._common(rows)
+        return out
+
+
+class Letters:
+    """Counts of letters of many texts, by a fixed number of bins."""
+
+    BINS = 32
+
+    def __init__(self, texts: list[str]):
+        self.length = np.array([len(x) for x in texts], np.int64)
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        row = np.repeat(np.arange(len(texts)), self.length)
+        self.counts = np.bincount(row * self.BINS + points % self.BINS, minlength=self.BINS * len(texts)).reshape(len(texts), self.BINS)
+
+    def levels(self) -> list[tuple[int, int]]:
+        """Each bin with each count of it that a text reaches."""
+        return [(b, n + 1) for b, most in enumerate(self.counts.max(0, initial=0)) for n in range(most)]
+
+    def reached(self, levels: list[tuple[int, int]]) -> np.ndarray:
+        """1 where a text reaches the level: the product of two texts' rows is no less than the letters that they have in
+        common in any order, if one of them is among those that `levels` is of."""
+        bins, counts = np.array(levels, np.int64).reshape(-1, 2).T
+        return (self.counts[:, bins] >= counts).astype(np.float32)
+
+
+
 @F.pandas_udf(T.DoubleType())
 def indel(a: pd.Series, b: pd.Series) -> pd.Series:
     """`indel_ratio` of two columns; null counts as ''."""

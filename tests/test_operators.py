@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -330,3 +331,43 @@ def test_scratch(spark):
     assert n == 5 and out.count() == 3 and not exists(spark, path)
     s.drop()
     assert not s.paths
+
+
+def test_masks_and_letters():
+    random.seed(5)
+    texts = ["", "A", *("".join(random.choice("ABCDé 😀") for _ in range(random.randrange(150))) for _ in range(40))]
+    for queries in (texts, texts[:1], []):
+        masks, letters = similarity.Masks(queries), similarity.Letters(queries)
+        codes = masks.codes([*texts, "XYZ"])
+        exact = [[similarity.indel_ratio(x, y) for y in queries] for x in [*texts, "XYZ"]]
+        total = np.array([[len(x) + len(y) for y in queries] for x in [*texts, "XYZ"]]).reshape(len(codes), len(queries))
+        common = masks.all_common(codes, np.arange(len(queries)))
+        assert variants._ratio(common, total).tolist() == exact
+        x, y = (i.ravel() for i in np.indices(common.shape))
+        assert (masks.pair_common(codes, x, y) == common[x, y]).all()
+        levels = letters.levels()
+        assert (similarity.Letters([*texts, "XYZ"]).reached(levels) @ letters.reached(levels).T >= common).all()
+
+
+def test_fuzzy_best_of_like_synopses(spark, monkeypatch):
+    """Synopses of few patterns, in several blocks: the best row of all by few comparisons of synopses, found once only."""
+    random.seed(11)
+    name = lambda: "".join(random.choice("BDGKLMNPRST") + random.choice("AEIOU") for _ in range(random.randint(2, 4)))
+    patterns = ["SET IN {0}, THE FILM FOLLOWS A {1}, WHO LEARNS TO SWIM", "{0} PACKS A BAG AND TAKES THE FIRST TRAIN WITH A {1}", "WHEN A {1} OPENS A CINEMA IN {0}, NOBODY WILL BELIEVE IT"]
+    text = lambda: random.choice(patterns).format(name(), random.choice(["CLERK", "BUS DRIVER", "RETIRED BOXER"]))
+    rows = [(i, f"{'GC ' if i < 30 else ''}{random.choice(['THE ', 'BETWEEN '])}{name()} {random.choice(['WOLF', 'ICEBREAKER'])}", text()) for i in range(900)]
+    best = variants.fuzzy_best(spark.createDataFrame(rows, "k bigint, t string, s string"), "k", "t", "s", cell=256)
+    # its two uses in merge_events compare nothing again
+    assert "CoGroups" not in best._jdf.queryExecution().toString()
+    want = {}
+    for k, t, s in rows[:30]:
+        scores = ((0.4 * similarity.indel_ratio(similarity.token_sort(t[3:]), similarity.token_sort(u)) + 0.6 * similarity.indel_ratio(s[:80], v[:80]), -d) for d, u, v in rows[30:])
+        score, d = max(scores)
+        want[k] = (-d, score)
+    assert {r["event_key"]: (r["standard_key"], r["score"]) for r in best.collect()} == want
+
+    met, pairs = [], similarity.Masks.pair_common
+    monkeypatch.setattr(similarity.Masks, "pair_common", lambda self, codes, row, query: (met.append(len(row)), pairs(self, codes, row, query))[1])
+    events = pd.DataFrame([(k, t[3:], s, True, want[k][1]) for k, t, s in rows[:30]], columns=["e", "t", "s", "both", "known"])
+    got = variants._best_of_cell(60.0)(events, pd.DataFrame(rows[30:], columns=["d", "t", "s"]))
+    assert {e: (d, score) for e, d, score in got.itertuples(index=False)} == want and sum(met) < 30 * 870 / 5
