@@ -147,17 +147,18 @@ class Masks:
 
     def pair_common(self, codes: np.ndarray, row: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Letters in common of the texts `row` of `codes` and the queries `query`, pair by pair."""
-        out, places = np.empty(len(row), np.int32), codes.astype(np.int64) * len(self.length)
+        out = np.empty(len(row), np.int32)
         long = self.length[query] > self.BITS
         for which, limbs in ((np.flatnonzero(~long), 1), (np.flatnonzero(long), len(self.masks))):
             flat = [m.ravel() for m in self.masks[:limbs]]
             for a in range(0, len(which), self.PAIRS):
                 at = which[a : a + self.PAIRS]
                 rows = [np.full(len(at), (1 << self.BITS) - 1, np.int64) for _ in flat]
-                own = query[at]
-                for letters in np.ascontiguousarray(places[row[at]].T):
-                    letters += own
-                    self._step(rows, [np.take(m, letters) for m in flat])
+                places = np.ascontiguousarray(codes[row[at]].T).astype(np.int64)
+                places *= len(self.length)
+                places += query[at]
+                for p in places:
+                    self._step(rows, [m[p] for m in flat])
                 out[at] = self._common(rows)
         return out
 

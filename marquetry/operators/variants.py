@@ -115,12 +115,13 @@ class _Search:
             for start in range(ends[centre], ends[centre + 1], AT_ONCE):
                 at = order[start : min(start + AT_ONCE, ends[centre + 1])]
                 # by the triangle inequality, no synopsis of these is nearer than that
-                least, total = np.maximum(away[centre] - block.away[at, None], 0), block.length[at, None] + self.texts.length
-                nearest = _ratio((total - least) / 2, total)
-                which = np.flatnonzero(nearest.max(0) >= self._needed() - 1e-6)
+                least, longest = np.maximum(away[centre] - block.away[at].max(), 0), block.length[at].max() + self.texts.length
+                which = np.flatnonzero(_ratio((longest - least) / 2, longest) >= self._needed() - 1e-6)
                 if len(which):
+                    total = block.length[at, None] + self.texts.length[which]
+                    most = (total - np.maximum(away[centre, which] - block.away[at, None], 0)) / 2
                     common = self.block_reached[at] @ self.text_reached[which].T
-                    self._meet(at, which, np.minimum(nearest[:, which], _ratio(common, total[:, which])), codes[at])
+                    self._meet(at, which, _ratio(np.minimum(most, common), total), codes[at])
 
     def _needed(self) -> np.ndarray:
         """The least synopsis score for each of the events' synopses that may still give a best row, if the titles are alike."""
