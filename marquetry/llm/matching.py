@@ -16,12 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquetry.llm.graph import components
-from marquetry.llm.titles import company_key, date_days, people_keys, title_form
+from marquetry.llm.names import skeletons
+from marquetry.llm.titles import company_key, date_days, folded_keys, people_roots, title_words
 from marquetry.sources.scratch import Scratch
 
 PROFILE = (
     "side int, id bigint, titles array<string>, sequels array<string>, trusts array<double>, days array<int>, years array<int>, people array<string>, "
-    "companies array<string>, day int, sort array<string>, person array<bigint>, low array<bigint>, high array<bigint>, firm_bits bigint, people_bits bigint, names bigint, need bigint"
+    "companies array<string>, day int, last int, keys array<struct<sort:string,person:bigint,low:bigint,high:bigint>>, firm_bits bigint, people_bits bigint, names bigint, need bigint"
 )
 FIELDS = ["titles", "sequels", "trusts", "days", "years", "people", "companies"]
 WEIGHTS = {"title": 0.5, "people": 0.2, "day": 0.2, "companies": 0.1}
@@ -29,63 +30,91 @@ ACCEPT = 0.6
 WINDOW = 12
 # Rows of a sorted partition on average at least, so that most windows span no more than two.
 PART = 2048
+# Stands for the pairs of letters that a near name needs where no person is known.
+NOBODY = 64
 
 
-def _hash(text: str) -> int:
-    h = 1469598103934665603
-    for b in text.encode():
-        h = ((h ^ b) * 1099511628211) & 0xFFFFFFFFFFFFFFFF
-    return h - (1 << 63)
+def _hashes(texts: list[str]) -> np.ndarray:
+    """FNV-1a of each text, shifted to signed numbers."""
+    coded = [t.encode() for t in texts]
+    size, letters = np.array([len(t) for t in coded], np.int64), np.frombuffer(b"".join(coded), np.uint8)
+    start, longest = np.cumsum(size) - size, np.argsort(-size, kind="stable")
+    h = np.full(len(texts), 1469598103934665603, np.uint64)
+    for i, n in enumerate(len(size) - np.cumsum(np.bincount(size))[:-1]):
+        k = longest[:n]  # those with a letter at i
+        h[k] = (h[k] ^ letters[start[k] + i]) * np.uint64(1099511628211)
+    return (h - np.uint64(1 << 63)).view(np.int64)
 
 
-_PAIRS = {(x, y): 1 << ((ord(x) * 31 + ord(y) * 7) % 128) for x in "abcdefghijklmnopqrstuvwxyz" for y in "abcdefghijklmnopqrstuvwxyz"}
+def _letter_pairs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs of neighbouring letters: the text of each, first and second letter."""
+    letters = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    row = np.repeat(np.arange(len(texts)), np.array([len(t) for t in texts], np.int64))
+    within = row[1:] == row[:-1]
+    return row[1:][within], letters[:-1][within], letters[1:][within]
 
 
-def _signature(text: str) -> tuple[int, int]:
-    """The pairs of letters of a text as 128 bits."""
-    bits = 0
-    for pair in set(zip(text, text[1:])):
-        bits |= _PAIRS.get(pair, 1)
-    low, high = bits & 0xFFFFFFFFFFFFFFFF, bits >> 64
-    return low - (1 << 64) * (low >> 63), high - (1 << 64) * (high >> 63)
+def _united(rows: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
+    """For each of n rows, in whose order they come, the bits at the places from 0 to 63; other places count for nothing."""
+    out = np.zeros(n, np.uint64)
+    if len(rows):
+        begin = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+        bits = np.where((place >= 0) & (place < 64), np.left_shift(np.uint64(1), (place & 63).astype(np.uint64)), np.uint64(0))
+        out[rows[begin]] = np.bitwise_or.reduceat(bits, begin)
+    return out.view(np.int64)
+
+
+def _signatures(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of letters of each text as 128 bits, in two halves."""
+    row, x, y = _letter_pairs(texts)
+    a, z = ord("a"), ord("z")
+    place = np.where((x >= a) & (x <= z) & (y >= a) & (y <= z), (x * 31 + y * 7) % 128, 0)
+    return _united(row, place, len(texts)), _united(row, place - 64, len(texts))
 
 
 class _Cached:
-    """Results of a function of one text, kept for the task; names, dates and firms recur."""
+    """Results of a function of many texts, kept for the task; titles, names, dates and firms recur."""
 
-    def __init__(self, function: Callable, most: int = 200_000):
+    def __init__(self, function: Callable[[list[str]], list], most: int = 200_000):
         self.function, self.known, self.most = function, {}, most
 
-    def __call__(self, text: str):
-        if text not in self.known:
-            if len(self.known) >= self.most:
-                self.known.clear()
-            self.known[text] = self.function(text)
-        return self.known[text]
+    def __call__(self, texts: list[str]) -> list:
+        new = [t for t in texts if t not in self.known]
+        if len(self.known) + len(new) > self.most:
+            self.known.clear()
+            new = texts
+        self.known.update(zip(new, self.function(new)))
+        return [self.known[t] for t in texts]
+
 
+def _titles(texts: list[str]) -> list[tuple[str, str, str, int, int] | None]:
+    """Of each title the form's text, its sequel marks, its longest word and its signature, or None."""
+    found = [title_words(t) for t in texts]
+    whole = ["".join(f[0]) for f in found if f]
+    spelled = [s or w for s, w in zip(skeletons(whole), whole)]
+    made = zip(spelled, *(s.tolist() for s in _signatures(spelled)))
+    return [f and ((m := next(made))[0], f[1], max(f[0], key=len), *m[1:]) for f in found]
 
-def _title(text: str):
-    """A title's form, its longest word and its signature, or None."""
-    f = title_form(text)
-    return f and (f, max(f.words, key=len), _signature(f.text))
 
+def _people(texts: list[str]) -> list[list[str]]:
+    """The keys of the people that each text names."""
+    roots = [people_roots(t) for t in texts]
+    raw = list(dict.fromkeys(x for named in roots for whole, family, _ in named for x in (*whole, family)))
+    folded = dict(zip(raw, skeletons(raw)))
+    return [folded_keys(named, folded.__getitem__) for named in roots]
 
-def _people(text: str) -> list[tuple[str, int, int, int]]:
-    """The keys of the people named, their hashes, the pairs of letters of each as bits, and how many of them a name near
-    it by `people_likeness` has at least: an edit changes two pairs, full names may have two edits, family names one."""
-    out = []
-    for k in people_keys(text):
-        name, edits = (k[1:], 2) if k[:1] == "=" else (k.partition(".")[2], 1)
-        bits = 0
-        for a, b in set(zip(name, name[1:])):
-            bits |= 1 << ((ord(a) * 31 + ord(b) * 7) % 63)
-        out.append((k, _hash(k), bits, max(0, bits.bit_count() - 2 * edits)))
-    return out
 
+def _near(keys: list[str], full: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of letters of each person's name as bits, and how many of them a name near it by `people_likeness` has
+    at least: an edit changes two pairs, full names may have two edits, family names one."""
+    row, x, y = _letter_pairs([k[1:] if f else k.partition(".")[2] for k, f in zip(keys, full)])
+    bits = _united(row, (x * 31 + y * 7) % 63, len(keys))
+    return bits, np.maximum(0, _bits(bits) - np.where(full, 4, 2)).astype(np.int64)
 
-def _company(text: str) -> tuple[str, int] | None:
-    key = company_key(text)
-    return key and (key, 1 << (_hash(key) % 63))
+
+def _companies(texts: list[str]) -> list[tuple[str, int] | None]:
+    keys = [company_key(t) for t in texts]
+    return [k and (k, 1 << h) for k, h in zip(keys, (_hashes([k or "" for k in keys]) % 63).tolist())]
 
 
 def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, list]:
@@ -130,7 +159,7 @@ def _describer(side: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        form, dates, names, firm = _Cached(_title), _Cached(date_days), _Cached(_people), _Cached(_company)
+        form, dates, names, firm = _Cached(_titles), _Cached(lambda texts: [date_days(t) for t in texts]), _Cached(_people), _Cached(_companies)
         for batch in batches:
             n = batch.num_rows
             if not n:
@@ -138,7 +167,7 @@ def _describer(side: int):
             _, titles, trusts, when, people, companies = batch.columns
 
             rows, at, texts = _flat(companies)
-            parsed = [firm(x) if x else None for x in texts]
+            parsed = firm(texts)
             known = np.array([x is not None for x in parsed] or [False])[at] & (at >= 0)
             rows, at = rows[known], at[known]
             firm_list = _lists(rows, n, pa.array([x and x[0] for x in parsed], pa.string()).take(pa.array(at)))
@@ -146,33 +175,35 @@ def _describer(side: int):
             np.bitwise_or.at(firm_bits, rows, np.array([x[1] if x else 0 for x in parsed] or [0], np.int64)[at])
 
             rows, at, texts = _flat(when)
-            parsed = [dates(x) if x else (None, False) for x in texts] or [(None, False)]
+            parsed = dates(texts) or [(None, False)]
             number = np.array([0 if d is None else d for d, _ in parsed])
             by_year = np.array([y for _, y in parsed])
             known = np.array([d is not None for d, _ in parsed])[at] & (at >= 0)
             exact, coarse = known & ~by_year[at], known & by_year[at]
             day_rows, days = rows[exact], number[at[exact]]
             year_rows, years = rows[coarse], 1970 + number[at[coarse]] // 365
-            first_day, first_year = np.full(n, 1 << 30), np.full(n, 1 << 30)
+            first_day, last_day, first_year = np.full(n, 1 << 30), np.full(n, -(1 << 30)), np.full(n, 1 << 30)
             np.minimum.at(first_day, day_rows, days)
+            np.maximum.at(last_day, day_rows, days)
             np.minimum.at(first_year, year_rows, years)
             has_day = first_day < 1 << 30
             year = np.where(has_day, 1970 + first_day // 365, np.where(first_year < 1 << 30, first_year, 0))
 
             rows, at, texts = _flat(people)
             key = _Coded()
-            codes = [np.array([key(x) for x in (names(t) if t else ())], np.int64) for t in texts] or [np.zeros(0, np.int64)]
-            size = np.array([len(c) for c in codes])
+            named = names(texts)
+            codes = np.array([key(x) for keys in named for x in keys], np.int64)
+            size = np.array([len(keys) for keys in named], np.int64)
             start = np.cumsum(size) - size
             known = at >= 0
             rows, at = rows[known], at[known]
             many = size[at]
             inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            p_rows, p_key = _unique(np.repeat(rows, many), np.concatenate(codes)[np.repeat(start[at], many) + inner])
-            spelled = [x[0] for x in key.code] or [""]
+            p_rows, p_key = _unique(np.repeat(rows, many), codes[np.repeat(start[at], many) + inner])
+            spelled = list(key.code) or [""]
             full = np.array([k[:1] == "=" for k in spelled])
-            hashes, pairs, least = (np.array([x[i] for x in key.code] or [0], np.int64) for i in (1, 2, 3))
-            names_bits, need = np.zeros(n, np.int64), np.full(n, 64)
+            hashes, (pairs, least) = _hashes(spelled), _near(spelled, full)
+            names_bits, need = np.zeros(n, np.int64), np.full(n, NOBODY)
             np.bitwise_or.at(names_bits, p_rows, pairs[p_key])
             np.minimum.at(need, p_rows, least[p_key])
             people_bits = np.zeros(n, np.int64)
@@ -186,13 +217,9 @@ def _describer(side: int):
 
             rows, at, texts = _flat(titles)
             trust = trusts.flatten().to_numpy(zero_copy_only=False).astype(float)
-            code, made = _Coded(), {}
-            of = []
-            for t in texts:
-                found = form(t) if t else None
-                of.append(-1 if found is None else code((found[0].text, found[0].sequel)))
-                if found:
-                    made[of[-1]] = found
+            code, found = _Coded(), form(texts)
+            of = [code(f[:2]) if f else -1 for f in found]
+            made = dict(zip(of, found))
             of = np.array(of or [-1])[at]
             known = (at >= 0) & (of >= 0) & ~np.isnan(trust)
             rows, of, trust = rows[known], of[known], trust[known]
@@ -202,8 +229,8 @@ def _describer(side: int):
             rows, of, trust = rows[new], of[new], trust[new]
             found = [made[i] for i in range(len(code.code))]
             take = lambda values: pa.array(values, pa.string()).take(pa.array(of))
-            text, word = take([f.text for f, _, _ in found]), take([w for _, w, _ in found])
-            low, high = (np.array([s[k] for _, _, s in found] or [0], np.int64)[of] if len(of) else np.zeros(0, np.int64) for k in (0, 1))
+            text, word = take([f[0] for f in found]), take([f[2] for f in found])
+            low, high = (np.array([f[k] for f in found] or [0], np.int64)[of] if len(of) else np.zeros(0, np.int64) for k in (3, 4))
             length = pc.utf8_length(text).to_numpy(zero_copy_only=False)
             row_low, row_high = np.zeros(n, np.int64), np.zeros(n, np.int64)
             by_length = np.lexsort((length, rows))
@@ -225,13 +252,14 @@ def _describer(side: int):
             k_rows = k_rows[order]
             ordered = lambda *parts: pa.array(np.concatenate(parts)[order])
             none = np.zeros(3 * len(rows), np.int64)
+            hints = [ordered(none, hashes[l_key]), ordered(low, low, low, row_low[l_rows]), ordered(high, high, high, row_high[l_rows])]
+            keys = pa.StructArray.from_arrays([keys.take(pa.array(order)), *hints], names=["sort", "person", "low", "high"])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(n, side, np.int32)), batch.column(0), _lists(rows, n, text), _lists(rows, n, take([f.sequel for f, _, _ in found])),
+                    pa.array(np.full(n, side, np.int32)), batch.column(0), _lists(rows, n, text), _lists(rows, n, take([f[1] for f in found])),
                     _lists(rows, n, pa.array(trust)), _lists(day_rows, n, pa.array(days.astype(np.int32))), _lists(year_rows, n, pa.array(years.astype(np.int32))),
-                    _lists(p_rows, n, p_text), firm_list, pa.array(first_day.astype(np.int32), mask=~has_day), _lists(k_rows, n, keys.take(pa.array(order))),
-                    _lists(k_rows, n, ordered(none, hashes[l_key])), _lists(k_rows, n, ordered(low, low, low, row_low[l_rows])),
-                    _lists(k_rows, n, ordered(high, high, high, row_high[l_rows])), pa.array(firm_bits), pa.array(people_bits), pa.array(names_bits), pa.array(need),
+                    _lists(p_rows, n, p_text), firm_list, pa.array(first_day.astype(np.int32), mask=~has_day), pa.array(last_day.astype(np.int32), mask=~has_day),
+                    _lists(k_rows, n, keys), pa.array(firm_bits), pa.array(people_bits), pa.array(names_bits), pa.array(need),
                 ],
                 names=[f.split()[0] for f in PROFILE.split(", ")],
             )
@@ -252,32 +280,46 @@ def _bits(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.view(np.uint64)).astype(np.int16)
 
 
-# Days beyond which two dates can't be one release, see `day_likeness`.
+# Days beyond which two dates can't be one release, see `day_likeness`; the likeness up to so many days.
 FAR = 800
+BY_DAYS = ((31, 1.0), (200, 0.9), (420, 0.75), (FAR, 0.3))
+# The greatest likeness of dates of which one tells only the year.
+BY_YEAR = 0.85
 
 
-ROW = ["side", "id", "day", "firm_bits", "people_bits", "names", "need", "person", "low", "high", "place"]
+ROW = ["side", "id", "day", "last", "firm_bits", "people_bits", "names", "need", "person", "low", "high", "place"]
 # Pairs looked at in one go.
 CHUNK = 1 << 20
 
 
-def _likely(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether the pairs of rows i and j are worth scoring: their titles share most letter pairs and their days are not
-    far apart, and they may share a company or a person, be it near in spelling, or one of the two is unknown, without
-    which no pair is accepted; or the key's person is the same within two months and they may share a company, as the
-    score asks of pairs with other titles."""
-    _, _, day, firms, people, names, need, who, a, b, _ = (rows[c] for c in ROW)
+def _bound(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """No less than the `with_confidence` of the pairs of rows i and j whatever their titles, by what their days, people
+    (be they near in spelling) and companies can count at most."""
+    first, last, firms, people, names, need = (rows[c] for c in ("day", "last", "firm_bits", "people_bits", "names", "need"))
+    gap = np.maximum(first[i] - last[j], first[j] - last[i])  # not a number where a day is unknown
+    day = np.select([gap <= most for most, _ in BY_DAYS] + [gap > FAR], [like for _, like in BY_DAYS] + [-1.0], BY_YEAR)
+    nobody = (need[i] == NOBODY) | (need[j] == NOBODY)
+    shared = ((people[i] & people[j]) != 0) | (people[i] == 0) | (people[j] == 0) | (_bits(names[i] & names[j]) >= np.maximum(need[i], need[j]))
+    person = np.where(nobody, 0.5, np.where(shared, 1.0, -0.5))
+    company = np.where((firms[i] == 0) | (firms[j] == 0), 0.5, np.where((firms[i] & firms[j]) != 0, 1.0, -0.5))
+    return WEIGHTS["title"] + WEIGHTS["people"] * person + WEIGHTS["day"] * day + WEIGHTS["companies"] * company
+
+
+def _likely(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, accept: float) -> np.ndarray:
+    """Which of the pairs of rows i and j are worth scoring: their titles share most letter pairs and their days are not
+    far apart, or the key's person is the same within two months and they may share a company, as the score asks of
+    pairs with other titles; and they can be accepted for their days, people and companies."""
+    day, firms, who, a, b = (rows[c] for c in ("day", "firm_bits", "person", "low", "high"))
     size = _bits(a) + _bits(b)
     gap = np.abs(day[i] - day[j])  # not a number where a day is unknown
     shared = _bits(a[i] & a[j]) + _bits(b[i] & b[j])
     alike = (shared >= 0.65 * np.maximum(np.minimum(size[i], size[j]), 1)) & ~(gap > FAR + 31)
-    backed = ((firms[i] & firms[j]) != 0) | ((people[i] & people[j]) != 0) | (firms[i] == 0) | (firms[j] == 0) | (people[i] == 0) | (people[j] == 0)
-    backed |= _bits(names[i] & names[j]) >= np.maximum(need[i], need[j])
     person = (who[i] != 0) & (who[i] == who[j]) & (gap <= 62) & ((firms[i] & firms[j]) != 0)
-    return (alike & backed) | person
+    found = np.flatnonzero(alike | person)
+    return found[_bound(rows, i[found], j[found]) >= accept - 1e-9]
 
 
-def _compare(rows: dict[str, np.ndarray], window: int, first: int) -> Iterator[np.ndarray]:
+def _compare(rows: dict[str, np.ndarray], window: int, first: int, accept: float) -> Iterator[np.ndarray]:
     """(id, other) of the likely pairs across sides whose keys are at most `window` distinct keys apart and of which the
     later row has index `first` or more. `place` numbers the keys; rows of one key are all compared, however many."""
     side, key, place = rows["side"], rows["id"], rows["place"]
@@ -292,25 +334,25 @@ def _compare(rows: dict[str, np.ndarray], window: int, first: int) -> Iterator[n
             pair = np.arange(start, min(total, start + CHUNK))
             k = np.searchsorted(ends, pair, "right")
             i, j = at[high[k] - (ends[k] - pair)], later[k]
-            ok = _likely(rows, i, j)
-            if ok.any():
+            ok = _likely(rows, i, j, accept)
+            if len(ok):
                 l, r = (key[j], key[i]) if s == 0 else (key[i], key[j])
                 yield np.unique(np.stack([l[ok], r[ok]], 1), axis=0)
 
 
-def _windows(window: int):
+def _windows(window: int, accept: float):
     """Pairs of a sorted partition, and the rows of its first and last keys for the windows that reach into other partitions."""
-    kinds = {"day": float, "side": np.int32}
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * 8]
-    names = ["id", "other", "part", "place", "side", "day", *ROW[3:-1], "key"]
+    kinds = {"day": float, "last": float, "side": np.int32}
+    types = [pa.int64(), pa.int64(), *[pa.int32()] * 5, *[pa.int64()] * 8]
+    names = ["id", "other", "part", "place", "side", "day", "last", *ROW[4:-1], "key"]
 
     def edge(rows: dict[str, np.ndarray], chosen: np.ndarray, part: int) -> pa.RecordBatch:
         rows = {c: v[chosen] for c, v in rows.items()}
-        n, day = len(rows["id"]), rows["day"]
+        n = len(rows["id"])
+        days = (pa.array(np.nan_to_num(rows[c], nan=-1e6).astype(np.int32), mask=np.isnan(rows[c])) for c in ("day", "last"))
         columns = [
             pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(np.full(n, part, np.int32)), pa.array(rows["place"].astype(np.int32)),
-            pa.array(rows["side"].astype(np.int32)), pa.array(np.nan_to_num(day, nan=-1e6).astype(np.int32), mask=np.isnan(day)),
-            *(pa.array(rows[c]) for c in ROW[3:-1]), pa.array(rows["id"]),
+            pa.array(rows["side"].astype(np.int32)), *days, *(pa.array(rows[c]) for c in ROW[4:-1]), pa.array(rows["id"]),
         ]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -327,24 +369,24 @@ def _windows(window: int):
             yield edge(rows, rows["place"] < window, part)
             if held is not None:
                 rows = {c: np.concatenate([held[c], v]) for c, v in rows.items()}
-            for pairs in _compare(rows, window, first):
+            for pairs in _compare(rows, window, first, accept):
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *(pa.nulls(len(pairs), t) for t in types[2:])], names=names)
             recent = rows["place"] > rows["place"][-1] - window
             held = {c: v[recent] for c, v in rows.items()}
         if held is not None:
             yield edge(held, held["place"] >= window, part)  # those before are out already
 
-    schema = "id bigint, other bigint, part int, place int, side int, day int, firm_bits bigint, people_bits bigint, names bigint, need bigint, person bigint, low bigint, high bigint, `key` bigint"
+    schema = "id bigint, other bigint, part int, place int, side int, day int, last int, firm_bits bigint, people_bits bigint, names bigint, need bigint, person bigint, low bigint, high bigint, `key` bigint"
     return run, schema
 
 
-def _across(window: int):
+def _across(window: int, accept: float):
     """Pairs over one border: `place` counts the keys from it, negative before."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("place", kind="stable")
-        rows = {c: pdf["key" if c == "id" else c].to_numpy(float if c == "day" else None) for c in ROW}
-        pairs = np.concatenate([np.zeros((0, 2), np.int64), *_compare(rows, window, int((pdf["place"] < 0).sum()))])
+        rows = {c: pdf["key" if c == "id" else c].to_numpy(float if c in ("day", "last") else None) for c in ROW}
+        pairs = np.concatenate([np.zeros((0, 2), np.int64), *_compare(rows, window, int((pdf["place"] < 0).sum()), accept)])
         return pd.DataFrame({"id": pairs[:, 0], "other": pairs[:, 1]})
 
     return run
@@ -366,24 +408,23 @@ def _borders(sizes: dict[int, int], window: int) -> list[tuple[int, int, int]]:
     return found
 
 
-def candidate_rows(described: DataFrame, window: int = WINDOW) -> DataFrame:
+def candidate_rows(described: DataFrame, window: int = WINDOW, accept: float = ACCEPT) -> DataFrame:
     """The likely pairs within each partition of all keys in order, and the rows of its first and last keys.
 
     One range sort of all keys; a window slides over each sorted partition as it streams by.
     """
     spark = described.sparkSession
-    own = ["side", "id", "day", "firm_bits", "people_bits", "names", "need"]
-    rows = described.select(*own, F.explode(F.arrays_zip("sort", "person", "low", "high")).alias("s")).select(*own, "s.*")
+    rows = described.select("side", "id", "day", "last", "firm_bits", "people_bits", "names", "need", F.inline("keys"))
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), described.count() // PART))
     rows = rows.repartitionByRange(parts, "sort").sortWithinPartitions("sort").select(*ROW[:-1], F.xxhash64("sort").alias("mark"))
-    return rows.mapInArrow(*_windows(window))
+    return rows.mapInArrow(*_windows(window, accept))
 
 
-def sorted_neighbourhood(spark: SparkSession, found: DataFrame, window: int = WINDOW) -> DataFrame:
+def sorted_neighbourhood(spark: SparkSession, found: DataFrame, window: int = WINDOW, accept: float = ACCEPT) -> DataFrame:
     """(id, other): pairs of a profile of side 0 and one of side 1 whose keys are within `window` distinct keys of each
     other under some sort key and are likely enough to be scored (see `_likely`).
 
-    found: stored `candidate_rows`. Windows over a border of partitions are made up from the last and first keys on
+    found: stored `candidate_rows` of the same window and least confidence. Windows over a border of partitions are made up from the last and first keys on
     either side. All rows of a key stand at one place, so no number of rows of one key pushes others out; pairs grow
     with the rows of either side under near keys.
     """
@@ -392,10 +433,15 @@ def sorted_neighbourhood(spark: SparkSession, found: DataFrame, window: int = WI
     sizes = {r["part"]: r["n"] + 1 for r in edges.groupBy("part").agg(F.max("place").alias("n")).collect()}
     borders = spark.createDataFrame(_borders(sizes, window), "part int, border int, shift int")
     edges = edges.join(F.broadcast(borders), "part").withColumn("place", F.col("place") + F.col("shift")).filter(F.col("place").between(-window, window - 1))
-    across = edges.drop("part", "shift").groupBy("border").applyInPandas(_across(window), "id bigint, other bigint")
+    across = edges.drop("part", "shift").groupBy("border").applyInPandas(_across(window, accept), "id bigint, other bigint")
     return inside.union(across).distinct()
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of a value that is worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def title_likeness(a: str, b: str) -> Column:
     """The best likeness of two profiles' titles: equal ones 1, each edit less; a title cut off 0.8, or 0.7 if the whole
     one has a sequel mark; other sequel marks 0; times the lesser trust."""
@@ -407,9 +453,9 @@ def title_likeness(a: str, b: str) -> Column:
         short, long = F.when(first, s).otherwise(t), F.when(first, t).otherwise(s)
         own, whole = F.when(first, x["q"]).otherwise(y["q"]), F.when(first, y["q"]).otherwise(x["q"])
         n, m = F.least(ls, lt), F.greatest(ls, lt)
-        like = 1.0 - 2.0 * F.levenshtein(s, t) / m
-        near = F.when((x["q"] == y["q"]) & (m - n <= 4) & (like >= 0.6), like).otherwise(0.0)
-        begins = (n >= 9) & (own == "") & ((F.levenshtein(F.substring(long, F.lit(1), n), short) <= 1))
+        like = _with(1.0 - 2.0 * F.levenshtein(s, t) / m, lambda v: F.when(v >= 0.6, v).otherwise(0.0))
+        near = F.when((x["q"] == y["q"]) & (m - n <= 4), like).otherwise(0.0)
+        begins = (n >= 9) & (own == "") & (F.levenshtein(F.substring(long, F.lit(1), n), short, 1) >= 0)
         cut_off = F.when(begins, F.when(whole != "", 0.7).otherwise(0.8)).otherwise(0.0)
         value = F.when(s == t, F.when(x["q"] == y["q"], 1.0).otherwise(0.0)).otherwise(F.greatest(near, cut_off))
         return value * F.least(x["w"], y["w"])
@@ -426,7 +472,7 @@ def people_likeness(a: str, b: str) -> Column:
     def near(p: Column, q: Column) -> Column:
         full = p.startswith("=") & q.startswith("=")
         short = ~p.startswith("=") & ~q.startswith("=") & (F.substring(p, 1, 1) == F.substring(q, 1, 1))
-        return F.when(full & (F.levenshtein(p, q) <= 2), 0.9).when(short & (F.levenshtein(p, q) <= 1), 0.8).otherwise(-0.5)
+        return F.when(full & (F.levenshtein(p, q, 2) >= 0), 0.9).when(short & (F.levenshtein(p, q, 1) >= 0), 0.8).otherwise(-0.5)
 
     best = F.array_max(F.flatten(F.transform(x, lambda p: F.transform(y, lambda q: near(p, q)))))
     return F.when((F.size(x) > 0) & (F.size(y) > 0), F.when(F.arrays_overlap(x, y), 1.0).otherwise(best))
@@ -438,8 +484,8 @@ def day_likeness(a: str, b: str) -> Column:
     days = gap(F.col(f"{a}.days"), F.col(f"{b}.days"))
     years = lambda p: F.concat(F.col(f"{p}.years"), F.transform(F.col(f"{p}.days"), lambda d: (1970 + F.floor(d / 365)).cast("int")))
     off = gap(years(a), years(b))
-    by_day = F.when(days <= 31, 1.0).when(days <= 200, 0.9).when(days <= 420, 0.75).when(days <= FAR, 0.3).otherwise(-1.0)
-    by_year = F.when(off == 0, 0.85).when(off == 1, 0.7).when(off == 2, 0.2).when(off.isNotNull(), -1.0)
+    by_day = F.coalesce(*(F.when(days <= most, like) for most, like in BY_DAYS), F.lit(-1.0))
+    by_year = F.when(off == 0, BY_YEAR).when(off == 1, 0.7).when(off == 2, 0.2).when(off.isNotNull(), -1.0)
     return F.when(days.isNotNull(), by_day).otherwise(by_year)
 
 
@@ -588,21 +634,22 @@ def match_entities(spark: SparkSession, left: DataFrame, right: DataFrame, accep
     s = Scratch(spark)
     both = profiles(left.filter("id is not null"), 0).union(profiles(right.filter("id is not null"), 1))
     described = s.table(both)
-    found = s.table(candidate_rows(described, window))
-    pairs = s.table(sorted_neighbourhood(s.spark, found, window))
+    found = s.table(candidate_rows(described, window, accept))
+    pairs = s.table(sorted_neighbourhood(s.spark, found, window, accept))
     s.drop(found)
     a = described.filter("side = 0").select("id", F.struct(*FIELDS).alias("f"))
     b = described.filter("side = 1").select(F.col("id").alias("other"), F.struct(*FIELDS).alias("e"))
     scored = with_confidence(pairs.join(a, "id").join(b, "other"), "f", "e").select("id", "other", "confidence")
-    # one row a pair, also where an id occurs twice
-    scored = s.table(scored.filter(F.col("confidence") >= accept).groupBy("id", "other").agg(F.max("confidence").alias("confidence")))
+    # one row a pair, also where an id occurs twice; a filter before the sum would work out every part of the score again
+    scored = s.table(scored.groupBy("id", "other").agg(F.max("confidence").alias("confidence")).filter(F.col("confidence") >= accept))
     s.drop(pairs)
 
     # works: each row with the best row of a shared candidate, if the two are one; groups by the least id
     lead = scored.groupBy("other").agg(F.max_by("id", F.struct("confidence", -F.col("id"))).alias("lead"))
     twins = scored.join(lead, "other").filter("id <> lead").select("id", "lead").distinct()
     twins = with_confidence(twins.join(a, "id").join(a.select(F.col("id").alias("lead"), F.col("f").alias("e")), "lead"), "f", "e")
-    twins = s.table(twins.filter(F.col("confidence") >= accept).select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct())
+    twins = twins.groupBy("id", "lead").agg(F.max("confidence").alias("confidence")).filter(F.col("confidence") >= accept)
+    twins = s.table(twins.select(F.col("id").alias("a"), F.col("lead").alias("b")))
     s.drop(described)
     labels = components(s, twins).select(F.col("node").alias("id"), F.col("label").alias("work"))
     own = s.table(scored.join(labels, "id", "left").withColumn("work", F.coalesce("work", "id")))

@@ -6,6 +6,10 @@ import re
 import unicodedata
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 # Full given names and the short forms they go by; one short form may stand for several names. A short
 # form with -y, -ie or -i after it (its last letter doubled or not) goes by the same entry, see `full_names`.
 SHORT_FORMS = {
@@ -70,6 +74,27 @@ def skeleton(word: str) -> str:
     return word[:-1] if len(word) > 4 and word.endswith("e") else word
 
 
+def skeletons(words: list[str]) -> list[str]:
+    """`skeleton` of each word, all at once."""
+    folded = pa.array(words, pa.string())
+    for a, b in FOLDS:
+        folded = pc.replace_substring(folded, a, b)
+    if not (size := pc.binary_length(folded).to_numpy(zero_copy_only=False)).sum():
+        return words
+    letter = np.frombuffer(folded.buffers()[2], np.uint8)[: size.sum()]
+    row = np.repeat(np.arange(len(words)), size)
+    plain = (letter >= ord("a")) & (letter <= ord("z"))
+    letter, row = letter[plain], row[plain]
+    new = np.append(True, (letter[1:] != letter[:-1]) | (row[1:] != row[:-1]))[: len(row)]
+    letter, row = letter[new], row[new]
+    size = np.bincount(row, minlength=len(words))
+    last = np.cumsum(size)[size > 4] - 1
+    silent = last[letter[last] == ord("e")]
+    size[row[silent]] -= 1
+    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(words), pa.py_buffer(ends), pa.py_buffer(np.delete(letter, silent))).to_pylist()
+
+
 def parse_name(name: str | None) -> tuple[list[str], bool]:
     """The words of a name in the order given names, family name, and whether a comma told that order.
 
@@ -167,17 +192,17 @@ def _parts(name: str | None) -> tuple[list[str], int]:
     return words, at
 
 
-def name_keys(name: str | None) -> tuple[list[str], str, list[str]]:
-    """Spellings (none for an initial; one for each name that the given one may be short for), skeleton of the family
-    name, and letters, as in `name_form` but without the rest."""
+def name_roots(name: str | None) -> tuple[list[str], str, list[str]]:
+    """Spellings (none for an initial; one for each name that the given one may be short for), family name, and letters,
+    as in `name_form` but before the folds and without the rest; a single word has no family name and no letters."""
     words, at = _parts(name)
     if len(words) < 2:
-        return ([skeleton(words[0])] if words and skeleton(words[0]) else []), "", []
+        return words, "", []
     given, family = words[0], "".join(words[at:])
     if len(given) == 1:
-        return [], skeleton(family), [given]
+        return [], family, [given]
     roots = full_names(given)
-    return sorted({skeleton(r + family) for r in roots}), skeleton(family), sorted({given[0], *(r[0] for r in roots)})
+    return [r + family for r in roots], family, sorted({given[0], *(r[0] for r in roots)})
 
 
 def name_form(name: str | None, aliases: dict[str, list[str]] = ALIASES) -> Form:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from marquetry.llm.names import name_keys, plain_letters, repaired, skeleton
+from marquetry.llm.names import name_roots, plain_letters, repaired, skeleton
 
 # Marks that bookings put before and after a title.
 BEFORE = re.compile(r"^(?:\s*(?:[A-Z0-9]{2,5}\s*-\s+|(?:3D|2D|GC|IMAX|4DX|HFR|VIP)\b\s*-?\s*))+")
@@ -34,31 +35,48 @@ class Title:
     sequel: str
 
 
+def _last_word(text: str) -> str:
+    """The letters and digits that only other marks follow, as by `_LAST`."""
+    word = text[text.rfind(" ") + 1 :]
+    if word.isalnum():
+        return word
+    last = _LAST.search(text)
+    return last.group(1) if last else ""
+
+
 def strip_noise(title: str) -> str:
     """A title without booking marks before and after it; a title that is nothing but marks stays."""
     t = " ".join(repaired(title).split())
-    out = BEFORE.sub("", t)
-    last = _LAST.search(out)
-    if out[-1:] in ")]" or (last and (last.group(1).lower() in _NOISE_ENDS or "&" in out[-6:])):
+    before = BEFORE.match(t)
+    out = t[before.end() :] if before else t
+    if out[-1:] in ")]" or ((last := _last_word(out)) and (last.lower() in _NOISE_ENDS or "&" in out[-6:])):
         out = AFTER.sub("", out)
     return out.strip(" -:") or t
 
 
-def title_form(title: str | None) -> Title | None:
-    """The form of a title; null for a missing or blank one."""
+def title_words(title: str | None) -> tuple[tuple[str, ...], str] | None:
+    """The words of a title and its sequel marks; null for a missing one or one without words."""
     if title is None or not title.strip():
         return None
     t = plain_letters(strip_noise(title)).replace("&", " and ")
     if "," in t:
         t = _MOVED.sub(r"\2 \1", t)
     marks = []
-    while (last := _LAST.search(t)) and (last.group(1) in _SEQUEL_ENDS or last.group(1).isdigit()) and (m := SEQUELS.search(t)) and m.start() > 0:
+    while ((last := _last_word(t)) in _SEQUEL_ENDS or last.isdigit()) and (m := SEQUELS.search(t)) and m.start() > 0:
         number = (m.group(1) or m.group(3) or "").lower()
         marks.append(str(NUMERALS.get(number, number)) if number else skeleton(m.group(2).removeprefix("the ")))
         t = t[: m.start()]
     words = tuple(w for w in _WORD.findall(t.replace("'", "")) if w not in ARTICLES) or tuple(_WORD.findall(t))
-    words = tuple(DIGITS.get(w, w) for w in words)
-    return Title(skeleton("".join(words)) or "".join(words), words, "/".join(reversed(marks)))
+    return (tuple([DIGITS.get(w, w) for w in words]), "/".join(reversed(marks))) if words else None
+
+
+def title_form(title: str | None) -> Title | None:
+    """The form of a title; null for a missing one or one without words."""
+    found = title_words(title)
+    if found is None:
+        return None
+    whole = "".join(found[0])
+    return Title(skeleton(whole) or whole, *found)
 
 
 def date_days(text: str | None) -> tuple[int | None, bool]:
@@ -104,19 +122,26 @@ def split_people(text: str | None) -> list[str]:
     return [q for p in parts if (q := p.strip(' "'))]
 
 
-def people_keys(text: str | None) -> list[str]:
-    """For each person named: the full spelling, or initial and family name, as `initial.family` and `=full`."""
+def people_roots(text: str | None) -> list[tuple[list[str], str, list[str]]]:
+    """Each person named as in `name_roots`."""
+    return [name_roots(p) for p in split_people(text) if p.lower() not in _NOBODY]
+
+
+def folded_keys(roots: list[tuple[list[str], str, list[str]]], fold: Callable[[str], str] = skeleton) -> list[str]:
+    """The keys of `people_keys` from `people_roots`."""
     out = set()
-    for p in split_people(text):
-        if p.lower() in _NOBODY:
-            continue
-        spellings, family, letters = name_keys(p)
-        out.update(f"={x}" for x in spellings)
-        if family:
-            out.update(f"{x}.{family}" for x in letters)
+    for whole, family, letters in roots:
+        out.update([f"={k}" for x in whole if (k := fold(x)) or letters])
+        if letters and (k := fold(family)):
+            out.update([f"{x}.{k}" for x in letters])
     return sorted(out)
 
 
+def people_keys(text: str | None) -> list[str]:
+    """For each person named: the full spelling, or initial and family name, as `initial.family` and `=full`."""
+    return folded_keys(people_roots(text))
+
+
 # Words of company names that vary in writing.
 COMPANY_WORDS = {"prods": "productions", "prod": "productions", "pics": "pictures", "ent": "entertainment", "co": "company", "distrib": "distribution", "intl": "international"}
 COMPANY_ENDS = {"ltd", "inc", "llc", "gmbh", "sa", "pty", "plc", "corp"}

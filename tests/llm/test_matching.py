@@ -1,9 +1,12 @@
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from marquetry.llm.matching import _borders, assign, auction, candidate_rows, match_entities, one_to_one, profiles, sorted_neighbourhood
+from marquetry.llm.matching import FIELDS, ROW, _borders, _bound, assign, auction, candidate_rows, match_entities, one_to_one, profiles, sorted_neighbourhood, with_confidence
 from marquetry.llm.graph import components
+from marquetry.llm.names import skeleton, skeletons
 from marquetry.llm.titles import company_key, date_days, people_keys, title_form
 from marquetry.sources.scratch import Scratch
 
@@ -114,3 +117,43 @@ def test_components(spark):
 
 def test_assignment_of_nothing(spark):
     assert one_to_one(Scratch(spark), spark.createDataFrame([], "left bigint, right bigint, confidence double")).count() == 0
+
+
+def test_skeletons():
+    words = ["Schützenfest", "phoebe", "", "éé", "aee", "eeeee", "thaccooe", "0l5", "中文", "bookkeepe", "moose", "qu-een e"]
+    for some in (words, words[2:4], [""], []):
+        assert skeletons(some) == [skeleton(w) for w in some]
+
+
+def test_title_without_words(spark):
+    """Titles of nothing but marks tell nothing."""
+    left = [row(1, "...", "2001-01-01", "Ann Lee", ["Juniper Studios"]), row(2, "Fox in Purlungrad", "2001-01-01", "Bob Cox", None, "-")]
+    right = [row(11, "???", "2001-01-01", "Ann Lee", ["Juniper Studios"]), row(12, "Fox in Purlungrad", "2001-01-02", "Bob Cox", None, "_")]
+    assert run(spark, left, right) == {2: 12}
+
+
+def test_pairs_that_cannot_count(spark):
+    """A pair that can't be accepted for its days, people and companies is no candidate, unless less is asked."""
+    side = lambda i, date, person: profiles(spark.createDataFrame([row(i, "Quiet Harbour", date, person, None)], KIND), i)
+    far, near = (side(0, "2005-05-01", "Ann Lee").union(side(1, date, "Gustav Hayworth")) for date in ("2006-12-01", "2005-05-20"))
+    pairs = lambda d, accept: sorted_neighbourhood(spark, candidate_rows(d, accept=accept), accept=accept).count()
+    assert (pairs(far, 0.6), pairs(far, 0.5), pairs(near, 0.6)) == (0, 1, 1)
+
+
+def test_bound(spark):
+    """No pair's confidence exceeds what the candidates are chosen by."""
+    random.seed(7)
+    pick = lambda values, most: [random.choice(values) for _ in range(random.randint(0, most))]
+    people = ["Ann Lee", "Lee, Ann", "A. Lee", "An Leigh", "Bo Cox", "Ann", "Lea", "X", "N/A", "", None, "Gustav Hayworth", "Gustaf Haywort|Bo Fox", "G. Hayworh"]
+    dates = ["2005-05-01", "2005-05-20", "2005-12-01", "2006-07-01", "2009-01-01", "2005", "2011", "x", None]
+    one = lambda i: (i, ["Quiet Harbour", random.choice(["Quiet Harbor", "Loud Harbour", None])], [1.0, 0.6], pick(dates, 3), pick(people, 2), pick(["Owlery Films", "Juniper", "Moss", None], 3))
+    described = profiles(spark.createDataFrame([one(i) for i in range(60)], KIND), 0).union(profiles(spark.createDataFrame([one(i) for i in range(60)], KIND), 1)).cache()
+    a = described.filter("side = 0").select("id", F.struct(*FIELDS).alias("f"))
+    b = described.filter("side = 1").select(F.col("id").alias("other"), F.struct(*FIELDS).alias("e"))
+    scored = with_confidence(a.crossJoin(b), "f", "e").select("id", "other", "confidence").toPandas()
+    rows = described.orderBy("side", "id").toPandas()
+    rows = {c: rows[c].to_numpy(float if c in ("day", "last") else None) for c in ROW if c in rows}
+    most = _bound(rows, scored["id"].to_numpy(), 60 + scored["other"].to_numpy())
+    assert (scored["confidence"] <= most + 1e-9).all()
+    assert 200 < (most < 0.6).sum() and (scored["confidence"] >= 0.6).sum() > 200
+    described.unpersist()
